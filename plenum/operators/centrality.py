@@ -10,17 +10,19 @@ from __future__ import annotations
 import math
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from plenum.operators.graph import symmetric_edges, vertex_ids
+from plenum.operators.graph import symmetric_edges
 from plenum.operators.metrics import bridging_coefficient
 from plenum.session import materialize
 from plenum.skew import HOT_FLOOR, salted_join
 
 # The edges are broadcast only up to this many directed rows of three numbers (well below 100 MB).
 BROADCAST_EDGES = 1_000_000
+# Rows that one task pushes along edges, about.
+PUSH_ROWS = 500_000
 # (source, vertex) rows worked on at a time; more sources than that are taken in several passes.
 STATE_ROWS = 20_000_000_000
 
@@ -32,25 +34,34 @@ class _Walks:
         kind = edges.schema[weight].dataType
         if isinstance(kind, (T.FloatType, T.DoubleType)):
             raise ValueError("path lengths are compared for equality: cast the weight to BIGINT or DECIMAL")
-        w = F.col("weight").cast("bigint" if isinstance(kind, T.IntegralType) else "decimal(38,9)")
-        # drop every column but the three that travel with a walk
-        both = symmetric_edges(edges.select("src", "dst", F.col(weight).alias("weight")))
-        both = both.select(F.col("src").alias("u"), F.col("dst").alias("v"), w.alias("w"))
-        self.edges = materialize(both.filter("u <> v"), "walk-edges")
-        self.vertices = materialize(vertex_ids(edges), "walk-vertices")
-        self.n = self.vertices.count()
-        self.n_edges, least = self.edges.agg(F.count(F.lit(1)), F.min("w")).first()
+        self.d_type = T.LongType() if isinstance(kind, T.IntegralType) else T.DecimalType(38, 9)
+        both = symmetric_edges(edges.select("src", "dst", F.col(weight).cast(self.d_type).alias("weight")))
+        both = materialize(both.toDF("u", "v", "w"), "walk-edges")
+        step = F.col("u") != F.col("v")  # a self-loop is on no shortest path, but its vertex counts
+        self.edges = both.filter(step)
+        self.node = materialize(
+            both.groupBy("u").agg(F.count_if(step).alias("_rows"), F.min(F.when(step, F.col("w"))).alias("nearest")),
+            "walk-nodes",
+        )
+        self.n, n_edges, least = self.node.agg(F.count(F.lit(1)), F.sum("_rows"), F.min("nearest")).first()
         if least is not None and least <= 0:
             raise ValueError("weights are distances and must be positive")
-        self.broadcast = self.n_edges <= broadcast_edges
+        self.mean_degree = (n_edges or 0) / max(self.n, 1)
+        self.broadcast = (n_edges or 0) <= broadcast_edges
         self.floor = floor
-        node = self.edges.groupBy("u").agg(F.count(F.lit(1)).alias("_rows"), F.min("w").alias("nearest"))
-        self.node = materialize(node, "walk-nodes")
 
-    def push(self, rows: DataFrame) -> DataFrame:
-        """Rows at ``u`` repeated for each edge of ``u``; rows of a hub are split by source."""
+    def tasks(self, rows: int) -> int:
+        """Partitions for pushing ``rows`` rows: few rows may become many, so their own size is no guide."""
+        return max(1, math.ceil(rows * self.mean_degree / PUSH_ROWS))
+
+    def push(self, rows: DataFrame, tasks: int) -> DataFrame:
+        """Rows at ``u`` repeated for each edge of ``u``.
+
+        Next to broadcast edges, rows are kept together by source, and all that is pushed for a source and a vertex
+        is summed where it arises. Otherwise rows meet the edges of ``u``, and those of a hub are split by source.
+        """
         if self.broadcast:
-            return rows.join(F.broadcast(self.edges), "u")
+            return rows.repartition(tasks, "s").join(F.broadcast(self.edges), "u")
         return salted_join(rows, self.edges, ["u"], sizes=self.node, spread=["s"], floor=self.floor)
 
 
@@ -58,27 +69,7 @@ def _union(frames: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
 
 
-def _extend(walks: _Walks, last: DataFrame, rounds: list[DataFrame]) -> DataFrame:
-    """Walks with one more edge that are no longer than the shortest known so far.
-
-    Known lengths enter the same grouped minimum with zero paths: where they are shorter, the pair drops out.
-    """
-    longer = walks.push(last.withColumnRenamed("v", "u")).select(
-        "s", "v", (F.col("d") + F.col("w")).cast(last.schema["d"].dataType).alias("d"), "paths"
-    )
-    known = _union(rounds).select("s", "v", "d", F.lit(0.0).alias("paths"))
-    return (
-        longer.unionByName(known)
-        .groupBy("s", "v", "d")
-        .agg(F.sum("paths").alias("paths"))
-        .groupBy("s", "v")
-        .agg(F.min(F.struct("d", "paths")).alias("best"))
-        .select("s", "v", "best.*")
-        .filter("paths > 0")
-    )
-
-
-def _promising(walks: _Walks, last: DataFrame, rounds: list[DataFrame]) -> DataFrame:
+def _open(walks: _Walks, last: DataFrame, rounds: list[DataFrame]) -> DataFrame:
     """Walks that one more edge may still turn into a shortest path.
 
     Once a source has reached every vertex, a walk is done if even the shortest edge at its end makes it longer
@@ -96,41 +87,61 @@ def _promising(walks: _Walks, last: DataFrame, rounds: list[DataFrame]) -> DataF
     )
 
 
-def _shortest(walks: _Walks, sources: DataFrame) -> DataFrame:
-    """Per source and vertex: distance ``d``, number of shortest paths ``paths`` and largest hop count ``depth``."""
-    d_type = walks.edges.schema["w"].dataType
-    last = materialize(
-        sources.select(
-            F.col("id").alias("s"), F.col("id").alias("v"), F.lit(0).cast(d_type).alias("d"), F.lit(1.0).alias("paths")
-        ),
-        "walks",
+def _extend(walks: _Walks, rounds: list[DataFrame]) -> DataFrame:
+    """Walks with one more edge that are no longer than the shortest known so far.
+
+    Known lengths enter the same grouped minimum with zero paths: where they are shorter, the pair drops out.
+    """
+    last = rounds[-1]
+    tasks = walks.tasks(last.count())
+    longer = walks.push(_open(walks, last, rounds).withColumnRenamed("v", "u"), tasks).select(
+        "s", "v", (F.col("d") + F.col("w")).cast(walks.d_type).alias("d"), "paths"
+    )
+    known = _union(rounds).select("s", "v", "d", F.lit(0.0).alias("paths"))
+    return (
+        longer.unionByName(known)
+        .groupBy("s", "v", "d")
+        .agg(F.sum("paths").alias("paths"))
+        .groupBy("s", "v")
+        .agg(F.min("d").alias("d"), F.min_by("paths", "d").alias("paths"))
+        .filter("paths > 0")
     )
-    rounds = [last]
+
+
+def _shortest(walks: _Walks, mine: Column) -> DataFrame:
+    """Per source and vertex: distance ``d``, number of shortest paths ``paths`` and largest hop count ``depth``.
+
+    Walks of no edge and of one edge are the vertices and the edges themselves.
+    """
+    one = F.lit(1.0).alias("paths")
+    rounds = [
+        walks.node.select(F.col("u").alias("s"), F.col("u").alias("v"), F.lit(0).cast(walks.d_type).alias("d"), one),
+        walks.edges.select(F.col("u").alias("s"), "v", F.col("w").alias("d"), one),
+    ]
+    rounds = [step.filter(mine) for step in rounds]
     while True:
-        last = materialize(_extend(walks, last, rounds), "walks")
-        if last.isEmpty():
-            break
-        rounds.append(last)
-        last = materialize(_promising(walks, last, rounds), "walks-open")
-        if last.isEmpty():
+        longer = materialize(_extend(walks, rounds), "walks")
+        if longer.isEmpty():
             break
+        rounds.append(longer)
     steps = [step.withColumn("depth", F.lit(hops)) for hops, step in enumerate(rounds)]
     return materialize(
         _union(steps)
         .groupBy("s", "v", "d")
         .agg(F.sum("paths").alias("paths"), F.max("depth").alias("depth"))
         .groupBy("s", "v")
-        .agg(F.min(F.struct("d", "paths", "depth")).alias("best"))
-        .select("s", "v", "best.*"),
+        .agg(
+            F.min("d").alias("d"), F.min_by("paths", "d").alias("paths"), F.min_by("depth", "d").alias("depth")
+        ),
         "shortest",
     )
 
 
 def _dependencies(walks: _Walks, state: DataFrame) -> list[DataFrame]:
     """Parts ``s, v, part`` whose sum over all lists is the dependency of each source on each vertex."""
-    depth = state.agg(F.max("depth")).first()[0] or 0
+    sizes = dict(state.groupBy("depth").count().collect())  # one row per depth
     parts: list[DataFrame] = []
-    for level in range(depth, 1, -1):
+    for level in sorted((depth for depth in sizes if depth > 1), reverse=True):
         rows = state.filter(F.col("depth") == level)
         if parts:
             received = _union(parts).groupBy("s", "v").agg(F.sum("part").alias("received"))
@@ -139,8 +150,8 @@ def _dependencies(walks: _Walks, state: DataFrame) -> list[DataFrame]:
             rows = rows.withColumn("received", F.lit(0.0))
         share = ((1 + F.coalesce("received", F.lit(0.0))) / F.col("paths")).alias("share")
         sent = (
-            walks.push(rows.select("s", F.col("v").alias("u"), "d", share))
-            .select("s", "v", (F.col("d") - F.col("w")).cast(state.schema["d"].dataType).alias("d"), "share")
+            walks.push(rows.select("s", F.col("v").alias("u"), "d", share), walks.tasks(sizes[level]))
+            .select("s", "v", (F.col("d") - F.col("w")).cast(walks.d_type).alias("d"), "share")
             .filter("d > 0")  # only vertices between the source and the end
             .groupBy("s", "v", "d")
             .agg(F.sum("share").alias("share"))
@@ -167,17 +178,18 @@ def betweenness(
     passes = max(1, math.ceil(walks.n * walks.n / state_rows))
     sums = []
     for turn in range(passes):
-        mine = F.pmod(F.xxhash64("id"), F.lit(passes)) == turn
-        parts = _dependencies(walks, _shortest(walks, walks.vertices.filter(mine)))
+        mine = F.pmod(F.xxhash64("s"), F.lit(passes)) == turn
+        parts = _dependencies(walks, _shortest(walks, mine))
         if parts:
             total = _union(parts).groupBy(F.col("v").alias("id")).agg(F.sum("part").alias("raw"))
             sums.append(materialize(total, "betweenness-pass"))
+    vertices = walks.node.select(F.col("u").alias("id"))
     if not sums:
-        return walks.vertices.select("id", F.lit(0.0).alias("Centralidade_Intermediacao"))
+        return vertices.select("id", F.lit(0.0).alias("Centralidade_Intermediacao"))
     raw = _union(sums).groupBy("id").agg(F.sum("raw").alias("raw"))
     scale = float((walks.n - 1) * (walks.n - 2))  # positive: a part needs three vertices
     value = (F.coalesce("raw", F.lit(0.0)) / scale).alias("Centralidade_Intermediacao")
-    return walks.vertices.join(raw, "id", "left").select("id", value)
+    return vertices.join(raw, "id", "left").select("id", value)
 
 
 def bridging_centrality(edges: DataFrame, weight: str = "weight", **options) -> DataFrame:

@@ -48,7 +48,18 @@ def salted_join(
     """
     if sizes is None:
         sizes = left.groupBy(*keys).agg(F.count(F.lit(1)).alias(rows))
-    hot = hot_keys(sizes, keys, rows, floor)
+    return split_join(left, right, keys, hot_keys(sizes, keys, rows, floor), how, spread)
+
+
+def split_join(
+    left: DataFrame,
+    right: DataFrame,
+    keys: list[str],
+    hot: DataFrame | None,
+    how: str = "inner",
+    spread: list[str] | None = None,
+) -> DataFrame:
+    """:func:`salted_join` with the hot keys already known; a plain join when there are none."""
     if hot is None:
         return left.join(right, keys, how)
     pieces = F.coalesce(F.col("_pieces"), F.lit(1))
