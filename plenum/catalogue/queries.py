@@ -8,9 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from plenum.catalogue.roles import ballots, members, network, parties, table
-from plenum.operators import centrality, community, distribution, graph, metrics, profile, votes
-from plenum.plans.network import Network
+from plenum.catalogue.roles import ballots, communities, community_vertices, members, network, parties, table
+from plenum.operators import centrality, distribution, graph, metrics, profile, votes
 from plenum.plans.report import rank_vertices, vertex_report
 from plenum.session import materialize, scratch_path
 from plenum.sources import manifest, sinks, tables
@@ -218,19 +217,15 @@ def induced_edges(spark, sf_dir):
 # ---- metrics --------------------------------------------------------------------------------------------------
 
 
-def _with_communities(net: Network) -> DataFrame:
-    return materialize(net.vertices.join(community.louvain(net.edges), "id"), "communities")
-
-
 @query
 def louvain_communities(spark, sf_dir):
-    return community.louvain(network(spark, sf_dir).edges)
+    return communities(spark, sf_dir)
 
 
 @query
 def louvain_modularity(spark, sf_dir):
     net = network(spark, sf_dir)
-    return metrics.modularity(net.edges, materialize(community.louvain(net.edges), "communities"), "modularidade")
+    return metrics.modularity(net.edges, communities(spark, sf_dir), "modularidade")
 
 
 @query
@@ -254,7 +249,7 @@ def weighted_density_by_group(spark, sf_dir):
 @query
 def weighted_density_by_community(spark, sf_dir):
     net = network(spark, sf_dir)
-    return metrics.weighted_density_by(_with_communities(net), net.edges, "modularidade")
+    return metrics.weighted_density_by(community_vertices(spark, sf_dir), net.edges, "modularidade")
 
 
 @query
@@ -352,12 +347,12 @@ def boxplot_stats(spark, sf_dir):
 @query
 def vertex_metrics_report(spark, sf_dir):
     """The vertex report without communities, which no SQL can repeat."""
-    return vertex_report(network(spark, sf_dir), communities=False)
+    return vertex_report(network(spark, sf_dir))
 
 
 @query
 def vertex_report_full(spark, sf_dir):
-    return vertex_report(network(spark, sf_dir))
+    return vertex_report(network(spark, sf_dir), communities(spark, sf_dir))
 
 
 @query
@@ -375,7 +370,7 @@ def attribute_distribution(spark, sf_dir):
 
 @query
 def attribute_distribution_community(spark, sf_dir):
-    return profile.attribute_distribution(_with_communities(network(spark, sf_dir)), "modularidade")
+    return profile.attribute_distribution(community_vertices(spark, sf_dir), "modularidade")
 
 
 @query
@@ -385,7 +380,7 @@ def cross_share(spark, sf_dir):
 
 @query
 def cross_share_community(spark, sf_dir):
-    return profile.cross_share(_with_communities(network(spark, sf_dir)), "ideologia", "modularidade")
+    return profile.cross_share(community_vertices(spark, sf_dir), "ideologia", "modularidade")
 
 
 @query
@@ -395,7 +390,7 @@ def dominant_category(spark, sf_dir):
 
 @query
 def dominant_category_community(spark, sf_dir):
-    return profile.dominant_category(_with_communities(network(spark, sf_dir)), "ideologia", "modularidade")
+    return profile.dominant_category(community_vertices(spark, sf_dir), "ideologia", "modularidade")
 
 
 @query

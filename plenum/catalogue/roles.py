@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from plenum.operators.community import louvain
 from plenum.operators.votes import ballots_from
 from plenum.plans.network import Network, build_network
+from plenum.session import materialize
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -35,12 +37,31 @@ def parties(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-_stored: dict[tuple[str, str], Network] = {}
+_networks: dict[tuple[str, str], Network] = {}
+_communities: dict[tuple[str, str], DataFrame] = {}
+
+
+def _key(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
+    return spark.sparkContext.applicationId, sf_dir.rstrip("/")
 
 
 def network(spark: SparkSession, sf_dir: str, rebuild: bool = False) -> Network:
     """The network of one data folder. It is a pair of stored tables: built once per application, then read."""
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
-    if rebuild or key not in _stored:
-        _stored[key] = build_network(ballots(spark, sf_dir), members(spark, sf_dir), parties(spark, sf_dir))
-    return _stored[key]
+    key = _key(spark, sf_dir)
+    if rebuild or key not in _networks:
+        _networks[key] = build_network(ballots(spark, sf_dir), members(spark, sf_dir), parties(spark, sf_dir))
+        _communities.pop(key, None)
+    return _networks[key]
+
+
+def communities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Community of each vertex of the network, a stored table as well."""
+    key, net = _key(spark, sf_dir), network(spark, sf_dir)
+    if key not in _communities:
+        _communities[key] = materialize(louvain(net.edges), "communities")
+    return _communities[key]
+
+
+def community_vertices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Network vertices with attributes and community."""
+    return network(spark, sf_dir).vertices.join(communities(spark, sf_dir), "id")

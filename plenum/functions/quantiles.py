@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -11,29 +13,28 @@ ACCURACY = 10_000
 def exact_quantiles(df: DataFrame, column: str, probabilities: list[float], names: list[str]) -> DataFrame:
     """One row of linearly interpolated quantiles of the non-null values of ``column``.
 
-    The built-in exact percentile keeps every distinct value in one task. Here a sketch first brackets each
-    quantile between two values that are at most ``8 / ACCURACY`` of the rows apart; these few numbers are read
-    by the driver. A counting pass then keeps single values only inside the brackets and one count for each gap
+    The built-in exact percentile keeps every distinct value in one task. Here, beyond ``ACCURACY`` rows, a sketch
+    first brackets each quantile between two values that are about ``8 / ACCURACY`` of the rows apart; these few
+    numbers are read by the driver. A counting pass then keeps single values only inside the brackets and one count for each gap
     between them, so what is left to order is a fixed small share of the data. A rank outside its bracket
     raises an error instead of giving a wrong value.
     """
-    margin = 2 / ACCURACY
-    edges = [e for p in probabilities for e in (max(0.0, p - margin), min(1.0, p + margin))]
     values = df.select(F.col(column).alias("value")).filter(F.col("value").isNotNull())
-    bracket = values.agg(F.percentile_approx("value", edges, ACCURACY)).first()[0] or [None] * len(edges)
-    lows, highs = bracket[0::2], bracket[1::2]
-
+    size = values.count()
     value = F.col("value")
-    inside = F.lit(False)
-    for low, high in zip(lows, highs):
-        inside = inside | value.between(F.lit(low), F.lit(high))
-    # highest bracket end below the value; null sorts first and stands for "below every bracket"
-    below = F.array_max(F.array(*[F.when(F.lit(high) < value, F.lit(high)) for high in highs]))
-    counted = (
-        values.select(F.when(inside, value).otherwise(below).alias("value"), (~inside).alias("gap"))
-        .groupBy("value", "gap")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
+    if size <= ACCURACY:
+        kept = values.select("value", F.lit(False).alias("gap"))
+    else:
+        # two sketch errors, and two ranks for the neighbour that interpolation needs
+        margin = 2 / ACCURACY + 2 / size
+        edges = [e for p in probabilities for e in (max(0.0, p - margin), min(1.0, p + margin))]
+        bracket = values.agg(F.percentile_approx("value", edges, ACCURACY)).first()[0]
+        lows, highs = bracket[0::2], bracket[1::2]
+        inside = reduce(lambda a, b: a | b, [value.between(F.lit(lo), F.lit(hi)) for lo, hi in zip(lows, highs)])
+        # highest bracket end below the value; null sorts first and stands for "below every bracket"
+        below = F.array_max(F.array(*[F.when(F.lit(high) < value, F.lit(high)) for high in highs]))
+        kept = values.select(F.when(inside, value).otherwise(below).alias("value"), (~inside).alias("gap"))
+    counted = kept.groupBy("value", "gap").agg(F.count(F.lit(1)).alias("n"))
     whole = Window.partitionBy(F.lit(0))
     order = whole.orderBy(F.col("value").asc_nulls_first(), "gap")
     ranked = (

@@ -16,6 +16,7 @@ from plenum.skew import HOT_FLOOR, hot_keys, salted_join, split_join
 
 MIN_GAIN = 1e-7
 MIN_MOVE = 1e-12
+MIN_TURN = 1e-4
 MAX_SWEEPS = 60
 MAX_LEVELS = 20
 
@@ -35,8 +36,11 @@ def _strengths(edges: DataFrame) -> DataFrame:
 
 
 def _half(turn: int, part: int) -> Column:
-    """One of the two halves into which a turn splits the vertices."""
-    return F.pmod(F.xxhash64("id", F.lit(turn)), F.lit(2)) == part
+    """One of the two halves into which a turn splits the vertices.
+
+    Turn and part enter as text: text constants leave the generated code unchanged from sweep to sweep.
+    """
+    return F.pmod(F.xxhash64("id", F.lit(str(turn))), F.lit(2)).cast("string") == str(part)
 
 
 class _Level:
@@ -64,35 +68,33 @@ class _Level:
         """
         groups = labels.groupBy("label").agg(F.sum("k").alias("total"), F.count(F.lit(1)).alias("size"))
         hot = hot_keys(groups, ["label"], "size", self.floor) if self.n > self.floor else None
-        state = split_join(labels, groups, ["label"], hot, spread=["id"])
+        state = materialize(split_join(labels, groups, ["label"], hot, spread=["id"]), "state")
 
         both = symmetric_edges(self.edges).filter("src <> dst")
-        near = (
-            self.lookup(both, "dst", state.select("id", "label", "total", "size"))
-            .groupBy(F.col("src").alias("id"), "label")
-            .agg(
-                F.sum("weight").cast("double").alias("inner"),
-                F.first("total").alias("total"), F.first("size").alias("size"),
-            )
+        seen = self.lookup(both, "dst", state.select("id", "label", "total", "size")).select(
+            F.col("src").alias("id"), "label", "weight", "total", "size"
         )
-        own = state.select(
-            "id", "k", F.col("label").alias("own"), F.col("total").alias("own_total"), F.col("size").alias("own_size")
+        # a row of weight 0 for the own community, which need not hold a neighbour
+        home = state.select("id", "label", F.lit(0).cast(both.schema["weight"].dataType).alias("weight"), "total", "size")
+        near = seen.unionByName(home).groupBy("id", "label").agg(
+            F.sum("weight").cast("double").alias("inner"),
+            F.first("total").alias("total"), F.first("size").alias("size"),
         )
+        own = state.select("id", "k", F.col("label").alias("own"), F.col("size").alias("own_size"))
         stays = F.col("label") == F.col("own")
         # a vertex alone joins another one alone only towards the smaller label
         upward = (F.col("own_size") == 1) & (F.col("size") == 1) & (F.col("label") > F.col("own"))
         gain = F.col("inner") - self._cost(F.col("total"))
         offer = F.when(~stays & ~upward, F.struct(gain.alias("gain"), (-F.col("label")).alias("minus_label")))
         best = near.join(own, "id").groupBy("id").agg(
-            F.max(offer).alias("best"), F.max(F.when(stays, F.col("inner"))).alias("inner")
+            F.max(offer).alias("best"), F.max(F.when(stays, F.col("inner"))).alias("inner"),
+            F.max(F.when(stays, F.col("total"))).alias("total"), F.first("k").alias("k"), F.first("own").alias("label"),
         )
-        inner = F.coalesce("inner", F.lit(0.0))
-        stay = inner - self._cost(F.col("own_total") - F.col("k"))
+        stay = F.col("inner") - self._cost(F.col("total") - F.col("k"))
         pays = F.col("best.gain") > stay + MIN_MOVE
         return materialize(
-            own.join(best, "id", "left").select(
-                "id", F.col("own").alias("label"), "k", F.col("own_total").alias("total"), inner.alias("inner"),
-                F.when(pays, -F.col("best.minus_label")).alias("new_label"),
+            best.select(
+                "id", "label", "k", "total", "inner", F.when(pays, -F.col("best.minus_label")).alias("new_label")
             ),
             "assessed",
         )
@@ -110,15 +112,17 @@ class _Level:
         q = (inner + 2 * self.loops) / self.twice_m - self.resolution * squares / self.twice_m**2
         return q, halves
 
-    def settle(self, max_sweeps: int) -> tuple[DataFrame, float, float]:
+    def settle(self, max_sweeps: int, min_turn: float) -> tuple[DataFrame, float, float]:
         """Sweep until neither half of the vertices brings a gain; labels with modularity before and after.
 
         Each turn splits the vertices in two halves that move one after the other, so that two neighbours do not
-        swap for ever. A sweep that does not raise modularity is dropped.
+        swap for ever. A sweep that does not raise modularity is dropped. The level also ends when a turn, both
+        halves together, gains less than ``min_turn``: the next level goes on from there at a fraction of the work.
         """
         current = self.assess(self.nodes.select("id", F.col("id").alias("label"), "k"))
         best, halves = self.score(current, 0)
         start, idle, part, turn = best, 0, 0, 0
+        turn_start = best
         for _ in range(max_sweeps):
             accepted = False
             if halves[part]:
@@ -134,6 +138,10 @@ class _Level:
                 idle += 1
                 if idle == 2:
                     break
+            if part == 1:
+                if best - turn_start < min_turn:
+                    break
+                turn_start = best
             part = 1 - part
         return current.select("id", "label"), start, best
 
@@ -153,6 +161,7 @@ class _Level:
 def louvain(
     edges: DataFrame,
     resolution: float = 1.0,
+    min_turn: float = MIN_TURN,
     max_sweeps: int = MAX_SWEEPS,
     max_levels: int = MAX_LEVELS,
     floor: int = HOT_FLOOR,
@@ -162,9 +171,12 @@ def louvain(
     ``edges`` are canonical, weighted and stored. The result does not depend on row order or partitioning.
     """
     level = _Level(edges.select("src", "dst", "weight"), resolution, floor)
+    if not level.twice_m:  # no edge, or no weight: every vertex stays alone
+        alone = level.nodes.select("id", F.col("id").alias("label"))
+        return number_rows(alone, [F.col("id")], "modularidade").select("id", F.col("modularidade").cast("int").alias("modularidade"))
     members = None
     for _ in range(max_levels):
-        labels, before, after = level.settle(max_sweeps)
+        labels, before, after = level.settle(max_sweeps, min_turn)
         if members is None:
             members = labels
         else:

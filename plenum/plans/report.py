@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from plenum.operators.centrality import bridging_centrality
-from plenum.operators.community import louvain
 from plenum.operators.distribution import iqr_fences, outlier_label, quartile_label
 from plenum.plans.network import Network
 from plenum.session import materialize
@@ -19,10 +18,13 @@ def rank_vertices(metrics: DataFrame, column: str = RANKED) -> DataFrame:
     return outlier_label(quartile_label(metrics, column, limits), column, limits)
 
 
-def vertex_report(network: Network, communities: bool = True) -> DataFrame:
-    """One row per vertex: attributes, ``modularidade`` on request, centralities, ``Quartil``, ``Outlier``, ``ID``."""
+def vertex_report(network: Network, communities: DataFrame | None = None) -> DataFrame:
+    """One row per vertex: attributes, community, centralities, ``Quartil``, ``Outlier`` and ``ID``.
+
+    ``communities`` is the result of community detection on the network's edges; without it the column is left out.
+    """
     metrics = materialize(bridging_centrality(network.edges), "centrality")
     rows = network.vertices.drop("has_attrs")
-    if communities:
-        rows = rows.join(louvain(network.edges), "id", "left")
+    if communities is not None:
+        rows = rows.join(communities, "id", "left")
     return rows.join(rank_vertices(metrics), "id").withColumnRenamed("id", "ID")
