@@ -19,6 +19,7 @@ DENSE_FROM = 64
 DENSE_SHARE = 8
 WORD_BITS = 64
 WORDS_PER_BIN = 16
+BIN_FILL = 0.94  # bins are filled by hash: room for uneven filling
 
 
 def ballots_from(rows: DataFrame, voting: str, member: str, vote: str) -> DataFrame:
@@ -75,27 +76,29 @@ def _light_pairs(ballots: DataFrame, groups: DataFrame, hot: DataFrame | None) -
     return a.join(b, keys).filter("src < dst").select("src", "dst", one)
 
 
-def _tile_pairs(cells: DataFrame, keys: list[str], tiles: Column) -> DataFrame:
+def _tile_pairs(cells: DataFrame, keys: list[str], tiles: Column, words: list[str]) -> DataFrame:
     """Pairs inside large groups, one pair of member tiles at a time.
 
-    ``cells`` has one row per group and member with a ``bits`` word. A member of tile i is sent to the tile
-    pairs (i, j) with j >= i as left side and (j, i) with j <= i as right side; every pair of members then meets
-    in exactly one tile pair, and the tile pairs of one group are spread over the cluster.
+    ``cells`` has one row per group and member. A member of tile i is sent to the tile pairs (i, j) with j >= i as
+    left side and (j, i) with j <= i as right side; every pair of members then meets in exactly one tile pair, and
+    the tile pairs of one group are spread over the cluster. A pair weighs the bits its ``words`` share, or 1
+    without words.
     """
     cells = cells.withColumn("_tiles", tiles).withColumn("_tile", tile_of(F.col("member"), F.col("_tiles")))
     a = cells.select(
-        *keys, F.col("_tile").alias("_i"), F.col("member").alias("a"), F.col("bits").alias("a_bits"),
+        *keys, F.col("_tile").alias("_i"), F.col("member").alias("a"), *[F.col(w).alias(f"a_{w}") for w in words],
         F.explode(F.sequence("_tile", F.col("_tiles") - 1)).alias("_j"),
     )
     b = cells.select(
-        *keys, F.col("_tile").alias("_j"), F.col("member").alias("b"), F.col("bits").alias("b_bits"),
+        *keys, F.col("_tile").alias("_j"), F.col("member").alias("b"), *[F.col(w).alias(f"b_{w}") for w in words],
         F.explode(F.sequence(F.lit(0), "_tile")).alias("_i"),
     )
-    shared = F.bit_count(F.col("a_bits").bitwiseAND(F.col("b_bits"))).cast("bigint")
+    shared = [F.bit_count(F.col(f"a_{w}").bitwiseAND(F.col(f"b_{w}"))) for w in words]
+    weight = reduce(Column.__add__, shared) if words else F.lit(1)
     return (
         a.join(b, [*keys, "_i", "_j"])
         .filter((F.col("_i") < F.col("_j")) | (F.col("a") < F.col("b")))
-        .select(*_pair(F.col("a"), F.col("b")), shared.alias("weight"))
+        .select(*_pair(F.col("a"), F.col("b")), weight.cast("bigint").alias("weight"))
         .filter("weight > 0")
     )
 
@@ -105,37 +108,41 @@ def _tiled_pairs(ballots: DataFrame, groups: DataFrame, tally: DataFrame, tile:
     cells = salted_join(
         ballots, groups.select("voting", "vote", "n"), ["voting", "vote"],
         sizes=tally, rows="n", spread=["member"], floor=floor,
-    ).withColumn("bits", F.lit(1).cast("bigint"))
-    return _tile_pairs(cells, ["voting", "vote"], F.ceil(F.col("n") / tile).cast("int"))
+    )
+    return _tile_pairs(cells, ["voting", "vote"], F.ceil(F.col("n") / tile).cast("int"), [])
 
 
 def _dense_pairs(
     ballots: DataFrame, groups: DataFrame, tally: DataFrame, n_groups: int, n_members: int, tile: int, floor: int
 ) -> DataFrame:
-    """Pairs inside groups that hold a large part of all members, 64 groups to a word.
+    """Pairs inside groups that hold a large part of all members, about a thousand groups at a time.
 
-    Groups are numbered inside hashed bins of about a thousand, so no task orders them all.
+    Groups are numbered inside hashed bins, so no task orders them all. A bin and member make one row with a bit per
+    group, in a fixed number of words; the few groups beyond the last word go to a further ``block`` of the bin.
     """
-    bins = max(1, math.ceil(n_groups / (WORD_BITS * WORDS_PER_BIN)))
+    bits = WORD_BITS * WORDS_PER_BIN
+    bins = max(1, math.ceil(n_groups / (bits * BIN_FILL)))
     place = F.row_number().over(Window.partitionBy("bin").orderBy("voting", "vote")) - 1
     numbered = (
         groups.withColumn("bin", F.pmod(F.xxhash64("voting", "vote"), F.lit(bins)).cast("int"))
         .withColumn("place", place)
         .select(
             "voting", "vote", "bin",
-            F.floor(F.col("place") / WORD_BITS).cast("int").alias("word"),
-            F.pmod("place", F.lit(WORD_BITS)).cast("int").alias("bit"),
+            F.floor(F.col("place") / bits).cast("int").alias("block"),
+            F.floor(F.col("place") % bits / WORD_BITS).cast("int").alias("word"),
+            (F.col("place") % WORD_BITS).cast("int").alias("bit"),
         )
     )
     bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.col("bit"))
-    words = (
+    words = [f"w{i}" for i in range(WORDS_PER_BIN)]
+    packed = (
         salted_join(
             ballots, numbered, ["voting", "vote"], sizes=tally, rows="n", spread=["member"], floor=floor
         )
-        .groupBy("bin", "word", "member")
-        .agg(F.bit_or(bit).alias("bits"))
+        .groupBy("bin", "block", "member")
+        .agg(*[F.bit_or(F.when(F.col("word") == i, bit).otherwise(0)).alias(w) for i, w in enumerate(words)])
     )
-    return _tile_pairs(words, ["bin", "word"], F.lit(max(1, math.ceil(n_members / tile))))
+    return _tile_pairs(packed, ["bin", "block"], F.lit(max(1, math.ceil(n_members / tile))), words)
 
 
 def agreement_edges(
@@ -152,8 +159,8 @@ def agreement_edges(
 
     * light groups, at most one tile: a self-join on one shuffle;
     * tiled groups: cut into member tiles, so that one huge roll call is many bounded pair steps;
-    * dense groups, with a large share of all members: 64 groups are packed as bits of one word per member, and a
-      pair is weighed by the bits it shares, so a pair is met once per word instead of once per voting.
+    * dense groups, with a large share of all members: about a thousand groups are packed as bits of one row per
+      member, and a pair is weighed by the bits it shares, so a pair is met once instead of a thousand times.
 
     Pair counts are summed on the map side before the one shuffle by pair. Ballots are read several times: pass a
     stored table.
