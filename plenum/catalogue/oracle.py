@@ -23,7 +23,7 @@ _STEPS = {
         FROM both_ways GROUP BY src""",
     "coefficients": """SELECT b.src AS id, sum(CASE WHEN s.strength > 0 THEN 1.0::DOUBLE / s.strength ELSE 0 END)
         AS coef_ponte FROM both_ways b JOIN strengths s ON s.id = b.dst GROUP BY b.src""",
-    "bridges": """SELECT v.*, round(c.coef_ponte, 9) AS coef_ponte FROM vertices v JOIN coefficients c ON c.id = v.id""",
+    "bridges": """SELECT v.*, round(c.coef_ponte, 12) AS coef_ponte FROM vertices v JOIN coefficients c ON c.id = v.id""",
     "limits": """SELECT *, q1 - 1.5 * (q3 - q1) AS fence_lo, q3 + 1.5 * (q3 - q1) AS fence_hi FROM (
         SELECT quantile_cont(coef_ponte, 0.25) AS q1, quantile_cont(coef_ponte, 0.5) AS q2,
                quantile_cont(coef_ponte, 0.75) AS q3 FROM bridges) t""",
@@ -194,12 +194,12 @@ def all_oracles() -> dict[str, str]:
             round(fence_lo, 9) AS fence_lo, round(fence_hi, 9) AS fence_hi FROM limits""",
         ),
         "quartile_label": _with(
-            _BRIDGES, f'SELECT id, coef_ponte, {_quartile("coef_ponte")} AS "Quartil" FROM bridges CROSS JOIN limits'
+            _BRIDGES, f'SELECT id, round(coef_ponte, 9) AS coef_ponte, {_quartile("coef_ponte")} AS "Quartil" FROM bridges CROSS JOIN limits'
         ),
         "quartile_label_accounts": _quantiles("supplier", "s_acctbal", "s_suppkey")
         + f'SELECT s_suppkey AS id, round(x, 9) AS s_acctbal, {_quartile("x")} AS "Quartil" FROM v CROSS JOIN limits',
         "outlier_label": _with(
-            _BRIDGES, f'SELECT id, coef_ponte, {_outlier("coef_ponte")} AS "Outlier" FROM bridges CROSS JOIN limits'
+            _BRIDGES, f'SELECT id, round(coef_ponte, 9) AS coef_ponte, {_outlier("coef_ponte")} AS "Outlier" FROM bridges CROSS JOIN limits'
         ),
         "outlier_label_orders": _quantiles("orders", "o_totalprice", "o_orderkey")
         + f'SELECT o_orderkey, round(x, 9) AS o_totalprice, {_outlier("x")} AS "Outlier" FROM v CROSS JOIN limits',
@@ -224,7 +224,7 @@ def all_oracles() -> dict[str, str]:
         "vertex_metrics_report": _with(_BRIDGING, report),
         "vertex_ranks": _with(
             _BRIDGES,
-            f"""SELECT id, coef_ponte, {_quartile('coef_ponte')} AS "Quartil", {_outlier('coef_ponte')} AS "Outlier"
+            f"""SELECT id, round(coef_ponte, 9) AS coef_ponte, {_quartile('coef_ponte')} AS "Quartil", {_outlier('coef_ponte')} AS "Outlier"
             FROM bridges CROSS JOIN limits""",
         ),
         "attribute_distribution": _with(
@@ -260,7 +260,7 @@ def all_oracles() -> dict[str, str]:
         ),
         "strip_points": _with(
             _BRIDGES,
-            """SELECT id, coef_ponte AS y, CASE WHEN coef_ponte > 0 THEN round(log10(coef_ponte), 9) END AS log_y,
+            """SELECT id, round(coef_ponte, 9) AS y, CASE WHEN coef_ponte > 0 THEN round(log10(coef_ponte), 9) END AS log_y,
             ideologia AS color, true AS x_in_range FROM bridges""",
         ),
     }

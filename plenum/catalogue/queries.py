@@ -29,9 +29,9 @@ def query(function: Query) -> Query:
     return run
 
 
-def rounded(df: DataFrame) -> DataFrame:
+def rounded(df: DataFrame, digits: int = DIGITS) -> DataFrame:
     doubles = {f.name for f in df.schema if isinstance(f.dataType, T.DoubleType)}
-    return df.select(*[F.round(c, DIGITS).alias(c) if c in doubles else F.col(c) for c in df.columns])
+    return df.select(*[F.round(c, digits).alias(c) if c in doubles else F.col(c) for c in df.columns])
 
 
 def all_queries() -> dict[str, Query]:
@@ -276,9 +276,12 @@ def bridging_centrality(spark, sf_dir):
 
 
 def _bridges(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Vertices with their bridging coefficient, rounded so that both engines compare equal numbers."""
+    """Vertices with their bridging coefficient, rounded so that both engines label equal numbers.
+
+    Finer than results are rounded: one and a half times a number of nine decimals would often be a tie.
+    """
     net = network(spark, sf_dir)
-    coefficient = rounded(metrics.bridging_coefficient(net.edges))
+    coefficient = rounded(metrics.bridging_coefficient(net.edges), DIGITS + 3)
     return materialize(net.vertices.join(coefficient, "id"), "bridges")
 
 
