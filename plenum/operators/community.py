@@ -86,7 +86,7 @@ class _Level:
         upward = (F.col("own_size") == 1) & (F.col("size") == 1) & (F.col("label") > F.col("own"))
         gain = F.col("inner") - self._cost(F.col("total"))
         offer = F.when(~stays & ~upward, F.struct(gain.alias("gain"), (-F.col("label")).alias("minus_label")))
-        best = near.join(own, "id").groupBy("id").agg(
+        best = split_join(near, own, ["id"], self.hubs, spread=["label"]).groupBy("id").agg(
             F.max(offer).alias("best"), F.max(F.when(stays, F.col("inner"))).alias("inner"),
             F.max(F.when(stays, F.col("total"))).alias("total"), F.first("k").alias("k"), F.first("own").alias("label"),
         )

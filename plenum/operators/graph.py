@@ -63,10 +63,13 @@ def graph_size(vertices: DataFrame, edges: DataFrame) -> DataFrame:
 
 def label_ends(edges: DataFrame, membership: DataFrame, label: str, floor: int = HOT_FLOOR) -> DataFrame:
     """Edges with the label of both ends as ``src_label`` and ``dst_label``; NULL when an end has none."""
+    labelled = edges
     for end in ("src", "dst"):
         lookup = membership.select(F.col("id").alias(end), F.col(label).alias(f"{end}_label"))
-        edges = salted_join(edges, lookup, [end], "left", floor=floor)
-    return edges
+        # sizes from the stored edges, not from the join before
+        sizes = edges.groupBy(end).agg(F.count(F.lit(1)).alias("_rows"))
+        labelled = salted_join(labelled, lookup, [end], "left", sizes=sizes, spread=["src", "dst"], floor=floor)
+    return labelled
 
 
 def induced_edges(edges: DataFrame, membership: DataFrame, label: str, floor: int = HOT_FLOOR) -> DataFrame:
