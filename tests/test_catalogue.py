@@ -1,7 +1,9 @@
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
 from compare import difference, duck
+from plenum.catalogue.oracle import all_oracles as oracle_sql
+from plenum.catalogue.queries import all_queries as queries
 
 FOLDER = "/root/testdata/sf0.001"
 
