@@ -40,6 +40,25 @@ SELECT d.doc_id, CAST(coalesce(len(d.w), 0) AS BIGINT) AS n_words, CAST(coalesce
 FROM doc_words d LEFT JOIN hit USING (doc_id) LEFT JOIN met USING (doc_id) LEFT JOIN longest USING (doc_id)
 """
 
+OP3 = rf"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(text, {UPPER_LOWER}), '{SPACES}') AS w FROM documents),
+grams AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i:i + least(len(w), 5) - 1], ' ') AS g
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM words WHERE len(w) > 0)),
+sizes AS (SELECT doc_id, count(*) AS n FROM grams GROUP BY doc_id),
+links AS (
+  SELECT a.doc_id AS a, b.doc_id AS b
+  FROM grams a JOIN grams b ON a.g = b.g AND a.doc_id <> b.doc_id
+  JOIN sizes s ON s.doc_id = a.doc_id JOIN sizes t ON t.doc_id = b.doc_id
+  GROUP BY a.doc_id, b.doc_id, s.n, t.n HAVING 100 * count(*) >= 80 * (s.n + t.n - count(*))),
+reach AS (SELECT doc_id AS a, doc_id AS b FROM words UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a),
+roots AS (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a),
+degrees AS (SELECT a AS doc_id, count(*) AS n_links FROM links GROUP BY a)
+SELECT roots.doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, component_id, CAST(coalesce(n_links, 0) AS BIGINT) AS n_links
+FROM roots LEFT JOIN sizes USING (doc_id) LEFT JOIN degrees USING (doc_id)
+"""
+
 OP4 = rf"""
 WITH rules(host, path, verdict) AS (
   VALUES ('net', '/', 'block'), ('example.net', '/en/', 'allow'), ('example.com', '/de/', 'block'), ('org', '/fr/', 'allow')),
@@ -114,6 +133,7 @@ FROM sized GROUP BY conv_id
 def llm_oracles() -> dict[str, str]:
     return {
         "op1_suffix_array_decontamination": OP1,
+        "op3_ngram_jaccard_join": OP3,
         "op4_url_rules": OP4,
         "op5_line_frequency": OP5,
         "op6_chat_format": OP6,

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plenum.llm import bpe, chat, decontamination, line_quality, url_rules
+from plenum.llm import bpe, chat, decontamination, jaccard, line_quality, url_rules
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -30,6 +30,10 @@ def op1_suffix_array_decontamination(spark: SparkSession, sf_dir: str) -> DataFr
                         "contaminated", "longest_match")
 
 
+def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.jaccard_components(table(spark, sf_dir, "documents"))
+
+
 def op4_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = spark.createDataFrame([(h + p, h, p, v) for h, p, v in RULES], "rule string, host string, path string, verdict string")
     return url_rules.judge_urls(table(spark, sf_dir, "pages"), rules)
@@ -53,5 +57,5 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def llm_queries() -> dict[str, Query]:
-    made = [op1_suffix_array_decontamination, op4_url_rules, op5_line_frequency, op6_chat_format, op10_byte_bpe]
+    made = [op1_suffix_array_decontamination, op3_ngram_jaccard_join, op4_url_rules, op5_line_frequency, op6_chat_format, op10_byte_bpe]
     return {f.__name__: f for f in made}
