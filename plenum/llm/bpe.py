@@ -26,6 +26,7 @@ WHITE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 PIECES = re.compile(f" ?[^{WHITE}]+|[{WHITE}]+(?![^{WHITE}])|[{WHITE}]+")
 
 ENCODED = parse_schema("ids array<int>,n_tokens bigint")
+PACKED = parse_schema("ids binary,n_tokens bigint")
 DIGEST = "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
 
 
@@ -156,8 +157,8 @@ def _shared(docs: DataFrame, path: str):
         return docs.sparkSession.sparkContext.broadcast(file.read())
 
 
-def encode(docs: DataFrame, path: str, pattern: str, text: str = "text", name: str = "tokens") -> DataFrame:
-    """``docs`` plus a struct ``name`` of ``ids`` (array) and ``n_tokens``.
+def encode(docs: DataFrame, path: str, pattern: str, text: str = "text", name: str = "tokens", packed: bool = False) -> DataFrame:
+    """``docs`` plus a struct ``name`` of ``ids`` (an array, or if ``packed`` 32-bit numbers in a binary) and ``n_tokens``.
 
     The text is cut at white space into pieces of whole matches of ``pattern``, which holds for patterns whose
     matches hold no white space but at their start; pieces met before are looked up, others go through the rank
@@ -168,31 +169,42 @@ def encode(docs: DataFrame, path: str, pattern: str, text: str = "text", name: s
 
     def work(texts: pa.Array) -> dict[str, pa.Array]:
         book = vocabulary(path, lines.value, pattern)
-        packed = [book.encode(t or "") for t in texts.to_pylist()]
-        sizes = np.array([len(p) // 4 for p in packed], np.int64)
-        ids = pa.array(np.frombuffer(b"".join(packed), "<u4").astype(np.int32))
+        made = [book.encode(t.as_py() or "") for t in texts]
+        sizes = np.array([len(p) // 4 for p in made], np.int64)
+        if packed:
+            return {"ids": pa.array(made, pa.binary()), "n_tokens": pa.array(sizes)}
+        ids = pa.array(np.frombuffer(b"".join(made), "<u4").astype(np.int32))
         cut = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
         return {"ids": pa.ListArray.from_arrays(pa.array(cut, pa.int32()), ids), "n_tokens": pa.array(sizes)}
 
-    return with_struct(docs, [text], fresh(docs, name), ENCODED, work)
+    return with_struct(docs, [text], fresh(docs, name), PACKED if packed else ENCODED, work)
 
 
-def round_trip(docs: DataFrame, path: str, pattern: str, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Per row of ``docs``: number of ids, hash of the ids, and hash of the bytes that the ids decode to."""
+def round_trip(
+    docs: DataFrame, path: str, pattern: str, key: str = "doc_id", text: str = "text", with_ids: bool = False,
+) -> DataFrame:
+    """Per row of ``docs``: ``doc_id, n_tokens``, the hash of the ids and that of the bytes the ids decode to.
+
+    ``with_ids`` adds the ids as an array. Nulls and repeated rows as in :func:`encode`.
+    """
     lines = _shared(docs, path)
+    names = [part.split()[0] for part in DIGEST.split(", ")] + ["ids"] * with_ids
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         book = vocabulary(path, lines.value, pattern)
         for batch in batches:
-            sizes, ids, decoded = [], [], []
+            sizes, hashes, decoded, made = [], [], [], []
             for value in batch.column(1):
                 packed = book.encode(value.as_py() or "")
                 sizes.append(len(packed) // 4)
-                ids.append(sha256(packed).hexdigest())
+                hashes.append(sha256(packed).hexdigest())
                 decoded.append(sha256(book.decode(packed)).hexdigest())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(sizes, pa.int64()), pa.array(ids, pa.string()), pa.array(decoded, pa.string())],
-                ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+                if with_ids:
+                    made.append(np.frombuffer(packed, "<i4"))
+            columns = [batch.column(0), pa.array(sizes, pa.int64()), pa.array(hashes, pa.string()), pa.array(decoded, pa.string())]
+            if with_ids:
+                columns.append(pa.array(made, pa.list_(pa.int32())))
+            yield pa.RecordBatch.from_arrays(columns, names)
 
     some = docs.select(docs[key].cast("bigint").alias("doc_id"), text)
-    return some.mapInArrow(task, DIGEST)
+    return some.mapInArrow(task, DIGEST + ", ids array<int>" * with_ids)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from plenum.llm.licenses import NOTICES, notice_bigrams
+
 SPACES = r"[^\x20\x09-\x0D]+"
 UPPER_LOWER = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
 
@@ -130,6 +132,37 @@ FROM sized GROUP BY conv_id
 """
 
 
+OP9 = rf"""
+WITH notices AS (
+  SELECT name, g, count(*) OVER (PARTITION BY notice) AS size, notice
+  FROM (SELECT notice, name, unnest(grams) AS g FROM (VALUES {", ".join(
+      "(%d, '%s', [%s])" % (i, name, ", ".join("'" + g.replace("'", "''") + "'" for g in notice_bigrams(text)))
+      for i, (name, text) in enumerate(NOTICES))}) AS v(notice, name, grams))),
+texts AS (SELECT row_number() OVER () AS r, doc_id, text FROM documents),
+units AS (
+  SELECT r, 0 AS u, text AS unit FROM texts WHERE text IS NOT NULL AND contains(text, chr(10))
+  UNION ALL
+  SELECT r, unnest(range(1, len(string_split(text, chr(10))) + 1)) AS u, unnest(string_split(text, chr(10))) AS unit
+  FROM texts WHERE text IS NOT NULL),
+words AS (SELECT r, u, regexp_extract_all(translate(unit, {UPPER_LOWER}), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM units),
+grams AS (
+  SELECT DISTINCT r, u, w[i] || ' ' || w[i + 1] AS g
+  FROM (SELECT r, u, w, unnest(range(1, len(w))) AS i FROM words WHERE len(w) > 1)),
+sizes AS (SELECT r, u, count(*) AS n FROM grams GROUP BY r, u),
+scored AS (
+  SELECT r, u, name, count(*) * 2.0 / (min(sizes.n) + min(notices.size)) AS dice
+  FROM grams JOIN notices USING (g) JOIN sizes USING (r, u) GROUP BY r, u, name, notice
+  HAVING count(*) * 200 >= 80 * (min(sizes.n) + min(notices.size))),
+best AS (
+  SELECT r, max(dice) AS dice, count(DISTINCT u) AS n_matches, string_agg(DISTINCT name, ',' ORDER BY name) AS licenses
+  FROM scored GROUP BY r),
+named AS (SELECT r, min(name) AS license FROM scored JOIN best USING (r) WHERE scored.dice = best.dice GROUP BY r)
+SELECT doc_id, license, round(CAST(dice AS DOUBLE), 6) AS dice, coalesce(licenses, '') AS licenses,
+  CAST(coalesce(n_matches, 0) AS BIGINT) AS n_matches
+FROM texts LEFT JOIN best USING (r) LEFT JOIN named USING (r)
+"""
+
+
 def llm_oracles() -> dict[str, str]:
     return {
         "op1_suffix_array_decontamination": OP1,
@@ -137,4 +170,5 @@ def llm_oracles() -> dict[str, str]:
         "op4_url_rules": OP4,
         "op5_line_frequency": OP5,
         "op6_chat_format": OP6,
+        "op9_license_dice": OP9,
     }

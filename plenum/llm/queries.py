@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plenum.llm import bpe, chat, decontamination, jaccard, line_quality, url_rules
+from plenum.llm import bpe, chat, decontamination, jaccard, licenses, line_quality, packing, quality_model, sharding, url_rules
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -30,6 +30,10 @@ def op1_suffix_array_decontamination(spark: SparkSession, sf_dir: str) -> DataFr
                         "contaminated", "longest_match")
 
 
+def op2_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_model.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.jaccard_components(table(spark, sf_dir, "documents"))
 
@@ -52,10 +56,26 @@ def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digest(chat.format_conversations(log))
 
 
+def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    tokens = bpe.encode(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, packed=True)
+    return packing.pack(tokens.select("doc_id", "tokens.ids"), groups=size // packing.GROUP + 1)
+
+
+def op8_extendible_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.assign_shards(table(spark, sf_dir, "documents"))
+
+
+def op9_license_dice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan_licenses(table(spark, sf_dir, "documents"))
+
+
 def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
 def llm_queries() -> dict[str, Query]:
-    made = [op1_suffix_array_decontamination, op3_ngram_jaccard_join, op4_url_rules, op5_line_frequency, op6_chat_format, op10_byte_bpe]
+    made = [op1_suffix_array_decontamination, op2_importance_resampling, op3_ngram_jaccard_join, op4_url_rules,
+            op5_line_frequency, op6_chat_format, op7_best_fit_packing, op8_extendible_shards, op9_license_dice, op10_byte_bpe]
     return {f.__name__: f for f in made}
