@@ -1,7 +1,60 @@
-"""Placeholder until all stages exist."""
-STAGES = []
+"""The corpus pipeline: raw documents to token ids in five stages, each one operator of ``plenum.llm``.
+
+A stage takes (spark, docs, sf_dir) and works on all rows the stage before has kept. All but the last return the
+columns of ``documents``; what they reject is gone, and lines that the first removes are gone from the texts.
+"""
+
+from __future__ import annotations
+
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession
+
+from plenum.llm import bpe, decontamination, jaccard, line_quality, quality_model
+from plenum.session import materialize
+
+VOCABULARY = "byte_bpe_50k.tiktoken"
+
+
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops documents that fail the base rules or are depleted by boilerplate lines; takes out those lines."""
+    return line_quality.keep_good(docs)
+
+
+def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps the importance sample towards the documents labelled good."""
+    return quality_model.keep_sampled(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps the smallest id of each group of documents linked by a Jaccard similarity of 0.8."""
+    return jaccard.keep_first(docs)
+
+
+def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops documents in which ten consecutive words of a test item occur."""
+    return decontamination.remove_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def byte_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of each document, with the hashes of the ids and of the bytes they decode to."""
+    return bpe.round_trip(docs, public_tokenizers.path(VOCABULARY), public_tokenizers.PATTERN, with_ids=True)
+
+
+STAGES = [
+    ("quality_rules", quality_rules),
+    ("quality_classifier", quality_classifier),
+    ("near_duplicates", near_duplicates),
+    ("benchmark_decontamination", benchmark_decontamination),
+    ("byte_bpe", byte_bpe),
+]
+
+#: The classifier's hashes and noise and the merges of the vocabulary can't be expressed in SQL.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages on ``documents``; each result is stored and read again by the next stage."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for name, stage in STAGES:
+        docs = materialize(stage(spark, docs, sf_dir), f"stage-{name}")
+    return docs
