@@ -68,7 +68,7 @@ class Block:
 
         # lines: from a text's start or a newline to the next; only those with a word count
         newline = np.flatnonzero(data == 10)
-        line_starts = np.sort(np.concatenate([offsets[:-1], newline + 1]))
+        line_starts = np.unique(np.concatenate([offsets[:-1], newline + 1]))
         line_starts = line_starts[line_starts <= len(data)]
         line_doc = np.searchsorted(offsets[1:], line_starts, "right")
         keep = (line_doc < n)
