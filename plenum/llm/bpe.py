@@ -16,8 +16,8 @@ from pyspark.sql import DataFrame
 
 from plenum.llm.text import fresh, parse_schema, with_struct
 
-#: Different pieces of text that a worker remembers; beyond, it starts anew.
-REMEMBERED = 400_000
+#: Different pieces and words that a worker remembers (some 230 bytes each); beyond, it starts anew.
+REMEMBERED = 1_200_000
 SHORT = 64
 
 # Unicode White_Space, which is what \s means in the public pattern.
@@ -36,29 +36,37 @@ class Vocabulary:
     def __init__(self, lines: bytes, pattern: str):
         self.ranks = {base64.b64decode(a): int(b) for a, b in (line.split() for line in lines.splitlines() if line.strip())}
         self.tokens = {rank: token for token, rank in self.ranks.items()}
+        self.first = [self.ranks[bytes([b])] for b in range(256)]
         self.pairs = [self.ranks.get(bytes([a, b]), -1) for a in range(256) for b in range(256)]
+        get = self.ranks.get  # rank of what two ids make together, by both ids
+        self.joined = {
+            a << 32 | b: rank for token, rank in self.ranks.items() for k in range(1, len(token))
+            if (a := get(token[:k])) is not None and (b := get(token[k:])) is not None
+        }
         self.matches = regex.compile(pattern)
         self.cuts = PIECES
         self.memory: dict[str, bytes] = {}
-        self.words: dict[str, bytes] = {}
 
     def merge(self, piece: bytes) -> list[int]:
         """Ids of one match.
 
-        Places are bytes of the piece, linked to the next and the previous part that is left. ``buckets`` holds, per
-        rank, the places where it can be merged. Which buckets there are is kept in bits on two levels: ``blocks``
-        has one bit per rank, 256 ranks a block, and ``top`` one bit per block; the next rank is the first set bit
-        of the first block. Within a bucket the leftmost place comes first. An entry whose parts have been merged
-        since it was made is skipped when it is met.
+        Places are bytes of the piece, linked to the next and the previous part that is left; ``now`` has the rank
+        at which the part at a place merges with the next, -1 for never. ``buckets`` holds, per rank, the places
+        where it was found. Which buckets there are is kept in bits on two levels: ``blocks`` has one bit per rank,
+        256 ranks a block, and ``top`` one bit per block; the next rank is the first set bit of the first block.
+        Within a bucket the leftmost place comes first. An entry whose place has another rank by now is stale and
+        skipped.
         """
-        get, n = self.ranks.get, len(piece)
-        rank = get(piece)
+        rank = self.ranks.get(piece)
         if rank is not None:
             return [rank]
-        ends, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        top, blocks, buckets, pairs, i = 0, {}, {}, self.pairs, 0
-        for a, b in zip(piece, piece[1:]):
-            rank = pairs[a << 8 | b]
+        n, get, pairs, first = len(piece), self.joined.get, self.pairs, self.first
+        ids = [first[b] for b in piece]
+        now = [pairs[a << 8 | b] for a, b in zip(piece, piece[1:])]
+        now.append(-1)
+        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+        top, blocks, buckets = 0, {}, {}
+        for i, rank in enumerate(now):
             if rank >= 0:
                 if rank in buckets:
                     buckets[rank].append(i)  # rising places are a heap already
@@ -67,7 +75,6 @@ class Vocabulary:
                     block = rank >> 8
                     blocks[block] = blocks.get(block, 0) | 1 << (rank & 255)
                     top |= 1 << block
-            i += 1
         while top:
             block = (top & -top).bit_length() - 1
             bits = blocks[block]
@@ -82,54 +89,55 @@ class Vocabulary:
                     top &= top - 1
             else:
                 i = heappop(bucket)
-            middle = ends[i]
-            if not i < middle < n:
+            if now[i] != rank:
                 continue
-            end = ends[middle]
-            if get(piece[i:end]) != rank:
-                continue
-            ends[i], ends[middle] = end, 0
-            near = []
-            if end < n:
-                before[end] = i
-                near.append((i, get(piece[i : ends[end]])))
-            j = before[i]
-            if j >= 0:
-                near.append((j, get(piece[j:end])))
-            for place, rank in near:
-                if rank is not None:
-                    if rank in buckets:
-                        heappush(buckets[rank], place)
+            gone = after[i]
+            right, left = after[gone], before[i]
+            ids[i], now[gone], after[i], ids[gone] = rank, -1, right, -1
+            found = -1
+            if right < n:
+                before[right] = i
+                found = get(rank << 32 | ids[right], -1)
+            now[i] = found
+            if found >= 0:
+                if found in buckets:
+                    heappush(buckets[found], i)
+                else:
+                    buckets[found] = [i]
+                    block = found >> 8
+                    blocks[block] = blocks.get(block, 0) | 1 << (found & 255)
+                    top |= 1 << block
+            if left >= 0:
+                now[left] = found = get(ids[left] << 32 | rank, -1)
+                if found >= 0:
+                    if found in buckets:
+                        heappush(buckets[found], left)
                     else:
-                        buckets[rank] = [place]
-                        block = rank >> 8
-                        blocks[block] = blocks.get(block, 0) | 1 << (rank & 255)
+                        buckets[found] = [left]
+                        block = found >> 8
+                        blocks[block] = blocks.get(block, 0) | 1 << (found & 255)
                         top |= 1 << block
-        ids, i = [], 0
-        while i < n:
-            ids.append(get(piece[i : ends[i]]))
-            i = ends[i]
+        return [i for i in ids if i >= 0]
+
+    def remember(self, text: str, ids: bytes) -> bytes:
+        if len(text) <= SHORT:
+            if len(self.memory) >= REMEMBERED:
+                self.memory.clear()
+            self.memory[text] = ids
         return ids
 
     def word(self, text: str) -> bytes:
-        """Ids of one match as 32-bit little-endian numbers, remembered when short."""
+        """Ids of one match as 32-bit little-endian numbers."""
         ids = self.merge(text.encode())
-        packed = pack(f"<{len(ids)}I", *ids)
-        if len(text) <= SHORT:
-            if len(self.words) >= REMEMBERED:
-                self.words.clear()
-            self.words[text] = packed
-        return packed
+        return self.remember(text, pack(f"<{len(ids)}I", *ids))
 
     def piece(self, text: str) -> bytes:
-        """Ids of a piece of text, remembered when short."""
-        get, word = self.words.get, self.word
-        packed = b"".join([get(m) or word(m) for m in self.matches.findall(text)])
-        if len(text) <= SHORT:
-            if len(self.memory) >= REMEMBERED:
-                self.memory.clear()
-            self.memory[text] = packed
-        return packed
+        """Ids of a piece of text. A match alone is a piece as well, so both are remembered in one place."""
+        matches = self.matches.findall(text)
+        if len(matches) == 1 and matches[0] == text:
+            return self.word(text)
+        get, word = self.memory.get, self.word
+        return self.remember(text, b"".join([get(m) or word(m) for m in matches]))
 
     def encode(self, text: str) -> bytes:
         """Ids of a whole text, packed; what is between matches of the pattern, if anything, has none."""
