@@ -26,10 +26,13 @@ SHINGLE, PERCENT = 5, 80
 COMMON = 100_000
 #: A tile holds at most about so many documents, and so many shingles.
 TILE_DOCS, TILE_SHINGLES = 2_000, 2_000_000
+#: Documents that share a prefix shingle are compared by their bitmaps where they are at most so many; more are taken
+#: for one group of candidates, which the exact step then divides.
+COMPARED = 1_000
 #: Lists of documents to look at up to this many rows are sent to every task, longer ones are joined.
-SMALL_LIST = 500_000
+SMALL_LIST = 50_000
 
-SETS = parse_schema("n bigint,k1 bigint,k2 bigint,prefix array<bigint>")
+SETS = parse_schema("n bigint,k1 bigint,k2 bigint,prefix array<bigint>,bits binary")
 ARRAYS = parse_schema("n bigint,k1 bigint,k2 bigint,shingles array<bigint>")
 
 
@@ -81,7 +84,7 @@ def common_shingles(docs: DataFrame, text: str, size: int, most: int) -> np.ndar
 
 
 def sets_of(docs: DataFrame, key: str, text: str, common: np.ndarray, size: int, percent: int) -> DataFrame:
-    """``doc_id, n, k1, k2, prefix`` per row of ``docs``, a stored table."""
+    """``doc_id, n, k1, k2, prefix, bits`` per row of ``docs``, a stored table."""
     shared = docs.sparkSession.sparkContext.broadcast(common)
 
     def work(texts: pa.Array) -> dict[str, pa.Array]:
@@ -99,22 +102,96 @@ def sets_of(docs: DataFrame, key: str, text: str, common: np.ndarray, size: int,
             made["n"].append(pa.array(n, pa.int64()))
             made["k1"].append(pa.array(k1))
             made["k2"].append(pa.array(k2))
+            made["bits"].append(pa.array(list(map(signature, (values[a:b] for a, b in zip(cut[:-1], cut[1:])))), pa.binary()))
             made["prefix"].append(flat(pa.array(prefix.view(np.int64)), np.concatenate([[0], np.cumsum(take)])))
-        return {k: pa.concat_arrays(v) if v else pa.array([], pa.list_(pa.int64()) if k == "prefix" else pa.int64())
-                for k, v in made.items()}
+        kinds = {"prefix": pa.list_(pa.int64()), "bits": pa.binary()}
+        return {k: pa.concat_arrays(v) if v else pa.array([], kinds.get(k, pa.int64())) for k, v in made.items()}
 
     some = docs.select(F.col(key).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
     return materialize(with_struct(some, ["text"], "s", SETS, work).select("doc_id", "s.*"), "shingle-sets")
 
 
-def candidate_groups(sets: DataFrame) -> DataFrame:
-    """``id, component``: classes of equal sets, by smallest document, in groups outside of which none can link."""
+def signature(values: np.ndarray) -> bytes:
+    """Hashed bitmap of a set, with about a bit per shingle: bit b tells whether an odd number of them falls on b."""
+    bits = min(8192, max(256, 1 << int(len(values)).bit_length()))
+    odd = np.bincount((values & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8)).tobytes()
+
+
+def may_link(n: int, x: bytes, m: int, y: bytes, percent: int) -> bool:
+    """Whether sets of ``n`` and ``m`` shingles with these bitmaps can link.
+
+    Folding halves onto each other makes the longer bitmap as long as the other. Bits that differ come from shingles
+    in only one of the sets, so their number bounds the overlap from above.
+    """
+    if min(n, m) * 100 < max(n, m) * percent:
+        return False
+    a, b = int.from_bytes(x), int.from_bytes(y)
+    long, short = 8 * len(x), 8 * len(y)
+    if long < short:
+        a, b, long, short = b, a, short, long
+    while long > short:
+        long //= 2
+        a = a >> long ^ a & (1 << long) - 1
+    bound = (n + m - (a ^ b).bit_count()) // 2
+    return bound * 100 >= (n + m - bound) * percent
+
+
+def bitmap_links(rows: list[tuple[int, int, bytes]], percent: int) -> Iterator[tuple[int, int]]:
+    """Links, as few as possible, that connect the documents (id, size, bitmap) of one shingle which may link."""
+    group = list(range(len(rows)))
+    for i, (rep, n, x) in enumerate(rows):
+        for k in range(i):
+            if group[k] != group[i] and may_link(n, x, rows[k][1], rows[k][2], percent):
+                yield rep, rows[k][0]
+                old, new = max(group[i], group[k]), min(group[i], group[k])
+                group = [new if g == old else g for g in group]
+
+
+def candidate_groups(sets: DataFrame, percent: int, compared: int) -> DataFrame:
+    """``id, component``: classes of equal sets, by smallest document, in groups outside of which none can link.
+
+    Classes meet where they share a prefix shingle. The first shingle that two linked sets share also bounds their
+    overlap by what follows it in either set; where just two classes meet, sizes and places alone rule most out
+    before any bitmap is looked at.
+    """
     held = sets.filter("n > 0 AND doc_id IS NOT NULL")
-    classes = held.groupBy("k1", "k2", "n").agg(F.min("doc_id").alias("rep"), F.first("prefix").alias("prefix"))
-    tokens = classes.select("rep", F.explode("prefix").alias("token"))
-    shared = tokens.groupBy("token").agg(F.min("rep").alias("least"), F.max("rep").alias("most")).filter("least <> most")
-    stars = tokens.join(shared, "token").filter("rep <> least").select("rep", "least")
-    return components(stars, "rep", "least")
+    classes = held.groupBy("k1", "k2", "n").agg(
+        F.min("doc_id").alias("rep"), F.first("prefix").alias("prefix"), F.first("bits").alias("bits"))
+    # size and place in one number: what is compared first is the size
+    tokens = classes.select("rep", "n", F.posexplode("prefix").alias("place", "token")).select(
+        "rep", "token", (F.shiftleft("n", 31) + F.col("place")).alias("at"))
+    met = tokens.groupBy("token").agg(
+        F.count(F.lit(1)).alias("met"), F.min("at").alias("a"), F.max("at").alias("b"), F.min("rep").alias("least"))
+    n, m = F.shiftright("a", 31), F.shiftright("b", 31)
+    place = F.lit((1 << 31) - 1)
+    rest = F.least(n - F.col("a").bitwiseAND(place), m - F.col("b").bitwiseAND(place))
+    two_fit = (n * 100 >= m * percent) & (rest * (100 + percent) >= (n + m) * percent)
+    shared = met.filter((F.col("met") > 2) | ((F.col("met") == 2) & two_fit)).select("token", "met", "least")
+    rows = materialize(tokens.join(shared, "token").select("token", "rep", "met", "least"), "shared-shingles")
+    stars = rows.filter((F.col("met") > compared) & (F.col("rep") != F.col("least"))).select(F.col("rep").alias("a"), F.col("least").alias("b"))
+    bitmaps = held.groupBy("doc_id").agg(F.first("n").alias("n"), F.first("bits").alias("bits")).withColumnRenamed("doc_id", "rep")
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, group, found = None, [], []
+        for batch in batches:
+            for token, rep, size, bits in zip(*[c.to_pylist() for c in batch.columns]):
+                if token != now:
+                    found += bitmap_links(group, percent)
+                    now, group = token, []
+                group.append((rep, size, bits))
+            yield links(found)
+            found = []
+        found += bitmap_links(group, percent)
+        yield links(found)
+
+    def links(found: list[tuple[int, int]]) -> pa.RecordBatch:
+        a, b = zip(*set(found)) if found else ((), ())
+        return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+
+    few = rows.filter(F.col("met") <= compared).join(bitmaps, "rep").select("token", "rep", "n", "bits")
+    near = few.repartition("token").sortWithinPartitions("token", "rep").mapInArrow(task, "a bigint, b bigint")
+    return components(near.unionByName(stars), "a", "b")
 
 
 def tiles_of(members: DataFrame, percent: int, tile_docs: int, tile_shingles: int) -> DataFrame:
@@ -244,7 +321,7 @@ def verified_links(docs: DataFrame, key: str, text: str, tiles: DataFrame, size:
 
 def jaccard_components(
     docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = SHINGLE, percent: int = PERCENT,
-    tile_docs: int = TILE_DOCS, tile_shingles: int = TILE_SHINGLES, common: int = COMMON,
+    tile_docs: int = TILE_DOCS, tile_shingles: int = TILE_SHINGLES, common: int = COMMON, compared: int = COMPARED,
 ) -> DataFrame:
     """Per row of ``docs``: ``doc_id, n_shingles, component_id, n_links``.
 
@@ -257,7 +334,7 @@ def jaccard_components(
     narrow = sets.select("doc_id", "n", "k1", "k2")
     classes = narrow.filter("n > 0 AND doc_id IS NOT NULL").groupBy("k1", "k2", "n").agg(
         F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("weight"))
-    groups = candidate_groups(sets)
+    groups = candidate_groups(sets, percent, compared)
     members = materialize(classes.join(groups.withColumnRenamed("id", "rep"), "rep"), "candidates")
     tiles = materialize(tiles_of(members, percent, tile_docs, tile_shingles), "tiles")
     found = materialize(verified_links(docs, key, text, tiles, size, percent), "links")

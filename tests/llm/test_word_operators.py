@@ -141,7 +141,8 @@ def test_line_rules_equal_brute_force(spark, docs):
     site = "Menu About Contact # | us\n"
     rows = [(100 + i, site * (1 + i % 3) + " ".join(f"w{i}x{k}" for k in range(30 + i)) + "\n menu  ABOUT contact # | US", f"h{i % 2}")
             for i in range(40)]
-    rows += [(200 + i, site * 12 + f"one{i} own line", "h0") for i in range(3)] + [(300, rows[0][1], None)] * 2
+    banner = " ".join(f"b{k}" for k in range(70))
+    rows += [(200 + i, f"{banner}\none{i} own line", "h0") for i in range(15)] + [(300, rows[0][1], None)] * 2
     more = spark.createDataFrame([(i, t, None, h, len(t), False, 1) for i, t, h in rows], DOCS).unionByName(docs)
     plain = [(r.doc_id, r.text, r.source) for r in more.collect()]
     key = lambda x: str(x)
