@@ -328,7 +328,8 @@ def jaccard_components(
     Words are runs of non-spaces, A-Z in lower case; a text of fewer than ``size`` words is one shingle. Equal sets
     form a class and are compared once; ``n_links`` counts all linked rows, those of the same class included. A null
     or empty text has no shingles, links with nothing and is its own component. Rows that repeat a ``doc_id`` are one
-    document; a null ``doc_id`` takes no part and has a null component. The join is exact up to equal 64-bit hashes.
+    document; a null ``doc_id`` takes no part and has a null component and
+    number of links. The join is exact up to equal 64-bit hashes.
     """
     sets = sets_of(docs, key, text, common_shingles(docs, text, size, common), size, percent)
     narrow = sets.select("doc_id", "n", "k1", "k2")
@@ -342,11 +343,12 @@ def jaccard_components(
     counts = found.groupBy("rep").agg(F.sum("links").alias("links"))
     named = classes.join(linked.withColumnRenamed("id", "rep"), "rep", "left").join(counts, "rep", "left").select(
         "k1", "k2", "n", F.coalesce("component", "rep").alias("component"), "weight", "links")
-    alone = F.when(F.col("doc_id").isNotNull(), F.lit(0).cast("bigint"))
+    none = F.lit(0).cast("bigint")
+    links = F.when(F.col("n") > 0, F.coalesce("links", none) + F.col("weight") - 1).otherwise(none)
     return narrow.join(named, ["k1", "k2", "n"], "left").select(
         "doc_id", F.col("n").alias("n_shingles"),
         F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")).alias("component_id"),
-        F.when(F.col("n") > 0, F.coalesce("links", F.lit(0).cast("bigint")) + F.col("weight") - 1).otherwise(alone).alias("n_links"))
+        F.when(F.col("doc_id").isNotNull(), links).alias("n_links"))
 
 
 def keep_first(docs: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
