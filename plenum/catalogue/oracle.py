@@ -88,7 +88,7 @@ def all_oracles() -> dict[str, str]:
     name = "regexp_extract(url, '[^/]*$')"
     widths = " UNION ALL ".join(
         f"SELECT '{c}' AS \"column\", CAST(greatest(1, max(length(CAST({c} AS VARCHAR)))) AS INTEGER) AS width FROM customer"
-        for c in ("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
+        for c in ("c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment")
     )
     audit = " UNION ALL ".join(
         f"SELECT '{t}' AS \"table\", count(*) AS rows_loaded, count(*) AS rows_source, true AS ok FROM {t}"
@@ -113,8 +113,37 @@ def all_oracles() -> dict[str, str]:
             FROM p LEFT JOIN m ON m.filename = p.filename
             WHERE p.filename LIKE '%.html' AND p.filename NOT LIKE '%99%'""",
         "varchar_widths": widths,
-        "raw_table": """SELECT CAST(s_suppkey AS VARCHAR) AS s_suppkey, s_name,
-            CAST(s_nationkey AS VARCHAR) AS s_nationkey FROM supplier""",
+        "raw_table": """SELECT CAST(s_suppkey AS VARCHAR) AS s_suppkey, s_name, CAST(s_nationkey AS VARCHAR) AS s_nationkey,
+            CAST(s_acctbal AS VARCHAR) AS s_acctbal FROM supplier""",
+        "raw_table_of_files": """SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, CAST(o_custkey AS VARCHAR) AS o_custkey,
+            o_orderstatus, count(*) OVER () AS rows_loaded, count(*) OVER () AS rows_source, true AS ok FROM orders""",
+        "manifest_scan": f"""SELECT url, 'TB_' || CAST(page_id AS VARCHAR) AS nome_banco_dados, ' pages' AS descricao,
+            {name} AS filename FROM pages""",
+        "graph_xml_attributes": _with(_VERTICES, """SELECT 'node' AS class, CAST(id AS VARCHAR) AS id, attribute, 'string' AS type, value
+            FROM (SELECT id, 'nome' AS attribute, nome AS value FROM vertices UNION ALL SELECT id, 'partido', partido FROM vertices
+                  UNION ALL SELECT id, 'ideologia', ideologia FROM vertices) v WHERE value IS NOT NULL
+            UNION ALL SELECT 'edge', src || '-' || dst, 'Origem', 'long', CAST(src AS VARCHAR) FROM edges
+            UNION ALL SELECT 'edge', src || '-' || dst, 'Destino', 'long', CAST(dst AS VARCHAR) FROM edges"""),
+        "community_check": _with(_NETWORK, """SELECT count(*) AS n_vertices, 0::BIGINT AS n_unlabelled, true AS consecutive,
+            true AS by_size, true AS beats_single, true AS beats_ideology FROM ids"""),
+        "quartile_counts_bridging": _with(
+            _BRIDGING,
+            f"""SELECT q."Quartil", count(l.id) AS n FROM (VALUES ('1'), ('2'), ('3'), ('4')) q("Quartil")
+            LEFT JOIN (SELECT id, {_quartile('centralidade_ponte')} AS label FROM bridging CROSS JOIN bridging_limits) l
+            ON l.label = q."Quartil" GROUP BY q."Quartil\"""",
+        ),
+        "outlier_counts_bridging": _with(
+            _BRIDGING,
+            """SELECT count(*) FILTER (WHERE centralidade_ponte > fence_hi) AS superiores,
+            count(*) FILTER (WHERE centralidade_ponte < fence_lo) AS inferiores FROM bridging CROSS JOIN bridging_limits""",
+        ),
+        "boxplot_stats_bridging": _with(
+            _BRIDGING,
+            """SELECT count(centralidade_ponte) AS n, round(q1, 9) AS q1, round(q2, 9) AS median, round(q3, 9) AS q3,
+            round(least(min(centralidade_ponte) FILTER (WHERE centralidade_ponte >= fence_lo), q1), 9) AS whisker_lo,
+            round(greatest(max(centralidade_ponte) FILTER (WHERE centralidade_ponte <= fence_hi), q3), 9) AS whisker_hi
+            FROM bridging CROSS JOIN bridging_limits GROUP BY q1, q2, q3""",
+        ),
         "load_audit": audit,
         "edge_scan": _with(_NETWORK, edges),
         "vertex_scan": _with(_VERTICES, "SELECT id, nome, partido, ideologia FROM vertices"),

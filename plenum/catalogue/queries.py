@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from plenum.catalogue.roles import ballots, communities, community_vertices, members, network, parties, table
 from plenum.operators import centrality, distribution, graph, metrics, profile, votes
-from plenum.plans.report import rank_vertices, vertex_report
+from plenum.plans.report import RANKED, rank_vertices, vertex_report
 from plenum.session import materialize, scratch_path
 from plenum.sources import manifest, sinks, tables
 
@@ -58,15 +58,14 @@ def table_names(spark, sf_dir):
 
 @query
 def varchar_widths(spark, sf_dir):
-    customer = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
-    return tables.varchar_widths(customer)
+    return tables.varchar_widths(table(spark, sf_dir, "customer"))
 
 
 @query
 def raw_table(spark, sf_dir):
     """Supplier exported as CSV, then loaded through the manifest rule as an all-text table."""
     folder = scratch_path(spark, "raw")
-    supplier = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey")
+    supplier = table(spark, sf_dir, "supplier")
     supplier.write.option("header", True).csv(f"{folder}/supplier.xlsx")
     files = spark.createDataFrame([("supplier.xlsx",)], "filename string")
     listed = files.select("filename", F.lit("tb_depu").alias("nome_banco_dados"))
@@ -75,6 +74,30 @@ def raw_table(spark, sf_dir):
     return loaded[0][1]
 
 
+@query
+def raw_table_of_files(spark, sf_dir):
+    """Orders exported as two files, by year as in the manifest, that become one table."""
+    folder = scratch_path(spark, "raw-years")
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
+    for name, chosen in (("votes-odd.xlsx", F.col("o_orderkey") % 2 == 1), ("votes-even.xlsx", F.col("o_orderkey") % 2 == 0)):
+        orders.filter(chosen).write.option("header", True).csv(f"{folder}/{name}")
+    files = spark.createDataFrame([("votes-odd.xlsx",), ("votes-even.xlsx",)], "filename string")
+    resolved = manifest.resolve_table_names(files, files.select("filename", F.lit("tb_voto").alias("nome_banco_dados")))
+    loaded = tables.load_tables(spark, resolved, folder, "csv", DATABASE, f"{folder}/stored", header="true")
+    audit = tables.load_audit(loaded).select("rows_loaded", "rows_source", "ok")
+    return loaded[0][1].crossJoin(F.broadcast(audit))  # the audit of one table is one row
+
+
+@query
+def manifest_scan(spark, sf_dir):
+    """The pages as a manifest file, written and read again."""
+    path = scratch_path(spark, "manifest")
+    listed = table(spark, sf_dir, "pages").select(
+        "url", F.concat(F.lit("TB_"), F.col("page_id").cast("string")).alias("nome_banco_dados"), F.lit(" pages").alias("descricao"))
+    listed.write.csv(path, header=True, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
+    return manifest.manifest_files(manifest.read_manifest(spark, path))
+
+
 @query
 def load_audit(spark, sf_dir):
     tables.create_database(spark, DATABASE)
@@ -126,6 +149,15 @@ def _exported(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     return sinks.read_graph_xml(spark, path)
 
 
+@query
+def graph_xml_attributes(spark, sf_dir):
+    """Attribute values of the exported vertices and edges under their names and types."""
+    net = network(spark, sf_dir)
+    path = scratch_path(spark, "graph-attributes")
+    sinks.export_graph_xml(net.vertices, net.edges, path)
+    return sinks.read_attributes(spark, path)
+
+
 @query
 def graph_xml_nodes(spark, sf_dir):
     return _exported(spark, sf_dir)[0]
@@ -228,6 +260,28 @@ def louvain_modularity(spark, sf_dir):
     return metrics.modularity(net.edges, communities(spark, sf_dir), "modularidade")
 
 
+@query
+def community_check(spark, sf_dir):
+    """What must hold for communities, whatever they are: all vertices labelled, labels by size, a score above others'."""
+    net, found = network(spark, sf_dir), communities(spark, sf_dir)
+    sizes = found.groupBy("modularidade").agg(F.count(F.lit(1)).alias("n"))
+    labels = sizes.agg(F.count(F.lit(1)).alias("k"), F.min("modularidade").alias("lo"), F.max("modularidade").alias("hi")).first()
+    after = sizes.select((F.col("modularidade") + 1).alias("modularidade"), F.col("n").alias("before"))
+    ordered = sizes.join(after, "modularidade").filter("n > before").isEmpty()
+
+    def score(members: DataFrame, label: str) -> float:
+        return metrics.modularity(net.edges, members, label).first()["modularity"]
+
+    q = score(found, "modularidade")
+    alone = score(found.withColumn("modularidade", F.col("id")), "modularidade")
+    unlabelled = net.vertices.join(found, "id", "left").agg(
+        F.count(F.lit(1)).alias("n_vertices"), F.count_if(F.col("modularidade").isNull()).alias("n_unlabelled"))
+    return unlabelled.select(
+        "n_vertices", "n_unlabelled", F.lit(labels.lo == 0 and labels.hi == labels.k - 1).alias("consecutive"),
+        F.lit(ordered).alias("by_size"), F.lit(q > alone).alias("beats_single"),
+        F.lit(q > score(net.vertices, "ideologia")).alias("beats_ideology"))
+
+
 @query
 def community_modularity(spark, sf_dir):
     net = network(spark, sf_dir)
@@ -347,6 +401,27 @@ def boxplot_stats(spark, sf_dir):
     return distribution.boxplot_stats(_bridges(spark, sf_dir), "coef_ponte")
 
 
+def _bridging(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Vertices with their bridging centrality, the metric that the reports rank."""
+    net = network(spark, sf_dir)
+    return materialize(net.vertices.join(centrality.bridging_centrality(net.edges), "id"), "bridging")
+
+
+@query
+def quartile_counts_bridging(spark, sf_dir):
+    return distribution.quartile_counts(distribution.quartile_label(_bridging(spark, sf_dir), RANKED))
+
+
+@query
+def outlier_counts_bridging(spark, sf_dir):
+    return distribution.outlier_counts(distribution.outlier_label(_bridging(spark, sf_dir), RANKED))
+
+
+@query
+def boxplot_stats_bridging(spark, sf_dir):
+    return distribution.boxplot_stats(_bridging(spark, sf_dir), RANKED)
+
+
 @query
 def vertex_metrics_report(spark, sf_dir):
     """The vertex report without communities, which no SQL can repeat."""

@@ -11,14 +11,11 @@ from pyspark.sql import functions as F
 
 from plenum.functions.numbering import number_rows
 from plenum.operators.graph import symmetric_edges
-from plenum.session import materialize
+from plenum.session import discard, materialize
 from plenum.skew import HOT_FLOOR, hot_keys, salted_join, split_join
 
+# A move pays when it raises the modularity by more than this.
 MIN_GAIN = 1e-7
-MIN_MOVE = 1e-12
-MIN_TURN = 1e-4
-MAX_SWEEPS = 60
-MAX_LEVELS = 20
 
 
 def _strengths(edges: DataFrame) -> DataFrame:
@@ -35,12 +32,12 @@ def _strengths(edges: DataFrame) -> DataFrame:
     )
 
 
-def _half(turn: int, part: int) -> Column:
-    """One of the two halves into which a turn splits the vertices.
+def _share(turn: int, parts: int) -> Column:
+    """The part of the vertices that each belongs to, when a turn cuts them in ``parts``.
 
-    Turn and part enter as text: text constants leave the generated code unchanged from sweep to sweep.
+    The numbers enter as text: text constants leave the generated code unchanged from sweep to sweep.
     """
-    return F.pmod(F.xxhash64("id", F.lit(str(turn))), F.lit(2)).cast("string") == str(part)
+    return F.pmod(F.xxhash64("id", F.lit(str(turn))), F.lit(str(parts)).cast("bigint"))
 
 
 class _Level:
@@ -63,7 +60,7 @@ class _Level:
         """What every vertex gains most by: one row each, written.
 
         ``labels`` are ``id, label, k``. The result adds ``inner``, the weight towards the own community,
-        ``total``, the strength of that community, and ``new_label`` where a move pays. The same pass over the
+        ``total``, the strength of that community, and ``new_label`` where a move, alone, pays. The same pass over the
         edges thus gives the modularity of ``labels`` and the moves of the next sweep.
         """
         groups = labels.groupBy("label").agg(F.sum("k").alias("total"), F.count(F.lit(1)).alias("size"))
@@ -85,65 +82,56 @@ class _Level:
         # a vertex alone joins another one alone only towards the smaller label
         upward = (F.col("own_size") == 1) & (F.col("size") == 1) & (F.col("label") > F.col("own"))
         gain = F.col("inner") - self._cost(F.col("total"))
+        # of equal gains the smallest label, so that the result doesn't depend on the order of rows
         offer = F.when(~stays & ~upward, F.struct(gain.alias("gain"), (-F.col("label")).alias("minus_label")))
         best = split_join(near, own, ["id"], self.hubs, spread=["label"]).groupBy("id").agg(
             F.max(offer).alias("best"), F.max(F.when(stays, F.col("inner"))).alias("inner"),
             F.max(F.when(stays, F.col("total"))).alias("total"), F.first("k").alias("k"), F.first("own").alias("label"),
         )
         stay = F.col("inner") - self._cost(F.col("total") - F.col("k"))
-        pays = F.col("best.gain") > stay + MIN_MOVE
-        return materialize(
-            best.select(
-                "id", "label", "k", "total", "inner", F.when(pays, -F.col("best.minus_label")).alias("new_label")
-            ),
-            "assessed",
-        )
+        pays = (F.col("best.gain") - stay) * 2 / self.twice_m > MIN_GAIN
+        assessed = materialize(best.select("id", "label", "k", "total", "inner", F.when(pays, -F.col("best.minus_label")).alias("new_label")), "assessed")
+        discard(state)
+        return assessed
 
     def _cost(self, total: Column) -> Column:
         return F.lit(self.resolution / self.twice_m) * F.col("k") * total
 
-    def score(self, assessed: DataFrame, turn: int) -> tuple[float, list[int]]:
-        """Modularity of the labels, and how many vertices each half of this turn would move."""
-        moves = F.col("new_label").isNotNull()
-        inner, squares, *halves = assessed.agg(
-            F.sum("inner"), F.sum(F.col("k") * F.col("total")),  # the latter sums the squares of group totals
-            *[F.count_if(moves & _half(turn, part)) for part in (0, 1)],
-        ).first()
-        q = (inner + 2 * self.loops) / self.twice_m - self.resolution * squares / self.twice_m**2
-        return q, halves
-
-    def settle(self, max_sweeps: int, min_turn: float) -> tuple[DataFrame, float, float]:
-        """Sweep until neither half of the vertices brings a gain; labels with modularity before and after.
-
-        Each turn splits the vertices in two halves that move one after the other, so that two neighbours do not
-        swap for ever. A sweep that does not raise modularity is dropped. The level also ends when a turn, both
-        halves together, gains less than ``min_turn``: the next level goes on from there at a fraction of the work.
+    def score(self, assessed: DataFrame) -> float:
+        """Modularity of the labels."""
+        # the latter sum is that of the squares of group totals
+        inner, squares = assessed.agg(F.sum("inner"), F.sum(F.col("k") * F.col("total"))).first()
+        return (inner + 2 * self.loops) / self.twice_m - self.resolution * squares / self.twice_m**2
+
+    def settle(self) -> tuple[DataFrame, float, float]:
+        """Move vertices until no move pays; labels with modularity before and after.
+
+        A turn cuts the vertices in parts, and those of one part for which a move pays move together: not all, so
+        that two neighbours don't swap for ever. Moves that don't raise the modularity together are taken back and
+        the next turn cuts twice as fine; after a gain it cuts coarser again. At the finest a part has one vertex,
+        whose move pays, so a turn without gain is always followed by one with a gain, until no move pays. Each gain
+        is more than half of ``MIN_GAIN`` and the modularity at most 1: that ends the level, not a limit on turns.
         """
         current = self.assess(self.nodes.select("id", F.col("id").alias("label"), "k"))
-        best, halves = self.score(current, 0)
-        start, idle, part, turn = best, 0, 0, 0
-        turn_start = best
-        for _ in range(max_sweeps):
-            accepted = False
-            if halves[part]:
-                goes = F.col("new_label").isNotNull() & _half(turn, part)
-                label = F.when(goes, F.col("new_label")).otherwise(F.col("label"))
-                moved = self.assess(current.select("id", label.alias("label"), "k"))
-                next_turn = turn + part  # a new split after both halves
-                q, moved_halves = self.score(moved, next_turn)
-                accepted = q - best > MIN_GAIN
-            if accepted:
-                current, best, halves, turn, idle = moved, q, moved_halves, next_turn, 0
+        start = best = self.score(current)
+        parts, turn = 2, 0
+        while True:
+            share = _share(turn, parts)
+            pays = F.col("new_label").isNotNull()
+            picked = current.filter(pays).agg(F.min_by(share, "id")).first()[0]
+            if picked is None:
+                return current.select("id", "label"), start, best
+            goes = pays & (share == F.lit(str(picked)).cast("bigint"))
+            label = F.when(goes, F.col("new_label")).otherwise(F.col("label"))
+            moved = self.assess(current.select("id", label.alias("label"), "k"))
+            q = self.score(moved)
+            turn += 1
+            if q - best > MIN_GAIN / 2:
+                discard(current)
+                current, best, parts = moved, q, max(2, parts // 2)
             else:
-                idle += 1
-                if idle == 2:
-                    break
-            if part == 1:
-                if best - turn_start < min_turn:
-                    break
-                turn_start = best
-            part = 1 - part
-        return current.select("id", "label"), start, best
+                discard(moved)
+                parts *= 2
 
     def contract(self, labels: DataFrame) -> DataFrame:
         """Network of communities: weights between them summed, inner weights as self-loops."""
@@ -161,9 +149,6 @@ class _Level:
 def louvain(
     edges: DataFrame,
     resolution: float = 1.0,
-    min_turn: float = MIN_TURN,
-    max_sweeps: int = MAX_SWEEPS,
-    max_levels: int = MAX_LEVELS,
     floor: int = HOT_FLOOR,
 ) -> DataFrame:
     """Community ``modularidade`` of each vertex: 0 is the largest, ties in size by smallest vertex.
@@ -175,15 +160,15 @@ def louvain(
         alone = level.nodes.select("id", F.col("id").alias("label"))
         return number_rows(alone, [F.col("id")], "modularidade").select("id", F.col("modularidade").cast("int").alias("modularidade"))
     members = None
-    for _ in range(max_levels):
-        labels, before, after = level.settle(max_sweeps, min_turn)
+    while True:
+        labels, before, after = level.settle()
         if members is None:
             members = labels
         else:
             inner = labels.select(F.col("id").alias("label"), F.col("label").alias("upper"))
             members = salted_join(members, inner, ["label"], floor=floor).select("id", F.col("upper").alias("label"))
             members = materialize(members, "members")
-        if after - before <= MIN_GAIN:
+        if after == before:  # no vertex has moved
             break
         level = _Level(level.contract(labels), resolution, floor)
     sizes = members.groupBy("label").agg(F.count(F.lit(1)).alias("_rows"), F.min("id").alias("first"))

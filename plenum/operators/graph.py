@@ -13,12 +13,14 @@ def canonical_edges(edges: DataFrame, order_col: str | None = None) -> DataFrame
 
     Of repeated or reversed rows the last by ``order_col`` counts, or without an order the largest weight.
     """
-    last = F.max(F.struct(order_col, "weight"))["weight"] if order_col else F.max("weight")
-    return (
-        edges.filter(F.col("src").isNotNull() & F.col("dst").isNotNull())
-        .groupBy(F.least("src", "dst").alias("src"), F.greatest("src", "dst").alias("dst"))
-        .agg(last.alias("weight"))
-    )
+    ends = [F.least("src", "dst").alias("src"), F.greatest("src", "dst").alias("dst")]
+    held = edges.filter(F.col("src").isNotNull() & F.col("dst").isNotNull())
+    if not order_col:
+        return held.groupBy(*ends).agg(F.max("weight").alias("weight"))
+    # the largest weight per place in the order, then the last place: both are summed up by hash, a struct would be sorted
+    placed = held.groupBy(*ends, F.col(order_col).alias("_order")).agg(F.max("weight").alias("weight"))
+    last = F.coalesce(F.max_by("weight", "_order"), F.max(F.when(F.col("_order").isNull(), F.col("weight"))))
+    return placed.groupBy("src", "dst").agg(last.alias("weight"))
 
 
 def symmetric_edges(edges: DataFrame) -> DataFrame:

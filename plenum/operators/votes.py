@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from plenum.functions.quantiles import exact_quantiles
 from plenum.session import materialize
-from plenum.skew import HOT_FLOOR, hot_keys, salted_join, tile_of
+from plenum.skew import HOT_FLOOR, hot_keys, salted_join, small_list, tile_of
 
 # Members per tile: one task step pairs at most TILE x TILE members of a group.
 TILE = 1024
@@ -20,14 +20,27 @@ DENSE_SHARE = 8
 WORD_BITS = 64
 WORDS_PER_BIN = 16
 BIN_FILL = 0.94  # bins are filled by hash: room for uneven filling
+# Pairs that one task makes in a self-join.
+PAIRS_PER_TASK = 20_000_000
+# Up to so many different votes are compared by their place in the sorted list of votes.
+KNOWN_VOTES = 1_000
 
 
 def ballots_from(rows: DataFrame, voting: str, member: str, vote: str) -> DataFrame:
-    """One ballot per voting and member; of repeated rows the largest vote counts."""
-    return (
-        rows.groupBy(F.col(voting).alias("voting"), F.col(member).alias("member"))
-        .agg(F.max(vote).alias("vote"))
-    )
+    """One ballot per voting and member; of repeated rows the largest vote counts. Rows without either are no ballots.
+
+    Votes are few, so they are compared as numbers, by which rows are summed up by hash before and after they move;
+    the largest text would need two sorts of all rows.
+    """
+    named = rows.select(F.col(voting).alias("voting"), F.col(member).alias("member"), F.col(vote).alias("vote")).filter(
+        F.col("voting").isNotNull() & F.col("member").isNotNull())
+    votes = [r.vote for r in named.select("vote").distinct().filter(F.col("vote").isNotNull()).limit(KNOWN_VOTES + 1).collect()]
+    if not votes or len(votes) > KNOWN_VOTES or not isinstance(votes[0], str):
+        return named.groupBy("voting", "member").agg(F.max("vote").alias("vote"))
+    known = F.array(*[F.lit(v) for v in sorted(votes, key=str.encode)])
+    coded = named.select("voting", "member", F.when(F.col("vote").isNotNull(), F.array_position(known, F.col("vote"))).alias("code"))
+    return coded.groupBy("voting", "member").agg(F.max("code").alias("code")).select(
+        "voting", "member", F.when(F.col("code") > 0, F.element_at(known, F.col("code").cast("int"))).alias("vote"))
 
 
 def _tally(ballots: DataFrame, min_minority: int | None) -> DataFrame:
@@ -58,7 +71,14 @@ def relevant_votings(ballots: DataFrame, min_minority: int = 1, floor: int = HOT
 
 
 def _pair(a: Column, b: Column) -> list[Column]:
-    return [F.least(a, b).alias("src"), F.greatest(a, b).alias("dst")]
+    return [F.when(a < b, a).otherwise(b).alias("src"), F.when(a < b, b).otherwise(a).alias("dst")]
+
+
+def _dealt(rows: DataFrame, keys: list[str], pairs: int) -> DataFrame:
+    """Rows dealt by ``keys`` to as many tasks as their ``pairs`` need, where the usual number would be too few."""
+    tasks = -(-pairs // PAIRS_PER_TASK)
+    usual = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return rows.repartition(tasks, *keys) if tasks > usual else rows
 
 
 def _light_pairs(ballots: DataFrame, groups: DataFrame, hot: DataFrame | None) -> DataFrame:
@@ -69,7 +89,8 @@ def _light_pairs(ballots: DataFrame, groups: DataFrame, hot: DataFrame | None) -
     """
     keys = ["voting", "vote"]
     if hot is not None:
-        ballots = ballots.join(F.broadcast(hot), keys, "left_anti")
+        ballots = ballots.join(small_list(hot), keys, "left_anti")
+    ballots = _dealt(ballots, keys, int(groups.agg(F.sum(F.col("n") * (F.col("n") - 1) / 2)).first()[0] or 0))
     a = ballots.join(groups.select(*keys), keys, "left_semi").withColumnRenamed("member", "src")
     b = ballots.withColumnRenamed("member", "dst")
     one = F.lit(1).cast("bigint").alias("weight")
@@ -148,6 +169,7 @@ def _dense_pairs(
 def agreement_edges(
     ballots: DataFrame,
     min_minority: int | None = None,
+    min_weight: int | None = None,
     tile: int = TILE,
     dense_from: int = DENSE_FROM,
     floor: int = HOT_FLOOR,
@@ -162,10 +184,21 @@ def agreement_edges(
     * dense groups, with a large share of all members: about a thousand groups are packed as bits of one row per
       member, and a pair is weighed by the bits it shares, so a pair is met once instead of a thousand times.
 
-    Pair counts are summed on the map side before the one shuffle by pair. Ballots are read several times: pass a
-    stored table.
+    All ways see the same ballots: one per voting and member, as :func:`ballots_from` reduces them, stored here
+    because each way reads them. Pair counts are summed on the map side before the one shuffle by pair. With
+    ``min_weight`` only pairs of at least that weight are given, and members with fewer ballots, who can't reach it,
+    are left out before any pair is made.
     """
     floor = max(floor, tile)
+    ballots = materialize(ballots_from(ballots, "voting", "member", "vote"), "ballots")
+    if min_weight is not None:
+        tally = _tally(ballots, min_minority)
+        counted = salted_join(ballots, tally.filter("relevant").select("voting").distinct(), ["voting"], "left_semi",
+                              spread=["member"], floor=floor)
+        able = counted.groupBy("member").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= min_weight).select("member")
+        # the rule of relevance has been applied to all ballots, so it isn't applied to those that are left
+        left = salted_join(counted, able, ["member"], "left_semi", spread=["voting"], floor=floor)
+        ballots, min_minority = materialize(left.select("voting", "member", "vote"), "able-ballots"), None
     keys, n = ["voting", "vote"], F.col("n")
     tally = _tally(ballots, min_minority)
     groups = tally.filter((n > 1) & F.col("vote").isNotNull() & F.col("relevant"))
@@ -184,7 +217,8 @@ def agreement_edges(
         lanes.append(_tiled_pairs(ballots, groups.filter(~dense & (n > tile)), tally, tile, floor))
     lanes.append(_light_pairs(ballots, groups.filter(~dense & (n <= tile)), hot))
     pairs = reduce(DataFrame.unionByName, lanes)
-    return pairs.groupBy("src", "dst").agg(F.sum("weight").alias("weight"))
+    edges = pairs.groupBy("src", "dst").agg(F.sum("weight").alias("weight"))
+    return edges if min_weight is None else edges.filter(F.col("weight") >= min_weight)
 
 
 def durable_edges(edges: DataFrame, min_weight: int | None = None, quantile: float = 0.75) -> DataFrame:

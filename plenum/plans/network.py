@@ -31,8 +31,7 @@ def build_network(
 
     Ballots and all agreements are written too, because each is read more than once.
     """
-    ballots = materialize(ballots, "ballots")
-    agreements = agreement_edges(ballots, min_minority)
+    agreements = agreement_edges(ballots, min_minority, min_weight)
     if min_weight is None:
         agreements = materialize(agreements, "agreements")
     edges = materialize(durable_edges(agreements, min_weight, quantile), "edges")

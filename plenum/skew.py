@@ -9,11 +9,14 @@ from pyspark.sql import functions as F
 
 from plenum.session import materialize
 
-# A key is hot when it holds more than 1/HOT_SHARE of all rows, so there are fewer than HOT_SHARE hot keys
-# whatever the data: the list of hot keys, the only thing broadcast here, has a fixed bound.
+# A key is hot when it holds more than HOT_ROWS rows, or more than 1/HOT_SHARE of all rows if that is less; each of its
+# pieces has at most so many. Hot keys are total / HOT_ROWS at most, or HOT_SHARE.
+HOT_ROWS = 5_000_000
 HOT_SHARE = 1024
 # Below this many rows a key is never worth splitting.
 HOT_FLOOR = 100_000
+# A list of hot keys up to this many rows is broadcast, a longer one is joined by shuffle.
+BROADCAST_KEYS = 100_000
 
 
 def hot_keys(sizes: DataFrame, keys: list[str], rows: str, floor: int = HOT_FLOOR) -> DataFrame | None:
@@ -22,11 +25,16 @@ def hot_keys(sizes: DataFrame, keys: list[str], rows: str, floor: int = HOT_FLOO
     Two numbers, the sum and the largest of the group sizes, decide whether there is anything to do.
     """
     total, largest = sizes.agg(F.sum(rows), F.max(rows)).first()
-    if not total or largest <= floor or largest * HOT_SHARE <= total:
+    target = max(floor, min(HOT_ROWS, int(total) // HOT_SHARE)) if total else 0
+    if not total or largest <= target:
         return None
-    pieces = F.ceil(F.col(rows) * HOT_SHARE / total).cast("int")
-    hot = sizes.filter((F.col(rows) > floor) & (F.col(rows) * HOT_SHARE > total))
-    return materialize(hot.select(*keys, pieces.alias("_pieces")), "hot-keys")
+    pieces = F.ceil(F.col(rows) / max(target, 1)).cast("int")
+    return materialize(sizes.filter(F.col(rows) > target).select(*keys, pieces.alias("_pieces")), "hot-keys")
+
+
+def small_list(hot: DataFrame) -> DataFrame:
+    """The list of hot keys, marked for broadcast if it is short."""
+    return F.broadcast(hot) if hot.count() <= BROADCAST_KEYS else hot
 
 
 def salted_join(
@@ -63,15 +71,16 @@ def split_join(
     if hot is None:
         return left.join(right, keys, how)
     pieces = F.coalesce(F.col("_pieces"), F.lit(1))
+    listed = small_list(hot)
     no_key = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
     split = F.when(no_key, HOT_SHARE).otherwise(pieces)  # rows without a key match nothing and go anywhere
     salted = (
-        left.join(F.broadcast(hot), keys, "left")
+        left.join(listed, keys, "left")
         .withColumn("_salt", F.pmod(F.xxhash64(*(spread or left.columns)), split).cast("int"))
         .drop("_pieces")
     )
     repeated = (
-        right.join(F.broadcast(hot), keys, "left")
+        right.join(listed, keys, "left")
         .withColumn("_salt", F.explode(F.sequence(F.lit(0), pieces - 1)))
         .drop("_pieces")
     )

@@ -33,6 +33,11 @@ def _attvalues(names: list[str]):
     return F.struct(present.alias("attvalue")).alias("attvalues")
 
 
+# Fixed type names of the exchange format.
+XML_TYPES = {"bigint": "long", "int": "integer", "smallint": "integer", "tinyint": "integer", "double": "double",
+             "float": "float", "boolean": "boolean"}
+
+
 def export_graph_xml(vertices: DataFrame, edges: DataFrame, path: str) -> None:
     """Write the network as GEXF-shaped XML with Spark's XML writer.
 
@@ -51,7 +56,7 @@ def export_graph_xml(vertices: DataFrame, edges: DataFrame, path: str) -> None:
         F.col("weight").alias("_weight"), _attvalues(edge_names),
     )
     declared = [
-        (owner, str(i), name, frame.schema[name].dataType.simpleString())
+        (owner, str(i), name, XML_TYPES.get(frame.schema[name].dataType.simpleString(), "string"))
         for owner, frame, columns in (("node", vertices, names), ("edge", ends, edge_names))
         for i, name in enumerate(columns)
     ]
@@ -60,6 +65,22 @@ def export_graph_xml(vertices: DataFrame, edges: DataFrame, path: str) -> None:
         rows.write.mode("overwrite").format("xml").option("rootTag", root).option("rowTag", tag).save(f"{path}/{root}")
 
 
+def read_attributes(spark: SparkSession, path: str) -> DataFrame:
+    """``class, id, attribute, type, value``: every attribute value of an exported network under its declared name."""
+    declared = spark.read.format("xml").option("rowTag", "attribute").schema(
+        "_class string, _id string, _title string, _type string").load(f"{path}/attributes")
+    frames = []
+    for kind, root, tag in (("node", "nodes", "node"), ("edge", "edges", "edge")):
+        rows = spark.read.format("xml").option("rowTag", tag).schema(
+            "_id string, attvalues struct<attvalue: array<struct<_for: string, _value: string>>>").load(f"{path}/{root}")
+        frames.append(rows.select(F.lit(kind).alias("class"), F.col("_id").alias("id"), F.inline("attvalues.attvalue")))
+    names = declared.select(F.col("_class").alias("class"), F.col("_id").alias("_for"), F.col("_title").alias("attribute"),
+                            F.col("_type").alias("type"))
+    # one row per attribute of the schema, so Spark sends it to all tasks
+    return frames[0].unionByName(frames[1]).join(names, ["class", "_for"]).select(
+        "class", "id", "attribute", "type", F.col("_value").alias("value"))
+
+
 def read_graph_xml(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     """Vertices ``id, label`` and edges ``src, dst, weight`` of an exported network."""
     def rows(root: str, tag: str, schema: str) -> DataFrame:

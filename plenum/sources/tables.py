@@ -6,6 +6,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def create_database(spark: SparkSession, name: str) -> None:
@@ -33,21 +34,21 @@ def varchar_widths(df: DataFrame) -> DataFrame:
 
 
 def load_table(
-    source: DataFrame, table: str, location: str | None = None, measured: bool = False
+    source: DataFrame, table: str, location: str | None = None, measured: bool = True
 ) -> DataFrame:
     """Store ``source`` as text in ``table``, replacing it, and return the stored table.
 
-    ``measured`` gives each column the type VARCHAR of its measured width, for one more pass over the source.
+    ``measured`` declares each column as VARCHAR of its measured width, for one more pass over the source.
     """
     spark = source.sparkSession
-    text = as_text(source)
+    kinds = dict.fromkeys(source.columns, "STRING")
     if measured:
-        widths = {row["column"]: row["width"] for row in varchar_widths(source).collect()}  # one row per column
-        text = text.select(*[_quoted(c).cast(f"varchar({widths[c]})").alias(c) for c in text.columns])
-    writer = text.write.mode("overwrite").format("parquet")
-    if location:
-        writer = writer.option("path", location)
-    writer.saveAsTable(table)
+        kinds = {row["column"]: f"VARCHAR({row['width']})" for row in varchar_widths(source).collect()}  # one row per column
+    quoted = ["`" + c.replace("`", "``") + "` " + kind for c, kind in kinds.items()]
+    place = "" if location is None else " LOCATION '" + location.replace("'", "\\'") + "'"
+    spark.sql(f"DROP TABLE IF EXISTS {table}")
+    spark.sql(f"CREATE TABLE {table} ({', '.join(quoted)}) USING parquet{place}")
+    as_text(source).write.insertInto(table, overwrite=True)
     return spark.table(table)
 
 
@@ -60,14 +61,20 @@ def load_tables(
     location: str | None = None,
     **options: str,
 ) -> list[tuple[str, DataFrame, DataFrame]]:
-    """Load every resolved file below ``folder`` into a table; ``name, stored, source`` of each.
+    """Load the resolved files below ``folder``, all files of one table together; ``name, stored, source`` of each table.
 
-    The list of files is read by the driver, one row per table to create; the rows of the files are not.
+    Files of one table must have the same columns. The list of files is read by the driver, one row per table to
+    create; the rows of the files are not.
     """
     create_database(spark, database)
     loaded = []
-    for row in resolved.select("filename", "table_name").toLocalIterator():
-        source = spark.read.format(fmt).options(**options).load(f"{folder.rstrip('/')}/{row['filename']}")
+    tables = resolved.groupBy("table_name").agg(F.array_sort(F.collect_set("filename")).alias("files"))
+    for row in tables.orderBy("table_name").toLocalIterator():
+        parts = [spark.read.format(fmt).options(**options).load(f"{folder.rstrip('/')}/{name}") for name in row["files"]]
+        for name, part in zip(row["files"], parts):
+            if part.columns != parts[0].columns:
+                raise ValueError(f"{name} has other columns than {row['files'][0]}, both for {row['table_name']}")
+        source = reduce(DataFrame.unionByName, [as_text(p) for p in parts]) if len(parts) > 1 else parts[0]
         place = f"{location.rstrip('/')}/{row['table_name']}" if location else None
         stored = load_table(source, f"`{database}`.`{row['table_name']}`", place)
         loaded.append((row["table_name"], stored, source))
@@ -89,9 +96,22 @@ def load_audit(loaded: list[tuple[str, DataFrame, DataFrame]]) -> DataFrame:
 
 
 def read_edges(spark: SparkSession, table: str) -> DataFrame:
-    """Edge table with columns SOURCE, TARGET, WEIGHT as ``src, dst, weight``."""
-    columns = {"SOURCE": "src", "TARGET": "dst", "WEIGHT": "weight"}
-    return spark.table(table).select(*[F.col(c).cast("bigint").alias(name) for c, name in columns.items()])
+    """Edge table with columns SOURCE, TARGET, WEIGHT as ``src, dst, weight``.
+
+    Whole and decimal weights stay as they are; other numbers and text become decimals, and a weight that isn't
+    exactly one raises an error.
+    """
+    rows = spark.table(table)
+    weight, kind = F.col("WEIGHT"), rows.select("WEIGHT").schema[0].dataType
+    if isinstance(kind, T.IntegralType):
+        weight = weight.cast("bigint")
+    elif not isinstance(kind, T.DecimalType):
+        exact = weight.try_cast("decimal(38,9)")
+        same = exact.cast("double") == weight.cast("double")
+        weight = F.when(weight.isNull() | same, exact).otherwise(
+            F.raise_error(F.lit("weight is no decimal")).cast("decimal(38,9)"))
+    keys = [F.col(c).cast("bigint").alias(name) for c, name in (("SOURCE", "src"), ("TARGET", "dst"))]
+    return rows.select(*keys, weight.alias("weight"))
 
 
 def read_vertices(spark: SparkSession, table: str) -> DataFrame:

@@ -92,3 +92,31 @@ def test_salted_join_equals_plain_join(spark, how):
 
 def test_shared_folder_is_the_configured_one(spark):
     assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir", shared_folder(spark)).rstrip("/")
+
+
+def test_files_of_one_table_are_loaded_together(spark, tmp_path):
+    spark.createDataFrame([(1, "a"), (2, "bcd")], "k int, v string").write.option("header", True).csv(f"{tmp_path}/one.xlsx")
+    spark.createDataFrame([(30, "e")], "k int, v string").write.option("header", True).csv(f"{tmp_path}/two.xlsx")
+    spark.createDataFrame([(1,)], "other int").write.option("header", True).csv(f"{tmp_path}/three.xlsx")
+    resolved = spark.createDataFrame([("one.xlsx", "tb_voto"), ("two.xlsx", "tb_voto")], "filename string, table_name string")
+    loaded = tables.load_tables(spark, resolved, str(tmp_path), "csv", "plenum_years", f"{tmp_path}/stored", header="true")
+    assert [name for name, _, _ in loaded] == ["tb_voto"]
+    assert rows(loaded[0][1]) == [("1", "a"), ("2", "bcd"), ("30", "e")]
+    assert rows(tables.load_audit(loaded)) == [("tb_voto", 3, 3, True)]
+    kinds = {r.col_name: r.data_type for r in spark.sql("DESCRIBE plenum_years.tb_voto").collect()}
+    assert kinds == {"k": "varchar(2)", "v": "varchar(3)"}
+    more = resolved.union(spark.createDataFrame([("three.xlsx", "tb_voto")], resolved.schema))
+    with pytest.raises(ValueError, match="other columns"):
+        tables.load_tables(spark, more, str(tmp_path), "csv", "plenum_years", f"{tmp_path}/again", header="true")
+    spark.sql("DROP DATABASE plenum_years CASCADE")
+
+
+@pytest.mark.parametrize("kind, value, expected", [
+    ("double", 2.5, "2.500000000"), ("string", "2.5", "2.500000000"), ("bigint", 3, "3"), ("decimal(10,2)", "2.50", "2.50"),
+])
+def test_weights_keep_their_fraction(spark, tmp_path, kind, value, expected):
+    spark.sql("CREATE DATABASE IF NOT EXISTS plenum_weights")
+    frame = spark.createDataFrame([(1, 2, value)], f"SOURCE int, TARGET int, WEIGHT {kind if kind[:3] != 'dec' else 'string'}")
+    frame.selectExpr("SOURCE", "TARGET", f"CAST(WEIGHT AS {kind}) AS WEIGHT").write.mode("overwrite").option("path", f"{tmp_path}/w").saveAsTable("plenum_weights.w")
+    assert str(tables.read_edges(spark, "plenum_weights.w").first().weight) == expected
+    spark.sql("DROP DATABASE plenum_weights CASCADE")

@@ -99,3 +99,34 @@ def test_unknown_party_has_no_ideology(spark):
     many = members.union(spark.createDataFrame([(10 + i, "m", "P" if i % 2 else None) for i in range(40)], members.schema))
     labelled = rows(votes.label_vertices(many, parties, floor=5))
     assert len(labelled) == 43 and sum(r[3] == "left" for r in labelled) == 21
+
+
+LANES = [{}, {"tile": 4, "floor": 4}, {"tile": 16, "dense_from": 8}]
+
+
+@pytest.mark.parametrize("options", LANES)
+def test_ballots_without_member_or_voting_count_in_no_lane(spark, options):
+    data = [(1, m, "Y") for m in range(12)] + [(1, None, "Y"), (1, 99, "N"), (None, 1, "Y"), (None, 2, "Y")]
+    found = rows(votes.agreement_edges(spark.createDataFrame(data, BALLOTS), 1, **options))
+    assert found == sorted(((a, b, 1) for a, b in combinations(range(12), 2)), key=repr)
+
+
+@pytest.mark.parametrize("options", LANES)
+def test_repeated_ballots_count_once_in_every_lane(spark, options):
+    data = [(1, m, "Y") for m in range(6)] + [(1, 0, "Y"), (1, 1, "A"), (1, 99, "N")]
+    found = rows(votes.agreement_edges(spark.createDataFrame(data, BALLOTS), 1, **options))
+    assert found == sorted(((a, b, 1) for a, b in combinations(range(6), 2)), key=repr)
+
+
+@pytest.mark.parametrize("options", LANES)
+def test_least_weight_is_the_same_before_and_after_pairing(uneven, options):
+    data, ballots = uneven
+    expected = [e for e in brute_force(data, 1) if e[2] >= 2]
+    assert expected and rows(votes.agreement_edges(ballots, 1, 2, **options)) == sorted(expected, key=repr)
+
+
+def test_ballots_are_summed_by_hash(spark):
+    data = spark.createDataFrame([(1, 1, "Y"), (1, 1, "Z"), (1, 2, None), (2, 1, "Ä"), (2, 1, "z")], BALLOTS)
+    reduced = votes.ballots_from(data, "voting", "member", "vote")
+    assert rows(reduced) == [(1, 1, "Z"), (1, 2, None), (2, 1, "Ä")]
+    assert "SortAggregate" not in reduced._jdf.queryExecution().toString()
