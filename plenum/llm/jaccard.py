@@ -24,6 +24,8 @@ from plenum.session import materialize
 SHINGLE, PERCENT = 5, 80
 #: Shingles put last in the order; only the cost depends on them. 8 bytes each are sent to every task.
 COMMON = 100_000
+#: Shingles of neighbouring documents that are counted at once to find those.
+SEEN = 600_000
 #: A tile holds at most about so many documents, and so many shingles.
 TILE_DOCS, TILE_SHINGLES = 2_000, 2_000_000
 #: Documents that share a prefix shingle are compared by their bitmaps where they are at most so many; more are taken
@@ -67,16 +69,24 @@ def prefix_length(n: np.ndarray, percent: int) -> np.ndarray:
 
 
 def common_shingles(docs: DataFrame, text: str, size: int, most: int) -> np.ndarray:
-    """Shingles that several documents of one block share, the most frequent ``most`` of them."""
+    """Shingles that several neighbouring documents share, the most frequent ``most`` of them."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, count = [], 0
         for batch in batches:
             for values, _ in shingle_sets(batch.column(0), size):
-                found, met = np.unique(values, return_counts=True)
-                often = met >= 3
-                if often.any():
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(found[often].view(np.int64)), pa.array(met[often], pa.int64())], ["token", "met"])
+                held.append(values)
+                count += len(values)
+                if count >= SEEN:
+                    yield often(held)
+                    held, count = [], 0
+        if held:
+            yield often(held)
+
+    def often(held: list[np.ndarray]) -> pa.RecordBatch:
+        found, met = np.unique(np.concatenate(held), return_counts=True)
+        some = met >= 3
+        return pa.RecordBatch.from_arrays([pa.array(found[some].view(np.int64)), pa.array(met[some], pa.int64())], ["token", "met"])
 
     met = docs.select(text).mapInArrow(task, "token bigint, met bigint").groupBy("token").agg(F.sum("met").alias("met"))
     top = met.filter("met >= 8").orderBy(F.desc("met"), "token").limit(most)

@@ -15,7 +15,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-BLOCK = 1 << 22
+BLOCK = 1 << 20
+#: Rows whose results a task holds at once.
+ROWS = 500
 
 SPACE = np.zeros(256, bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
@@ -146,7 +148,7 @@ def with_struct(
     places = [df.columns.index(c) for c in columns]
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (whole.slice(at, ROWS) for whole in batches for at in range(0, max(whole.num_rows, 1), ROWS)):
             made = work(*[batch.column(i) for i in places])
             parts = [pa.array(made[f.name], f.type) if not isinstance(made[f.name], pa.Array) else made[f.name].cast(f.type)
                      for f in arrow]
