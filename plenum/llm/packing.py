@@ -8,16 +8,24 @@ document, so every document can be put together again.
 
 from __future__ import annotations
 
+import base64
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from plenum.llm import bpe
+from plenum.llm.text import parse_schema, with_struct
+
 ROW = 2048
 #: Characters of text, or ids, that one pack group aims at.
 GROUP = 4_000_000
+#: Longest text, in characters, that is given to the tokenizer library.
+LIBRARY_TEXT = 100_000
 PACKED = ("pack_group bigint, row bigint, ids binary, cu_seqlens array<int>, position_starts array<bigint>, "
           "doc_ids array<bigint>, n_tokens bigint")
 
@@ -70,6 +78,35 @@ def best_fit(lengths: list[int], size: int) -> list[list[int]]:
     return rows
 
 
+@lru_cache(maxsize=1)
+def _library(lines: bytes, pattern: str) -> tiktoken.Encoding:
+    ranks = {base64.b64decode(a): int(b) for a, b in (line.split() for line in lines.splitlines() if line.strip())}
+    return tiktoken.Encoding("given", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+
+
+def token_ids(docs: DataFrame, path: str, pattern: str, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """``doc_id, ids`` (binary) of a rank vocabulary, made by the tokenizer library inside the tasks; null as the empty text.
+
+    The library overflows its stack on very long runs of white space, so texts of more than ``LIBRARY_TEXT`` characters
+    are encoded by :mod:`plenum.llm.bpe`, which gives the same ids.
+    """
+    with open(path, "rb") as file:
+        lines = docs.sparkSession.sparkContext.broadcast(file.read())  # as large as a vocabulary
+
+    def work(texts: pa.Array) -> dict[str, pa.Array]:
+        encode = _library(lines.value, pattern).encode_ordinary
+
+        def ids(value: str) -> bytes:
+            if len(value) > LIBRARY_TEXT:
+                return bpe.vocabulary(path, lines.value, pattern).encode(value)
+            return np.array(encode(value), "<u4").tobytes()
+
+        return {"ids": pa.array([ids(t.as_py() or "") for t in texts], pa.binary())}
+
+    some = docs.select(F.col(key).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
+    return with_struct(some, ["text"], "tokens", parse_schema("ids binary"), work).select("doc_id", "tokens.ids")
+
+
 def pack(
     tokens: DataFrame, key: str = "doc_id", ids: str = "ids", size: int = ROW, group: int = GROUP, groups: int | None = None,
 ) -> DataFrame:

@@ -59,8 +59,8 @@ def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    tokens = bpe.encode(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, packed=True)
-    return packing.pack(tokens.select("doc_id", "tokens.ids"), groups=size // packing.GROUP + 1)
+    tokens = packing.token_ids(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    return packing.pack(tokens, groups=size // packing.GROUP + 1)
 
 
 def op8_extendible_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
