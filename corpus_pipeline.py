@@ -10,6 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from plenum.llm import bpe, decontamination, jaccard, line_quality, quality_model
+from plenum.llm.text import small_batches
 from plenum.session import materialize
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
@@ -55,6 +56,7 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages on ``documents``; each result is stored and read again by the next stage."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for name, stage in STAGES:
-        docs = materialize(stage(spark, docs, sf_dir), f"stage-{name}")
+    with small_batches(spark):
+        for name, stage in STAGES:
+            docs = materialize(stage(spark, docs, sf_dir), f"stage-{name}")
     return docs

@@ -28,6 +28,8 @@ COMMON = 100_000
 SEEN = 600_000
 #: A tile holds at most about so many documents, and so many shingles.
 TILE_DOCS, TILE_SHINGLES = 2_000, 2_000_000
+#: Bits of signatures, and shingles searched in one set, that a tile works on at once.
+TILE_BITS, TILE_SEARCH = 1 << 20, 1 << 18
 #: Documents that share a prefix shingle are compared by their bitmaps where they are at most so many; more are taken
 #: for one group of candidates, which the exact step then divides.
 COMPARED = 1_000
@@ -233,9 +235,36 @@ def tiles_of(members: DataFrame, percent: int, tile_docs: int, tile_shingles: in
 
 
 def signatures(values: np.ndarray, doc: np.ndarray, n_docs: int, bits: int) -> np.ndarray:
-    """Hashed bitmaps: bit b tells whether an odd number of the set's shingles falls on b."""
-    odd = np.bincount(doc * bits + (values & np.uint64(bits - 1)).astype(np.int64), minlength=n_docs * bits) & 1
-    return np.packbits(odd.astype(np.uint8).reshape(n_docs, bits), axis=1).view(np.uint64)
+    """Hashed bitmaps: bit b tells whether an odd number of the set's shingles falls on b. ``doc`` is sorted."""
+    made, step = [], max(1, TILE_BITS // bits)
+    for low in range(0, n_docs, step):
+        high = min(n_docs, low + step)
+        a, b = np.searchsorted(doc, (low, high))
+        place = (doc[a:b] - low) * bits + (values[a:b] & np.uint64(bits - 1)).astype(np.int64)
+        odd = (np.bincount(place, minlength=(high - low) * bits) & 1).astype(np.uint8)
+        made.append(np.packbits(odd.reshape(high - low, bits), axis=1).view(np.uint64))
+    return np.concatenate(made)
+
+
+def overlaps(one: np.ndarray, others: list[np.ndarray]) -> np.ndarray:
+    """Shingles that ``one`` shares with each of ``others``, all sorted, searched some sets at a time."""
+    found, held, count = [], [], 0
+
+    def search() -> None:
+        picked = np.concatenate(held)
+        at = np.minimum(np.searchsorted(one, picked), len(one) - 1)
+        begin = np.cumsum([0, *map(len, held[:-1])])
+        found.append(np.add.reduceat((one[at] == picked).astype(np.int64), begin))
+
+    for values in others:
+        held.append(values)
+        count += len(values)
+        if count >= TILE_SEARCH:
+            search()
+            held, count = [], 0
+    if held:
+        search()
+    return np.concatenate(found)
 
 
 def tile_links(reps: np.ndarray, weights: np.ndarray, sets: list[np.ndarray], upper: np.ndarray, part: np.ndarray,
@@ -268,11 +297,7 @@ def tile_links(reps: np.ndarray, weights: np.ndarray, sets: list[np.ndarray], up
         j, total = j[may], total[may]
         if not len(j):
             continue
-        # one search of all their shingles in the sorted set of i
-        picked = np.concatenate([sets[k] for k in j.tolist()])
-        at = np.minimum(np.searchsorted(sets[i], picked), sizes[i] - 1)
-        begin = np.cumsum(sizes[j]) - sizes[j]
-        overlap = np.add.reduceat((sets[i][at] == picked).astype(np.int64), begin)
+        overlap = overlaps(sets[i], [sets[k] for k in j.tolist()])
         j = j[overlap * 100 >= (total - overlap) * percent]
         if len(j):
             links[i] += weights[j].sum()
@@ -316,7 +341,7 @@ def verified_links(docs: DataFrame, key: str, text: str, tiles: DataFrame, size:
                     if len(rows) > 1:
                         yield finish()
                     now, rows = tile, {}
-                rows.setdefault(rep, (rep, weight, upper, part, own, values[cut[i] : cut[i + 1]]))
+                rows.setdefault(rep, (rep, weight, upper, part, own, values[cut[i] : cut[i + 1]].copy()))  # not the batch
         if len(rows) > 1:
             yield finish()
 

@@ -8,16 +8,19 @@ Lower-casing touches A-Z only. Hashes depend on the bytes alone, never on the pr
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 BLOCK = 1 << 20
 #: Rows whose results a task holds at once.
 ROWS = 500
+#: Rows that Spark hands to a task's Python process in one batch, inside :func:`small_batches`.
+BATCH_ROWS = 1_000
 
 SPACE = np.zeros(256, bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
@@ -154,10 +157,28 @@ def with_struct(
                      for f in arrow]
             struct = pa.StructArray.from_arrays(parts, fields=arrow)
             yield pa.RecordBatch.from_arrays([*batch.columns, struct], [*batch.schema.names, name])
+        pa.default_memory_pool().release_unused()  # the process goes on with other tasks
 
     return df.mapInArrow(task, T.StructType([*df.schema.fields, T.StructField(name, fields)]))
 
 
+@contextmanager
+def small_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> Iterator[None]:
+    """Jobs started inside pass texts to Python in batches of at most ``rows`` rows.
+
+    Both the executor and its Python processes hold a batch of whole texts, outside of the heap. No result depends on
+    it. The session's own setting stays if it is smaller, and comes back at the end.
+    """
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    if not 0 < int(before) <= rows:
+        spark.conf.set(name, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def _arrow(kind: T.DataType) -> pa.DataType:
     simple = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string(), "double": pa.float64(),
               "boolean": pa.bool_(), "binary": pa.binary()}
