@@ -17,7 +17,8 @@ from pyspark.sql import functions as F
 
 from plenum.llm.components import components
 from plenum.llm.text import (
-    FOLDED_BYTES, NOT_SPACE, blocks, flat, gram_hashes, mix, parse_schema, running, span_hashes, with_struct, word_spans,
+    FOLDED_BYTES, NOT_SPACE, blocks, flat, gram_hashes, mix, parse_schema, running, small_batches, span_hashes,
+    with_struct, word_spans,
 )
 from plenum.session import materialize
 
@@ -366,14 +367,15 @@ def jaccard_components(
     document; a null ``doc_id`` takes no part and has a null component and
     number of links. The join is exact up to equal 64-bit hashes.
     """
-    sets = sets_of(docs, key, text, common_shingles(docs, text, size, common), size, percent)
-    narrow = sets.select("doc_id", "n", "k1", "k2")
-    classes = narrow.filter("n > 0 AND doc_id IS NOT NULL").groupBy("k1", "k2", "n").agg(
-        F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("weight"))
-    groups = candidate_groups(sets, percent, compared)
-    members = materialize(classes.join(groups.withColumnRenamed("id", "rep"), "rep"), "candidates")
-    tiles = materialize(tiles_of(members, percent, tile_docs, tile_shingles), "tiles")
-    found = materialize(verified_links(docs, key, text, tiles, size, percent), "links")
+    with small_batches(docs.sparkSession):
+        sets = sets_of(docs, key, text, common_shingles(docs, text, size, common), size, percent)
+        narrow = sets.select("doc_id", "n", "k1", "k2")
+        classes = narrow.filter("n > 0 AND doc_id IS NOT NULL").groupBy("k1", "k2", "n").agg(
+            F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("weight"))
+        groups = candidate_groups(sets, percent, compared)
+        members = materialize(classes.join(groups.withColumnRenamed("id", "rep"), "rep"), "candidates")
+        tiles = materialize(tiles_of(members, percent, tile_docs, tile_shingles), "tiles")
+        found = materialize(verified_links(docs, key, text, tiles, size, percent), "links")
     linked = components(found, "rep", "least")
     counts = found.groupBy("rep").agg(F.sum("links").alias("links"))
     named = classes.join(linked.withColumnRenamed("id", "rep"), "rep", "left").join(counts, "rep", "left").select(
