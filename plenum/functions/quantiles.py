@@ -1,38 +1,78 @@
-"""Exact quantiles whose only single-task step sees a small, bounded share of the rows."""
+"""Exact quantiles whose only single-task step orders a bounded number of values."""
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 ACCURACY = 10_000
+# Distinct values that one task orders at the end, whatever the input.
+BOUND = 200_000
 
 
-def exact_quantiles(df: DataFrame, column: str, probabilities: list[float], names: list[str]) -> DataFrame:
+def _brackets(values: DataFrame, size: int, probabilities: list[float], bound: int) -> list[tuple]:
+    """For each quantile two values that enclose its ranks, with few enough rows strictly between them.
+
+    A round sketches what lies between the present ends and counts what lies around the new ones. Either both ranks
+    are inside the new bracket and it is taken, or the margin is doubled. An end that moves lies strictly inside the
+    old bracket, so rows between get fewer with each bracket; the driver reads a few numbers per quantile and round.
+    """
+    value = F.col("value")
+    share = max(1, bound // len(probabilities))
+    ranks = [(math.floor(p * (size - 1)), math.ceil(p * (size - 1))) for p in probabilities]
+    found = [(None, None, 0, size)] * len(probabilities)  # low, high, rows up to low, rows strictly between
+    margins = [2.0] * len(probabilities)
+    wide = list(range(len(probabilities)))
+    while wide:
+        sketches = []
+        for i in wide:
+            low, high, upto, between = found[i]
+            margin = margins[i] * (1 / ACCURACY + 1 / between)
+            ends = [(ranks[i][0] - upto) / between - margin, (ranks[i][1] - upto) / between + margin]
+            held = value if low is None else F.when((F.lit(low) < value) & (value < F.lit(high)), value)
+            sketches.append(F.percentile_approx(held, [min(1.0, max(0.0, e)) for e in ends], ACCURACY))
+        tried = []
+        for i, (low, high) in zip(wide, values.agg(*sketches).first()):
+            old_low, old_high, upto, between = found[i]
+            tried.append((old_low if ranks[i][0] < upto else low, old_high if ranks[i][1] >= upto + between else high))
+        counted = values.agg(*[
+            F.count_if(c) for low, high in tried
+            for c in (value < F.lit(low), value <= F.lit(low), value < F.lit(high), value <= F.lit(high))
+        ]).first()
+        for n, (i, (low, high)) in enumerate(zip(wide, tried)):
+            before_low, upto_low, before_high, upto_high = counted[4 * n : 4 * n + 4]
+            if before_low <= ranks[i][0] and ranks[i][1] < upto_high:
+                found[i] = low, high, upto_low, max(0, before_high - upto_low)
+                margins[i] = 2.0
+            else:
+                margins[i] *= 2
+        wide = [i for i in wide if found[i][3] > share]
+    return [(low, high) for low, high, _, _ in found]
+
+
+def exact_quantiles(
+    df: DataFrame, column: str, probabilities: list[float], names: list[str], bound: int = BOUND
+) -> DataFrame:
     """One row of linearly interpolated quantiles of the non-null values of ``column``.
 
-    The built-in exact percentile keeps every distinct value in one task. Here, beyond ``ACCURACY`` rows, a sketch
-    first brackets each quantile between two values that are about ``8 / ACCURACY`` of the rows apart; these few
-    numbers are read by the driver. A counting pass then keeps single values only inside the brackets and one count for each gap
-    between them, so what is left to order is a fixed small share of the data. A rank outside its bracket
-    raises an error instead of giving a wrong value.
+    The built-in exact percentile keeps every distinct value in one task. Here, beyond ``bound`` rows, sketches
+    first narrow a bracket around each quantile until all of them hold at most about ``bound`` values. A last pass
+    keeps single values only inside the brackets and one count for each gap between them, so one task orders at most
+    about ``bound`` values whatever the size of the data.
     """
     values = df.select(F.col(column).alias("value")).filter(F.col("value").isNotNull())
     size = values.count()
     value = F.col("value")
-    if size <= ACCURACY:
+    if size <= bound:
         kept = values.select("value", F.lit(False).alias("gap"))
     else:
-        # two sketch errors, and two ranks for the neighbour that interpolation needs
-        margin = 2 / ACCURACY + 2 / size
-        edges = [e for p in probabilities for e in (max(0.0, p - margin), min(1.0, p + margin))]
-        bracket = values.agg(F.percentile_approx("value", edges, ACCURACY)).first()[0]
-        lows, highs = bracket[0::2], bracket[1::2]
-        inside = reduce(lambda a, b: a | b, [value.between(F.lit(lo), F.lit(hi)) for lo, hi in zip(lows, highs)])
+        brackets = _brackets(values, size, probabilities, bound)
+        inside = reduce(lambda a, b: a | b, [value.between(F.lit(low), F.lit(high)) for low, high in brackets])
         # highest bracket end below the value; null sorts first and stands for "below every bracket"
-        below = F.array_max(F.array(*[F.when(F.lit(high) < value, F.lit(high)) for high in highs]))
+        below = F.array_max(F.array(*[F.when(F.lit(high) < value, F.lit(high)) for _, high in brackets]))
         kept = values.select(F.when(inside, value).otherwise(below).alias("value"), (~inside).alias("gap"))
     counted = kept.groupBy("value", "gap").agg(F.count(F.lit(1)).alias("n"))
     whole = Window.partitionBy(F.lit(0))
@@ -50,16 +90,10 @@ def exact_quantiles(df: DataFrame, column: str, probabilities: list[float], name
             held = ~F.col("gap") & (F.col("start") <= rank) & (rank < F.col("upto"))
             picks.append(F.max(F.when(held, value)).alias(f"_{side}{i}"))
         picks.append(F.max(place - F.floor(place)).alias(f"_part{i}"))
-    found = ranked.agg(F.max("total").alias("_total"), *picks)
+    found = ranked.agg(*picks)
 
     def quantile(i: int, name: str):
         low, high = F.col(f"_lo{i}"), F.col(f"_hi{i}")
-        missed = F.col("_total").isNotNull() & (low.isNull() | high.isNull())
-        exact = low + (high - low) * F.col(f"_part{i}")
-        return (
-            F.when(missed, F.raise_error(F.lit("quantile outside its bracket")).cast("double"))
-            .otherwise(exact.cast("double"))
-            .alias(name)
-        )
+        return (low + (high - low) * F.col(f"_part{i}")).cast("double").alias(name)
 
     return found.select(*[quantile(i, name) for i, name in enumerate(names)])

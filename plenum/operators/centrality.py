@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 
 from plenum.operators.graph import symmetric_edges
 from plenum.operators.metrics import bridging_coefficient
-from plenum.session import materialize
+from plenum.session import discard, materialize
 from plenum.skew import HOT_FLOOR, salted_join
 
 # The edges are broadcast only up to this many directed rows of three numbers (well below 100 MB).
@@ -51,8 +51,11 @@ class _Walks:
         self.floor = floor
 
     def tasks(self, rows: int) -> int:
-        """Partitions for pushing ``rows`` rows: few rows may become many, so their own size is no guide."""
-        return max(1, math.ceil(rows * self.mean_degree / PUSH_ROWS))
+        """Partitions for pushing ``rows`` rows: few rows may become many, so their own size is no guide.
+
+        Rows are dealt by source, so there are never more partitions than sources.
+        """
+        return max(1, min(self.n, math.ceil(rows * self.mean_degree / PUSH_ROWS)))
 
     def push(self, rows: DataFrame, tasks: int) -> DataFrame:
         """Rows at ``u`` repeated for each edge of ``u``.
@@ -69,16 +72,13 @@ def _union(frames: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
 
 
-def _open(walks: _Walks, last: DataFrame, rounds: list[DataFrame]) -> DataFrame:
-    """Walks that one more edge may still turn into a shortest path.
+def _open(walks: _Walks, state: DataFrame, last: DataFrame) -> DataFrame:
+    """Walks of ``last`` that one more edge may still turn into a shortest path.
 
     Once a source has reached every vertex, a walk is done if even the shortest edge at its end makes it longer
     than the largest distance known from that source.
     """
-    reach = (
-        _union(rounds).groupBy("s", "v").agg(F.min("d").alias("d"))
-        .groupBy("s").agg(F.count(F.lit(1)).alias("reached"), F.max("d").alias("furthest"))
-    )
+    reach = state.groupBy("s").agg(F.count(F.lit(1)).alias("reached"), F.max("d").alias("furthest"))
     nearest = walks.node.select(F.col("u").alias("v"), "nearest")
     return (
         last.join(reach, "s").join(nearest, "v")
@@ -87,78 +87,81 @@ def _open(walks: _Walks, last: DataFrame, rounds: list[DataFrame]) -> DataFrame:
     )
 
 
-def _extend(walks: _Walks, rounds: list[DataFrame]) -> DataFrame:
-    """Walks with one more edge that are no longer than the shortest known so far.
+def _merge(known: DataFrame, longer: DataFrame, hops: int) -> DataFrame:
+    """The state ``s, v, d, paths, depth, fresh`` after walks of ``hops`` edges have joined what is known.
 
-    Known lengths enter the same grouped minimum with zero paths: where they are shorter, the pair drops out.
+    ``fresh`` counts the paths among these walks; where something shorter is known it is 0.
     """
-    last = rounds[-1]
-    tasks = walks.tasks(last.count())
-    longer = walks.push(_open(walks, last, rounds).withColumnRenamed("v", "u"), tasks).select(
-        "s", "v", (F.col("d") + F.col("w")).cast(walks.d_type).alias("d"), "paths"
-    )
-    known = _union(rounds).select("s", "v", "d", F.lit(0.0).alias("paths"))
+    old = known.select("s", "v", "d", "paths", "depth", F.lit(0.0).alias("fresh"))
+    # summed where the walks arise, before rows move
+    new = longer.groupBy("s", "v", "d").agg(F.sum("paths").alias("paths")).select(
+        "s", "v", "d", "paths", F.lit(hops).alias("depth"), F.col("paths").alias("fresh"))
     return (
-        longer.unionByName(known)
+        old.unionByName(new).repartition("s", "v")
         .groupBy("s", "v", "d")
-        .agg(F.sum("paths").alias("paths"))
+        .agg(F.sum("paths").alias("paths"), F.max("depth").alias("depth"), F.sum("fresh").alias("fresh"))
         .groupBy("s", "v")
-        .agg(F.min("d").alias("d"), F.min_by("paths", "d").alias("paths"))
-        .filter("paths > 0")
+        .agg(F.min("d").alias("d"), *[F.min_by(c, "d").alias(c) for c in ("paths", "depth", "fresh")])
     )
 
 
 def _shortest(walks: _Walks, mine: Column) -> DataFrame:
     """Per source and vertex: distance ``d``, number of shortest paths ``paths`` and largest hop count ``depth``.
 
-    Walks of no edge and of one edge are the vertices and the edges themselves.
+    Walks of no edge and of one edge are the vertices and the edges themselves. One state is kept, and each round
+    replaces it: it is read once per round, and only the walks that are new in it are extended.
     """
     one = F.lit(1.0).alias("paths")
-    rounds = [
-        walks.node.select(F.col("u").alias("s"), F.col("u").alias("v"), F.lit(0).cast(walks.d_type).alias("d"), one),
-        walks.edges.select(F.col("u").alias("s"), "v", F.col("w").alias("d"), one),
-    ]
-    rounds = [step.filter(mine) for step in rounds]
+    none = walks.node.select(
+        F.col("u").alias("s"), F.col("u").alias("v"), F.lit(0).cast(walks.d_type).alias("d"), one, F.lit(0).alias("depth"))
+    single = walks.edges.select(F.col("u").alias("s"), "v", F.col("w").alias("d"), one)
+    hops = 1
+    state = materialize(_merge(none.filter(mine), single.filter(mine), hops), "walks")
     while True:
-        longer = materialize(_extend(walks, rounds), "walks")
-        if longer.isEmpty():
-            break
-        rounds.append(longer)
-    steps = [step.withColumn("depth", F.lit(hops)) for hops, step in enumerate(rounds)]
-    return materialize(
-        _union(steps)
-        .groupBy("s", "v", "d")
-        .agg(F.sum("paths").alias("paths"), F.max("depth").alias("depth"))
-        .groupBy("s", "v")
-        .agg(
-            F.min("d").alias("d"), F.min_by("paths", "d").alias("paths"), F.min_by("depth", "d").alias("depth")
-        ),
-        "shortest",
-    )
+        last = state.filter("fresh > 0").select("s", "v", "d", F.col("fresh").alias("paths"))
+        rows = last.count()
+        if not rows:
+            return state
+        hops += 1
+        longer = walks.push(_open(walks, state, last).withColumnRenamed("v", "u"), walks.tasks(rows)).select(
+            "s", "v", (F.col("d") + F.col("w")).cast(walks.d_type).alias("d"), "paths"
+        )
+        after = materialize(_merge(state, longer, hops), "walks")
+        discard(state)
+        state = after
 
 
-def _dependencies(walks: _Walks, state: DataFrame) -> list[DataFrame]:
-    """Parts ``s, v, part`` whose sum over all lists is the dependency of each source on each vertex."""
-    sizes = dict(state.groupBy("depth").count().collect())  # one row per depth
-    parts: list[DataFrame] = []
-    for level in sorted((depth for depth in sizes if depth > 1), reverse=True):
-        rows = state.filter(F.col("depth") == level)
-        if parts:
-            received = _union(parts).groupBy("s", "v").agg(F.sum("part").alias("received"))
-            rows = rows.join(received, ["s", "v"], "left")
-        else:
-            rows = rows.withColumn("received", F.lit(0.0))
-        share = ((1 + F.coalesce("received", F.lit(0.0))) / F.col("paths")).alias("share")
+def _dependencies(walks: _Walks, state: DataFrame) -> DataFrame | None:
+    """``id, raw``: the dependencies of all sources on each vertex, summed; None without any.
+
+    From the deepest level up, a level's vertices hand their shares to those before them. The state then holds what
+    they have received and drops the level, so it shrinks as levels go by.
+    """
+    deepest = state.agg(F.max("depth")).first()[0] or 0
+    left, total = state.select("s", "v", "d", "paths", "depth", F.lit(0.0).alias("received")), None
+    for level in range(deepest, 1, -1):
+        rows = left.filter(F.col("depth") == level)
+        share = ((1 + F.col("received")) / F.col("paths")).alias("share")
         sent = (
-            walks.push(rows.select("s", F.col("v").alias("u"), "d", share), walks.tasks(sizes[level]))
+            walks.push(rows.select("s", F.col("v").alias("u"), "d", share), walks.tasks(rows.count()))
             .select("s", "v", (F.col("d") - F.col("w")).cast(walks.d_type).alias("d"), "share")
             .filter("d > 0")  # only vertices between the source and the end
             .groupBy("s", "v", "d")
             .agg(F.sum("share").alias("share"))
         )
-        hit = state.select("s", "v", "d", "paths").join(sent, ["s", "v", "d"])
-        parts.append(materialize(hit.select("s", "v", (F.col("paths") * F.col("share")).alias("part")), "parts"))
-    return parts
+        more = F.col("received") + F.col("paths") * F.coalesce("share", F.lit(0.0))
+        before = left.filter((F.col("depth") > 0) & (F.col("depth") < level))
+        after = materialize(
+            before.join(sent, ["s", "v", "d"], "left").select("s", "v", "d", "paths", "depth", more.alias("received")), "levels")
+        # what the next level up has received is complete now
+        done = after.filter(F.col("depth") == level - 1).groupBy(F.col("v").alias("id")).agg(F.sum("received").alias("raw"))
+        if total is not None:
+            done = total.unionByName(done).groupBy("id").agg(F.sum("raw").alias("raw"))
+        summed = materialize(done, "dependencies")
+        discard(left, total)
+        left, total = after, summed
+    discard(left)
+    return total
 
 
 def betweenness(
@@ -179,10 +182,11 @@ def betweenness(
     sums = []
     for turn in range(passes):
         mine = F.pmod(F.xxhash64("s"), F.lit(passes)) == turn
-        parts = _dependencies(walks, _shortest(walks, mine))
-        if parts:
-            total = _union(parts).groupBy(F.col("v").alias("id")).agg(F.sum("part").alias("raw"))
-            sums.append(materialize(total, "betweenness-pass"))
+        state = _shortest(walks, mine)
+        total = _dependencies(walks, state)
+        discard(state)
+        if total is not None:
+            sums.append(total)
     vertices = walks.node.select(F.col("u").alias("id"))
     if not sums:
         return vertices.select("id", F.lit(0.0).alias("Centralidade_Intermediacao"))

@@ -113,3 +113,14 @@ def test_number_rows(spark):
 def test_safe_ratio(spark):
     frame = spark.createDataFrame([(1, 2), (1, 0)], "a bigint, b bigint")
     assert rows(frame.select(text.safe_ratio(F.col("a"), F.col("b")))) == [(0.0,), (0.5,)]
+
+
+@pytest.mark.parametrize("bound", [100, 2_000])
+def test_quantiles_narrow_in_several_rounds(spark, bound):
+    rng = random.Random(bound)
+    # two values with many rows, at whose ends ranks fall, between spread ones
+    values = [rng.choice([0.0, 5.0]) if rng.random() < 0.5 else rng.gauss(0, 10) for _ in range(40_000)]
+    frame = spark.createDataFrame([(v,) for v in values] + [(None,)], "x double")
+    probabilities = [0.0, 0.25, 0.5, 0.75, 1.0]
+    found = exact_quantiles(frame, "x", probabilities, [f"q{i}" for i in range(5)], bound=bound).first()
+    assert list(found) == pytest.approx(list(np.quantile(values, probabilities)), rel=1e-12, abs=1e-12)

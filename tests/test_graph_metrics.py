@@ -133,6 +133,11 @@ def test_betweenness_against_brute_force(edges, seed):
     assert pairs(centrality.betweenness(edges(net), **options)) == pytest.approx(expected)
 
 
+def test_betweenness_of_a_chain(edges):
+    chain = [(i, i + 1, 1) for i in range(9)]
+    assert pairs(centrality.betweenness(edges(chain))) == pytest.approx(brute_betweenness(chain))
+
+
 def test_betweenness_needs_exact_positive_weights(spark, edges):
     with pytest.raises(ValueError):
         centrality.betweenness(edges([(1, 2, 0), (2, 3, 1)]))
