@@ -14,7 +14,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from plenum.llm.text import fresh, parse_schema, with_struct
+from plenum.llm.text import ROWS, fresh, parse_schema, with_struct
 
 #: Different pieces and words that a worker remembers (some 230 bytes each); beyond, it starts anew.
 REMEMBERED = 1_200_000
@@ -200,7 +200,7 @@ def round_trip(
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         book = vocabulary(path, lines.value, pattern)
-        for batch in batches:
+        for batch in (whole.slice(at, ROWS) for whole in batches for at in range(0, max(whole.num_rows, 1), ROWS)):
             sizes, hashes, decoded, made = [], [], [], []
             for value in batch.column(1):
                 packed = book.encode(value.as_py() or "")
