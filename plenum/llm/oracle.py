@@ -163,6 +163,80 @@ FROM texts LEFT JOIN best USING (r) LEFT JOIN named USING (r)
 """
 
 
+OP11 = r"""
+WITH cut AS (
+  SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS t,
+    sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents),
+drawn AS (
+  SELECT doc_id, text, t, len(t) AS n,
+    CAST('0x' || h[1:8] AS BIGINT) % (len(t) + 1) AS p1, CAST('0x' || h[9:16] AS BIGINT) % (len(t) + 1) AS p2,
+    CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>')
+        OR CAST('0x' || h[17:24] AS BIGINT) % 100 >= 90 THEN 'plain'
+      WHEN CAST('0x' || h[25:32] AS BIGINT) % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM cut),
+parts AS (
+  SELECT doc_id, text, n, form, array_to_string(t[1:least(p1, p2)], '') AS a,
+    array_to_string(t[least(p1, p2) + 1:greatest(p1, p2)], '') AS b, array_to_string(t[greatest(p1, p2) + 1:], '') AS c
+  FROM drawn)
+SELECT doc_id, CAST(n AS BIGINT) AS n, form,
+  CASE WHEN form <> 'plain' THEN length(a) END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(b) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || a || '<S>' || c || '<M>' || b
+    ELSE '<S>' || c || '<P>' || a || '<M>' || b END) AS output_sha256,
+  sha256(text) AS restored_sha256
+FROM parts
+"""
+
+OP12 = rf"""
+WITH pieces AS (
+  SELECT lang, unnest(regexp_split_to_array(translate(text, {UPPER_LOWER}), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM (SELECT coalesce(lang, 'und') AS lang, coalesce(text, '') AS text FROM documents)),
+words AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+totals AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM words GROUP BY lang),
+counts AS (
+  SELECT lang, m, phrase, count(*) AS f
+  FROM (SELECT lang, m, array_to_string(w[i:i + m - 1], ' ') AS phrase
+        FROM (SELECT lang, w, m, unnest(range(1, len(w) - m + 2)) AS i
+              FROM words, (SELECT unnest(range(1, 6)) AS m) WHERE len(w) >= m))
+  GROUP BY lang, m, phrase HAVING count(*) >= 100),
+split AS (SELECT lang, m, phrase, f, string_split(phrase, ' ') AS w FROM counts),
+inside AS (
+  SELECT DISTINCT lang, part, f
+  FROM (SELECT lang, f, array_to_string(w[:m - 1], ' ') AS part FROM split WHERE m > 2
+        UNION ALL SELECT lang, f, array_to_string(w[2:], ' ') FROM split WHERE m > 2)),
+cuts AS (
+  SELECT s.lang, s.phrase, s.f AS a, k, a.f AS l, b.f AS r, n,
+    (1000::HUGEINT * s.f * n) // (a.f::HUGEINT * b.f) AS score
+  FROM (SELECT *, unnest(range(1, m)) AS k FROM split WHERE m > 1) s
+  JOIN counts a ON a.lang = s.lang AND a.phrase = array_to_string(s.w[:k], ' ')
+  JOIN counts b ON b.lang = s.lang AND b.phrase = array_to_string(s.w[k + 1:], ' ')
+  JOIN totals ON totals.lang = s.lang),
+weakest AS (
+  SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+ranked AS (
+  SELECT w.*, row_number() OVER (PARTITION BY w.lang ORDER BY score DESC, a DESC, encode(w.phrase)) AS rank
+  FROM weakest w LEFT JOIN inside i ON i.lang = w.lang AND i.part = w.phrase AND i.f >= w.a WHERE i.part IS NULL)
+SELECT lang, rank, phrase, a, l, r, n, CAST(score AS BIGINT) AS score FROM ranked WHERE rank <= 2000
+"""
+
+# The test pages hold their article in one element of plain paragraphs; for those SQL can read it by pattern.
+OP13 = r"""
+WITH lines AS (
+  SELECT page_id, url, unnest(list_append(regexp_split_to_array(
+    regexp_extract(coalesce(html, ''), '<article>(.*?)</article>', 1, 's'), '</?(?:p|h1)>'), '')) AS line,
+    generate_subscripts(list_append(regexp_split_to_array(
+    regexp_extract(coalesce(html, ''), '<article>(.*?)</article>', 1, 's'), '</?(?:p|h1)>'), ''), 1) AS i
+  FROM pages),
+plain AS (
+  SELECT page_id, url, i, trim(regexp_replace(regexp_replace(replace(replace(replace(
+    regexp_replace(replace(line, '<br>', ' '), '<[^>]*>', '', 'g'),
+    '&quot;', '"'), '&lt;', '<'), '&gt;', '>'), '&amp;?', '&', 'g'), '\s+', ' ', 'g')) AS line
+  FROM lines),
+joined AS (
+  SELECT page_id, url, coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (line <> ''), '') AS text
+  FROM plain GROUP BY page_id, url)
+SELECT page_id, url, text, length(text) AS n_chars FROM joined
+"""
+
+
 def llm_oracles() -> dict[str, str]:
     return {
         "op1_suffix_array_decontamination": OP1,
@@ -171,4 +245,7 @@ def llm_oracles() -> dict[str, str]:
         "op5_line_frequency": OP5,
         "op6_chat_format": OP6,
         "op9_license_dice": OP9,
+        "op11_fill_in_middle": OP11,
+        "op12_phrase_collocations": OP12,
+        "op13_html_main_text": OP13,
     }

@@ -1,4 +1,4 @@
-"""The ten operators as named queries over the whole test tables."""
+"""The operators as named queries over the whole test tables."""
 
 from __future__ import annotations
 
@@ -8,7 +8,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plenum.llm import bpe, chat, decontamination, jaccard, licenses, line_quality, packing, quality_model, sharding, url_rules
+from plenum.llm import (
+    bpe, chat, collocations, decontamination, fill_in_middle, html_text, jaccard, licenses, line_quality, packing,
+    quality_model, sharding, url_rules,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -75,7 +78,20 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fill_in_middle.digest(fill_in_middle.transform(table(spark, sf_dir, "documents").select("doc_id", "text")))
+
+
+def op12_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+def op13_html_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract_main_text(table(spark, sf_dir, "pages"), name="main").select("page_id", "url", "main.*")
+
+
 def llm_queries() -> dict[str, Query]:
     made = [op1_suffix_array_decontamination, op2_importance_resampling, op3_ngram_jaccard_join, op4_url_rules,
-            op5_line_frequency, op6_chat_format, op7_best_fit_packing, op8_extendible_shards, op9_license_dice, op10_byte_bpe]
+            op5_line_frequency, op6_chat_format, op7_best_fit_packing, op8_extendible_shards, op9_license_dice, op10_byte_bpe,
+            op11_fill_in_middle, op12_phrase_collocations, op13_html_main_text]
     return {f.__name__: f for f in made}
