@@ -16,8 +16,8 @@ from pyspark.sql import DataFrame
 
 from plenum.llm.text import ROWS, fresh, parse_schema, with_struct
 
-#: Different pieces and words that a worker remembers (some 230 bytes each); beyond, it starts anew.
-REMEMBERED = 1_200_000
+#: Different pieces and words that a worker remembers (some 160 bytes each); beyond, it starts anew.
+REMEMBERED = 400_000
 SHORT = 64
 
 # Unicode White_Space, which is what \s means in the public pattern.
