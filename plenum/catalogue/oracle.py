@@ -126,6 +126,29 @@ def all_oracles() -> dict[str, str]:
             UNION ALL SELECT 'edge', src || '-' || dst, 'Destino', 'long', CAST(dst AS VARCHAR) FROM edges"""),
         "community_check": _with(_NETWORK, """SELECT count(*) AS n_vertices, 0::BIGINT AS n_unlabelled, true AS consecutive,
             true AS by_size, true AS beats_single, true AS beats_ideology FROM ids"""),
+        "community_optimality": _with(_NETWORK, """SELECT count(*) AS n_vertices, 0::BIGINT AS n_gaining_moves,
+            0::BIGINT AS n_gaining_merges FROM ids"""),
+        "ideology_optimality": _with(_VERTICES, """
+            , placed AS (SELECT id, ideologia AS label FROM vertices),
+            both_ends AS (SELECT src, dst, weight FROM edges UNION ALL SELECT dst, src, weight FROM edges),
+            strength AS (SELECT src AS id, sum(weight) AS k FROM both_ends GROUP BY src),
+            whole AS (SELECT sum(k) AS twice FROM strength),
+            totals AS (SELECT label, sum(k) AS total FROM strength JOIN placed USING (id) GROUP BY label),
+            near AS (SELECT b.src AS id, p.label, sum(weight) AS w FROM both_ends b JOIN placed p ON p.id = b.dst GROUP BY b.src, p.label),
+            own AS (
+              SELECT s.id, p.label, k, total, coalesce(n.w, 0) * twice - k * (total - k) AS stay FROM strength s
+              JOIN placed p USING (id) JOIN totals t ON t.label IS NOT DISTINCT FROM p.label CROSS JOIN whole
+              LEFT JOIN near n ON n.id = s.id AND n.label IS NOT DISTINCT FROM p.label),
+            going AS (
+              SELECT o.id FROM own o JOIN near n ON n.id = o.id AND n.label IS DISTINCT FROM o.label
+              JOIN totals t ON t.label IS NOT DISTINCT FROM n.label CROSS JOIN whole
+              GROUP BY o.id, stay HAVING max(n.w * twice - o.k * t.total) > stay),
+            merging AS (
+              SELECT 1 FROM own o JOIN near n ON n.id = o.id AND coalesce(o.label, '') < coalesce(n.label, '')
+              JOIN totals t ON t.label IS NOT DISTINCT FROM n.label CROSS JOIN whole
+              GROUP BY o.label, n.label, o.total, t.total, twice HAVING sum(n.w) * twice > o.total * t.total)
+            SELECT (SELECT count(*) FROM ids) AS n_vertices, (SELECT count(*) FROM totals) AS n_groups,
+              (SELECT count(*) FROM going) AS n_gaining_moves, (SELECT count(*) FROM merging) AS n_gaining_merges"""),
         "quartile_counts_bridging": _with(
             _BRIDGING,
             f"""SELECT q."Quartil", count(l.id) AS n FROM (VALUES ('1'), ('2'), ('3'), ('4')) q("Quartil")

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from plenum.catalogue.roles import ballots, communities, community_vertices, members, network, parties, table
-from plenum.operators import centrality, distribution, graph, metrics, profile, votes
+from plenum.operators import centrality, community, distribution, graph, metrics, profile, votes
 from plenum.plans.report import RANKED, rank_vertices, vertex_report
 from plenum.session import materialize, scratch_path
 from plenum.sources import manifest, sinks, tables
@@ -282,6 +282,20 @@ def community_check(spark, sf_dir):
         F.lit(q > score(net.vertices, "ideologia")).alias("beats_ideology"))
 
 
+@query
+def community_optimality(spark, sf_dir):
+    """No vertex gains by moving, no two communities by merging, by exact arithmetic from the stored labels alone."""
+    net = network(spark, sf_dir)
+    return community.optimality(net.edges, communities(spark, sf_dir), "modularidade").drop("n_groups")
+
+
+@query
+def ideology_optimality(spark, sf_dir):
+    """The same certificate of the partition by ideology, whose counts SQL can find as well."""
+    net = network(spark, sf_dir)
+    return community.optimality(net.edges, net.vertices, "ideologia")
+
+
 @query
 def community_modularity(spark, sf_dir):
     net = network(spark, sf_dir)

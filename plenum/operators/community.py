@@ -1,149 +1,417 @@
 """Communities by maximising modularity.
 
-The Louvain scheme of Blondel et al. (2008) with moves made in parallel, after Lu, Halappanavar and Kalyanaraman
-(2015). A sweep is a few joins and grouped sums over the whole network; the driver sees the modularity only.
+The Louvain scheme of Blondel et al. (2008) in parallel. Vertices are dealt into groups of bounded size. A turn lets
+the vertices of some groups move, one after the other inside a group and all these groups at once, while all others
+stand still. What a vertex needs to know, its weight towards each community around it, is kept from turn to turn and
+changed only by the edges of vertices that have moved; edges and these weights are bucketed, so neither is shuffled.
+Whole and decimal weights are compared exactly: a move counts if it raises the modularity at all.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from dataclasses import dataclass
+from decimal import Decimal
+from fractions import Fraction
+
+import pandas as pd
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from plenum.functions.numbering import number_rows
 from plenum.operators.graph import symmetric_edges
-from plenum.session import discard, materialize
-from plenum.skew import HOT_FLOOR, hot_keys, salted_join, split_join
+from plenum.session import discard, materialize, store_bucketed
+from plenum.skew import HOT_FLOOR, hot_keys, salted_join
+
+# Directed edges per bucket on a large network, and the fewest that make a bucket of their own.
+BUCKET_EDGES, LEAST_EDGES = 2_000_000, 60_000
+# Communities whose strengths every task gets (three numbers each); more of them are joined by shuffle.
+BROADCAST_GROUPS = 1_000_000
+# Vertices, and weights towards communities, of one group, about; one task holds a group.
+GROUP, GROUP_ROWS = 500, 500_000
+# Weights that aren't exact: part of two gains by which rounding may let them differ.
+ROUNDING = 1e-12
+
+
+@dataclass(frozen=True)
+class _Numbers:
+    """How weights are counted: the type of weights, that of products, and the resolution as a fraction."""
+
+    weight: T.DataType
+    product: T.DataType
+    resolution: Fraction
+
+    @property
+    def exact(self) -> bool:
+        return not isinstance(self.product, T.DoubleType)
+
+    def gain(self, inner: Column, k: Column, total: Column, twice_m) -> Column:
+        """What a vertex of strength ``k`` adds to a community of strength ``total``, times (2m)^2 over 2 and a constant."""
+        p, q = self.resolution.numerator, self.resolution.denominator
+        if not self.exact:
+            return inner * F.lit(float(twice_m)) - F.lit(float(self.resolution)) * k * total
+        whole = T.DecimalType(38, 0) if isinstance(self.product, T.DecimalType) else T.LongType()
+        return (inner.cast(whole) * F.lit(q * twice_m).cast(whole)).cast(whole) - (
+            (k.cast(whole) * F.lit(p).cast(whole)).cast(whole) * total.cast(whole)).cast(whole)
+
+    def above(self, a: Column, b: Column) -> Column:
+        return a > b if self.exact else a - b > ROUNDING * (F.abs(a) + F.abs(b))
 
-# A move pays when it raises the modularity by more than this.
-MIN_GAIN = 1e-7
+    def score(self, inner, squares, twice_m):
+        """Modularity times (2m)^2 and a constant."""
+        if not self.exact:
+            return float(inner) * twice_m - float(self.resolution) * float(squares)
+        return self.resolution.denominator * int(inner) * twice_m - self.resolution.numerator * int(squares)
+
+    def rises(self, after, before) -> bool:
+        return after > before if self.exact else after - before > ROUNDING * (abs(after) + abs(before))
+
+
+def whole_weights(edges: DataFrame) -> DataFrame:
+    """``src, dst, weight`` with decimal weights as whole multiples of their last digit; others as they are."""
+    kind = edges.schema["weight"].dataType
+    weight = F.col("weight")
+    if isinstance(kind, T.DecimalType):
+        weight = (weight * F.lit(10**kind.scale).cast("decimal(38,0)")).cast("decimal(38,0)")
+    elif isinstance(kind, T.IntegralType):
+        weight = weight.cast("bigint")
+    return edges.select("src", "dst", weight.alias("weight"))
+
+
+def _numbers(edges: DataFrame, resolution: float) -> _Numbers:
+    """Whole numbers if all products fit them, else decimals, else doubles with a bound on their rounding."""
+    ratio = Fraction(str(resolution))
+    if not isinstance(edges.schema["weight"].dataType, (T.LongType, T.DecimalType)):
+        return _Numbers(T.DoubleType(), T.DoubleType(), ratio)
+    total = edges.agg(F.sum(F.abs(F.col("weight").cast("decimal(38,0)")))).first()[0] or 0
+    largest = 4 * int(total) ** 2 * max(ratio.numerator, ratio.denominator)
+    if largest < 1 << 62:
+        return _Numbers(T.LongType(), T.LongType(), ratio)
+    if largest < 10**37:
+        return _Numbers(T.DecimalType(38, 0), T.DecimalType(38, 0), ratio)
+    return _Numbers(T.DoubleType(), T.DoubleType(), ratio)
 
 
 def _strengths(edges: DataFrame) -> DataFrame:
     """Per vertex: strength ``k`` with self-loops twice, weight of its own ``loop``, and ``degree`` in rows."""
-    loop = F.col("src") == F.col("dst")
+    loop, kind = F.col("src") == F.col("dst"), edges.schema["weight"].dataType
     return (
         symmetric_edges(edges)
         .groupBy(F.col("src").alias("id"))
         .agg(
-            F.sum(F.when(loop, F.col("weight") * 2).otherwise(F.col("weight"))).cast("double").alias("k"),
-            F.sum(F.when(loop, F.col("weight")).otherwise(0)).cast("double").alias("loop"),
+            F.sum(F.when(loop, F.col("weight") * 2).otherwise(F.col("weight"))).cast(kind).alias("k"),
+            F.sum(F.when(loop, F.col("weight")).otherwise(0)).cast(kind).alias("loop"),
             F.count(F.lit(1)).alias("degree"),
         )
     )
 
 
-def _share(turn: int, parts: int) -> Column:
-    """The part of the vertices that each belongs to, when a turn cuts them in ``parts``.
+def _counted(rows: DataFrame) -> tuple[DataFrame, int]:
+    """Rows stored, and their number, found on the way."""
+    seen = Observation()
+    stored = materialize(rows.observe(seen, F.count(F.lit(1)).alias("rows")), "moves")
+    return stored, seen.get["rows"]
+
+
+def settle_group(rows: pd.DataFrame, links: pd.DataFrame, numbers: _Numbers, twice_m) -> pd.DataFrame:
+    """Moves ``id, k, label, new_label`` after which no vertex of a group gains by moving, given all others.
 
-    The numbers enter as text: text constants leave the generated code unchanged from sweep to sweep.
+    ``rows`` are ``id, label, weight, own, k, total`` per vertex and community around it, ``links`` the edges inside
+    the group. One vertex after the other goes where it gains most, of equal gains to the smallest label, if it gains
+    by going at all; each move raises the modularity, which ends it. Whole numbers are Python's, of any size.
     """
-    return F.pmod(F.xxhash64("id", F.lit(str(turn))), F.lit(str(parts)).cast("bigint"))
+    number = int if numbers.exact else float
+    p, q = numbers.resolution.numerator, numbers.resolution.denominator
+    near: dict[int, dict[int, object]] = {}
+    total: dict[int, object] = {}
+    home, strength = {}, {}
+    for i, label, weight, own, k, whole in zip(*(rows[c].tolist() for c in ("id", "label", "weight", "own", "k", "total"))):
+        near.setdefault(i, {})[label] = number(weight)
+        total[label] = number(whole)
+        if own:
+            home[i], strength[i] = label, number(k)
+    inside: dict[int, list] = {}
+    for i, j, weight in zip(*(links[c].tolist() for c in ("src", "dst", "weight"))):
+        inside.setdefault(i, []).append((j, number(weight)))
+    scale = q * twice_m if numbers.exact else float(twice_m)
+    cost = p if numbers.exact else float(numbers.resolution)
+    first = dict(home)
+    moving = True
+    while moving:
+        moving = False
+        for i in sorted(home):
+            here, k = home[i], strength[i]
+            price = cost * k
+            stay = scale * near[i].get(here, 0) - price * (total[here] - k)
+            best, there = stay, here
+            for label, weight in near[i].items():
+                if label != here and weight:
+                    gain = scale * weight - price * total[label]
+                    if gain > best or (gain == best and there != here and label < there):
+                        best, there = gain, label
+            if there == here or not numbers.rises(best, stay):
+                continue
+            home[i] = there
+            total[here] -= k
+            total[there] += k
+            for j, weight in inside.get(i, ()):
+                sums = near[j]
+                sums[here] = sums.get(here, 0) - weight
+                sums[there] = sums.get(there, 0) + weight
+            moving = True
+    moved = [(i, strength[i], first[i], label) for i, label in sorted(home.items()) if label != first[i]]
+    return pd.DataFrame(moved, columns=["id", "k", "label", "new_label"])
 
 
-class _Level:
+class Near:
+    """What vertices know: ``id, label, weight, own, k``, a row for each vertex and community around it or its own.
+
+    ``weight`` leads from the vertex to the community, ``own`` is 1 in the row of the vertex's own community, which
+    also holds its strength ``k``, and 0 elsewhere. ``cold`` is bucketed by vertex; ``hot`` holds the rows of hubs,
+    whose sums are spread by vertex and community. ``groups`` has ``label, total, size`` of each community.
+    """
+
+    def __init__(self, cold: DataFrame, hot: DataFrame | None, groups: DataFrame, score):
+        self.cold, self.hot, self.groups, self.score = cold, hot, groups, score
+
+    def rows(self) -> DataFrame:
+        return self.cold if self.hot is None else self.cold.unionByName(self.hot)
+
+    def labels(self) -> DataFrame:
+        """``id, label, k`` of each vertex."""
+        return self.rows().filter("own = 1").select("id", "label", "k")
+
+    def discard(self) -> None:
+        discard(self.cold, self.hot, self.groups)
+
+
+class Level:
     """One network of the hierarchy: its edges, and the sums that do not change while vertices move."""
 
-    def __init__(self, edges: DataFrame, resolution: float, floor: int):
-        self.edges = edges
-        self.resolution = resolution
-        self.floor = floor
-        self.nodes = materialize(_strengths(edges), "level-nodes")
-        self.n, self.twice_m, self.loops = self.nodes.agg(F.count(F.lit(1)), F.sum("k"), F.sum("loop")).first()
+    def __init__(self, edges: DataFrame, numbers: _Numbers, floor: int, group: int = GROUP):
+        self.numbers, self.floor = numbers, floor
+        self.number = int if numbers.exact else float
+        self.edges = edges.select("src", "dst", F.col("weight").cast(numbers.weight).alias("weight"))
+        self.nodes = materialize(_strengths(self.edges), "level-nodes")
+        self.n, twice_m, loops, rows = self.nodes.agg(
+            F.count(F.lit(1)), F.sum("k"), F.sum("loop"), F.sum("degree")).first()
+        self.twice_m, self.loops = self.number(twice_m or 0), self.number(loops or 0)
         self.hubs = hot_keys(self.nodes, ["id"], "degree", floor)
+        rows = int(rows or 0)
+        parallel = self.nodes.sparkSession.sparkContext.defaultParallelism
+        self.buckets = max(1, min(50_000, max(rows // BUCKET_EDGES, min(parallel, rows // LEAST_EDGES))))
+        self.groups = max(1, -(-self.n // group), -(-rows // GROUP_ROWS))
+        both = symmetric_edges(self.edges).filter("src <> dst")
+        to_cold, to_hubs = self.apart(both, "dst")
+        self.by_dst = store_bucketed(to_cold.repartition(self.buckets, "dst"), "level-edges", "dst", self.buckets)
+        self.to_hubs = None if to_hubs is None else materialize(to_hubs, "level-hub-edges")
+
+    def apart(self, rows: DataFrame, end: str) -> tuple[DataFrame, DataFrame | None]:
+        """Rows whose ``end`` is no hub, and the others. The list of hubs is short: each has its share of all edges."""
+        if self.hubs is None:
+            return rows, None
+        hubs = F.broadcast(self.hubs.select(F.col("id").alias(end)))
+        return rows.join(hubs, end, "left_anti"), rows.join(hubs, end, "left_semi")
+
+    def discard(self) -> None:
+        discard(self.nodes, self.by_dst, self.to_hubs, self.hubs)
+
+    def across(self, values: DataFrame) -> DataFrame:
+        """Directed edges ``src, dst, weight`` with the columns of ``values`` for ``dst``; edges to others are left out."""
+        values = values.withColumnRenamed("id", "dst")
+        seen = self.by_dst.join(values, "dst")
+        if self.to_hubs is not None:
+            some = values.join(F.broadcast(self.hubs.select(F.col("id").alias("dst"))), "dst", "left_semi")
+            seen = seen.unionByName(self.to_hubs.join(F.broadcast(some), "dst"))
+        return seen
 
-    def lookup(self, rows: DataFrame, end: str, values: DataFrame) -> DataFrame:
-        """Join ``values``, one row per vertex, to edge rows by one end; rows of hubs are split."""
-        hubs = self.hubs.withColumnRenamed("id", end) if self.hubs else None
-        return split_join(rows, values.withColumnRenamed("id", end), [end], hubs, spread=["src", "dst"])
+    def _row(self, label: str, vertex: str, weight: Column, own: int, k: Column) -> Column:
+        wide = self.numbers.weight
+        return F.struct(F.col(vertex).alias("id"), F.col(label).alias("label"), weight.cast(wide).alias("weight"),
+                        F.lit(own).cast("long").alias("own"), k.cast(wide).alias("k"))
 
-    def assess(self, labels: DataFrame) -> DataFrame:
-        """What every vertex gains most by: one row each, written.
+    def _summed(self, before: Near | None, more: DataFrame) -> Near:
+        """State after rows ``id, label, weight, own, k`` have come in; only these rows are shuffled.
 
-        ``labels`` are ``id, label, k``. The result adds ``inner``, the weight towards the own community,
-        ``total``, the strength of that community, and ``new_label`` where a move, alone, pays. The same pass over the
-        edges thus gives the modularity of ``labels`` and the moves of the next sweep.
+        Two jobs write the weights and the strengths of communities, and tell the score on the way.
         """
-        groups = labels.groupBy("label").agg(F.sum("k").alias("total"), F.count(F.lit(1)).alias("size"))
-        hot = hot_keys(groups, ["label"], "size", self.floor) if self.n > self.floor else None
-        state = materialize(split_join(labels, groups, ["label"], hot, spread=["id"]), "state")
+        wide, product = self.numbers.weight, self.numbers.product
+        inner, squares = [], Observation()
 
-        both = symmetric_edges(self.edges).filter("src <> dst")
-        seen = self.lookup(both, "dst", state.select("id", "label", "total", "size")).select(
-            F.col("src").alias("id"), "label", "weight", "total", "size"
-        )
-        # a row of weight 0 for the own community, which need not hold a neighbour
-        home = state.select("id", "label", F.lit(0).cast(both.schema["weight"].dataType).alias("weight"), "total", "size")
-        near = seen.unionByName(home).groupBy("id", "label").agg(
-            F.sum("weight").cast("double").alias("inner"),
-            F.first("total").alias("total"), F.first("size").alias("size"),
-        )
-        own = state.select("id", "k", F.col("label").alias("own"), F.col("size").alias("own_size"))
-        stays = F.col("label") == F.col("own")
-        # a vertex alone joins another one alone only towards the smaller label
-        upward = (F.col("own_size") == 1) & (F.col("size") == 1) & (F.col("label") > F.col("own"))
-        gain = F.col("inner") - self._cost(F.col("total"))
-        # of equal gains the smallest label, so that the result doesn't depend on the order of rows
-        offer = F.when(~stays & ~upward, F.struct(gain.alias("gain"), (-F.col("label")).alias("minus_label")))
-        best = split_join(near, own, ["id"], self.hubs, spread=["label"]).groupBy("id").agg(
-            F.max(offer).alias("best"), F.max(F.when(stays, F.col("inner"))).alias("inner"),
-            F.max(F.when(stays, F.col("total"))).alias("total"), F.first("k").alias("k"), F.first("own").alias("label"),
-        )
-        stay = F.col("inner") - self._cost(F.col("total") - F.col("k"))
-        pays = (F.col("best.gain") - stay) * 2 / self.twice_m > MIN_GAIN
-        assessed = materialize(best.select("id", "label", "k", "total", "inner", F.when(pays, -F.col("best.minus_label")).alias("new_label")), "assessed")
-        discard(state)
-        return assessed
-
-    def _cost(self, total: Column) -> Column:
-        return F.lit(self.resolution / self.twice_m) * F.col("k") * total
-
-    def score(self, assessed: DataFrame) -> float:
-        """Modularity of the labels."""
-        # the latter sum is that of the squares of group totals
-        inner, squares = assessed.agg(F.sum("inner"), F.sum(F.col("k") * F.col("total"))).first()
-        return (inner + 2 * self.loops) / self.twice_m - self.resolution * squares / self.twice_m**2
-
-    def settle(self) -> tuple[DataFrame, float, float]:
-        """Move vertices until no move pays; labels with modularity before and after.
-
-        A turn cuts the vertices in parts, and those of one part for which a move pays move together: not all, so
-        that two neighbours don't swap for ever. Moves that don't raise the modularity together are taken back and
-        the next turn cuts twice as fine; after a gain it cuts coarser again. At the finest a part has one vertex,
-        whose move pays, so a turn without gain is always followed by one with a gain, until no move pays. Each gain
-        is more than half of ``MIN_GAIN`` and the modularity at most 1: that ends the level, not a limit on turns.
+        def total(rows: DataFrame) -> DataFrame:
+            found = rows.groupBy("id", "label").agg(
+                F.sum("weight").cast(wide).alias("weight"), F.sum("own").alias("own"), F.sum("k").cast(wide).alias("k"))
+            inner.append(Observation())
+            return found.filter((F.col("weight") != 0) | (F.col("own") != 0)).observe(
+                inner[-1], F.sum(F.when(F.col("own") == 1, F.col("weight")).cast(product)).alias("inner"))
+
+        cold, hot = self.apart(more, "id")
+        cold = cold.repartition(self.buckets, "id")
+        if before is not None:
+            cold = before.cold.unionByName(cold)
+            hot = None if hot is None else before.hot.unionByName(hot)
+        near = Near(store_bucketed(total(cold), "near", "id", self.buckets),
+                    None if hot is None else materialize(total(hot), "near-hubs"), None, None)
+        groups = near.rows().filter("own = 1").groupBy("label").agg(F.sum("k").cast(wide).alias("total"), F.count(F.lit(1)).alias("size"))
+        square = (F.col("total").cast(product) * F.col("total").cast(product)).cast(product)
+        near.groups = materialize(groups.observe(squares, F.sum(square).alias("squares")), "groups")
+        near.groups.many = self.n > BROADCAST_GROUPS
+        weights = sum(self.number(seen.get["inner"] or 0) for seen in inner)
+        near.score = self.numbers.score(weights + 2 * self.loops, squares.get["squares"] or 0, self.twice_m)
+        return near
+
+    def count(self, labels: DataFrame) -> Near:
+        """State for ``labels`` (``id, label``), counted anew from all edges."""
+        placed = labels.select("id", "label").join(self.nodes.select("id", "k"), "id")
+        w, none = F.col("weight"), F.lit(0)
+        around = self.across(labels.select("id", "label")).select(F.inline(F.array(self._row("label", "src", w, 0, none))))
+        return self._summed(None, around.unionByName(placed.select(F.inline(F.array(self._row("label", "id", none, 1, F.col("k")))))))
+
+    def update(self, near: Near, moves: DataFrame) -> Near:
+        """State after ``moves`` (``id, k, label, new_label``): the edges of these vertices change side."""
+        w, k, none = F.col("weight"), F.col("k"), F.lit(0)
+        edges = self.across(moves.select("id", "label", "new_label")).select(
+            F.inline(F.array(self._row("label", "src", -w, 0, none), self._row("new_label", "src", w, 0, none))))
+        homes = moves.select(F.inline(F.array(self._row("label", "id", none, -1, -k), self._row("new_label", "id", none, 1, k))))
+        return self._summed(near, edges.unionByName(homes))
+
+    def with_totals(self, rows: DataFrame, near: Near) -> DataFrame:
+        """Rows with the strength of their community. It is sent to all tasks, or joined by shuffle with hot labels split."""
+        totals = near.groups.select("label", "total")
+        if not near.groups.many:
+            return rows.join(F.broadcast(totals), "label")
+        return salted_join(rows, totals, ["label"], spread=["id"], floor=self.floor)
+
+    def moves(self, near: Near, turn: int, classes: int) -> tuple[DataFrame, int]:
+        """``id, k, label, new_label``: how the groups of one class settle while all else stands still; stored and counted.
+
+        """
+        numbers, twice_m, wide = self.numbers, self.twice_m, self.numbers.weight
+
+        def dealt(end: str) -> Column:
+            return F.pmod(F.xxhash64(end), F.lit(self.groups)).cast("int")
+
+        some = near.cold.withColumn("g", dealt("id")).filter(F.pmod("g", F.lit(classes)) == turn)
+        rows = self.with_totals(some, near)
+        links = self.by_dst.withColumn("g", dealt("src")).filter(
+            (F.pmod("g", F.lit(classes)) == turn) & (F.col("g") == dealt("dst")))
+
+        def settle(one: pd.DataFrame, two: pd.DataFrame) -> pd.DataFrame:
+            found = settle_group(one, two, numbers, twice_m)
+            if isinstance(wide, T.DecimalType):
+                found["k"] = found["k"].map(Decimal)
+            return found
+
+        schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("k", wide),
+                               T.StructField("label", T.LongType()), T.StructField("new_label", T.LongType())])
+        return _counted(rows.groupBy("g").cogroup(links.groupBy("g")).applyInPandas(settle, schema))
+
+    def _hub_moves(self, near: Near) -> DataFrame:
+        """Moves of hubs, whose many rows no task need hold: each goes where it gains most."""
+        numbers = self.numbers
+        own = self.with_totals(near.hot.filter("own = 1"), near).select(
+            "id", "k", F.col("label").alias("home"), (F.col("total") - F.col("k")).alias("rest"), F.col("weight").alias("inner"))
+        stay = numbers.gain(F.col("inner"), F.col("k"), F.col("rest"), self.twice_m)
+        there = self.with_totals(near.hot.filter("own = 0").drop("k"), near).join(F.broadcast(own), "id")
+        gain = numbers.gain(F.col("weight"), F.col("k"), F.col("total"), self.twice_m)
+        best = there.withColumn("gain", gain).withColumn("stay", stay).filter(numbers.above(F.col("gain"), F.col("stay"))).groupBy("id").agg(
+            F.max(F.struct("gain", (-F.col("label")).alias("minus_label"))).alias("best"))
+        return best.join(F.broadcast(own), "id").select(
+            "id", "k", F.col("home").alias("label"), (-F.col("best.minus_label")).alias("new_label"))
+
+    def settle(self, start: DataFrame) -> tuple[Near, bool]:
+        """Move vertices from the labels ``start`` until no move pays: the state then, and whether any has moved.
+
+        Classes of groups take turns; at first every second group moves. Moves that don't raise the modularity
+        together are taken back and there are twice as many classes from then on. At the finest a class is one group,
+        whose moves do raise it. When every class has had its turn and nothing has moved since, no move pays. The
+        modularity rises with each turn that counts and there are finitely many partitions: that ends it, not a limit
+        on turns.
         """
-        current = self.assess(self.nodes.select("id", F.col("id").alias("label"), "k"))
-        start = best = self.score(current)
-        parts, turn = 2, 0
-        while True:
-            share = _share(turn, parts)
-            pays = F.col("new_label").isNotNull()
-            picked = current.filter(pays).agg(F.min_by(share, "id")).first()[0]
-            if picked is None:
-                return current.select("id", "label"), start, best
-            goes = pays & (share == F.lit(str(picked)).cast("bigint"))
-            label = F.when(goes, F.col("new_label")).otherwise(F.col("label"))
-            moved = self.assess(current.select("id", label.alias("label"), "k"))
-            q = self.score(moved)
-            turn += 1
-            if q - best > MIN_GAIN / 2:
-                discard(current)
-                current, best, parts = moved, q, max(2, parts // 2)
+        near, moved = self.count(start), False
+        classes = min(2, self.groups)
+        hub_parts, turn, quiet = 1, 0, 0
+        while quiet < classes + (near.hot is not None):
+            if turn == classes and near.hot is not None:
+                moves, count = self._some_hubs(near, hub_parts)
             else:
-                discard(moved)
-                parts *= 2
-
-    def contract(self, labels: DataFrame) -> DataFrame:
-        """Network of communities: weights between them summed, inner weights as self-loops."""
-        edges = self.edges
-        for end in ("src", "dst"):
-            edges = self.lookup(edges, end, labels.withColumnRenamed("label", f"{end}_label"))
-        ends = (F.col("src_label"), F.col("dst_label"))
-        return materialize(
-            edges.groupBy(F.least(*ends).alias("src"), F.greatest(*ends).alias("dst"))
-            .agg(F.sum("weight").alias("weight")),
-            "level-edges",
-        )
+                moves, count = self.moves(near, turn, classes)
+            after = self.update(near, moves) if count else None
+            discard(moves)
+            if after is not None and not self.numbers.rises(after.score, near.score):
+                after.discard()
+                if turn == classes:
+                    hub_parts *= 2
+                else:
+                    classes, turn, quiet = min(2 * classes, self.groups), 0, 0
+                continue
+            hub_turn, hub_parts = turn == classes, 1
+            if after is not None:
+                near.discard()
+                near, moved = after, True
+                quiet = 0
+            # a group that has settled stays so until others move; hubs have moved once only
+            quiet += not (hub_turn and count)
+            turn = 0 if hub_turn and not count else turn if hub_turn else (turn + 1) % (classes + (near.hot is not None))
+        return near, moved
+
+    def _some_hubs(self, near: Near, parts: int) -> tuple[DataFrame, int]:
+        """Moves of hubs, stored and counted; of ``parts`` parts only that of the smallest hub that gains, the hub alone in the end."""
+        moves, count = _counted(self._hub_moves(near))
+        if parts == 1:
+            return moves, count
+        share = F.pmod(F.xxhash64("id"), F.lit(parts))
+        first = moves.agg(F.min(F.struct("id", share.alias("part")))).first()[0]
+        one = _counted(moves.filter((share == first["part"]) & ((F.lit(parts) < 1 << 20) | (F.col("id") == first["id"]))))
+        discard(moves)
+        return one
+
+    def contract(self, near: Near) -> DataFrame:
+        """Network of communities: weights between them summed, inner weights as self-loops. No edge is shuffled."""
+        kind = self.numbers.weight
+
+        def home(rows: DataFrame) -> DataFrame:
+            return rows.filter("own = 1").select("id", F.col("label").alias("home"))
+
+        pairs = near.cold.join(home(near.cold), "id")
+        if near.hot is not None:
+            pairs = pairs.unionByName(near.hot.join(F.broadcast(home(near.hot)), "id"))
+        summed = pairs.filter(F.col("home") <= F.col("label")).groupBy("home", "label").agg(F.sum("weight").cast(kind).alias("weight"))
+        # an inner edge has been met from both of its ends, one between two communities once on this side
+        inner = F.expr("weight div 2").cast(kind) if self.numbers.exact else F.col("weight") / 2
+        links = summed.select(F.col("home").alias("src"), F.col("label").alias("dst"),
+                              F.when(F.col("home") == F.col("label"), inner).otherwise(F.col("weight")).alias("weight"))
+        own = near.labels().select("id", "label")
+        loops = self.nodes.filter("loop <> 0").join(own, "id").groupBy("label").agg(F.sum("loop").cast(kind).alias("weight")).select(
+            F.col("label").alias("src"), F.col("label").alias("dst"), "weight")
+        return materialize(links.unionByName(loops).groupBy("src", "dst").agg(F.sum("weight").cast(kind).alias("weight")), "contracted")
+
+
+def _merge_communities(level: Level, near: Near) -> DataFrame | None:
+    """``label, upper``: what communities become when they move as vertices of ever smaller networks; None if none moves."""
+    members = None
+    edges = level.contract(near)
+    while True:
+        upper = Level(edges, level.numbers, level.floor)
+        found, moved = upper.settle(upper.nodes.select("id", F.col("id").alias("label")))
+        after = None
+        if moved:
+            step = found.labels()
+            if members is None:
+                grown = step.select(F.col("id").alias("label"), F.col("label").alias("upper"))
+            else:
+                inner = step.select(F.col("id").alias("upper"), F.col("label").alias("next"))
+                sizes = members.groupBy("upper").agg(F.count(F.lit(1)).alias("_rows"))
+                grown = salted_join(members, inner, ["upper"], sizes=sizes, floor=level.floor).select("label", F.col("next").alias("upper"))
+            grown = materialize(grown, "members")
+            discard(members)
+            members, after = grown, upper.contract(found)
+        found.discard()
+        upper.discard()
+        discard(edges)
+        if not moved:
+            return members
+        edges = after
 
 
 def louvain(
@@ -153,25 +421,63 @@ def louvain(
 ) -> DataFrame:
     """Community ``modularidade`` of each vertex: 0 is the largest, ties in size by smallest vertex.
 
-    ``edges`` are canonical, weighted and stored. The result does not depend on row order or partitioning.
+    ``edges`` are canonical, weighted and stored. Vertices move, then communities as a whole, and then vertices again,
+    until neither the move of a vertex nor that of a community to another one raises the modularity. The result does
+    not depend on row order or partitioning.
     """
-    level = _Level(edges.select("src", "dst", "weight"), resolution, floor)
+    whole = whole_weights(edges)
+    level = Level(whole, _numbers(whole, resolution), floor)
+    labels = level.nodes.select("id", F.col("id").alias("label"))
     if not level.twice_m:  # no edge, or no weight: every vertex stays alone
-        alone = level.nodes.select("id", F.col("id").alias("label"))
-        return number_rows(alone, [F.col("id")], "modularidade").select("id", F.col("modularidade").cast("int").alias("modularidade"))
-    members = None
+        return number_rows(labels, [F.col("id")], "modularidade").select("id", F.col("modularidade").cast("int").alias("modularidade"))
+    made = None
     while True:
-        labels, before, after = level.settle()
-        if members is None:
-            members = labels
-        else:
-            inner = labels.select(F.col("id").alias("label"), F.col("label").alias("upper"))
-            members = salted_join(members, inner, ["label"], floor=floor).select("id", F.col("upper").alias("label"))
-            members = materialize(members, "members")
-        if after == before:  # no vertex has moved
+        near, _ = level.settle(labels)
+        merged = _merge_communities(level, near)
+        found = near.labels().select("id", "label")
+        if merged is not None:
+            found = salted_join(found, merged, ["label"], spread=["id"], floor=floor).select("id", F.col("upper").alias("label"))
+        labels = materialize(found, "labels")
+        near.discard()
+        discard(merged, made)
+        made = labels
+        if merged is None:
             break
-        level = _Level(level.contract(labels), resolution, floor)
-    sizes = members.groupBy("label").agg(F.count(F.lit(1)).alias("_rows"), F.min("id").alias("first"))
+    level.discard()
+    sizes = labels.groupBy("label").agg(F.count(F.lit(1)).alias("_rows"), F.min("id").alias("first"))
     ranked = number_rows(sizes, [F.col("_rows").desc(), F.col("first")], "modularidade")
     lookup = ranked.select("label", F.col("modularidade").cast("int").alias("modularidade"))
-    return salted_join(members, lookup, ["label"], sizes=ranked, floor=floor).select("id", "modularidade")
+    return salted_join(labels, lookup, ["label"], sizes=ranked, floor=floor).select("id", "modularidade")
+
+
+def optimality(edges: DataFrame, membership: DataFrame, label: str, resolution: float = 1.0, floor: int = HOT_FLOOR) -> DataFrame:
+    """A certificate of a partition, one row, from its labels alone: ``n_vertices``, ``n_groups``, ``n_gaining_moves``,
+    ``n_gaining_merges``.
+
+    The latter two count the vertices that would raise the modularity by going to a community around them, and the
+    pairs of linked communities that would by merging; pairs without a link never do. Whole and decimal weights are
+    compared exactly. Vertices with a NULL label form one group.
+    """
+    whole = whole_weights(edges)
+    numbers = _numbers(whole, resolution)
+    level = Level(whole, numbers, floor)
+    # labels of any type, numbered by their smallest vertex
+    named = level.nodes.select("id").join(membership.select("id", F.col(label).alias("_name")), "id", "left")
+    roots = named.groupBy("_name").agg(F.min("id").alias("label"))
+    labels = materialize(named.join(roots, named["_name"].eqNullSafe(roots["_name"])).select("id", "label"), "certified")
+    near = level.count(labels)
+    own = level.with_totals(near.rows().filter("own = 1"), near).select(
+        "id", F.col("label").alias("home"), F.col("k").alias("strength"), F.col("weight").alias("inner"), F.col("total").alias("home_total"))
+    around = near.rows().filter("own = 0").select("id", "label", "weight")
+    there = level.with_totals(salted_join(around, own, ["id"], spread=["id", "label"], floor=floor), near)
+    gain = numbers.gain(F.col("weight"), F.col("strength"), F.col("total"), level.twice_m)
+    stay = numbers.gain(F.col("inner"), F.col("strength"), F.col("home_total") - F.col("strength"), level.twice_m)
+    moves = there.withColumn("gain", gain).withColumn("stay", stay).groupBy("id").agg(
+        F.max(numbers.above(F.col("gain"), F.col("stay"))).alias("gains")).agg(F.count_if("gains").alias("n_gaining_moves"))
+    pairs = there.filter(F.col("home") < F.col("label")).groupBy("home", "label").agg(
+        F.sum("weight").cast(numbers.weight).alias("weight"), F.first("home_total").alias("one"), F.first("total").alias("two"))
+    zero = F.lit(0).cast(numbers.product)
+    merge = numbers.gain(F.col("weight"), F.col("one"), F.col("two"), level.twice_m)
+    merges = pairs.withColumn("gain", merge).agg(F.count_if(numbers.above(F.col("gain"), zero)).alias("n_gaining_merges"))
+    return near.groups.agg(F.coalesce(F.sum("size"), F.lit(0)).alias("n_vertices"), F.count(F.lit(1)).alias("n_groups")).select(
+        "n_vertices", "n_groups", moves.scalar().alias("n_gaining_moves"), merges.scalar().alias("n_gaining_merges"))

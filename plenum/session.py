@@ -58,10 +58,27 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return stored
 
 
+def store_bucketed(df: DataFrame, label: str, key: str, buckets: int) -> DataFrame:
+    """:func:`materialize` as a table bucketed and sorted by ``key``: later joins and sums by the key don't move its rows.
+
+    Files lie in the shared folder; the catalogue of the session knows the table until :func:`discard`.
+    """
+    spark, path, name = df.sparkSession, scratch_path(df.sparkSession, label), f"plenum_{uuid4().hex}"
+    df.write.format("parquet").bucketBy(buckets, key).sortBy(key).option("path", path).saveAsTable(name)
+    stored = spark.table(name)
+    stored.stored_at, stored.stored_as = path, name
+    return stored
+
+
 def discard(*stored: DataFrame | None) -> None:
-    """Delete tables of :func:`materialize` that nothing reads any more; other frames and None are left alone."""
+    """Delete tables that :func:`materialize` or :func:`store_bucketed` wrote and nothing reads any more.
+
+    Other frames and None are left alone.
+    """
     for df in stored:
-        path = getattr(df, "stored_at", None)
+        path, name = getattr(df, "stored_at", None), getattr(df, "stored_as", None)
+        if name is not None:
+            df.sparkSession.sql(f"DROP TABLE IF EXISTS {name}")
         if path is not None:
             place = df.sparkSession._jvm.org.apache.hadoop.fs.Path(path)
             place.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(place, True)

@@ -1,6 +1,7 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from plenum.operators import centrality, community, graph, metrics
 from plenum.session import materialize
@@ -170,3 +171,64 @@ def test_louvain_does_not_depend_on_row_order(spark, edges):
     q = metrics.modularity(edges(net), spark.createDataFrame(list(one.items()), "id bigint, g int"), "g").first()
     alone = spark.createDataFrame([(v, v) for v in one], "id bigint, g bigint")
     assert q["modularity"] > metrics.modularity(edges(net), alone, "g").first()["modularity"]
+
+
+HEAVY = [(3 * i + a, 3 * i + b, 1) for i in range(60) for a, b in ((0, 1), (1, 2), (0, 2))]
+
+
+@pytest.mark.parametrize("heavy", [1000, 10**15])
+def test_louvain_of_a_heavy_network(edges, heavy):
+    """One edge of any weight leaves the triangles around it whole."""
+    net = materialize(edges([*HEAVY, (9000, 9001, heavy)]), "heavy")
+    found = community.louvain(net)
+    groups = pairs(found)
+    assert len(set(groups.values())) == 61
+    assert all(groups[a] == groups[b] for a, b, _ in HEAVY)
+    assert community.optimality(net, found, "modularidade").first() == (182, 61, 0, 0)
+
+
+def random_net(n, share, seed=3, low=1, high=4):
+    rng = random.Random(seed)
+    return [(i, j, rng.randint(low, high)) for i in range(n) for j in range(i + 1, n) if rng.random() < share]
+
+
+@pytest.mark.parametrize("floor", [community.HOT_FLOOR, 12])
+def test_louvain_keeps_weights_as_a_recount_finds_them(spark, edges, floor):
+    """After any moves the kept weights, strengths and score equal those counted anew from all edges; hubs too."""
+    rows = random_net(40, 0.15) + [(100, i, 1) for i in range(40)] + [(5, 5, 3), (100, 100, 2)]
+    net = community.whole_weights(materialize(edges(rows), "net"))
+    level = community.Level(net, community._numbers(net, 1.0), floor, group=10)
+    assert level.groups > 1 and (level.hubs is not None) == (floor == 12)
+    near = level.count(level.nodes.select("id", F.col("id").alias("label")))
+    for turn in range(3):
+        moves, count = level.moves(near, turn % 2, 2)
+        if floor == 12 and turn == 2:
+            moves, count = level._some_hubs(near, 1)
+        near = level.update(near, moves)
+        anew = level.count(near.labels())
+        for one, two in ((near.rows(), anew.rows()), (near.groups, anew.groups)):
+            assert sorted(map(tuple, one.collect())) == sorted(map(tuple, two.collect()))
+        assert near.score == anew.score and (turn or count)
+
+
+@pytest.mark.parametrize("kind, floor", [("bigint", 12), ("decimal(12,2)", community.HOT_FLOOR), ("double", 12), ("decimal(30,0)", 12)])
+def test_louvain_ends_where_no_move_and_no_merge_pays(spark, edges, kind, floor):
+    rows = random_net(50, 0.12) + [(200, i, 1) for i in range(0, 50, 2)] + [(7, 7, 5), (300, 301, 2), (400, 400, 1)]
+    scale = {"decimal(30,0)": 10**14}.get(kind, 1)
+    net = materialize(edges(rows).withColumn("weight", (F.col("weight") * F.lit(scale).cast("decimal(20,0)")).cast(kind)), "net")
+    found = community.louvain(net, floor=floor)
+    proof = community.optimality(net, found, "modularidade").first()
+    assert (proof.n_vertices, proof.n_gaining_moves, proof.n_gaining_merges) == (54, 0, 0)
+    alone = community.optimality(net, found.withColumn("modularidade", F.col("id")), "modularidade").first()
+    assert alone.n_groups == 54 and alone.n_gaining_moves > 40 and alone.n_gaining_merges > 40
+    q = metrics.modularity(net, found, "modularidade").first()["modularity"]
+    assert q > metrics.modularity(net, found.withColumn("modularidade", F.col("id") % 4), "modularidade").first()["modularity"]
+
+
+def test_certificate_sees_what_would_gain(edges):
+    net = materialize(edges(T2), "t2")
+    members = net.sparkSession.createDataFrame([(i, "a" if i < 4 else None) for i in range(1, 7)], "id bigint, g string")
+    assert community.optimality(net, members, "g").first() == (6, 2, 0, 0)
+    wrong = net.sparkSession.createDataFrame([(i, i % 2) for i in range(1, 7)], "id bigint, g bigint")
+    assert community.optimality(net, wrong, "g").first()["n_gaining_moves"] == 4
+    assert community.optimality(edges([]), members, "g").first() == (0, 0, 0, 0)
