@@ -20,7 +20,7 @@ from plenum.llm.text import (
     FOLDED_BYTES, NOT_SPACE, blocks, flat, gram_hashes, mix, parse_schema, running, small_batches, span_hashes,
     with_struct, word_spans,
 )
-from plenum.session import materialize
+from plenum.session import discard, materialize
 
 SHINGLE, PERCENT = 5, 80
 #: Shingles put last in the order; only the cost depends on them. 8 bytes each are sent to every task.
@@ -161,16 +161,22 @@ def bitmap_links(rows: list[tuple[int, int, bytes]], percent: int) -> Iterator[t
                 group = [new if g == old else g for g in group]
 
 
-def candidate_groups(sets: DataFrame, percent: int, compared: int) -> DataFrame:
-    """``id, component``: classes of equal sets, by smallest document, in groups outside of which none can link.
+def classes_of(sets: DataFrame) -> DataFrame:
+    """Classes of equal sets, a stored table: ``rep``, a number of the class, ``first``, its smallest document, its
+    ``weight`` in rows, and what the set is."""
+    held = sets.filter("n > 0 AND doc_id IS NOT NULL").groupBy("k1", "k2", "n").agg(
+        F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("weight"),
+        F.first("prefix").alias("prefix"), F.first("bits").alias("bits"))
+    return materialize(held.withColumn("rep", F.monotonically_increasing_id()), "classes")
+
+
+def candidate_groups(classes: DataFrame, percent: int, compared: int) -> DataFrame:
+    """``id, component``: classes of equal sets, by number, in groups outside of which none can link.
 
     Classes meet where they share a prefix shingle. The first shingle that two linked sets share also bounds their
     overlap by what follows it in either set; where just two classes meet, sizes and places alone rule most out
     before any bitmap is looked at.
     """
-    held = sets.filter("n > 0 AND doc_id IS NOT NULL")
-    classes = held.groupBy("k1", "k2", "n").agg(
-        F.min("doc_id").alias("rep"), F.first("prefix").alias("prefix"), F.first("bits").alias("bits"))
     # size and place in one number: what is compared first is the size
     tokens = classes.select("rep", "n", F.posexplode("prefix").alias("place", "token")).select(
         "rep", "token", (F.shiftleft("n", 31) + F.col("place")).alias("at"))
@@ -183,7 +189,7 @@ def candidate_groups(sets: DataFrame, percent: int, compared: int) -> DataFrame:
     shared = met.filter((F.col("met") > 2) | ((F.col("met") == 2) & two_fit)).select("token", "met", "least")
     rows = materialize(tokens.join(shared, "token").select("token", "rep", "met", "least"), "shared-shingles")
     stars = rows.filter((F.col("met") > compared) & (F.col("rep") != F.col("least"))).select(F.col("rep").alias("a"), F.col("least").alias("b"))
-    bitmaps = held.groupBy("doc_id").agg(F.first("n").alias("n"), F.first("bits").alias("bits")).withColumnRenamed("doc_id", "rep")
+    bitmaps = classes.select("rep", "n", "bits")
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, group, found = None, [], []
@@ -204,11 +210,13 @@ def candidate_groups(sets: DataFrame, percent: int, compared: int) -> DataFrame:
 
     few = rows.filter(F.col("met") <= compared).join(bitmaps, "rep").select("token", "rep", "n", "bits")
     near = few.repartition("token").sortWithinPartitions("token", "rep").mapInArrow(task, "a bigint, b bigint")
-    return components(near.unionByName(stars), "a", "b")
+    found = components(near.unionByName(stars), "a", "b")
+    discard(rows)
+    return found
 
 
 def tiles_of(members: DataFrame, percent: int, tile_docs: int, tile_shingles: int) -> DataFrame:
-    """``rep, k1, k2, weight, tiles``: the tiles each class goes to.
+    """``rep, first, k1, k2, weight, tiles``: the tiles each class goes to.
 
     A group that fits is one tile. A larger one is cut by size into bands so wide that a class links only into its
     own and the next band; a tile has one band and the next. A band that is still too large is cut into blocks by a
@@ -229,9 +237,9 @@ def tiles_of(members: DataFrame, percent: int, tile_docs: int, tile_shingles: in
     tile = F.xxhash64("component", "band", F.least("part", "other"), F.greatest("part", "other"))
     return (
         cut.withColumn("other", other)
-        .select("rep", "k1", "k2", "weight", F.struct(
+        .select("rep", "first", "k1", "k2", "weight", F.struct(
             tile.alias("tile"), "upper", "part", (F.col("part") == F.col("other")).alias("own")).alias("t"))
-        .groupBy("rep", "k1", "k2", "weight").agg(F.collect_list("t").alias("tiles"))
+        .groupBy("rep", "first", "k1", "k2", "weight").agg(F.collect_list("t").alias("tiles"))
     )
 
 
@@ -313,7 +321,7 @@ def tile_links(reps: np.ndarray, weights: np.ndarray, sets: list[np.ndarray], up
 
 
 def verified_links(docs: DataFrame, key: str, text: str, tiles: DataFrame, size: int, percent: int) -> DataFrame:
-    """``rep, least, links``: what the tiles find. A task holds one tile at a time."""
+    """``rep, least, links`` by number of class: what the tiles find. A task holds one tile at a time."""
 
     def arrays(texts: pa.Array) -> dict[str, pa.Array]:
         made: dict[str, list] = {f.name: [] for f in ARRAYS}
@@ -346,9 +354,9 @@ def verified_links(docs: DataFrame, key: str, text: str, tiles: DataFrame, size:
         if len(rows) > 1:
             yield finish()
 
-    some = docs.select(F.col(key).cast("bigint").alias("rep"), F.col(text).alias("text")).filter("rep IS NOT NULL")
+    some = docs.select(F.col(key).cast("bigint").alias("first"), F.col(text).alias("text")).filter("first IS NOT NULL")
     few = tiles.withColumnsRenamed({"k1": "c1", "k2": "c2"})
-    wanted = some.join(F.broadcast(few) if few.count() <= SMALL_LIST else few, "rep")
+    wanted = some.join(F.broadcast(few) if few.count() <= SMALL_LIST else few, "first")
     made = with_struct(wanted, ["text"], "a", ARRAYS, arrays).filter("a.k1 = c1 AND a.k2 = c2")
     dealt = made.select("rep", "weight", F.explode("tiles").alias("t"), F.col("a.shingles").alias("shingles")).select(
         "t.tile", "rep", "weight", "t.upper", "t.part", "t.own", "shingles")
@@ -364,28 +372,46 @@ def jaccard_components(
     Words are runs of non-spaces, A-Z in lower case; a text of fewer than ``size`` words is one shingle. Equal sets
     form a class and are compared once; ``n_links`` counts all linked rows, those of the same class included. A null
     or empty text has no shingles, links with nothing and is its own component. Rows that repeat a ``doc_id`` are one
-    document; a null ``doc_id`` takes no part and has a null component and
+    document, which links by each of its texts; a null ``doc_id`` takes no part and has a null component and
     number of links. The join is exact up to equal 64-bit hashes.
     """
     with small_batches(docs.sparkSession):
         sets = sets_of(docs, key, text, common_shingles(docs, text, size, common), size, percent)
-        narrow = sets.select("doc_id", "n", "k1", "k2")
-        classes = narrow.filter("n > 0 AND doc_id IS NOT NULL").groupBy("k1", "k2", "n").agg(
-            F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("weight"))
-        groups = candidate_groups(sets, percent, compared)
-        members = materialize(classes.join(groups.withColumnRenamed("id", "rep"), "rep"), "candidates")
+        classes, narrow = classes_of(sets), materialize(sets.select("doc_id", "n", "k1", "k2"), "set-keys")
+        discard(sets)
+        groups = candidate_groups(classes, percent, compared)
+        members = classes.select("rep", "first", "k1", "k2", "n", "weight").join(groups.withColumnRenamed("id", "rep"), "rep")
+        members = materialize(members, "candidates")
         tiles = materialize(tiles_of(members, percent, tile_docs, tile_shingles), "tiles")
         found = materialize(verified_links(docs, key, text, tiles, size, percent), "links")
-    linked = components(found, "rep", "least")
+        discard(members, tiles)
+    # a document of several texts joins their classes
+    several = materialize(narrow.filter("doc_id IS NOT NULL").distinct().groupBy("doc_id").agg(
+        F.count(F.lit(1)).alias("texts")).filter("texts > 1").select("doc_id"), "several-texts")
+    repeated = not several.isEmpty()
+    links = found.select("rep", "least")
+    if repeated:
+        held = narrow.join(several, "doc_id").join(classes.select("k1", "k2", "n", "rep"), ["k1", "k2", "n"]).select("doc_id", "rep").distinct()
+        least = held.groupBy("doc_id").agg(F.min("rep").alias("least"))
+        links = links.unionByName(held.join(least, "doc_id").select("rep", "least").filter("rep <> least"))
+    linked = materialize(components(links, "rep", "least").toDF("rep", "component"), "linked")
     counts = found.groupBy("rep").agg(F.sum("links").alias("links"))
-    named = classes.join(linked.withColumnRenamed("id", "rep"), "rep", "left").join(counts, "rep", "left").select(
-        "k1", "k2", "n", F.coalesce("component", "rep").alias("component"), "weight", "links")
+    some = classes.select("rep", "first", "k1", "k2", "n", "weight")
+    smallest = some.join(linked, "rep").groupBy("component").agg(F.min("first").alias("smallest"))
+    named = some.join(linked.join(smallest, "component"), "rep", "left").join(counts, "rep", "left").select(
+        "k1", "k2", "n", F.coalesce("smallest", "first").alias("component"), "weight", "links")
     none = F.lit(0).cast("bigint")
     links = F.when(F.col("n") > 0, F.coalesce("links", none) + F.col("weight") - 1).otherwise(none)
-    return narrow.join(named, ["k1", "k2", "n"], "left").select(
+    placed = narrow.join(named, ["k1", "k2", "n"], "left").select(
         "doc_id", F.col("n").alias("n_shingles"),
         F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")).alias("component_id"),
         F.when(F.col("doc_id").isNotNull(), links).alias("n_links"))
+    if not repeated:
+        return placed
+    # a row without words goes with the other texts of its document
+    whole = placed.join(several, "doc_id").groupBy("doc_id").agg(F.min("component_id").alias("of_all"))
+    return placed.join(whole, "doc_id", "left").select(
+        "doc_id", "n_shingles", F.coalesce("of_all", "component_id").alias("component_id"), "n_links")
 
 
 def keep_first(docs: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:

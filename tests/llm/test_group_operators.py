@@ -68,6 +68,26 @@ def near_copies():
     return rows + [(300 + i, f"{shared} " + " ".join(f"u{i}v{k}" for k in range(10 + i))) for i in range(25)]
 
 
+def test_jaccard_join_keeps_links_of_repeated_ids(spark):
+    """A document of several texts links by each of them, and joins what they link with."""
+    a, b = (" ".join(f"{x}{k}" for k in range(40)) for x in "ab")
+    rows = [(5, a), (5, b), (6, a + " tail"), (7, b + " tail"), (8, None), (8, a), (3, b + " end"), (9, "alone"), (9, "alone"), (10, None)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = sorted(map(tuple, jaccard.jaccard_components(docs).collect()), key=key)
+    assert got == brute_jaccard(rows)
+    assert {r[0]: r[2] for r in got} == {**dict.fromkeys((3, 5, 6, 7, 8), 3), 9: 9, 10: 10}
+    assert sorted(r.doc_id for r in jaccard.keep_first(docs).collect()) == [3, 9, 10]
+
+
+@settings(max_examples=6, deadline=None)
+@given(st.lists(st.tuples(st.integers(0, 5), st.integers(0, 9), st.integers(0, 3)), max_size=14))
+def test_jaccard_join_of_any_repeated_ids(spark, drawn):
+    base = [f"w{k}" for k in range(30)]
+    rows = [(i, " ".join(base[cut : cut + 20] + ["x"] * (tail > 1) + [f"t{tail}"])) for i, cut, tail in drawn]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    assert sorted(map(tuple, jaccard.jaccard_components(docs).collect()), key=key) == brute_jaccard(rows)
+
+
 @pytest.mark.parametrize("options", [{}, {"tile_docs": 4, "common": 0}, {"tile_docs": 9, "tile_shingles": 700, "compared": 3}])
 def test_jaccard_join_equals_brute_force(spark, options):
     rows = near_copies()
