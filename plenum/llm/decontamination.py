@@ -29,7 +29,7 @@ class TestSuffixes:
     vocabulary: np.ndarray  # sorted word hashes; word i has id i + 1
     windows: np.ndarray  # one row of word ids for each different window, 0 beyond its end
     lengths: np.ndarray
-    uses: np.ndarray  # (window, item, place in the item), by window
+    uses: np.ndarray  # (window, item, place in its text, text), by window
     first_use: np.ndarray
     items: list[str]
 
@@ -44,6 +44,8 @@ def words_of(texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray
 def test_suffixes(items: list[str], texts: pa.Array, window: int) -> TestSuffixes | None:
     """All suffixes of the items cut to ``window`` words, or None when no item has a word."""
     rows, uses, lengths = [], [], []
+    names = list(dict.fromkeys(items))  # several texts of one id are one item
+    number = {name: k for k, name in enumerate(names)}
     for low, _, hashes, first in words_of(texts):
         for i, (a, b) in enumerate(zip(first[:-1], first[1:])):
             size = min(window, b - a)
@@ -53,7 +55,7 @@ def test_suffixes(items: list[str], texts: pa.Array, window: int) -> TestSuffixe
                 grid[:, :size] = hashes[a + places[:, None] + np.arange(size)]
                 rows.append(grid)
                 lengths.append(np.full(len(places), size))
-                uses.append(np.stack([np.full(len(places), low + i), places], axis=1))
+                uses.append(np.stack([np.full(len(places), number[items[low + i]]), places, np.full(len(places), low + i)], axis=1))
     if not rows:
         return None
     grid, sizes, used = np.concatenate(rows), np.concatenate(lengths), np.concatenate(uses)
@@ -65,7 +67,7 @@ def test_suffixes(items: list[str], texts: pa.Array, window: int) -> TestSuffixe
     order = np.argsort(which, kind="stable")
     first_use = np.searchsorted(which[order], np.arange(len(windows) + 1))
     uses_by_window = np.column_stack([which, used])[order]
-    return TestSuffixes(vocabulary, windows, (windows > 0).sum(axis=1), uses_by_window, first_use, items)
+    return TestSuffixes(vocabulary, windows, (windows > 0).sum(axis=1), uses_by_window, first_use, names)
 
 
 def suffix_array(ids: np.ndarray, depth: int) -> np.ndarray:
@@ -161,7 +163,7 @@ def mark(texts: pa.Array, tests: TestSuffixes) -> dict[str, pa.Array]:
         # every use of each window met: (item, place in item, place in shard)
         uses = tests.first_use[window + 1] - tests.first_use[window]
         use = np.arange(uses.sum()) - np.repeat(np.cumsum(uses) - uses, uses) + np.repeat(tests.first_use[window], uses)
-        item, in_item = tests.uses[use, 1], tests.uses[use, 2]
+        item, in_item, source = tests.uses[use, 1], tests.uses[use, 2], tests.uses[use, 3]
         at, size = np.repeat(place, uses), np.repeat(tests.lengths[window], uses)
         doc = np.searchsorted(first, at, "right") - 1
         pairs = np.unique(np.column_stack([doc, item]), axis=0) if len(doc) else np.zeros((0, 2), np.int64)
@@ -171,10 +173,11 @@ def mark(texts: pa.Array, tests: TestSuffixes) -> dict[str, pa.Array]:
 
         # windows that follow one another in text and item are one longer match
         shift = at - in_item
-        order2 = np.lexsort((at, shift, item, doc))
+        order2 = np.lexsort((at, shift, source, item, doc))
         doc2, item2, shift2, at2, size2 = doc[order2], item[order2], shift[order2], at[order2], size[order2]
+        source2 = source[order2]
         new = np.ones(len(at2), bool)
-        new[1:] = (doc2[1:] != doc2[:-1]) | (item2[1:] != item2[:-1]) | (shift2[1:] != shift2[:-1]) | (at2[1:] != at2[:-1] + 1)
+        new[1:] = (doc2[1:] != doc2[:-1]) | (source2[1:] != source2[:-1]) | (shift2[1:] != shift2[:-1]) | (at2[1:] != at2[:-1] + 1)
         head = np.flatnonzero(new)
         tail = np.concatenate([head[1:], [len(at2)]]) - 1 if len(head) else head
         match_cut = np.searchsorted(doc2[head], np.arange(n + 1))
@@ -196,7 +199,7 @@ def _kind(name: str) -> pa.DataType:
 def test_blocks(benchmark: DataFrame, item: str, text: str, window: int, limit: int = TEST_BLOCK) -> Iterator[TestSuffixes]:
     """The test items in blocks of about ``limit`` bytes; the driver holds one block while it is prepared."""
     rows = benchmark.select(F.col(item).cast("string").alias("item"), F.col(text).alias("text")).filter(
-        F.col("item").isNotNull() & F.col("text").isNotNull())
+        F.col("item").isNotNull() & F.col("text").isNotNull()).distinct()
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = -(-size // limit) or 1
     for part in range(parts):
@@ -241,7 +244,7 @@ def find_matches(
 
 def test_suffixes_none() -> TestSuffixes:
     """What an empty benchmark gives: one window that no text can hold."""
-    empty = np.zeros((0, 3), np.int64)
+    empty = np.zeros((0, 4), np.int64)
     return TestSuffixes(np.array([0], np.uint64), np.ones((1, 1), np.int32), np.array([1 << 40]), empty,
                         np.zeros(2, np.int64), [])
 

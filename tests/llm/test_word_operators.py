@@ -264,3 +264,13 @@ def test_round_trip_of_edge_cases(docs, library):
         assert wide.columns == [*docs.columns, "kept_"]
         assert wide.agg(F.sum("kept_.n_tokens")).first()[0] == sum(len(e[4]) for e in expected)
     assert bpe.round_trip(docs.limit(0), VOCABULARY, public_tokenizers.PATTERN).count() == 0
+
+
+@pytest.mark.parametrize("block", [100, 8 << 20])
+def test_items_that_repeat_an_id_count_once(spark, block):
+    a, b = (" ".join(f"{x}{k}" for k in range(14)) for x in "pq")
+    docs = spark.createDataFrame([(1, f"see {a} and {b} there"), (2, b), (3, "none of it")], "doc_id bigint, text string")
+    items = spark.createDataFrame([(1, a), (1, a), (2, a), (1, b), (3, "other words"), (None, a), (4, None)], "item_id bigint, text string")
+    got = {r.doc_id: (r.n_items, list(r["items"]), r.longest_match, r.n_hit)
+           for r in decontamination.contamination(docs, items, test_block=block).collect()}
+    assert got == {1: (2, ["1", "2"], 14, 28), 2: (1, ["1"], 14, 14), 3: (0, [], 0, 0)}
