@@ -65,9 +65,10 @@ _PATHS = _NETWORK + ["walks", "distances", "path_steps", "path_counts", "through
 _BRIDGING = _COEFFICIENTS + _PATHS[len(_NETWORK):] + ["bridging", "bridging_limits"]
 
 
-def _with(steps: list[str], select: str) -> str:
-    recursive = "RECURSIVE " if "walks" in steps else ""
-    return f"WITH {recursive}" + ",\n".join(f"{name} AS ({_STEPS[name]})" for name in steps) + "\n" + select
+def _with(steps: list[str], select: str, **other: str) -> str:
+    """A query on named steps; ``other`` holds steps that this query has instead of the common ones."""
+    recursive, known = "RECURSIVE " if "walks" in steps else "", {**_STEPS, **other}
+    return f"WITH {recursive}" + ",\n".join(f"{name} AS ({known[name]})" for name in steps) + "\n" + select
 
 
 def _quartile(value: str) -> str:
@@ -227,6 +228,17 @@ def all_oracles() -> dict[str, str]:
             _PATHS,
             'SELECT id, round(centralidade_intermediacao, 9) AS "Centralidade_Intermediacao" FROM central',
         ),
+        "betweenness_by_sources": _with(
+            _PATHS,
+            'SELECT id, round(centralidade_intermediacao, 9) AS "Centralidade_Intermediacao" FROM central',
+        ),
+        "betweenness_inverse": _with(
+            _PATHS[:3] + ["weighted"] + _PATHS[3:],
+            'SELECT id, round(centralidade_intermediacao, 9) AS "Centralidade_Intermediacao" FROM central',
+            weighted=_STEPS["edges"],
+            edges="""SELECT src, dst, CAST((SELECT list_reduce(list(DISTINCT weight), lambda a, b: lcm(a, b))
+                FROM weighted) // weight AS BIGINT) AS weight FROM weighted""",
+        ),
         "bridging_coefficient": _with(
             _COEFFICIENTS, "SELECT id, round(coef_ponte, 9) AS coef_ponte FROM coefficients"
         ),

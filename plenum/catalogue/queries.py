@@ -330,6 +330,25 @@ def betweenness(spark, sf_dir):
     return centrality.betweenness(network(spark, sf_dir).edges)
 
 
+@query
+def betweenness_inverse(spark, sf_dir):
+    """Strong agreement as nearness: path lengths are sums of reciprocal weights."""
+    return centrality.betweenness(network(spark, sf_dir).edges, distance="inverse")
+
+
+@query
+def betweenness_by_sources(spark, sf_dir):
+    """The betweenness summed over three disjoint sets of sources, each in two passes kept in a folder."""
+    net = network(spark, sf_dir)
+    folder, parts = scratch_path(spark, "passes"), []
+    rows = max(1, net.vertices.count() ** 2 // 5)
+    for part in range(3):
+        some = net.vertices.select("id").filter(F.pmod("id", F.lit(3)) == part)
+        parts.append(centrality.betweenness(net.edges, sources=some, state_rows=rows, resume=folder))
+    whole = parts[0].unionByName(parts[1]).unionByName(parts[2])
+    return whole.groupBy("id").agg(F.sum("Centralidade_Intermediacao").alias("Centralidade_Intermediacao"))
+
+
 @query
 def bridging_coefficient(spark, sf_dir):
     return metrics.bridging_coefficient(network(spark, sf_dir).edges)

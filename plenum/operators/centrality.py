@@ -8,9 +8,12 @@ join with the edges and a grouped sum, written to the shared folder, so only row
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
+from decimal import Decimal
 from functools import reduce
+from hashlib import sha256
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -25,6 +28,38 @@ BROADCAST_EDGES = 1_000_000
 PUSH_ROWS = 500_000
 # (source, vertex) rows worked on at a time; more sources than that are taken in several passes.
 STATE_ROWS = 20_000_000_000
+# Different weights whose reciprocals are brought to one denominator; more have none that fits 38 digits.
+MOST_WEIGHTS = 200_000
+
+
+def inverse_lengths(edges: DataFrame, weight: str = "weight") -> DataFrame:
+    """``src, dst, weight`` with one over the weight as length, in whole multiples of one over a common multiple.
+
+    Sums of reciprocals are thus compared exactly. Weights must be positive and whole or decimal. BIGINT where a path
+    of all vertices fits it, else DECIMAL(38, 0); a network whose lengths fit neither is refused.
+    """
+    kind = edges.schema[weight].dataType
+    if not isinstance(kind, (T.IntegralType, T.DecimalType)):
+        raise ValueError("reciprocals are compared for equality: cast the weight to BIGINT or DECIMAL")
+    scale = kind.scale if isinstance(kind, T.DecimalType) else 0
+    whole = (F.col(weight) * F.lit(Decimal(10**scale))).cast("decimal(38,0)")
+    rows = edges.select("src", "dst", whole.alias("weight"))
+    found = rows.filter("weight IS NOT NULL").select("weight").distinct().limit(MOST_WEIGHTS + 1).collect()
+    weights = sorted(int(row.weight) for row in found)
+    if weights and weights[0] <= 0:
+        raise ValueError("weights are inverted to distances and must be positive")
+    common, ends = 1, rows.count() + 1  # a shortest path has no more steps than there are edges
+    for w in weights if len(weights) <= MOST_WEIGHTS else ():
+        common = math.lcm(common, w)
+        if common * ends >= 10**38:
+            break
+    if len(weights) > MOST_WEIGHTS or common * ends >= 10**38:
+        raise ValueError("the reciprocals of these weights have no common denominator of 38 digits")
+    lengths = edges.sparkSession.createDataFrame(
+        [(Decimal(w), Decimal(common // w)) for w in weights], "weight decimal(38,0), length decimal(38,0)")
+    exact = F.col("length").cast("bigint" if common * ends < 1 << 62 else "decimal(38,0)")
+    # at most MOST_WEIGHTS rows on the right
+    return rows.join(F.broadcast(lengths), "weight").select("src", "dst", exact.alias("weight"))
 
 
 class _Walks:
@@ -34,7 +69,7 @@ class _Walks:
         kind = edges.schema[weight].dataType
         if isinstance(kind, (T.FloatType, T.DoubleType)):
             raise ValueError("path lengths are compared for equality: cast the weight to BIGINT or DECIMAL")
-        self.d_type = T.LongType() if isinstance(kind, T.IntegralType) else T.DecimalType(38, 9)
+        self.d_type = T.LongType() if isinstance(kind, T.IntegralType) else T.DecimalType(38, kind.scale)
         both = symmetric_edges(edges.select("src", "dst", F.col(weight).cast(self.d_type).alias("weight")))
         both = materialize(both.toDF("u", "v", "w"), "walk-edges")
         step = F.col("u") != F.col("v")  # a self-loop is on no shortest path, but its vertex counts
@@ -105,18 +140,19 @@ def _merge(known: DataFrame, longer: DataFrame, hops: int) -> DataFrame:
     )
 
 
-def _shortest(walks: _Walks, mine: Column) -> DataFrame:
+def _shortest(walks: _Walks, mine: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """Per source and vertex: distance ``d``, number of shortest paths ``paths`` and largest hop count ``depth``.
 
-    Walks of no edge and of one edge are the vertices and the edges themselves. One state is kept, and each round
-    replaces it: it is read once per round, and only the walks that are new in it are extended.
+    ``mine`` picks the rows of this pass's sources. Walks of no edge and of one edge are the vertices and the edges
+    themselves. One state is kept, and each round replaces it: it is read once per round, and only the walks that are
+    new in it are extended.
     """
     one = F.lit(1.0).alias("paths")
     none = walks.node.select(
         F.col("u").alias("s"), F.col("u").alias("v"), F.lit(0).cast(walks.d_type).alias("d"), one, F.lit(0).alias("depth"))
     single = walks.edges.select(F.col("u").alias("s"), "v", F.col("w").alias("d"), one)
     hops = 1
-    state = materialize(_merge(none.filter(mine), single.filter(mine), hops), "walks")
+    state = materialize(_merge(mine(none), mine(single), hops), "walks")
     while True:
         last = state.filter("fresh > 0").select("s", "v", "d", F.col("fresh").alias("paths"))
         rows = last.count()
@@ -164,34 +200,89 @@ def _dependencies(walks: _Walks, state: DataFrame) -> DataFrame | None:
     return total
 
 
+def _fingerprint(walks: _Walks, sources: DataFrame | None, passes: int) -> str:
+    """What the sums of a pass depend on: edges, lengths, sources, and how these are dealt to passes."""
+    def digest(rows: DataFrame) -> tuple:
+        row = F.xxhash64(*rows.columns).cast("decimal(38,0)")
+        return tuple(rows.agg(F.count(F.lit(1)), F.sum(row), F.sum(row * F.lit(31) % F.lit(1_000_003))).first())
+
+    told = (digest(walks.edges.union(walks.node.select("u", "u", F.lit(0).cast(walks.d_type)))),
+            None if sources is None else digest(sources), passes, walks.d_type.simpleString())
+    return sha256(repr(told).encode()).hexdigest()[:24]
+
+
+def _stored_sums(spark: SparkSession, path: str) -> DataFrame | None:
+    """The sums of a finished pass, if there are any."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
+    if not place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place):
+        return None
+    return spark.read.schema("id bigint, raw double").parquet(path)
+
+
 def betweenness(
     edges: DataFrame,
     weight: str = "weight",
     broadcast_edges: int = BROADCAST_EDGES,
     state_rows: int = STATE_ROWS,
     floor: int = HOT_FLOOR,
+    distance: str = "weight",
+    sources: DataFrame | None = None,
+    resume: str | None = None,
 ) -> DataFrame:
-    """Share of shortest paths through each vertex, with the weight as distance.
+    """Share of shortest paths through each vertex.
+
+    The weight is the distance, or with ``distance="inverse"`` one over the weight, so that strong ties are short.
+    Exact: the weight must be positive and of an exact type, and reciprocals are compared as whole numbers. End points
+    do not count and values are divided by (n - 1)(n - 2).
 
-    Exact, over all sources; end points do not count and values are divided by (n - 1)(n - 2). The weight must be
-    positive and of an exact type. Sources are taken in passes of at most ``state_rows`` pairs, which bounds the
-    space in use and changes no result.
+    ``sources``, a column ``id``, restricts the paths to those that begin at these vertices; ids that are not in the
+    network, nulls and repeated ids change nothing. The results of disjoint sets of sources add up to that of their
+    union, and that of k sources times n / k estimates the whole (Brandes and Pich 2007).
+
+    Sources are taken in passes of at most ``state_rows`` pairs, which bounds the space in use and changes no result.
+    With ``resume``, a folder all executors reach, the sums of each finished pass are kept there under its number and a
+    fingerprint of the network, so a driver that starts anew goes on with the next pass.
     """
+    if distance not in ("weight", "inverse"):
+        raise ValueError("distance is weight or inverse")
+    spark = edges.sparkSession
+    if distance == "inverse":
+        edges, weight = materialize(inverse_lengths(edges, weight), "lengths"), "weight"
     walks = _Walks(edges, weight, broadcast_edges, floor)
-    passes = max(1, math.ceil(walks.n * walks.n / state_rows))
+    if distance == "inverse":
+        discard(edges)
+    begun = walks.n
+    if sources is not None:
+        ids = sources.select(F.col("id").cast("bigint").alias("s")).distinct()
+        sources = materialize(ids.join(walks.node.select(F.col("u").alias("s")), "s", "left_semi"), "sources")
+        begun = sources.count()
+    passes = max(1, math.ceil(begun * walks.n / state_rows))
+    folder = None if resume is None else f"{resume.rstrip('/')}/{_fingerprint(walks, sources, passes)}"
+
+    def pick(rows: DataFrame, turn: int) -> DataFrame:
+        some = rows if sources is None else rows.join(sources, "s", "left_semi").select(*rows.columns)
+        return some.filter(F.pmod(F.xxhash64("s"), F.lit(passes)) == turn)
+
     sums = []
     for turn in range(passes):
-        mine = F.pmod(F.xxhash64("s"), F.lit(passes)) == turn
-        state = _shortest(walks, mine)
-        total = _dependencies(walks, state)
-        discard(state)
+        path = None if folder is None else f"{folder}/pass-{turn:06d}"
+        total = None if path is None else _stored_sums(spark, path)
+        if total is None:
+            state = _shortest(walks, lambda rows: pick(rows, turn))
+            total = _dependencies(walks, state)
+            discard(state)
+            if path is not None:
+                none = spark.createDataFrame([], "id bigint, raw double")
+                (none if total is None else total).write.mode("overwrite").parquet(path)
+                discard(total)
+                total = _stored_sums(spark, path)
         if total is not None:
             sums.append(total)
     vertices = walks.node.select(F.col("u").alias("id"))
     if not sums:
         return vertices.select("id", F.lit(0.0).alias("Centralidade_Intermediacao"))
     raw = _union(sums).groupBy("id").agg(F.sum("raw").alias("raw"))
-    scale = float((walks.n - 1) * (walks.n - 2))  # positive: a part needs three vertices
+    scale = float(max(1, (walks.n - 1) * (walks.n - 2)))  # a part needs three vertices
     value = (F.coalesce("raw", F.lit(0.0)) / scale).alias("Centralidade_Intermediacao")
     return vertices.join(raw, "id", "left").select("id", value)
 

@@ -50,9 +50,9 @@ class _Numbers:
         p, q = self.resolution.numerator, self.resolution.denominator
         if not self.exact:
             return inner * F.lit(float(twice_m)) - F.lit(float(self.resolution)) * k * total
-        whole = T.DecimalType(38, 0) if isinstance(self.product, T.DecimalType) else T.LongType()
-        return (inner.cast(whole) * F.lit(q * twice_m).cast(whole)).cast(whole) - (
-            (k.cast(whole) * F.lit(p).cast(whole)).cast(whole) * total.cast(whole)).cast(whole)
+        whole = self.product
+        return (inner.cast(whole) * F.lit(Decimal(q * twice_m)).cast(whole)).cast(whole) - (
+            (k.cast(whole) * F.lit(Decimal(p)).cast(whole)).cast(whole) * total.cast(whole)).cast(whole)
 
     def above(self, a: Column, b: Column) -> Column:
         return a > b if self.exact else a - b > ROUNDING * (F.abs(a) + F.abs(b))
@@ -72,7 +72,7 @@ def whole_weights(edges: DataFrame) -> DataFrame:
     kind = edges.schema["weight"].dataType
     weight = F.col("weight")
     if isinstance(kind, T.DecimalType):
-        weight = (weight * F.lit(10**kind.scale).cast("decimal(38,0)")).cast("decimal(38,0)")
+        weight = (weight * F.lit(Decimal(10**kind.scale))).cast("decimal(38,0)")
     elif isinstance(kind, T.IntegralType):
         weight = weight.cast("bigint")
     return edges.select("src", "dst", weight.alias("weight"))

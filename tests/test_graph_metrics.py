@@ -1,3 +1,4 @@
+import math
 import random
 
 import pytest
@@ -150,6 +151,58 @@ def test_betweenness_needs_exact_positive_weights(spark, edges):
     assert pairs(centrality.betweenness(tenths)) == {1: 0.0, 2: 0.5, 3: 0.0}
 
 
+def test_betweenness_with_strong_ties_as_near(spark, edges):
+    """Lengths are sums of reciprocals, compared exactly: 1/3 + 1/6 = 1/2 ties, as doubles need not."""
+    found = pairs(centrality.betweenness(edges([(1, 2, 3), (2, 3, 6), (1, 3, 2)]), distance="inverse"))
+    assert found == {1: 0.0, 2: 0.5, 3: 0.0}
+    net = [(i, j, w) for i, j, w in random_net(14, 0.4, seed=5, low=1, high=12)]
+    scale = math.lcm(*(w for *_, w in net))
+    brute = brute_betweenness([(a, b, scale // w) for a, b, w in net])
+    found = pairs(centrality.betweenness(edges(net), distance="inverse"))
+    assert found == pytest.approx(brute) and set(found) == set(brute)
+    tenths = edges(net).withColumn("weight", (F.col("weight") / 10).cast("decimal(10,1)"))
+    assert pairs(centrality.betweenness(tenths, distance="inverse")) == pytest.approx(brute)
+    primes = [(i, i + 1, p) for i, p in enumerate(p for p in range(100, 400) if all(p % q for q in range(2, p)))]
+    with pytest.raises(ValueError, match="common denominator"):
+        centrality.betweenness(edges(primes), distance="inverse")
+    with pytest.raises(ValueError, match="positive"):
+        centrality.betweenness(edges([(1, 2, 0)]), distance="inverse")
+    big = [(1, 2, 999_999_999_989), (2, 3, 999_999_999_961), (1, 3, 499_999_999_000)]  # lengths beyond 64 bits
+    assert pairs(centrality.betweenness(edges(big), distance="inverse")) == {1: 0.0, 2: 1.0, 3: 0.0}
+    assert pairs(centrality.betweenness(edges([]), distance="inverse")) == {}
+
+
+def test_betweenness_goes_on_after_a_lost_pass(spark, edges, tmp_path, monkeypatch):
+    """Sources in passes, one of which fails: the rerun computes that one and those after it only."""
+    net = materialize(edges(random_net(15, 0.3, seed=9)), "net")
+    whole, folder = pairs(centrality.betweenness(net)), str(tmp_path / "passes")
+    done, shortest = [], centrality._shortest
+
+    def watched(walks, mine):
+        done.append(1)
+        if len(done) == 3:
+            raise RuntimeError("driver lost")
+        return shortest(walks, mine)
+
+    monkeypatch.setattr(centrality, "_shortest", watched)
+    with pytest.raises(RuntimeError):
+        centrality.betweenness(net, state_rows=60, resume=folder)
+    found = pairs(centrality.betweenness(net, state_rows=60, resume=folder))
+    assert found == pytest.approx(whole) and len(done) == 3 + 4 - 2
+    assert pairs(centrality.betweenness(net, state_rows=60, resume=folder)) == found and len(done) == 5
+    other = materialize(net.withColumn("weight", F.col("weight") + 1), "other")  # not the same network: nothing is reused
+    assert pairs(centrality.betweenness(other, state_rows=60, resume=folder)) == pytest.approx(pairs(centrality.betweenness(other)))
+
+
+def test_betweenness_of_sources(spark, edges):
+    net = materialize(edges(random_net(15, 0.3, seed=9) + [(50, 51, 1), (60, 60, 1)]), "net")
+    whole = pairs(centrality.betweenness(net))
+    parts = [pairs(centrality.betweenness(net, sources=spark.createDataFrame(rows, "id bigint")))
+             for rows in ([(1,), (2,), (2,), (None,), (777,)], [(i,) for i in (0, *range(3, 61))], [])]
+    assert {v: sum(p[v] for p in parts) for v in whole} == pytest.approx(whole)
+    assert set(parts[2].values()) == {0.0} and any(parts[0].values())
+
+
 @pytest.mark.parametrize("floor", [100_000, 1])
 def test_louvain_finds_planted_groups(spark, edges, floor):
     found = pairs(community.louvain(materialize(edges(T4), "t4"), floor=floor))
@@ -214,7 +267,7 @@ def test_louvain_keeps_weights_as_a_recount_finds_them(spark, edges, floor):
 @pytest.mark.parametrize("kind, floor", [("bigint", 12), ("decimal(12,2)", community.HOT_FLOOR), ("double", 12), ("decimal(30,0)", 12)])
 def test_louvain_ends_where_no_move_and_no_merge_pays(spark, edges, kind, floor):
     rows = random_net(50, 0.12) + [(200, i, 1) for i in range(0, 50, 2)] + [(7, 7, 5), (300, 301, 2), (400, 400, 1)]
-    scale = {"decimal(30,0)": 10**14}.get(kind, 1)
+    scale = {"decimal(30,0)": 10**15}.get(kind, 1)
     net = materialize(edges(rows).withColumn("weight", (F.col("weight") * F.lit(scale).cast("decimal(20,0)")).cast(kind)), "net")
     found = community.louvain(net, floor=floor)
     proof = community.optimality(net, found, "modularidade").first()
