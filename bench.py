@@ -9,12 +9,17 @@ from __future__ import annotations
 
 import json
 import os
+import sys
 import time
 
-from plenum.catalogue.queries import all_queries
-from plenum.catalogue.roles import community_vertices, network
-from plenum.operators.profile import cross_share
-from plenum.session import get_session
+# tasks in Python import the package too
+os.environ["PYTHONPATH"] = os.pathsep.join([os.path.dirname(os.path.abspath(__file__)), os.environ.get("PYTHONPATH", "")])
+sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
+
+from plenum.catalogue.queries import all_queries  # noqa: E402
+from plenum.catalogue.roles import community_vertices, network  # noqa: E402
+from plenum.operators.profile import cross_share  # noqa: E402
+from plenum.session import get_session  # noqa: E402
 
 FOLDER = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")

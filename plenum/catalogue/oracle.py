@@ -169,6 +169,9 @@ def all_oracles() -> dict[str, str]:
             FROM bridging CROSS JOIN bridging_limits GROUP BY q1, q2, q3""",
         ),
         "load_audit": audit,
+        "load_audit_named": """SELECT 'part_0' AS "table", count(*) AS rows_loaded, count(*) AS rows_source, true AS ok, false AS in_manifest FROM nation
+            UNION ALL SELECT 'tb_depu', count(*), count(*), true, true FROM supplier
+            UNION ALL SELECT 'tb_voto', count(*), count(*), true, true FROM orders""",
         "edge_scan": _with(_NETWORK, edges),
         "vertex_scan": _with(_VERTICES, "SELECT id, nome, partido, ideologia FROM vertices"),
         "vertex_sink": _with(_VERTICES, 'SELECT id AS "ID", nome, partido, ideologia FROM vertices'),

@@ -109,6 +109,23 @@ def load_audit(spark, sf_dir):
     return tables.load_audit(loaded)
 
 
+@query
+def load_audit_named(spark, sf_dir):
+    """Three tables exported as files, one of them split; the manifest names two, the third takes its file's name."""
+    folder = scratch_path(spark, "raw-named")
+    for name, source, parts in (("depu", "supplier", 1), ("voto", "orders", 3), ("part", "nation", 1)):
+        rows = table(spark, sf_dir, source)
+        for part in range(parts):
+            some = rows.filter(F.pmod(F.xxhash64(rows.columns[0]), F.lit(parts)) == part)
+            some.write.option("header", True).csv(f"{folder}/{name}_{part}.xlsx")
+    files = [("depu_0.xlsx",), *[(f"voto_{i}.xlsx",) for i in range(3)], ("part_0.xlsx",), ("voto_REDE.xlsx",)]
+    listed = [("depu_0.xlsx", "tb_depu"), *[(f"voto_{i}.xlsx", "tb_voto") for i in range(3)]]
+    resolved = manifest.resolve_table_names(
+        spark.createDataFrame(files, "filename string"), spark.createDataFrame(listed, "filename string, nome_banco_dados string"))
+    loaded = tables.load_tables(spark, resolved, folder, "csv", DATABASE, f"{folder}/stored", header="true")
+    return tables.load_audit(loaded, naming=True)
+
+
 def _saved(spark: SparkSession, df: DataFrame, name: str) -> str:
     tables.create_database(spark, DATABASE)
     path = scratch_path(spark, name)

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import re
 from functools import reduce
+from uuid import uuid4
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -33,23 +35,76 @@ def varchar_widths(df: DataFrame) -> DataFrame:
     return df.agg(*widths).select(F.inline(F.array(*rows)))
 
 
+def _location(spark: SparkSession, table: str) -> str | None:
+    """Where the files of a table lie, if there is such a table."""
+    if not spark.catalog.tableExists(table.replace("`", "")):
+        return None
+    told = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").filter("col_name = 'Location'").first()
+    return told["data_type"] if told else None
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def load_table(
     source: DataFrame, table: str, location: str | None = None, measured: bool = True
 ) -> DataFrame:
     """Store ``source`` as text in ``table``, replacing it, and return the stored table.
 
-    ``measured`` declares each column as VARCHAR of its measured width, for one more pass over the source.
+    One pass over the source writes the rows beside what is there, and counts them and measures each column on the
+    way; only then does the name go to the new files. A load that fails leaves the old table as it was. ``measured``
+    declares each column as VARCHAR of its measured width. The stored frame has the count as ``rows_source``. Without
+    ``location`` the files lie in the folder of the database.
     """
     spark = source.sparkSession
-    kinds = dict.fromkeys(source.columns, "STRING")
-    if measured:
-        kinds = {row["column"]: f"VARCHAR({row['width']})" for row in varchar_widths(source).collect()}  # one row per column
-    quoted = ["`" + c.replace("`", "``") + "` " + kind for c, kind in kinds.items()]
-    place = "" if location is None else " LOCATION '" + location.replace("'", "\\'") + "'"
+    if location is None:
+        names = table.replace("`", "").split(".")
+        database = names[0] if len(names) > 1 else spark.catalog.currentDatabase()
+        location = f"{spark.catalog.getDatabase(database).locationUri.rstrip('/')}/{names[-1]}"
+    mark = uuid4().hex
+    staged, fresh = f"{location.rstrip('/')}-{mark}", f"{table[:-1]}__{mark}`" if table.endswith("`") else f"{table}__{mark}"
+    seen = Observation()
+    widths = [F.max(F.length(_quoted(c))).alias(f"w{i}") for i, c in enumerate(source.columns)]
+    try:
+        as_text(source).observe(seen, F.count(F.lit(1)).alias("rows"), *widths).write.parquet(staged)
+    except Exception:
+        _remove(spark, staged)
+        raise
+    told = seen.get
+    kinds = [f"VARCHAR({max(1, told[f'w{i}'] or 1)})" if measured else "STRING" for i in range(len(source.columns))]
+    quoted = ["`" + c.replace("`", "``") + "` " + kind for c, kind in zip(source.columns, kinds)]
+    place = staged.replace("'", "\\'")
+    spark.sql(f"CREATE TABLE {fresh} ({', '.join(quoted)}) USING parquet LOCATION '{place}'")
+    old = _location(spark, table)
     spark.sql(f"DROP TABLE IF EXISTS {table}")
-    spark.sql(f"CREATE TABLE {table} ({', '.join(quoted)}) USING parquet{place}")
-    as_text(source).write.insertInto(table, overwrite=True)
-    return spark.table(table)
+    spark.sql(f"ALTER TABLE {fresh} RENAME TO {table}")
+    if old is not None and re.search(r"-[0-9a-f]{32}$", old.rstrip("/")):
+        _remove(spark, old)  # files of an earlier load
+    stored = spark.table(table)
+    stored.rows_source = told["rows"]
+    return stored
+
+
+def read_files(spark: SparkSession, paths: list[str], fmt: str = "csv", **options: str) -> DataFrame:
+    """All files of one table with one reader, in one scan.
+
+    Headers of CSV files are compared with the first file's while they are read. Of self-describing files the columns
+    of all count, and all must be those of the first file; a column that one of them lacks is null there.
+    """
+    reader = spark.read.format(fmt).options(**options)
+    if fmt == "csv":
+        return reader.option("enforceSchema", "false").load(paths)
+    rows = (reader.option("mergeSchema", "true") if fmt in ("parquet", "orc") else reader).load(paths)
+    if len(paths) > 1 and set(rows.columns) != set(reader.load(paths[0]).columns):
+        raise ValueError(f"other columns than in {paths[0]}")
+    return rows
+
+
+def rows_per_file(source: DataFrame) -> DataFrame:
+    """``file, rows`` of the files that a frame of :func:`read_files` reads, in one grouped count."""
+    return source.groupBy(F.col("_metadata.file_path").alias("file")).agg(F.count(F.lit(1)).alias("rows"))
 
 
 def load_tables(
@@ -63,36 +118,42 @@ def load_tables(
 ) -> list[tuple[str, DataFrame, DataFrame]]:
     """Load the resolved files below ``folder``, all files of one table together; ``name, stored, source`` of each table.
 
-    Files of one table must have the same columns. The list of files is read by the driver, one row per table to
-    create; the rows of the files are not.
+    Files of one table must have the same columns; they are read by one reader. The list of files is read by the
+    driver, which hands it to the reader; the rows of the files are not.
     """
     create_database(spark, database)
     loaded = []
-    tables = resolved.groupBy("table_name").agg(F.array_sort(F.collect_set("filename")).alias("files"))
+    named = F.min("in_manifest") if "in_manifest" in resolved.columns else F.lit(None).cast("boolean")
+    tables = resolved.groupBy("table_name").agg(F.array_sort(F.collect_set("filename")).alias("files"), named.alias("in_manifest"))
     for row in tables.orderBy("table_name").toLocalIterator():
-        parts = [spark.read.format(fmt).options(**options).load(f"{folder.rstrip('/')}/{name}") for name in row["files"]]
-        for name, part in zip(row["files"], parts):
-            if part.columns != parts[0].columns:
-                raise ValueError(f"{name} has other columns than {row['files'][0]}, both for {row['table_name']}")
-        source = reduce(DataFrame.unionByName, [as_text(p) for p in parts]) if len(parts) > 1 else parts[0]
+        source = read_files(spark, [f"{folder.rstrip('/')}/{name}" for name in row["files"]], fmt, **options)
         place = f"{location.rstrip('/')}/{row['table_name']}" if location else None
-        stored = load_table(source, f"`{database}`.`{row['table_name']}`", place)
+        try:
+            stored = load_table(source, f"`{database}`.`{row['table_name']}`", place)
+        except Exception as error:
+            if "CSV header" in str(error):
+                raise ValueError(f"a file of {row['table_name']} has other columns than {row['files'][0]}") from error
+            raise
+        stored.in_manifest = row["in_manifest"]
         loaded.append((row["table_name"], stored, source))
     return loaded
 
 
-def load_audit(loaded: list[tuple[str, DataFrame, DataFrame]]) -> DataFrame:
-    """Rows in each stored table against rows in its source."""
-    def counts(side: int, column: str) -> DataFrame:
-        frames = [entry[side].agg(F.count(F.lit(1)).alias(column)).withColumn("table", F.lit(entry[0]))
-                  for entry in loaded]
-        return reduce(DataFrame.unionByName, frames)
+def load_audit(loaded: list[tuple[str, DataFrame, DataFrame]], naming: bool = False) -> DataFrame:
+    """Rows in each stored table against rows in its source, as counted while they were written.
 
-    return (
-        counts(1, "rows_loaded")
-        .join(counts(2, "rows_source"), "table")
-        .select("table", "rows_loaded", "rows_source", (F.col("rows_loaded") == F.col("rows_source")).alias("ok"))
-    )
+    ``naming`` adds ``in_manifest``: whether the manifest gave the table its name, or else the file.
+    """
+    def line(name: str, stored: DataFrame, source: DataFrame) -> DataFrame:
+        known = getattr(stored, "rows_source", None)
+        rows = source.agg(F.count(F.lit(1))).scalar() if known is None else F.lit(known).cast("bigint")
+        return stored.agg(F.count(F.lit(1)).alias("rows_loaded")).select(
+            F.lit(name).alias("table"), "rows_loaded", rows.alias("rows_source"),
+            F.lit(getattr(stored, "in_manifest", None)).cast("boolean").alias("in_manifest"))
+
+    counts = reduce(DataFrame.unionByName, [line(*entry) for entry in loaded])
+    names = ["in_manifest"] if naming else []
+    return counts.select("table", "rows_loaded", "rows_source", (F.col("rows_loaded") == F.col("rows_source")).alias("ok"), *names)
 
 
 def read_edges(spark: SparkSession, table: str) -> DataFrame:

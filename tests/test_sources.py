@@ -120,3 +120,37 @@ def test_weights_keep_their_fraction(spark, tmp_path, kind, value, expected):
     frame.selectExpr("SOURCE", "TARGET", f"CAST(WEIGHT AS {kind}) AS WEIGHT").write.mode("overwrite").option("path", f"{tmp_path}/w").saveAsTable("plenum_weights.w")
     assert str(tables.read_edges(spark, "plenum_weights.w").first().weight) == expected
     spark.sql("DROP DATABASE plenum_weights CASCADE")
+
+
+def test_many_files_are_one_scan(spark, tmp_path):
+    """A thousand small files: one reader, rows counted per file and while they are written."""
+    folder = tmp_path / "files"
+    folder.mkdir()
+    for i in range(1000):
+        (folder / f"f{i:04d}.xlsx").write_text("k,v\n" + f"{i},{'x' * (i % 7)}\n" * (i % 3))
+    resolved = spark.createDataFrame([(f"f{i:04d}.xlsx", "tb_many", i > 3) for i in range(1000)],
+                                     "filename string, table_name string, in_manifest boolean")
+    (_, stored, source), = loaded = tables.load_tables(spark, resolved, str(folder), "csv", "plenum_many", f"{tmp_path}/s", header="true")
+    assert source._jdf.queryExecution().optimizedPlan().toString().count("Relation") == 1
+    found = {r.file.rsplit("/", 1)[-1]: r.rows for r in tables.rows_per_file(source).collect()}
+    assert found == {f"f{i:04d}.xlsx": i % 3 for i in range(1000) if i % 3}
+    assert rows(tables.load_audit(loaded, naming=True)) == [("tb_many", 999, 999, True, False)]
+    assert {r.col_name: r.data_type for r in spark.sql("DESCRIBE plenum_many.tb_many").collect()} == {"k": "varchar(3)", "v": "varchar(6)"}
+    spark.sql("DROP DATABASE plenum_many CASCADE")
+
+
+def test_a_failed_load_leaves_the_old_table(spark, tmp_path):
+    tables.create_database(spark, "plenum_staged")
+    name, place = "plenum_staged.t", f"{tmp_path}/t"
+    old = tables.load_table(spark.createDataFrame([(1, "a")], "k int, v string"), name, place)
+    bad = spark.range(3).select((F.lit(1) / (F.col("id") - 2)).alias("k"), F.raise_error(F.lit("lost")).cast("string").alias("v"))
+    with pytest.raises(Exception, match="lost|ZERO"):
+        tables.load_table(bad, name, place)
+    assert rows(spark.table(name)) == rows(old) == [("1", "a")]
+    assert [p.name for p in tmp_path.iterdir() if p.is_dir()] == [p.name for p in tmp_path.iterdir() if p.name.startswith("t-")]
+    new = tables.load_table(spark.createDataFrame([(22, None, "x")], "k int, v string, w string"), name, place)
+    assert rows(new) == [("22", None, "x")] and new.rows_source == 1
+    assert len([p for p in tmp_path.iterdir() if p.name.startswith("t-")]) == 1  # the old files are gone
+    none = tables.load_table(spark.createDataFrame([], "k int"), "plenum_staged.none")
+    assert none.columns == ["k"] and none.count() == 0 and rows(tables.load_audit([("none", none, none)])) == [("none", 0, 0, True)]
+    spark.sql("DROP DATABASE plenum_staged CASCADE")
