@@ -15,6 +15,8 @@ from plenum.llm import (
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+#: Small enough that the test tables fill many shards, and buckets split several times.
+SHARD_BYTES = 64 << 10
 RULES = [  # host, path, verdict
     ("net", "/", "block"),
     ("example.net", "/en/", "allow"),
@@ -67,7 +69,7 @@ def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_extendible_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sharding.assign_shards(table(spark, sf_dir, "documents"))
+    return sharding.assign_shards(table(spark, sf_dir, "documents"), limit=SHARD_BYTES)
 
 
 def op9_license_dice(spark: SparkSession, sf_dir: str) -> DataFrame:

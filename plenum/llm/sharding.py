@@ -7,7 +7,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from plenum.session import materialize
+from plenum.llm.text import fresh
+from plenum.session import discard, materialize
 
 LIMIT = 32 << 20
 #: Bits that one pass over the rows decides at most.
@@ -20,8 +21,10 @@ def prefix(h: Column, bits: int) -> Column:
     return F.shiftrightunsigned(h, BITS - bits) if bits else F.lit(0).cast("bigint")
 
 
-def assign_shards(docs: DataFrame, key: str = "doc_id", text: str = "text", limit: int = LIMIT) -> DataFrame:
-    """Per row of ``docs``: ``key, n_bytes, shard, depth, shard_bytes``.
+def assign_shards(
+    docs: DataFrame, key: str = "doc_id", text: str = "text", limit: int = LIMIT, row: str | None = None,
+) -> DataFrame:
+    """Per row of ``docs``: ``key, n_bytes, shard, depth, shard_bytes``, and ``row`` if it names a unique number of rows.
 
     A shard is the bucket of all rows whose hash begins with its bits; ``shard`` spells them as text and ``depth``
     is their number. From the empty prefix on, a bucket with more than ``limit`` bytes of text splits on the next
@@ -31,11 +34,12 @@ def assign_shards(docs: DataFrame, key: str = "doc_id", text: str = "text", limi
     told apart; only a single text larger than ``limit`` stays oversized, alone. A null text has 0 bytes, a null
     key is a key; an empty table has no shards.
     """
-    rows = docs.select(F.col(key).alias("id"), F.coalesce(F.octet_length(text), F.lit(0)).cast("bigint").alias("n_bytes"))
-    stored = materialize(rows.withColumn("row", F.monotonically_increasing_id()), "shard-rows")
+    number = F.monotonically_increasing_id() if row is None else F.col(row)
+    stored = materialize(docs.select(
+        F.col(key).alias("id"), F.coalesce(F.octet_length(text), F.lit(0)).cast("bigint").alias("n_bytes"), number.alias("row")), "shard-rows")
     low = F.shiftrightunsigned(F.xxhash64("row"), 32)
     high = F.shiftleft(F.shiftrightunsigned(F.xxhash64("id"), 32), 32)
-    pending = stored.select("id", "n_bytes", high.bitwiseOR(low).alias("h"))
+    pending = stored.select("id", "n_bytes", "row", high.bitwiseOR(low).alias("h"))
     done, start = [], 0
     while start < BITS:
         end = min(BITS, start + STRIDE)
@@ -53,10 +57,11 @@ def assign_shards(docs: DataFrame, key: str = "doc_id", text: str = "text", limi
         met = pending.withColumn("cell", prefix(F.col("h"), end)).join(directory, "cell")
         name = F.substr(F.lpad(F.bin("cell"), end, "0"), F.lit(1), F.col("s.depth")) if end else F.lit("")
         done.append(met.filter("s IS NOT NULL").select(
-            F.col("id").alias(key), "n_bytes", name.alias("shard"), F.col("s.depth").alias("depth"), F.col("s.shard_bytes").alias("shard_bytes")))
+            F.col("id").alias(key), "n_bytes", name.alias("shard"), F.col("s.depth").alias("depth"),
+            F.col("s.shard_bytes").alias("shard_bytes"), *([F.col("row").alias(row)] if row else [])))
         if directory.filter("s IS NULL").isEmpty():
             break
-        pending = materialize(met.filter("s IS NULL").select("id", "n_bytes", "h"), "shard-rest")
+        pending = materialize(met.filter("s IS NULL").select("id", "n_bytes", "row", "h"), "shard-rest")
         start = end
     return reduce(DataFrame.unionByName, done)
 
@@ -66,7 +71,17 @@ def directory_of(shards: DataFrame) -> DataFrame:
     return shards.groupBy("shard", "depth", "shard_bytes").agg(F.count(F.lit(1)).alias("rows"))
 
 
-def write_shards(docs: DataFrame, shards: DataFrame, path: str, key: str = "doc_id") -> None:
-    """Write the rows of ``docs`` below ``path``, one folder per shard; ids must be unique."""
-    placed = docs.join(shards.select(key, "shard"), key)
-    placed.repartition("shard").write.mode("overwrite").partitionBy("shard").parquet(path)
+def write_shards(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text", limit: int = LIMIT) -> DataFrame:
+    """Write the rows of ``docs`` below ``path``, one folder per shard, and return the directory of the shards.
+
+    A folder is named ``shard=b`` and the shard's bits (another free name if ``docs`` has a column ``shard``). Rows are
+    numbered and stored first and find their shard by number, so null and repeated keys and equal rows all come back once.
+    """
+    row, folder = fresh(docs, "_row"), fresh(docs, "shard")
+    stored = materialize(docs.withColumn(row, F.monotonically_increasing_id()), "shard-docs")
+    shards = materialize(assign_shards(stored, key, text, limit, row), "shards")
+    placed = stored.join(shards.select(row, F.concat(F.lit("b"), "shard").alias("_bits")), row)
+    # a shard is no larger than the limit, or one row
+    placed.select(*docs.columns, F.col("_bits").alias(folder)).repartition(folder).write.mode("overwrite").partitionBy(folder).parquet(path)
+    discard(stored)
+    return directory_of(shards)

@@ -1,5 +1,7 @@
 """Named queries against their SQL twins, and the pipeline against a brute-force version of its stages."""
 
+from collections import Counter
+
 import numpy as np
 import public_tokenizers
 import pytest
@@ -7,7 +9,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from compare import difference, duck
-from plenum.llm import bpe, packing
+from plenum.llm import bpe, packing, sharding
 from plenum.llm.oracle import llm_oracles
 from plenum.llm.queries import llm_queries
 from tests.llm.test_group_operators import brute_jaccard
@@ -47,10 +49,46 @@ def test_library_and_own_encoding_agree(spark):
     assert got == {i: book.encode(t or "") for i, t in enumerate(texts)}
 
 
+def brute_shards(sizes, limit):
+    """Shards of rows (hash bits, bytes): the shortest prefixes whose rows fit, or are one."""
+    found, open_ = {}, [("", sizes)]
+    while open_:
+        name, rows = open_.pop()
+        if sum(n for _, n in rows) <= limit or len(rows) == 1:
+            found.update(dict.fromkeys((h for h, _ in rows), name))
+        else:
+            for bit in "01":
+                part = [r for r in rows if r[0][len(name)] == bit]
+                open_ += [(name + bit, part)] * bool(part)
+    return found
+
+
 def test_shards_fit(spark):
+    """All documents, in the shards that splitting bit by bit gives; the hash is looked up in the longest names met."""
+    from plenum.llm.queries import SHARD_BYTES
+
     shards = llm_queries()["op8_extendible_shards"](spark, FOLDER)
-    assert shards.select("doc_id").distinct().count() == 200
-    assert shards.filter("shard_bytes > 33554432").count() == 0
+    rows = shards.withColumn("h", F.lpad(F.bin(F.shiftrightunsigned(F.xxhash64("doc_id"), 32)), 32, "0")).collect()
+    assert len({r.doc_id for r in rows}) == len(rows) == 200
+    want = brute_shards([(r.h, r.n_bytes) for r in rows], SHARD_BYTES)
+    assert {r.h: r.shard for r in rows} == want and len(set(want.values())) > 4
+    loads = Counter()
+    for r in rows:
+        loads[r.shard] += r.n_bytes
+    assert all(r.shard_bytes == loads[r.shard] and r.depth == len(r.shard) for r in rows)
+    assert all(n <= SHARD_BYTES or sum(r.shard == s for r in rows) == 1 for s, n in loads.items())
+
+
+def test_written_shards_hold_every_row_once(spark, tmp_path):
+    rows = [(None, "a" * 50), (None, "a" * 50), (1, "b" * 60), (1, "c" * 70), (2, None), (2, ""), (3, "d" * 500), *[(9, "same")] * 40]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").withColumn("shard", F.lit("mine"))
+    listed = sharding.write_shards(docs, str(tmp_path / "s"), limit=150).collect()
+    back = spark.read.parquet(str(tmp_path / "s"))
+    assert back.columns == ["doc_id", "text", "shard", "shard_"]
+    assert sorted(map(tuple, back.select("doc_id", "text").collect()), key=repr) == sorted(rows, key=repr)
+    loads = {r.shard_: (r.n, r.size) for r in back.groupBy("shard_").agg(F.count(F.lit(1)).alias("n"), F.sum(F.coalesce(F.octet_length("text"), F.lit(0))).alias("size")).collect()}
+    assert loads == {f"b{r.shard}": (r.rows, r.shard_bytes) for r in listed}
+    assert all(n == 1 or size <= 150 for n, size in loads.values()) and len(loads) > 3
 
 
 def test_resampling_holds_out(spark):
