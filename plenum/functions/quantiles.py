@@ -8,6 +8,8 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from plenum.session import discard, materialize
+
 ACCURACY = 10_000
 # Distinct values that one task orders at the end, whatever the input.
 BOUND = 200_000
@@ -97,3 +99,37 @@ def exact_quantiles(
         return (low + (high - low) * F.col(f"_part{i}")).cast("double").alias(name)
 
     return found.select(*[quantile(i, name) for i, name in enumerate(names)])
+
+
+def histogram_quantiles(df: DataFrame, column: str, probabilities: list[float], bound: int = BOUND) -> list[float | None]:
+    """Linearly interpolated quantiles of the non-null values of ``column``, from one scan of ``df``.
+
+    That scan counts the rows of each different value, with map-side sums. The counts are then cut into ranges of
+    about ``bound`` values; one number per range tells which of them hold the ranks asked for, and only those are put
+    in order, a task for each. Without any value the quantiles are None.
+    """
+    value, n = F.col("value"), F.col("n")
+    counts = df.filter(F.col(column).isNotNull()).groupBy(F.col(column).alias("value")).agg(F.count(F.lit(1)).alias("n"))
+    stored = materialize(counts, "value-counts")
+    distinct, total = stored.agg(F.count(F.lit(1)), F.sum("n")).first()
+    if not distinct:
+        return [None] * len(probabilities)
+    ranges = -(-distinct // bound)
+    placed = stored.withColumn("part", F.lit(0))
+    if ranges > 1:
+        placed = materialize(stored.repartitionByRange(ranges, "value").withColumn("part", F.spark_partition_id()), "value-ranges")
+    places = [p * (total - 1) for p in probabilities]
+    wanted = sorted({rank for place in places for rank in (math.floor(place), math.ceil(place))})
+    offsets, before = {}, 0
+    for part, rows in sorted(map(tuple, placed.groupBy("part").agg(F.sum("n")).collect())):  # one row per range
+        if any(before <= rank < before + rows for rank in wanted):
+            offsets[part] = before
+        before += rows
+    some = placed.filter(F.col("part").isin(list(offsets)))
+    begin = F.coalesce(*[F.when(F.col("part") == part, F.lit(offset)) for part, offset in offsets.items()])
+    upto = begin + F.sum("n").over(Window.partitionBy("part").orderBy("value").rowsBetween(Window.unboundedPreceding, 0))
+    held = some.withColumn("upto", upto).select("value", "upto", (F.col("upto") - n).alias("start"))
+    found = held.agg(*[F.max(F.when((F.col("start") <= r) & (F.lit(r) < F.col("upto")), value)) for r in wanted]).first()
+    at = {rank: float(v) for rank, v in zip(wanted, found)}
+    discard(stored, placed)
+    return [at[math.floor(x)] + (at[math.ceil(x)] - at[math.floor(x)]) * (x - math.floor(x)) for x in places]

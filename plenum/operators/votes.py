@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from plenum.functions.quantiles import exact_quantiles
+from plenum.functions.quantiles import histogram_quantiles
 from plenum.session import materialize
 from plenum.skew import HOT_FLOOR, hot_keys, salted_join, small_list, tile_of
 
@@ -224,10 +224,13 @@ def agreement_edges(
 def durable_edges(edges: DataFrame, min_weight: int | None = None, quantile: float = 0.75) -> DataFrame:
     """Edges whose weight reaches ``min_weight``, or else the given quantile of all weights.
 
-    The quantile reads ``edges`` twice before the filter does, so pass a stored table.
+    The quantile comes from one scan that counts the edges of each weight; the filter is another, so pass a stored
+    table. No weight at all gives no edge.
     """
     if min_weight is None:
-        min_weight = exact_quantiles(edges, "weight", [quantile], ["q"]).first()["q"]
+        min_weight = histogram_quantiles(edges, "weight", [quantile])[0]
+    if min_weight is None:
+        return edges.limit(0)
     return edges.filter(F.col("weight") >= min_weight)
 
 

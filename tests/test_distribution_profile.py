@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from plenum.functions import text
 from plenum.functions.numbering import number_rows
-from plenum.functions.quantiles import exact_quantiles
+from plenum.functions.quantiles import exact_quantiles, histogram_quantiles
 from plenum.operators import distribution, profile
 from tests.conftest import pairs, rows
 
@@ -124,3 +124,16 @@ def test_quantiles_narrow_in_several_rounds(spark, bound):
     probabilities = [0.0, 0.25, 0.5, 0.75, 1.0]
     found = exact_quantiles(frame, "x", probabilities, [f"q{i}" for i in range(5)], bound=bound).first()
     assert list(found) == pytest.approx(list(np.quantile(values, probabilities)), rel=1e-12, abs=1e-12)
+
+
+@pytest.mark.parametrize("bound", [3, 40, 200_000])
+def test_quantiles_from_counts_equal_sorted_ones(spark, bound):
+    values = [(i * i) % 97 for i in range(500)] + [5] * 300 + [None] * 20
+    df = spark.createDataFrame([(v,) for v in values], "v bigint")
+    ps = [0.0, 0.1, 0.25, 0.5, 0.75, 0.9, 1.0]
+    want = np.quantile([v for v in values if v is not None], ps)
+    assert histogram_quantiles(df, "v", ps, bound) == pytest.approx(list(want))
+    halves = df.select((F.col("v") / 2).cast("decimal(10,1)").alias("v"))
+    assert histogram_quantiles(halves, "v", ps, bound) == pytest.approx(list(want / 2))
+    assert histogram_quantiles(df.limit(0), "v", [0.5]) == [None]
+    assert histogram_quantiles(df.filter("v = 5"), "v", [0.3, 1.0], bound) == [5.0, 5.0]
