@@ -187,6 +187,9 @@ def all_oracles() -> dict[str, str]:
         "durable_edges_fixed": _with(
             ["ballots", "relevant", "agreements"], "SELECT src, dst, weight FROM agreements WHERE weight >= 5"
         ),
+        "agreement_edges_pruned": _with(
+            ["ballots", "relevant", "agreements"], "SELECT src, dst, weight FROM agreements WHERE weight >= 5"
+        ),
         "labelled_vertices": _with(["labelled"], "SELECT id, nome, partido, ideologia FROM labelled"),
         "canonical_edges": _with(["raw_pairs"], "SELECT src, dst, max(weight) AS weight FROM raw_pairs GROUP BY src, dst"),
         "canonical_edges_last": _with(
@@ -289,6 +292,8 @@ def all_oracles() -> dict[str, str]:
             FROM bridges CROSS JOIN limits GROUP BY q1, q2, q3""",
         ),
         "vertex_metrics_report": _with(_BRIDGING, report),
+        "chain_report": _with(_BRIDGING, f"""SELECT r.*, (SELECT count(*) FROM ids) AS n_nodes, (SELECT count(*) FROM edges) AS n_edges,
+            0::BIGINT AS steps_made_again FROM ({report}) r"""),
         "vertex_ranks": _with(
             _BRIDGES,
             f"""SELECT id, round(coef_ponte, 9) AS coef_ponte, {_quartile('coef_ponte')} AS "Quartil", {_outlier('coef_ponte')} AS "Outlier"
@@ -325,6 +330,11 @@ def all_oracles() -> dict[str, str]:
                 inner=by_ideology.format(total="(SELECT count(*) FROM vertices)", where=""),
             ),
         ),
+        "strip_points_bridging": _with(
+            _BRIDGING,
+            """SELECT b.id, round(centralidade_ponte, 9) AS y, ideologia AS color, 'Centralidade ponte' AS y_title,
+            'Ideologia' AS color_title, true AS x_in_range FROM bridging b JOIN vertices v ON v.id = b.id""",
+        ),
         "strip_points": _with(
             _BRIDGES,
             """SELECT id, round(coef_ponte, 9) AS y, CASE WHEN coef_ponte > 0 THEN round(log10(coef_ponte), 9) END AS log_y,

@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from plenum.catalogue.roles import ballots, communities, community_vertices, members, network, parties, table
 from plenum.operators import centrality, community, distribution, graph, metrics, profile, votes
+from plenum.plans.chain import StepStore, run_chain
 from plenum.plans.report import RANKED, rank_vertices, vertex_report
 from plenum.session import materialize, scratch_path
 from plenum.sources import manifest, sinks, tables
@@ -536,3 +537,31 @@ def strip_points(spark, sf_dir):
     """The jitter is a hash of Spark's own: only its range is compared."""
     points = profile.strip_points(_bridges(spark, sf_dir), "coef_ponte", "ideologia")
     return points.withColumn("x_in_range", F.abs("x") <= profile.JITTER).drop("x")
+
+
+@query
+def strip_points_bridging(spark, sf_dir):
+    """Points of the ranked metric with the titles of their axes."""
+    net = network(spark, sf_dir)
+    ranked = centrality.bridging_centrality(net.edges).join(net.vertices.select("id", "ideologia"), "id")
+    points = profile.strip_chart(ranked, RANKED, "ideologia")
+    return points.withColumn("x_in_range", F.abs("x") <= profile.JITTER).drop("x", "log_y")
+
+
+@query
+def agreement_edges_pruned(spark, sf_dir):
+    """Agreements of a fixed weight, where members who can't reach it are left out before any pair is made."""
+    return votes.agreement_edges(materialize(ballots(spark, sf_dir), "ballots"), min_minority=1, min_weight=5)
+
+
+@query
+def chain_report(spark, sf_dir):
+    """The report of the whole chain, run twice: the second run finds every step, and the graph file has the same size."""
+    folder = scratch_path(spark, "chain")
+    stored = [materialize(role(spark, sf_dir), "role") for role in (ballots, members, parties)]
+    run_chain(*stored, folder)
+    store = StepStore(spark, folder)
+    out = run_chain(*stored, folder, store=store)
+    sizes = [out[name].agg(F.count(F.lit(1))).scalar() for name in ("graph_nodes", "graph_edges")]
+    return out["report"].drop("modularidade").withColumns(
+        {"n_nodes": sizes[0], "n_edges": sizes[1], "steps_made_again": F.lit(len(store.made)).cast("bigint")})

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from plenum.operators.community import louvain
 from plenum.operators.votes import ballots_from
+from plenum.plans.chain import files_fingerprint
 from plenum.plans.network import Network, build_network
 from plenum.session import materialize
 
@@ -42,7 +43,9 @@ _communities: dict[tuple[str, str], DataFrame] = {}
 
 
 def _key(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
-    return spark.sparkContext.applicationId, sf_dir.rstrip("/")
+    """Application, and fingerprint of the files: changed data are another network."""
+    told = [files_fingerprint(table(spark, sf_dir, name)) for name in ("lineitem", "supplier", "nation", "region")]
+    return spark.sparkContext.applicationId, "".join(told)
 
 
 def network(spark: SparkSession, sf_dir: str, rebuild: bool = False) -> Network:

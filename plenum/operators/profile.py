@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from plenum.functions.text import capitalised, percent_text
+from plenum.functions.text import capitalised, percent_text, words
 
 JITTER = 0.09  # fixed half width of the strip
 
@@ -84,3 +84,9 @@ def strip_points(df: DataFrame, value: str, color: str, seed: int = 0) -> DataFr
         "id", ((unit * 2 - 1) * JITTER).alias("x"), y.alias("y"),
         F.when(y > 0, F.log10(y)).alias("log_y"), F.col(color).alias("color"),
     )
+
+
+def strip_chart(df: DataFrame, value: str, color: str, seed: int = 0) -> DataFrame:
+    """:func:`strip_points` with the titles of both axes: the field's and the group's name in words."""
+    return strip_points(df, value, color, seed).withColumns(
+        {"y_title": words(F.lit(value)), "color_title": words(F.lit(color))})
