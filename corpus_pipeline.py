@@ -1,7 +1,8 @@
 """The corpus pipeline: raw documents to token ids in five stages, each one operator of ``plenum.llm``.
 
 A stage takes (spark, docs, sf_dir) and works on all rows the stage before has kept. All but the last return the
-columns of ``documents``; what they reject is gone, and lines that the first removes are gone from the texts.
+columns of ``documents``; what they reject is gone, and lines that the first removes are gone from the texts. Empty
+tables give empty ones, and further columns, whatever their names, pass through all stages but the last.
 """
 
 from __future__ import annotations
@@ -17,27 +18,46 @@ VOCABULARY = "byte_bpe_50k.tiktoken"
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents that fail the base rules or are depleted by boilerplate lines; takes out those lines."""
+    """Drops documents that fail the base rules or are depleted by boilerplate lines; takes out those lines.
+
+    A null or empty text has no words, fails and goes. A null source is one host of its own. Repeated rows count once
+    when lines are counted and are each judged; equal counts get equal verdicts. Long texts are judged whole.
+    """
     return line_quality.keep_good(docs)
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the importance sample towards the documents labelled good."""
+    """Keeps the importance sample towards the documents labelled good.
+
+    Rows without an id stay. A null or empty text has the ratio 1. Equal sample keys go by id; of rows that repeat an id
+    all stay if one is sampled. Without labels all rows stay.
+    """
     return quality_model.keep_sampled(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the smallest id of each group of documents linked by a Jaccard similarity of 0.8."""
+    """Keeps the smallest id of each group of documents linked by a Jaccard similarity of 0.8.
+
+    Rows without an id stay, and a null or empty text links with nothing. Rows that repeat an id are one document, which
+    links by each of its texts; if it stays, the row with the smallest hash of its text does. Whole texts are compared.
+    """
     return jaccard.keep_first(docs)
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents in which ten consecutive words of a test item occur."""
+    """Drops documents in which ten consecutive words of a test item occur.
+
+    An item of fewer words, but not none, is looked for as a whole. Null and empty texts, of documents or items, match
+    nothing; every row is judged by its own text, whatever its id, and to its end.
+    """
     return decontamination.remove_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def byte_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of each document, with the hashes of the ids and of the bytes they decode to."""
+    """Token ids of each document, with the hashes of the ids and of the bytes they decode to.
+
+    A null text has no ids, like an empty one; a row of any id, null or repeated, gives a row.
+    """
     return bpe.round_trip(docs, public_tokenizers.path(VOCABULARY), public_tokenizers.PATTERN, with_ids=True)
 
 
