@@ -1,15 +1,18 @@
 """Named queries against their SQL twins, and the pipeline against a brute-force version of its stages."""
 
+import math
+import struct
 from collections import Counter
 
 import numpy as np
 import public_tokenizers
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 import corpus_pipeline
 from compare import difference, duck
-from plenum.llm import bpe, packing, sharding
+from plenum.llm import bpe, packing, quality_model, sharding
 from plenum.llm.oracle import llm_oracles
 from plenum.llm.queries import llm_queries
 from tests.llm.test_group_operators import brute_jaccard
@@ -100,6 +103,46 @@ def test_resampling_holds_out(spark):
     assert share[1] > 0.98 and share[0] < 0.5
 
 
+def spark_hash(value, seed):
+    return xxhash.xxh64(struct.pack("<q" if seed == 42 else "<i", value), seed=seed).intdigest()
+
+
+def brute_sample(docs, labels):
+    """Ids that importance resampling keeps: both models, the noise and the number to keep, in plain Python."""
+    def grams(text):
+        data = (text or "").encode()
+        return quality_model.n_grams(np.frombuffer(data, np.uint8), np.array([0, len(data)]), quality_model.BUCKETS)[1].tolist()
+
+    ids = {i for i, _ in docs}
+    known = {(i, q, t) for i, q, t in labels if i in ids and q is not None}
+    good = sum(q == 1 for _, q, _ in known)
+    target = {i for i, q, t in known if q == 1 and not t}
+    assert len(target) <= quality_model.TARGET_DOCS
+    counts = {i: Counter(grams(t)) for i, t in docs}
+    raw, chosen = Counter(), Counter()
+    for i, c in counts.items():
+        raw.update(c)
+        if i in target:
+            chosen.update(c)
+    n, m, size = sum(chosen.values()), sum(raw.values()), quality_model.BUCKETS
+    ratio = {b: math.log((chosen[b] + 1) / (n + size)) - math.log((raw[b] + 1) / (m + size)) for b in raw}
+    keys = []
+    for i, c in counts.items():
+        uniform = ((spark_hash(quality_model.SEED, spark_hash(i, 42)) >> 11) + 0.5) / 2**53
+        keys.append((-(sum(k * ratio[b] for b, k in c.items()) - math.log(-math.log(uniform))), i))
+    share = good / len(known)
+    k = min(len(docs), math.ceil(len(docs) * min(1.0, share + 3 * math.sqrt(share * (1 - share) / len(known)))))
+    return {i for _, i in sorted(keys)[:k]}
+
+
+def test_resampling_equals_brute_force(spark):
+    docs = [(r.doc_id, r.text) for r in spark.read.parquet(f"{FOLDER}/documents.parquet").collect()]
+    labels = [(r.doc_id, r.quality, r.toxic) for r in spark.read.parquet(f"{FOLDER}/labels.parquet").collect()]
+    got = llm_queries()["op2_importance_resampling"](spark, FOLDER).filter("kept").collect()
+    want = brute_sample(docs, labels)
+    assert {r.doc_id for r in got} == want and 0 < len(want) < len(docs)
+
+
 def test_pipeline_equals_its_stages_by_brute_force(spark):
     docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
     wide = docs.withColumn("kept", F.lit(1)).withColumn("rep", F.lit("a"))  # more columns, clashing names
@@ -111,7 +154,8 @@ def test_pipeline_equals_its_stages_by_brute_force(spark):
             judged = brute_lines([(r.doc_id, r.text, r.source) for r in before], 8, 10, 30)
             assert set(after) == {j[0] for j in judged if j[7]}
         elif name == "quality_classifier":
-            assert len(after) >= 0.8 * len(before)
+            labels = [(r.doc_id, r.quality, r.toxic) for r in spark.read.parquet(f"{FOLDER}/labels.parquet").collect()]
+            assert set(after) == brute_sample(rows, labels) and len(after) >= 0.8 * len(before)
         elif name == "near_duplicates":
             assert set(after) == {r[0] for r in brute_jaccard(rows) if r[0] == r[2]}
         elif name == "benchmark_decontamination":
