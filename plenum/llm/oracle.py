@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from plenum.llm.licenses import NOTICES, notice_bigrams
+from plenum.llm.licenses import NOTICES, notice_bigrams, notice_words
 
 SPACES = r"[^\x20\x09-\x0D]+"
 UPPER_LOWER = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
@@ -144,7 +144,22 @@ units AS (
   UNION ALL
   SELECT r, unnest(range(1, len(string_split(text, chr(10))) + 1)) AS u, unnest(string_split(text, chr(10))) AS unit
   FROM texts WHERE text IS NOT NULL),
-words AS (SELECT r, u, regexp_extract_all(translate(unit, {UPPER_LOWER}), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM units),
+told AS (SELECT r, u, regexp_extract_all(translate(unit, {UPPER_LOWER}), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM units),
+lines AS (
+  SELECT r, w, row_number() OVER along AS l, count(*) OVER (PARTITION BY r) AS n_lines,
+    sum(len(w)) OVER along AS upto, sum(len(w)) OVER along - len(w) AS before
+  FROM told WHERE u > 0 AND len(w) > 0 WINDOW along AS (PARTITION BY r ORDER BY u)),
+lengths AS (SELECT unnest([{", ".join(map(str, sorted({len(notice_words(text)) for _, text in NOTICES})))}]) AS n),
+reach AS (  -- the last line of the longest run with fewer words, and of the one with a line more
+  SELECT a.r, a.l AS a, a.n_lines, max(b.l) FILTER (b.upto - a.before < n) AS fewer, max(b.l) AS more
+  FROM lines a JOIN lines b ON a.r = b.r AND b.l >= a.l JOIN lengths ON b.before - a.before < n GROUP BY a.r, a.l, a.n_lines, n),
+runs AS (
+  SELECT DISTINCT r, a, z FROM (SELECT r, a, n_lines, fewer AS z FROM reach UNION ALL SELECT r, a, n_lines, more FROM reach)
+  WHERE z > a AND z - a + 1 < n_lines),
+words AS (
+  SELECT r, '' || u AS u, w FROM told
+  UNION ALL
+  SELECT r, a || '-' || z, flatten(list(w ORDER BY l)) FROM runs JOIN lines USING (r) WHERE l BETWEEN a AND z GROUP BY r, a, z),
 grams AS (
   SELECT DISTINCT r, u, w[i] || ' ' || w[i + 1] AS g
   FROM (SELECT r, u, w, unnest(range(1, len(w))) AS i FROM words WHERE len(w) > 1)),

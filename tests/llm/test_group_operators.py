@@ -2,6 +2,7 @@
 
 import re
 from collections import defaultdict
+from random import Random
 
 import numpy as np
 import pyarrow as pa
@@ -263,8 +264,20 @@ def brute_license(text):
         w = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m[0].lower(), t))
         return {f"{a} {b}" for a, b in zip(w, w[1:])}
 
+    def count(t):
+        return len(re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m[0].lower(), t)))
+
     text = text or ""
-    units = text.split("\n") + ([text] if "\n" in text else [])
+    lines = [(u, n) for u in text.split("\n") if (n := count(u))]
+    runs = set()
+    for i in range(len(lines)):
+        for w in {count(t) for _, t in licenses.NOTICES}:
+            k = 0
+            while i + k < len(lines) and sum(n for _, n in lines[i:i + k + 1]) < w:
+                k += 1
+            runs |= {(i, i + k), (i, min(i + k + 1, len(lines)))}
+    runs = [" ".join(u for u, _ in lines[i:j]) for i, j in runs if 1 < j - i < len(lines)]
+    units = text.split("\n") + ([text] if "\n" in text else []) + runs
     found, hits = [], 0
     for u in units:
         g = grams(u)
@@ -287,3 +300,35 @@ def test_licenses_equal_brute_force(spark):
     assert sorted([tuple(r) for r in got.collect()], key=key) == sorted([(i, *brute_license(t)) for i, t, _ in rows], key=key)
     assert licenses.scan_licenses(docs.limit(0)).count() == 0
     assert "Python" not in got._jdf.queryExecution().toString()
+
+
+def wrapped(notice, width, prefix):
+    words = notice.split(" ")
+    return "\n".join(prefix + " ".join(words[i:i + width]) for i in range(0, len(words), width))
+
+
+@pytest.mark.parametrize("width, prefix", [(10, "# "), (7, " * "), (3, "// "), (1, ""), (12, "dnl ")])
+def test_wrapped_notices_inside_files_are_found(spark, width, prefix):
+    top, tail = "#!/bin/sh\n# Copyright 2020 somebody\n#\n", "\n#\nset -e\necho done\nexit 0\n"
+    rows = [(i, top + wrapped(t, width, prefix) + tail) for i, (_, t) in enumerate(licenses.NOTICES)]
+    got = {r[0]: tuple(r)[1:] for r in licenses.scan_licenses(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert got == {i: brute_license(t) for i, t in rows}
+    if prefix != "dnl ":
+        assert [got[i][0] for i, _ in rows] == [name for name, _ in licenses.NOTICES]
+
+
+def test_anchors_are_in_all_that_can_match():
+    random = Random(5)
+    for percent in (50, 80, 100):
+        for _, notice in licenses.NOTICES:
+            grams = licenses.notice_bigrams(notice)
+            anchors = licenses.anchors_of([licenses.notice_bigrams(t) for _, t in licenses.NOTICES], percent)
+            for _ in range(50):
+                held = random.sample(grams, -(-percent * len(grams) // (200 - percent)))
+                assert any(a == g or a in g.split(" ") for g in held for a in anchors)
+
+
+def test_long_text_of_short_lines_is_scanned(spark):
+    text = "license\n" * 4_000 + wrapped(licenses.NOTICES[5][1], 2, "") + "\nend" * 4_000
+    got = licenses.scan_licenses(spark.createDataFrame([(1, text)], "doc_id bigint, text string")).first()
+    assert got["licenses"] == licenses.NOTICES[5][0]
