@@ -19,6 +19,8 @@ _STEPS = {
         FROM supplier LEFT JOIN nation ON s_nationkey = n_nationkey LEFT JOIN region ON n_regionkey = r_regionkey""",
     "vertices": """SELECT ids.id, nome, partido, ideologia, labelled.id IS NOT NULL AS has_attrs
         FROM ids LEFT JOIN labelled ON ids.id = labelled.id""",
+    "above": "SELECT src AS id, CASE WHEN count(*) > 1 THEN max(weight) END AS maior_peso FROM edges GROUP BY src",
+    "mapped": """SELECT v.*, a.maior_peso, a.id IS NOT NULL AS has_peso FROM vertices v LEFT JOIN above a ON a.id = v.id""",
     "strengths": """SELECT src AS id, CAST(sum(weight) AS BIGINT) AS strength, count(*) AS degree
         FROM both_ways GROUP BY src""",
     "coefficients": """SELECT b.src AS id, sum(CASE WHEN s.strength > 0 THEN 1.0::DOUBLE / s.strength ELSE 0 END)
@@ -59,6 +61,7 @@ _STEPS = {
 }
 _NETWORK = ["ballots", "relevant", "agreements", "edges", "both_ways", "ids"]
 _VERTICES = _NETWORK + ["labelled", "vertices"]
+_MAPPED = _VERTICES + ["above", "mapped"]
 _COEFFICIENTS = _VERTICES + ["strengths", "coefficients"]
 _BRIDGES = _COEFFICIENTS + ["bridges", "limits"]
 _PATHS = _NETWORK + ["walks", "distances", "path_steps", "path_counts", "through", "central"]
@@ -97,6 +100,7 @@ def all_oracles() -> dict[str, str]:
     )
     shares = "SELECT value, n, round(pct, 9) AS pct, {label} AS label FROM ({inner}) t"
     by_ideology = "SELECT ideologia AS value, count(*) AS n, count(*) * 100.0::DOUBLE / {total} AS pct FROM vertices {where} GROUP BY ideologia"
+    by_weight = "SELECT maior_peso AS value, count(*) AS n, count(*) * 100.0::DOUBLE / {total} AS pct FROM mapped {where} GROUP BY maior_peso"
     cross = """SELECT ideologia, partido, n, CAST(sum(n) OVER (PARTITION BY ideologia) AS BIGINT) AS total
         FROM (SELECT ideologia, partido, count(*) AS n FROM vertices GROUP BY ideologia, partido) t"""
     edges = "SELECT src, dst, weight FROM edges"
@@ -330,6 +334,35 @@ def all_oracles() -> dict[str, str]:
                 inner=by_ideology.format(total="(SELECT count(*) FROM vertices)", where=""),
             ),
         ),
+        "attribute_presence": _with(
+            _MAPPED,
+            """SELECT 'nome' AS field, count(nome) AS n_valued, count(*) FILTER (WHERE has_attrs AND nome IS NULL) AS n_null,
+            count(*) FILTER (WHERE NOT has_attrs) AS n_lacking FROM mapped
+            UNION ALL SELECT 'ideologia', count(ideologia), count(*) FILTER (WHERE has_attrs AND ideologia IS NULL),
+            count(*) FILTER (WHERE NOT has_attrs) FROM mapped
+            UNION ALL SELECT 'maior_peso', count(maior_peso), count(*) FILTER (WHERE has_peso AND maior_peso IS NULL),
+            count(*) FILTER (WHERE NOT has_peso) FROM mapped
+            UNION ALL SELECT 'idade', 0, 0, count(*) FROM mapped""",
+        ),
+        "attribute_distribution_by_presence": _with(
+            _MAPPED, "SELECT maior_peso AS value, count(*) AS n FROM mapped GROUP BY maior_peso"
+        ),
+        "category_shares_by_presence": _with(
+            _MAPPED,
+            shares.format(
+                label="""'Maior_peso ' || coalesce(CAST(value AS VARCHAR), 'None') || ' (' || CAST(n AS VARCHAR)
+                || ' ocorrências - ' || printf('%.1f', pct) || '%)'""",
+                inner=by_weight.format(total="(SELECT count(*) FROM mapped WHERE has_peso)", where="WHERE has_peso"),
+            ),
+        ),
+        "group_shares_by_presence": _with(
+            _MAPPED,
+            shares.format(
+                label="""'Comunidade ' || coalesce(CAST(value AS VARCHAR), 'None') || ': ' || CAST(n AS VARCHAR)
+                || ' (' || printf('%.2f', pct) || '%)'""",
+                inner=by_weight.format(total="(SELECT count(*) FROM mapped)", where=""),
+            ),
+        ),
         "strip_points_bridging": _with(
             _BRIDGING,
             """SELECT b.id, round(centralidade_ponte, 9) AS y, ideologia AS color, 'Centralidade ponte' AS y_title,

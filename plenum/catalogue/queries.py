@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from plenum.catalogue.roles import ballots, communities, community_vertices, members, network, parties, table
-from plenum.operators import centrality, community, distribution, graph, metrics, profile, votes
+from plenum.operators import attributes, centrality, community, distribution, graph, metrics, profile, votes
 from plenum.plans.chain import StepStore, run_chain
 from plenum.plans.report import RANKED, rank_vertices, vertex_report
 from plenum.session import materialize, scratch_path
@@ -532,6 +532,37 @@ def group_shares(spark, sf_dir):
     return profile.group_shares(network(spark, sf_dir).vertices, "ideologia")
 
 
+def _mapped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Vertices with attributes from two sources; the second knows only vertices with a neighbour of a higher number."""
+    net = network(spark, sf_dir)
+    above = net.edges.groupBy(F.col("src").alias("id")).agg(
+        F.when(F.count(F.lit(1)) > 1, F.max("weight")).alias("maior_peso"))
+    labels = net.vertices.filter("has_attrs").select("id", "nome", "partido", "ideologia")
+    return attributes.attach_maps(net.vertices.select("id"), [labels, above])
+
+
+@query
+def attribute_presence(spark, sf_dir):
+    return attributes.field_presence(_mapped(spark, sf_dir), ["nome", "ideologia", "maior_peso", "idade"])
+
+
+@query
+def attribute_distribution_by_presence(spark, sf_dir):
+    """Missing and NULL are one group."""
+    return profile.attribute_distribution(attributes.with_fields(_mapped(spark, sf_dir), {"maior_peso": "bigint"}), "maior_peso")
+
+
+@query
+def category_shares_by_presence(spark, sf_dir):
+    """Shares among the vertices that have the field, be it NULL."""
+    return profile.category_shares(attributes.with_fields(_mapped(spark, sf_dir), {"maior_peso": "bigint"}), "maior_peso")
+
+
+@query
+def group_shares_by_presence(spark, sf_dir):
+    return profile.group_shares(attributes.with_fields(_mapped(spark, sf_dir), {"maior_peso": "bigint"}), "maior_peso")
+
+
 @query
 def strip_points(spark, sf_dir):
     """The jitter is a hash of Spark's own: only its range is compared."""

@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from plenum.functions.text import capitalised, percent_text, words
+from plenum.session import materialize
+from plenum.skew import HOT_FLOOR, salted_join
 
 JITTER = 0.09  # fixed half width of the strip
 
@@ -15,17 +17,18 @@ def attribute_distribution(vertices: DataFrame, field: str) -> DataFrame:
     return vertices.groupBy(F.col(field).alias("value")).agg(F.count(F.lit(1)).alias("n"))
 
 
-def cross_share(vertices: DataFrame, field1: str, field2: str) -> DataFrame:
+def cross_share(vertices: DataFrame, field1: str, field2: str, floor: int = HOT_FLOOR) -> DataFrame:
     """For each value of ``field1``, count and percentage of each value of ``field2``.
 
-    Totals come from the counts, not from the vertices, and are joined NULL-safe.
+    Totals come from the stored counts, not from the vertices. A value with very many values of ``field2`` is split in
+    their join; in a struct, a NULL is a key like others.
     """
-    counts = vertices.groupBy(field1, field2).agg(F.count(F.lit(1)).alias("n"))
-    totals = counts.groupBy(F.col(field1).alias("_of")).agg(F.sum("n").alias("total"))
+    counted = vertices.groupBy(field1, field2).agg(F.count(F.lit(1)).alias("n"))
+    counts = materialize(counted, "cross-counts").withColumn("_of", F.struct(field1))
+    totals = counts.groupBy("_of").agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("_rows"))
     return (
-        counts.join(totals, F.col(field1).eqNullSafe(F.col("_of")))
-        .drop("_of")
-        .withColumn("pct", F.col("n") / F.col("total") * 100)
+        salted_join(counts, totals.drop("_rows"), ["_of"], sizes=totals, spread=[field2], floor=floor)
+        .select(field1, field2, "n", "total", (F.col("n") / F.col("total") * 100).alias("pct"))
     )
 
 
@@ -55,7 +58,10 @@ def _shown(value: Column) -> Column:
 
 
 def category_shares(vertices: DataFrame, field: str) -> DataFrame:
-    """Count and percentage per value among vertices that have attributes, with the donut label."""
+    """Count and percentage per value among vertices that have attributes, with the donut label.
+
+    Of vertices from :func:`plenum.operators.attributes.with_fields` those count that have this very field.
+    """
     present = vertices.filter("has_attrs") if "has_attrs" in vertices.columns else vertices
     label = F.concat(
         capitalised(F.lit(field)), F.lit(" "), _shown(F.col("value")), F.lit(" ("), F.col("n").cast("string"),

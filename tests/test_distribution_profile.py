@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from plenum.functions import text
 from plenum.functions.numbering import number_rows
 from plenum.functions.quantiles import exact_quantiles, histogram_quantiles
-from plenum.operators import distribution, profile
+from plenum.operators import attributes, distribution, profile
 from tests.conftest import pairs, rows
 
 
@@ -71,6 +71,40 @@ def test_shares(vertices):
     assert profile.category_shares(vertices.filter("not has_attrs"), "ideologia").count() == 0
 
 
+def test_a_field_can_be_null_or_lacking(spark):
+    ids = spark.createDataFrame([(i,) for i in range(1, 6)], "id bigint")
+    labels = spark.createDataFrame([(1, "a", 1.5), (2, None, 2.5), (3, "c", None), (9, "z", 0.0)], "id bigint, nome string, x double")
+    later = spark.createDataFrame([("1", None), ("4", "d")], "id string, nome string")
+    found = attributes.attach_maps(ids, [labels, later])
+    assert {r["id"]: r["attrs"] for r in found.collect()} == {
+        1: {"nome": None, "x": "1.5"}, 2: {"nome": None, "x": "2.5"}, 3: {"nome": "c", "x": None}, 4: {"nome": "d"}, 5: {}}
+    told = {r["field"]: tuple(r)[1:] for r in attributes.field_presence(found, ["nome", "x", "y"]).collect()}
+    assert told == {"nome": (2, 2, 1), "x": (2, 1, 2), "y": (0, 0, 5)}
+    chosen = attributes.with_fields(found, {"nome": "string", "x": "double"}, present="x")
+    assert {r["id"]: tuple(r)[1:] for r in chosen.collect()} == {
+        1: (None, 1.5, True), 2: (None, 2.5, True), 3: ("c", None, True), 4: ("d", None, False), 5: (None, None, False)}
+    shares = {r["value"]: (r["n"], r["pct"]) for r in profile.category_shares(chosen, "x").collect()}
+    assert shares == {1.5: (1, 1 / 3 * 100), 2.5: (1, 1 / 3 * 100), None: (1, 1 / 3 * 100)}
+    assert rows(profile.attribute_distribution(chosen, "x")) == rows_of((1.5, 1), (2.5, 1), (None, 3))
+
+
+def test_maps_of_repeated_empty_and_odd_sources(spark):
+    ids = spark.createDataFrame([(1,), (2,)], "id bigint")
+    repeated = spark.createDataFrame([(1, "b", 1), (1, None, 2), (2, "c", 1), (2, "a", 1)], "id bigint, `a.b` string, t int")
+    placed = attributes.attach_maps(ids, [repeated], order_col="t")
+    assert {r["id"]: r["attrs"] for r in placed.collect()} == {1: {"a.b": None}, 2: {"a.b": "c"}}
+    assert attributes.attach_maps(ids.limit(0), [repeated]).count() == 0
+    assert [r["attrs"] for r in attributes.attach_maps(ids, []).collect()] == [{}, {}]
+    assert [r["attrs"] for r in attributes.attach_maps(ids, [repeated.limit(0), ids]).collect()] == [{}, {}]
+
+
+def test_cross_share_splits_a_value_with_most_rows(spark):
+    frame = spark.range(3000).selectExpr("if(id % 3 = 0, null, 'hot') as a", "if(id < 2990, id, null) as b")
+    plain, split = profile.cross_share(frame, "a", "b"), profile.cross_share(frame, "a", "b", floor=1)
+    assert rows(plain) == rows(split) and split.count() == 2993 - 1
+    assert {(r["a"], r["total"]) for r in split.collect()} == {(None, 1000), ("hot", 2000)}
+
+
 def rows_of(*items):
     return sorted(items, key=repr)
 
