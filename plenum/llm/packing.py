@@ -112,10 +112,11 @@ def pack(
 ) -> DataFrame:
     """Rows of at most ``size`` ids made of all documents of ``tokens`` (a key and an array or binary of ids).
 
-    ``ids`` are 32-bit little-endian numbers when binary. Documents are dealt by a hash of their key to groups of
-    about ``group`` ids, packed one by one: a task holds one group, and equal keys are sorted by ids, so a task that
-    runs again makes the same rows. ``groups`` sets their number, which otherwise takes a pass to count the ids. Only a
-    group's last rows may be partly full. Null and empty documents have no
+    ``ids`` are 32-bit little-endian numbers when binary. Documents are dealt by a hash of key and ids to groups of
+    about ``group`` ids, so null and repeated keys are spread like others, and packed one by one. A group that
+    holds more, as copies with one key make it, is packed in pieces: a task holds twice ``group`` ids and one document
+    at most, and its rows are sorted by key and ids, so a task that runs again makes the same rows. ``groups`` sets
+    their number, which otherwise takes a pass to count the ids. Only a piece's last rows may be partly full. Null and empty documents have no
     ids and appear in no row; a null key is kept as null; other columns are ignored.
     """
     packed = dict(tokens.dtypes)[ids] == "binary"
@@ -123,7 +124,7 @@ def pack(
     some = some if packed else some.withColumn("ids", pack_ids("ids"))
     if groups is None:
         groups = -(-int(some.agg(F.sum(F.octet_length("ids") / 4)).first()[0] or 0) // group)
-    return pack_groups(some, max(1, groups), size)
+    return pack_groups(some, max(1, groups), size, 2 * group)
 
 
 def pack_ids(column: str):
@@ -134,17 +135,17 @@ def pack_ids(column: str):
     return to_bytes(F.col(column))
 
 
-def pack_groups(some: DataFrame, groups: int, size: int) -> DataFrame:
-    """Pack ``doc_id, ids`` in so many groups; ``ids`` are binary."""
-    dealt = some.withColumn("pack_group", F.pmod(F.xxhash64("doc_id"), F.lit(groups)))
+def pack_groups(some: DataFrame, groups: int, size: int, held: int) -> DataFrame:
+    """Pack ``doc_id, ids`` in so many groups, ``held`` ids at a time; ``ids`` are binary."""
+    dealt = some.withColumn("pack_group", F.pmod(F.xxhash64("doc_id", "ids"), F.lit(groups)))
 
-    def rows_of(number: int, docs: list[tuple[int | None, bytes]]) -> pa.RecordBatch:
+    def rows_of(number: int, first: int, docs: list[tuple[int | None, bytes]]) -> pa.RecordBatch:
         # segments: document, first id, length; full rows are segments of their own
         segments = [(d, at, min(size, len(b) // 4 - at)) for d, (_, b) in enumerate(docs) for at in range(0, len(b) // 4, size)]
         columns: list[list] = [[] for _ in range(7)]
         for row, members in enumerate(best_fit([s[2] for s in segments], size)):
             parts = [segments[i] for i in members]
-            values = (number, row, b"".join(docs[d][1][4 * at : 4 * (at + n)] for d, at, n in parts),
+            values = (number, first + row, b"".join(docs[d][1][4 * at : 4 * (at + n)] for d, at, n in parts),
                       np.cumsum([0, *[n for _, _, n in parts]]).tolist(), [at for _, at, _ in parts],
                       [docs[d][0] for d, _, _ in parts], sum(n for _, _, n in parts))
             for column, value in zip(columns, values):
@@ -154,16 +155,19 @@ def pack_groups(some: DataFrame, groups: int, size: int) -> DataFrame:
         return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names)
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, docs = None, []
+        now, docs, ids, first = None, [], 0, 0
         for batch in batches:
             for number, doc, content in zip(*[c.to_pylist() for c in batch.columns]):
+                if docs and (number != now or ids >= held):
+                    rows = rows_of(now, first, docs)
+                    yield rows
+                    docs, ids, first = [], 0, first + rows.num_rows
                 if number != now:
-                    if docs:
-                        yield rows_of(now, docs)
-                    now, docs = number, []
+                    now, first = number, 0
                 docs.append((doc, content))
+                ids += len(content) // 4
         if docs:
-            yield rows_of(now, docs)
+            yield rows_of(now, first, docs)
 
     ordered = dealt.repartition(groups, "pack_group").sortWithinPartitions("pack_group", "doc_id", "ids")
     return ordered.select("pack_group", "doc_id", "ids").mapInArrow(task, PACKED)

@@ -233,6 +233,21 @@ def test_packing_is_lossless(spark, groups):
     assert packing.pack(tokens.limit(0)).count() == 0
 
 
+def test_packing_spreads_null_ids_and_packs_copies_in_pieces(spark):
+    docs = [(None, [i, i + 1]) for i in range(600)] + [(1, [5] * 10)] * 300
+    tokens = spark.createDataFrame(docs, "doc_id bigint, ids array<int>")
+    rows = packing.pack(tokens, size=64, group=200).collect()
+    assert len({(r.pack_group, r.row) for r in rows}) == len(rows)
+    held = defaultdict(int)
+    for r in rows:
+        if None in r.doc_ids:
+            held[r.pack_group] += sum(d is None for d in r.doc_ids)
+    assert len(held) > 10 and max(held.values()) < 100  # of 21 groups and 600 documents
+    segments = [(d, tuple(np.frombuffer(r.ids, "<u4")[a:b].tolist())) for r in rows
+                for d, a, b in zip(r.doc_ids, r.cu_seqlens, r.cu_seqlens[1:])]
+    assert sorted(segments, key=str) == sorted([(d, tuple(t)) for d, t in docs], key=str)
+
+
 # ---- sharding -----------------------------------------------------------------------------------------------
 
 
