@@ -149,13 +149,30 @@ def test_rules_equal_brute_force(spark, rows_per_sweep):
     pages = spark.createDataFrame(rows, "page_id bigint, url string, host string")
     rules = spark.createDataFrame([(h + p, h, p, v) for h, p, v in RULES] * 2 + [(None, None, None, None)],
                                   "rule string, host string, path string, verdict string")
-    got = url_rules.judge_urls(pages, rules, rows_per_sweep=rows_per_sweep)
-    assert sorted([tuple(r) for r in got.collect()], key=key) == sorted([(i, *brute_rules(u)) for i, u, _ in rows], key=key)
+    for inline in (url_rules.INLINE, 1, 0):
+        got = url_rules.judge_urls(pages, rules, rows_per_sweep=rows_per_sweep, inline=inline)
+        assert sorted([tuple(r) for r in got.collect()], key=key) == sorted([(i, *brute_rules(u)) for i, u, _ in rows], key=key)
+        assert "Python" not in got._jdf.queryExecution().toString()
     assert url_rules.judge_urls(pages.limit(0), rules).count() == 0
     free = url_rules.judge_urls(pages, rules.limit(0)).collect()
     assert len(free) == len(rows) and {(r.rule, r.verdict) for r in free} == {(None, "allow")}
 
 
+def test_rule_events_do_not_grow_with_the_rules_around_them(spark):
+    told = [(f"com/{i}/", "com", f"/{i}/", "block") for i in range(500)] + [(f"h{i}.com", f"h{i}.com", "", "allow") for i in range(500)]
+    told += [("com/7/7", "com", "/7/7", "allow")]
+    rules = spark.createDataFrame(told, "rule string, host string, path string, verdict string")
+    size = url_rules.rule_events(rules).agg(F.count(F.lit(1)), F.sum(F.size("stack"))).first()
+    assert size[0] == 1002 and size[1] <= 2000
+    assert url_rules.path_events(rules.filter("host = 'com'")).count() == 2 * 501 + 1
+    urls = [(0, "http://h3.com/7/"), (1, "http://x.com/7/"), (2, "http://x.com/7/7/a"), (3, "http://com/8/a"), (4, "http://h3.com/none"),
+            (5, "http://x.com/none"), (6, "http://com/499/"), (7, "http://xcom/7/"), (2, "http://x.com/7/7/a")]
+    got = url_rules.judge_urls(spark.createDataFrame(urls, "page_id int, url string"), rules)
+    assert sorted((r.page_id, r.rule, r.verdict) for r in got.fillna("-").collect()) == [
+        (0, "h3.com", "allow"), (1, "com/7/", "block"), (2, "com/7/7", "allow"), (2, "com/7/7", "allow"), (3, "com/8/", "block"),
+        (4, "h3.com", "allow"), (5, "-", "allow"), (6, "com/499/", "block"), (7, "-", "allow")]
+
+
 # ---- chat ---------------------------------------------------------------------------------------------------
 
 LOG = "conv_id bigint, seq bigint, kind string, role string, text string, target int, turn string"
