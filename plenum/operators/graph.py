@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from plenum.session import discard, materialize
 from plenum.skew import HOT_FLOOR, salted_join
 
 
@@ -36,6 +37,43 @@ def vertex_ids(edges: DataFrame) -> DataFrame:
     return edges.select(F.explode(F.array("src", "dst")).alias("id")).distinct()
 
 
+def components(edges: DataFrame, a: str = "src", b: str = "dst") -> DataFrame:
+    """``id, component`` of every end of an edge, a stored table; the component is its smallest vertex.
+
+    Each round links every vertex to the smallest it knows, chains of such links are halved until they are stars, and the
+    edges left are those between stars, named by their centres: there are ever fewer, and none in the end.
+    """
+    ends = edges.select(F.least(a, b).alias("u"), F.greatest(a, b).alias("v"))
+    both = ends.select(F.inline(F.array(F.struct("u", "v"), F.struct(F.col("v").alias("u"), F.col("u").alias("v")))))
+    places, left = None, None
+    while True:
+        found = both.groupBy("u").agg(F.least(F.first("u"), F.min("v")).alias("root"))
+        roots = materialize(found, "roots")
+        while True:
+            up = roots.select(F.col("u").alias("root"), F.col("root").alias("top"))
+            jumped = materialize(roots.join(up, "root").select("u", F.col("top").alias("root"), (F.col("top") < F.col("root")).alias("up")), "roots")
+            discard(roots)
+            roots = jumped
+            if roots.filter("up").isEmpty():
+                break
+        if places is None:
+            grown = roots.select(F.col("u").alias("id"), F.col("root").alias("component"))
+        else:
+            grown = places.join(roots.select(F.col("u").alias("component"), "root"), "component", "left").select(
+                "id", F.coalesce("root", "component").alias("component"))
+        grown = materialize(grown, "components")
+        one, two = (roots.select(F.col("u").alias(end), F.col("root").alias(f"{end}_root")) for end in ("u", "v"))
+        across = both.filter("u < v").join(one, "u").join(two, "v").filter("u_root <> v_root").select(
+            F.inline(F.array(F.struct(F.col("u_root").alias("u"), F.col("v_root").alias("v")),
+                             F.struct(F.col("v_root").alias("u"), F.col("u_root").alias("v"))))).distinct()
+        after = materialize(across, "links")
+        discard(places, left, roots)
+        places, left, both = grown, after, after
+        if after.isEmpty():
+            discard(after)
+            return places
+
+
 def attach_attributes(ids: DataFrame, attributes: DataFrame, order_col: str | None = None) -> DataFrame:
     """Network vertices with their attributes; ``has_attrs`` tells a missing row from NULL attributes.
 
