@@ -285,3 +285,31 @@ def test_certificate_sees_what_would_gain(edges):
     wrong = net.sparkSession.createDataFrame([(i, i % 2) for i in range(1, 7)], "id bigint, g bigint")
     assert community.optimality(net, wrong, "g").first()["n_gaining_moves"] == 4
     assert community.optimality(edges([]), members, "g").first() == (0, 0, 0, 0)
+
+
+def counted(monkeypatch, module, *names):
+    """A list that grows with each table the module stores."""
+    made = []
+    for name in names:
+        monkeypatch.setattr(module, name, lambda *a, f=getattr(module, name): made.append(1) or f(*a))
+    return made
+
+
+def test_betweenness_of_a_long_chain_takes_few_steps(edges, monkeypatch):
+    """Its paths are as long as the chain, and one stored round per edge of a path took minutes."""
+    made = counted(monkeypatch, centrality, "materialize")
+    n = 40
+    found = pairs(centrality.betweenness(edges([(i, i + 1, 1) for i in range(n - 1)])))
+    assert found == pytest.approx({i: 2 * i * (n - 1 - i) / ((n - 1) * (n - 2)) for i in range(n)})
+    assert len(made) < 12
+
+
+@pytest.mark.parametrize("near_edges", [30, 1_000])
+def test_betweenness_of_parts_equals_that_in_rounds(edges, monkeypatch, near_edges):
+    """Components dealt to parts, large ones in blocks of sources, and those beyond the bound in rounds."""
+    monkeypatch.setattr(centrality, "ONE_PART", 0)
+    monkeypatch.setattr(centrality, "BLOCK_WORK", 200)
+    rows = random_net(14, 0.3, seed=4) + [(i + 100, j + 100, w) for i, j, w in random_net(6, 0.6, seed=8)]
+    rows += [(3 * i + 200, 3 * i + 201 + k, 2) for i in range(5) for k in (0, 1)] + [(300, 300, 1), (5, 5, 2)]
+    net = materialize(edges(rows), "net")
+    assert pairs(centrality.betweenness(net, near_edges=near_edges)) == pytest.approx(brute_betweenness(rows))
