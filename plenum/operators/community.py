@@ -5,6 +5,9 @@ the vertices of some groups move, one after the other inside a group and all the
 stand still. What a vertex needs to know, its weight towards each community around it, is kept from turn to turn and
 changed only by the edges of vertices that have moved; edges and these weights are bucketed, so neither is shuffled.
 Whole and decimal weights are compared exactly: a move counts if it raises the modularity at all.
+
+A vertex gains nothing by a community it has no edge to, so components are settled apart from each other: those that fit a
+group wholly inside tasks, only larger ones in turns.
 """
 
 from __future__ import annotations
@@ -19,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from plenum.functions.numbering import number_rows
-from plenum.operators.graph import symmetric_edges
+from plenum.operators.graph import components, symmetric_edges, vertex_ids
 from plenum.session import discard, materialize, store_bucketed
 from plenum.skew import HOT_FLOOR, hot_keys, salted_join
 
@@ -113,29 +116,11 @@ def _counted(rows: DataFrame) -> tuple[DataFrame, int]:
     return stored, seen.get["rows"]
 
 
-def settle_group(rows: pd.DataFrame, links: pd.DataFrame, numbers: _Numbers, twice_m) -> pd.DataFrame:
-    """Moves ``id, k, label, new_label`` after which no vertex of a group gains by moving, given all others.
-
-    ``rows`` are ``id, label, weight, own, k, total`` per vertex and community around it, ``links`` the edges inside
-    the group. One vertex after the other goes where it gains most, of equal gains to the smallest label, if it gains
-    by going at all; each move raises the modularity, which ends it. Whole numbers are Python's, of any size.
-    """
-    number = int if numbers.exact else float
+def _descend(near: dict, total: dict, home: dict, strength: dict, inside: dict, numbers: _Numbers, twice_m) -> None:
+    """Move vertices one after the other until none gains; ``near``, ``total`` and ``home`` change with each move."""
     p, q = numbers.resolution.numerator, numbers.resolution.denominator
-    near: dict[int, dict[int, object]] = {}
-    total: dict[int, object] = {}
-    home, strength = {}, {}
-    for i, label, weight, own, k, whole in zip(*(rows[c].tolist() for c in ("id", "label", "weight", "own", "k", "total"))):
-        near.setdefault(i, {})[label] = number(weight)
-        total[label] = number(whole)
-        if own:
-            home[i], strength[i] = label, number(k)
-    inside: dict[int, list] = {}
-    for i, j, weight in zip(*(links[c].tolist() for c in ("src", "dst", "weight"))):
-        inside.setdefault(i, []).append((j, number(weight)))
     scale = q * twice_m if numbers.exact else float(twice_m)
     cost = p if numbers.exact else float(numbers.resolution)
-    first = dict(home)
     moving = True
     while moving:
         moving = False
@@ -159,10 +144,85 @@ def settle_group(rows: pd.DataFrame, links: pd.DataFrame, numbers: _Numbers, twi
                 sums[here] = sums.get(here, 0) - weight
                 sums[there] = sums.get(there, 0) + weight
             moving = True
+
+
+def settle_group(rows: pd.DataFrame, links: pd.DataFrame, numbers: _Numbers, twice_m) -> pd.DataFrame:
+    """Moves ``id, k, label, new_label`` after which no vertex of a group gains by moving, given all others.
+
+    ``rows`` are ``id, label, weight, own, k, total`` per vertex and community around it, ``links`` the edges inside
+    the group. One vertex after the other goes where it gains most, of equal gains to the smallest label, if it gains
+    by going at all; each move raises the modularity, which ends it. Whole numbers are Python's, of any size.
+    """
+    number = int if numbers.exact else float
+    near: dict[int, dict[int, object]] = {}
+    total: dict[int, object] = {}
+    home, strength = {}, {}
+    for i, label, weight, own, k, whole in zip(*(rows[c].tolist() for c in ("id", "label", "weight", "own", "k", "total"))):
+        near.setdefault(i, {})[label] = number(weight)
+        total[label] = number(whole)
+        if own:
+            home[i], strength[i] = label, number(k)
+    inside: dict[int, list] = {}
+    for i, j, weight in zip(*(links[c].tolist() for c in ("src", "dst", "weight"))):
+        inside.setdefault(i, []).append((j, number(weight)))
+    first = dict(home)
+    _descend(near, total, home, strength, inside, numbers, twice_m)
     moved = [(i, strength[i], first[i], label) for i, label in sorted(home.items()) if label != first[i]]
     return pd.DataFrame(moved, columns=["id", "k", "label", "new_label"])
 
 
+def _settled(around: dict[int, dict], strength: dict, start: dict, numbers: _Numbers, twice_m) -> dict:
+    """Labels of all vertices after which none gains by moving, from the labels ``start``."""
+    near, total, home = {}, {}, dict(start)
+    for i, label in start.items():
+        total[label] = total.get(label, 0) + strength[i]
+        sums = near[i] = {}
+        for j, weight in around[i].items():
+            sums[start[j]] = sums.get(start[j], 0) + weight
+    _descend(near, total, home, strength, {i: list(ends.items()) for i, ends in around.items()}, numbers, twice_m)
+    return home
+
+
+def _contracted(around: dict[int, dict], strength: dict, labels: dict) -> tuple[dict, dict]:
+    """Network of communities: the weights between them, and their strengths."""
+    upper, sums = {c: {} for c in sorted(set(labels.values()))}, {}
+    for i, home in labels.items():
+        sums[home] = sums.get(home, 0) + strength[i]
+        ends = upper[home]
+        for j, weight in around[i].items():
+            if labels[j] != home:
+                ends[labels[j]] = ends.get(labels[j], 0) + weight
+    return upper, sums
+
+
+def settle_components(links: pd.DataFrame, numbers: _Numbers, twice_m) -> pd.DataFrame:
+    """``id, label`` of whole components, from their edges ``src, dst, weight``, after which no vertex gains by moving
+    and no community by joining another, as :func:`louvain` has it.
+    """
+    number = int if numbers.exact else float
+    around, strength = {}, {}
+    links = links.sort_values(["src", "dst", "weight"])
+    for i, j, weight in zip(*(links[c].tolist() for c in ("src", "dst", "weight"))):
+        weight = number(weight)
+        for one, two in ((i, j), (j, i)):
+            strength[one] = strength.get(one, 0) + weight  # a self-loop counts twice
+            ends = around.setdefault(one, {})
+            if i != j:
+                ends[two] = ends.get(two, 0) + weight
+    labels, rising = {i: i for i in sorted(around)}, True
+    while rising:
+        labels, rising = _settled(around, strength, labels, numbers, twice_m), False
+        upper, sums = _contracted(around, strength, labels)
+        while True:
+            start = {c: c for c in upper}
+            found = _settled(upper, sums, start, numbers, twice_m)
+            if found == start:
+                break
+            rising, labels = True, {i: found[c] for i, c in labels.items()}
+            upper, sums = _contracted(upper, sums, found)
+    return pd.DataFrame(sorted(labels.items()), columns=["id", "label"])
+
+
 class Near:
     """What vertices know: ``id, label, weight, own, k``, a row for each vertex and community around it or its own.
 
@@ -188,14 +248,15 @@ class Near:
 class Level:
     """One network of the hierarchy: its edges, and the sums that do not change while vertices move."""
 
-    def __init__(self, edges: DataFrame, numbers: _Numbers, floor: int, group: int = GROUP):
+    def __init__(self, edges: DataFrame, numbers: _Numbers, floor: int, group: int = GROUP, twice_m=None):
         self.numbers, self.floor = numbers, floor
         self.number = int if numbers.exact else float
         self.edges = edges.select("src", "dst", F.col("weight").cast(numbers.weight).alias("weight"))
         self.nodes = materialize(_strengths(self.edges), "level-nodes")
-        self.n, twice_m, loops, rows = self.nodes.agg(
+        self.n, strength, loops, rows = self.nodes.agg(
             F.count(F.lit(1)), F.sum("k"), F.sum("loop"), F.sum("degree")).first()
-        self.twice_m, self.loops = self.number(twice_m or 0), self.number(loops or 0)
+        # of a part of a network it is that of all
+        self.twice_m, self.loops = self.number(strength or 0) if twice_m is None else twice_m, self.number(loops or 0)
         self.hubs = hot_keys(self.nodes, ["id"], "degree", floor)
         rows = int(rows or 0)
         parallel = self.nodes.sparkSession.sparkContext.defaultParallelism
@@ -392,7 +453,7 @@ def _merge_communities(level: Level, near: Near) -> DataFrame | None:
     members = None
     edges = level.contract(near)
     while True:
-        upper = Level(edges, level.numbers, level.floor)
+        upper = Level(edges, level.numbers, level.floor, twice_m=level.twice_m)
         found, moved = upper.settle(upper.nodes.select("id", F.col("id").alias("label")))
         after = None
         if moved:
@@ -414,23 +475,47 @@ def _merge_communities(level: Level, near: Near) -> DataFrame | None:
         edges = after
 
 
-def louvain(
-    edges: DataFrame,
-    resolution: float = 1.0,
-    floor: int = HOT_FLOOR,
-) -> DataFrame:
-    """Community ``modularidade`` of each vertex: 0 is the largest, ties in size by smallest vertex.
+def _settle_near(edges: DataFrame, numbers: _Numbers, twice_m, near_rows: int, floor: int) -> tuple[DataFrame | None, DataFrame | None]:
+    """Labels of the components of at most ``near_rows`` directed edges, stored, and the stored edges of the others.
 
-    ``edges`` are canonical, weighted and stored. Vertices move, then communities as a whole, and then vertices again,
-    until neither the move of a vertex nor that of a community to another one raises the modularity. The result does
-    not depend on row order or partitioning.
+    Components are dealt to parts of about a fourth of that size, each settled in one task. Either is None if there is none.
     """
-    whole = whole_weights(edges)
-    level = Level(whole, _numbers(whole, resolution), floor)
-    labels = level.nodes.select("id", F.col("id").alias("label"))
-    if not level.twice_m:  # no edge, or no weight: every vertex stays alone
-        return number_rows(labels, [F.col("id")], "modularidade").select("id", F.col("modularidade").cast("int").alias("modularidade"))
-    made = None
+    links = edges.count()
+    rows, placed = 2 * links, None
+    if rows <= near_rows:
+        near, far = edges.withColumn("part", F.lit(0)), None
+    else:
+        ends = edges.filter("src <> dst")
+        roots = components(ends)
+        placed = salted_join(edges, roots.toDF("src", "root"), ["src"], "left", spread=["dst"], floor=floor)
+        placed = materialize(placed.select("src", "dst", "weight", F.coalesce("root", "src").alias("root")), "placed")
+        held = placed.groupBy("root").agg(F.count(F.lit(1)).alias("_rows"))
+        held = materialize(held.withColumn("near", F.col("_rows") * 2 <= near_rows), "held")
+        rows, n_far = held.agg(F.sum(F.when(F.col("near"), F.col("_rows") * 2)), F.count_if(~F.col("near"))).first()
+        near, far = placed, None
+        if n_far:
+            marked = salted_join(placed, held.select("root", "near"), ["root"], sizes=held, spread=["src", "dst"], floor=floor)
+            near = marked.filter("near")
+            far = materialize(marked.filter("not near").select("src", "dst", "weight"), "far-edges")
+        discard(roots)
+    labels = None
+    if rows:
+        parts = -(-4 * rows // near_rows)
+        if placed is not None:
+            near = near.withColumn("part", F.pmod(F.xxhash64("root"), F.lit(parts)).cast("int"))
+        # more tasks than parts, so that hashes seldom deal two parts to one
+        dealt = near.select("part", "src", "dst", "weight").repartition(min(4 * parts, 20_000), "part")
+        labels = materialize(dealt.groupBy("part").applyInPandas(
+            lambda some: settle_components(some, numbers, twice_m), "id bigint, label bigint"), "near-labels")
+    if placed is not None:
+        discard(placed, held)
+    return labels, far
+
+
+def _settle_far(edges: DataFrame, numbers: _Numbers, twice_m, floor: int) -> DataFrame:
+    """Labels, stored, of components that are settled in turns."""
+    level = Level(edges, numbers, floor, twice_m=twice_m)
+    labels, made = level.nodes.select("id", F.col("id").alias("label")), None
     while True:
         near, _ = level.settle(labels)
         merged = _merge_communities(level, near)
@@ -444,6 +529,35 @@ def louvain(
         if merged is None:
             break
     level.discard()
+    return labels
+
+
+def louvain(
+    edges: DataFrame,
+    resolution: float = 1.0,
+    floor: int = HOT_FLOOR,
+    near_rows: int = GROUP_ROWS,
+) -> DataFrame:
+    """Community ``modularidade`` of each vertex: 0 is the largest, ties in size by smallest vertex.
+
+    ``edges`` are canonical, weighted and stored. Vertices move, then communities as a whole, and then vertices again,
+    until neither the move of a vertex nor that of a community to another one raises the modularity. The result does
+    not depend on row order or partitioning. Components of at most ``near_rows`` directed edges are settled inside tasks.
+    """
+    whole = whole_weights(edges)
+    numbers = _numbers(whole, resolution)
+    whole = whole.select("src", "dst", F.coalesce("weight", F.lit(0)).cast(numbers.weight).alias("weight"))
+    number = int if numbers.exact else float
+    twice_m = 2 * number(whole.agg(F.sum("weight")).first()[0] or 0)
+    if not twice_m:  # no edge, or no weight: every vertex stays alone
+        alone = vertex_ids(whole).select("id", F.col("id").alias("label"))
+        return number_rows(alone, [F.col("id")], "modularidade").select("id", F.col("modularidade").cast("int").alias("modularidade"))
+    near, far = _settle_near(whole, numbers, twice_m, near_rows, floor)
+    labels = near
+    if far is not None:
+        labels = _settle_far(far, numbers, twice_m, floor)
+        labels = labels if near is None else labels.unionByName(near)
+        discard(far)
     sizes = labels.groupBy("label").agg(F.count(F.lit(1)).alias("_rows"), F.min("id").alias("first"))
     ranked = number_rows(sizes, [F.col("_rows").desc(), F.col("first")], "modularidade")
     lookup = ranked.select("label", F.col("modularidade").cast("int").alias("modularidade"))

@@ -313,3 +313,30 @@ def test_betweenness_of_parts_equals_that_in_rounds(edges, monkeypatch, near_edg
     rows += [(3 * i + 200, 3 * i + 201 + k, 2) for i in range(5) for k in (0, 1)] + [(300, 300, 1), (5, 5, 2)]
     net = materialize(edges(rows), "net")
     assert pairs(centrality.betweenness(net, near_edges=near_edges)) == pytest.approx(brute_betweenness(rows))
+
+
+def test_louvain_of_small_components_takes_few_steps(edges, monkeypatch):
+    """Components that fit a group are settled at once, instead of in a dozen stored turns of all groups."""
+    rows = [(i + 100 * c, j + 100 * c, w) for c in range(3) for i, j, w in random_net(30, 0.2, seed=c)]
+    net = materialize(edges(rows), "net")
+    made = counted(monkeypatch, community, "materialize", "store_bucketed")
+    found = community.louvain(net, near_rows=400)
+    assert len(made) < 6
+    assert community.optimality(net, found, "modularidade").first()[2:] == (0, 0)
+
+
+@pytest.mark.parametrize("kind, near_rows", [("bigint", 0), ("decimal(12,2)", 60), ("double", 10**6)])
+def test_louvain_of_components_of_all_sizes(edges, kind, near_rows):
+    """In turns, partly in turns and without any, nothing gains; loops, lone vertices and weights of 0 and NULL count."""
+    rows = random_net(30, 0.2) + [(i + 100, j + 100, w) for i, j, w in random_net(7, 0.7, seed=2)]
+    rows += [(200, 201, 2), (300, 300, 3), (400, 401, 0), (3, 3, 2), (100, 100, 1), (500, 501, None)]
+    net = materialize(edges(rows).withColumn("weight", F.col("weight").cast(kind)), "net")
+    found = materialize(community.louvain(net, near_rows=near_rows), "found")
+    proof = community.optimality(net, found, "modularidade").first()
+    vertices = graph.vertex_ids(net).count()
+    assert (proof.n_vertices, proof.n_gaining_moves, proof.n_gaining_merges) == (vertices, 0, 0)
+    assert found.count() == vertices and found.filter("modularidade IS NULL").isEmpty()
+    label = pairs(found)
+    assert label[200] == label[201] and label[400] != label[401] and label[500] != label[501]
+    sizes = [row["count"] for row in found.groupBy("modularidade").count().orderBy("modularidade").collect()]
+    assert sizes == sorted(sizes, reverse=True)
