@@ -24,23 +24,35 @@ BIN_FILL = 0.94  # bins are filled by hash: room for uneven filling
 PAIRS_PER_TASK = 20_000_000
 # Up to so many different votes are compared by their place in the sorted list of votes.
 KNOWN_VOTES = 1_000
+# Rows that one task reduces to ballots, about (some 250 bytes each at the peak).
+BALLOT_ROWS = 1_000_000
 
 
 def ballots_from(rows: DataFrame, voting: str, member: str, vote: str) -> DataFrame:
     """One ballot per voting and member; of repeated rows the largest vote counts. Rows without either are no ballots.
 
-    Votes are few, so they are compared as numbers, by which rows are summed up by hash before and after they move;
-    the largest text would need two sorts of all rows.
+    Votes are few, so they are compared as numbers, by which rows are summed up by hash; the largest text would need two
+    sorts of all rows. Hardly any rows are repeated, so sums before rows move would hold nearly all rows of a task; rows
+    are counted with the votes and dealt to as many tasks as bound what one holds. The frame is marked, so that its
+    rows aren't reduced once more.
     """
     named = rows.select(F.col(voting).alias("voting"), F.col(member).alias("member"), F.col(vote).alias("vote")).filter(
         F.col("voting").isNotNull() & F.col("member").isNotNull())
-    votes = [r.vote for r in named.select("vote").distinct().filter(F.col("vote").isNotNull()).limit(KNOWN_VOTES + 1).collect()]
+    found = named.groupBy("vote").agg(F.count(F.lit(1)).alias("n")).limit(KNOWN_VOTES + 2).collect()
+    many = len(found) > KNOWN_VOTES + 1  # NULL is one of them, or not
+    tasks = -(-(named.count() if many else sum(r.n for r in found)) // BALLOT_ROWS)
+    if tasks > 1:
+        named = named.repartition(max(tasks, named.sparkSession.sparkContext.defaultParallelism), "voting", "member")
+    votes = [r.vote for r in found if r.vote is not None]
     if not votes or len(votes) > KNOWN_VOTES or not isinstance(votes[0], str):
-        return named.groupBy("voting", "member").agg(F.max("vote").alias("vote"))
-    known = F.array(*[F.lit(v) for v in sorted(votes, key=str.encode)])
-    coded = named.select("voting", "member", F.when(F.col("vote").isNotNull(), F.array_position(known, F.col("vote"))).alias("code"))
-    return coded.groupBy("voting", "member").agg(F.max("code").alias("code")).select(
-        "voting", "member", F.when(F.col("code") > 0, F.element_at(known, F.col("code").cast("int"))).alias("vote"))
+        reduced = named.groupBy("voting", "member").agg(F.max("vote").alias("vote"))
+    else:
+        known = F.array(*[F.lit(v) for v in sorted(votes, key=str.encode)])
+        coded = named.select("voting", "member", F.when(F.col("vote").isNotNull(), F.array_position(known, F.col("vote"))).alias("code"))
+        reduced = coded.groupBy("voting", "member").agg(F.max("code").alias("code")).select(
+            "voting", "member", F.when(F.col("code") > 0, F.element_at(known, F.col("code").cast("int"))).alias("vote"))
+    reduced.one_each = True
+    return reduced
 
 
 def _tally(ballots: DataFrame, min_minority: int | None) -> DataFrame:
@@ -190,7 +202,9 @@ def agreement_edges(
     are left out before any pair is made.
     """
     floor = max(floor, tile)
-    ballots = materialize(ballots_from(ballots, "voting", "member", "vote"), "ballots")
+    if not getattr(ballots, "one_each", False):
+        ballots = ballots_from(ballots, "voting", "member", "vote")
+    ballots = materialize(ballots, "ballots")
     if min_weight is not None:
         tally = _tally(ballots, min_minority)
         counted = salted_join(ballots, tally.filter("relevant").select("voting").distinct(), ["voting"], "left_semi",

@@ -130,3 +130,15 @@ def test_ballots_are_summed_by_hash(spark):
     reduced = votes.ballots_from(data, "voting", "member", "vote")
     assert rows(reduced) == [(1, 1, "Z"), (1, 2, None), (2, 1, "Ä")]
     assert "SortAggregate" not in reduced._jdf.queryExecution().toString()
+
+
+def test_ballots_are_dealt_by_their_number_and_reduced_once(spark, monkeypatch):
+    """What a task holds doesn't grow with the rows, and a frame that is reduced isn't reduced a second time."""
+    monkeypatch.setattr(votes, "BALLOT_ROWS", 20)
+    data = [(v, m, x) for v in range(40) for m in range(5) for x in ("N", "Y")[: 1 + (v + m) % 2]] + [(1, 2, None), (None, 1, "Y"), (50, 1, None)]
+    reduced = votes.ballots_from(spark.createDataFrame(data, BALLOTS), "voting", "member", "vote")
+    expected = [(v, m, "NY"[(v + m) % 2]) for v in range(40) for m in range(5)] + [(50, 1, None)]
+    assert rows(reduced) == sorted(expected, key=repr)
+    assert reduced.rdd.getNumPartitions() >= (len(data) - 1) / 20
+    monkeypatch.setattr(votes, "ballots_from", None)
+    assert rows(votes.agreement_edges(reduced)) == sorted(brute_force(expected), key=repr)
