@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+# Elements of one XML file, about 60 MB: a file is read by one task, and few megabytes of Parquet become very many of XML.
+FILE_ROWS = 250_000
+
 
 def write_vertices(vertices: DataFrame, path: str, fmt: str = "parquet", **options: str) -> None:
     """Write the vertex report; the key column is named ID."""
@@ -42,7 +45,8 @@ def export_graph_xml(vertices: DataFrame, edges: DataFrame, path: str) -> None:
     """Write the network as GEXF-shaped XML with Spark's XML writer.
 
     Below ``path``: ``nodes`` and ``edges`` with one element per row, and ``attributes`` with the number, name and
-    type of each vertex and edge attribute. Every executor writes its own files; there is no single envelope.
+    type of each vertex and edge attribute. Every executor writes its own files, of at most ``FILE_ROWS`` elements;
+    there is no single envelope.
     """
     spark = vertices.sparkSession
     names = [c for c in vertices.columns if c not in ("id", "has_attrs")]
@@ -62,7 +66,8 @@ def export_graph_xml(vertices: DataFrame, edges: DataFrame, path: str) -> None:
     ]
     attributes = spark.createDataFrame(declared, "_class string, _id string, _title string, _type string")
     for rows, root, tag in ((nodes, "nodes", "node"), (links, "edges", "edge"), (attributes, "attributes", "attribute")):
-        rows.write.mode("overwrite").format("xml").option("rootTag", root).option("rowTag", tag).save(f"{path}/{root}")
+        rows.write.mode("overwrite").format("xml").option("rootTag", root).option("rowTag", tag).option(
+            "maxRecordsPerFile", FILE_ROWS).save(f"{path}/{root}")
 
 
 def read_attributes(spark: SparkSession, path: str) -> DataFrame:

@@ -154,3 +154,13 @@ def test_a_failed_load_leaves_the_old_table(spark, tmp_path):
     none = tables.load_table(spark.createDataFrame([], "k int"), "plenum_staged.none")
     assert none.columns == ["k"] and none.count() == 0 and rows(tables.load_audit([("none", none, none)])) == [("none", 0, 0, True)]
     spark.sql("DROP DATABASE plenum_staged CASCADE")
+
+
+def test_graph_files_are_bounded(spark, tmp_path, monkeypatch):
+    """One task that writes very many elements leaves many files, each of which one task reads."""
+    monkeypatch.setattr(sinks, "FILE_ROWS", 10)
+    edges = spark.range(95).selectExpr("id AS src", "id + 1000 AS dst", "1L AS weight").coalesce(1)
+    sinks.export_graph_xml(spark.createDataFrame([(1, "a")], "id bigint, nome string"), edges, str(tmp_path / "graph"))
+    assert len(list((tmp_path / "graph" / "edges").glob("part-*"))) == 10
+    assert sinks.read_graph_xml(spark, str(tmp_path / "graph"))[1].count() == 95
+    assert sinks.read_attributes(spark, str(tmp_path / "graph")).filter("class = 'edge'").count() == 190
