@@ -5,9 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from plenum.operators.near_paths import named, stars
 from plenum.session import discard, materialize
 from plenum.skew import HOT_FLOOR, salted_join
 
+# Links between vertices from which one task may find the components.
+FEW_LINKS = 4_000_000
+
 
 def canonical_edges(edges: DataFrame, order_col: str | None = None) -> DataFrame:
     """One undirected edge per pair, smaller end first.
@@ -37,13 +41,19 @@ def vertex_ids(edges: DataFrame) -> DataFrame:
     return edges.select(F.explode(F.array("src", "dst")).alias("id")).distinct()
 
 
-def components(edges: DataFrame, a: str = "src", b: str = "dst") -> DataFrame:
+def components(edges: DataFrame, a: str = "src", b: str = "dst", few: int = FEW_LINKS) -> DataFrame:
     """``id, component`` of every end of an edge, a stored table; the component is its smallest vertex.
 
-    Each round links every vertex to the smallest it knows, chains of such links are halved until they are stars, and the
-    edges left are those between stars, named by their centres: there are ever fewer, and none in the end.
+    Each task leaves at most an edge per vertex, and if few are left one task names them all. Else each round links every
+    vertex to the smallest it knows, chains of such links are halved until they are stars, and the edges left are those
+    between stars, named by their centres: there are ever fewer, and none in the end.
     """
-    ends = edges.select(F.least(a, b).alias("u"), F.greatest(a, b).alias("v"))
+    linked = edges.select(F.least(a, b).cast("bigint").alias("u"), F.greatest(a, b).cast("bigint").alias("v"))
+    ends = materialize(linked.mapInPandas(stars, "u bigint, v bigint"), "stars")
+    if ends.count() <= few:
+        alone = materialize(ends.repartition(1).mapInPandas(named, "id bigint, component bigint"), "components")
+        discard(ends)
+        return alone
     both = ends.select(F.inline(F.array(F.struct("u", "v"), F.struct(F.col("v").alias("u"), F.col("u").alias("v")))))
     places, left = None, None
     while True:
@@ -70,7 +80,7 @@ def components(edges: DataFrame, a: str = "src", b: str = "dst") -> DataFrame:
         discard(places, left, roots)
         places, left, both = grown, after, after
         if after.isEmpty():
-            discard(after)
+            discard(after, ends)
             return places
 
 

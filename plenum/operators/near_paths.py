@@ -1,17 +1,25 @@
 """Betweenness inside one task: the shortest paths from some sources in a part of a network that has a bounded size.
 
-A part is a set of whole components. Distances come from sweeps over all edges of a component, or over those of the
-vertices that have come nearer if these are few; paths and dependencies from the edges on shortest paths, in the order of
-distance (Brandes 2001).
+A part is a set of whole components. Distances come from the edges of the vertices that have come nearer, followed from
+their near end or back from the vertices that still can come nearer, whichever are fewer; paths and dependencies from the
+edges on shortest paths, found likewise, in the order of distance (Brandes 2001).
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
 
 FAR = np.int64(1) << 62
 SUMS = "id bigint, raw double"
+# Lengths that a vertex's edges are counted by.
+BOUNDS = 32
+# Whole numbers by their size in bytes: 1, 2, 4, 8.
+KINDS = (np.int8, np.int16, np.int32, np.int64)
+# Edges that a task holds while it looks for components.
+STAR_ROWS = 2_000_000
 
 
 def roots(n: int, s: np.ndarray, t: np.ndarray) -> np.ndarray:
@@ -30,46 +38,105 @@ def roots(n: int, s: np.ndarray, t: np.ndarray) -> np.ndarray:
 
 
 class Component:
-    """Directed edges ``src, tgt, w`` of one component in the order of ``tgt``, both directions of each edge."""
+    """Directed edges ``src, tgt, w`` of one component in the order of ``tgt`` and ``w``, both directions of each edge.
+
+    The edges into a vertex lead out of it too, so ``src`` is read as either end.
+    """
 
     def __init__(self, n: int, src: np.ndarray, tgt: np.ndarray, w: np.ndarray):
         self.n, self.src, self.tgt, self.w = n, src, tgt, w
         self.start = np.searchsorted(tgt, np.arange(n))
         self.degree = np.diff(np.append(self.start, len(tgt)))
-        self.nearest = np.minimum.reduceat(w, self.start)
+        self.nearest = w[self.start]
+        self.bounds, most = np.unique(w), max(1, min(BOUNDS, 2 * len(w) // n))
+        self.exact = len(self.bounds) <= most
+        if not self.exact:
+            self.bounds = np.unique(np.quantile(w, np.linspace(1 / most, 1, most), method="higher"))
+        place = tgt * np.int64(len(self.bounds)) + np.searchsorted(self.bounds, w)
+        held = np.bincount(place, minlength=n * len(self.bounds)).reshape(n, -1)
+        # by vertex: edges of no bound, of the first bound of length, of the first two, ...
+        self.upto = np.zeros((n, len(self.bounds) + 1), np.int32)
+        np.cumsum(held, axis=1, out=self.upto[:, 1:])
+
+    def short(self, some: np.ndarray, most: np.ndarray) -> np.ndarray:
+        """For vertices ``some``, how many of their first edges hold all of length ``most`` or less."""
+        bound = np.searchsorted(self.bounds, most, "right")
+        return self.upto[some, bound if self.exact else np.minimum(bound + 1, len(self.bounds))]
+
+    def edges_at(self, some: np.ndarray, degree: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Places of the first ``degree`` edges at the vertices ``some``, and for each the vertex."""
+        ends = np.cumsum(degree, dtype=np.int64)
+        return np.repeat(self.start[some] - ends + degree, degree) + np.arange(ends[-1] if len(ends) else 0), np.repeat(some, degree)
+
+    def useful(self, d: np.ndarray, front: np.ndarray, less: int) -> tuple[np.ndarray, np.ndarray, np.ndarray] | None:
+        """Edges ``from, to, length`` among which are all from ``front`` with ``d[from] + length + less <= d[to]``.
+
+        Those of its nearest vertices are followed from there, the others back from the vertices that the next
+        distance and their shortest edge allow, as many each way as makes the fewest edges. None if most edges are needed.
+        """
+        room = d.max() - less - d[front]
+        front, room = front[fits := self.nearest[front] <= room], room[fits]
+        degree, back = self.short(front, room), front[:0]
+        many = int(degree.sum())
+        if 8 * many > self.n:
+            rising = np.argsort(d[front], kind="stable")
+            front, degree = front[rising], degree[rising]
+            begin = d - self.nearest - less  # the largest distance from which an edge can be useful
+            order = np.argsort(begin)
+            behind = np.append(np.cumsum(self.degree[order][::-1])[::-1], 0)
+            pulled = behind[np.searchsorted(begin[order], d[front])]
+            both = np.append(pulled, 0) + np.append(0, np.cumsum(degree))
+            cut = int(np.argmin(both))
+            many = int(both[cut])
+            if cut < len(front):
+                least = d[front[cut]]
+                back = np.flatnonzero(begin >= least)
+                front, degree = front[:cut], degree[:cut]
+        if 3 * many >= len(self.src):
+            return None
+        out, begin = self.edges_at(front, degree)
+        if not len(back):
+            return begin, self.src[out], self.w[out]
+        into, end = self.edges_at(back, self.short(back, d[back] - less - least))
+        # an edge is followed one way only
+        seen = np.zeros(self.n, bool)
+        seen[front] = True
+        fresh = ~seen[self.src[into]]
+        into, end = into[fresh], end[fresh]
+        return np.concatenate([begin, self.src[into]]), np.concatenate([self.src[out], end]), np.concatenate([self.w[out], self.w[into]])
 
     def distances(self, at: int) -> np.ndarray:
         d = np.full(self.n, FAR)
         d[at] = 0
         front = np.array([at])
         while len(front):
-            degree = self.degree[front]
-            size = int(degree.sum())
-            if 4 * size >= len(self.src):
+            some = self.useful(d, front, 1)
+            if some is None:
                 new = np.minimum(np.minimum.reduceat(d[self.src] + self.w, self.start), d)
                 front, d = np.flatnonzero(new < d), new
             else:
-                # both directions are there, so the edges into a vertex lead out of it too
-                edge = np.repeat(self.start[front] - np.cumsum(degree) + degree, degree) + np.arange(size)
-                to, new = self.src[edge], np.repeat(d[front], degree) + self.w[edge]
+                begin, to, length = some
+                new = d[begin] + length
                 nearer = new < d[to]
                 to = to[nearer]
                 np.minimum.at(d, to, new[nearer])
-                front = np.unique(to)
-            if 8 * len(front) > self.n:
-                furthest = d.max()  # nothing beyond it comes nearer
-                if furthest < FAR:
-                    front = front[d[front] + self.nearest[front] < furthest]
+                came = np.zeros(self.n, bool)
+                came[to] = True
+                front = np.flatnonzero(came)
         return d
 
     def dependencies(self, at: int) -> np.ndarray:
         """What the paths from ``at`` add to each vertex between their ends."""
         d = self.distances(at)
-        tight = np.flatnonzero(d[self.src] + self.w == d[self.tgt])
-        end = d[self.tgt[tight]]
-        order = np.argsort(end, kind="stable")
-        a, b, end = self.src[tight][order], self.tgt[tight][order], end[order]
-        cuts = [0, *(np.flatnonzero(np.diff(end)) + 1).tolist(), len(a)]
+        begin, to, length = self.useful(d, np.arange(self.n), 0) or (self.src, self.tgt, self.w)
+        tight = np.flatnonzero(d[begin] + length == d[to])
+        a, b = begin[tight], to[tight]
+        steps = np.unique(d)
+        # the smallest kind of number sorts fastest
+        level = np.searchsorted(steps, d).astype(np.min_scalar_type(len(steps)))[b]
+        order = np.argsort(level, kind="stable")
+        a, b, level = a[order], b[order], level[order]
+        cuts = [0, *(np.flatnonzero(level[1:] != level[:-1]) + 1).tolist(), len(a)]
         spans = [slice(x, y) for x, y in zip(cuts, cuts[1:])]
         paths, received = np.zeros(self.n), np.zeros(self.n)
         paths[at] = 1
@@ -83,28 +150,75 @@ class Component:
 
 
 def pack(rows: pd.DataFrame) -> pd.DataFrame:
-    """Rows ``part, blocks, u, v, w`` as one row per part, with the numbers as bytes."""
-    made = [(part, blocks, *(g[c].to_numpy(np.int64).tobytes() for c in "uvw")) for (part, blocks), g in rows.groupby(["part", "blocks"])]
-    return pd.DataFrame(made, columns=["part", "blocks", "u", "v", "w"])
+    """Rows ``part, blocks, u, v, w`` as one row per part, with the numbers as bytes: each ``u`` once with its count ``c``,
+    ``w`` in as few bytes as the largest needs."""
+    made = []
+    for (part, blocks), g in rows.groupby(["part", "blocks"]):
+        g = g.sort_values("u", kind="stable")
+        u, c = np.unique(g["u"].to_numpy(np.int64), return_counts=True)
+        w = g["w"].to_numpy(np.int64)
+        w = w.astype(next(kind for kind in KINDS if w.max() <= np.iinfo(kind).max))
+        made.append((part, blocks, u.tobytes(), c.astype(np.int32).tobytes(), g["v"].to_numpy(np.int64).tobytes(), w.tobytes()))
+    return pd.DataFrame(made, columns=["part", "blocks", "u", "c", "v", "w"])
+
+
+def stars(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Edges ``u, v`` between the same vertices as those of ``batches`` that link the same, at most one per vertex.
+
+    At most some ``STAR_ROWS`` are held; if these are of as many vertices, they go out and others are begun.
+    """
+    held, size = [], 0
+    for batch in batches:
+        held.append(batch.to_numpy(np.int64))
+        size += len(batch)
+        if size >= STAR_ROWS:
+            held = [_star(np.concatenate(held))]
+            size = len(held[0])
+            if 2 * size >= STAR_ROWS:
+                yield pd.DataFrame(held.pop(), columns=["u", "v"])
+                size = 0
+    if held:
+        yield pd.DataFrame(_star(np.concatenate(held)), columns=["u", "v"])
+
+
+def _star(ends: np.ndarray) -> np.ndarray:
+    """Each vertex but the smallest of its component next to that one; a vertex alone next to itself."""
+    ids, place = np.unique(ends, return_inverse=True)
+    place = place.reshape(ends.shape)
+    root = roots(len(ids), place[:, 0], place[:, 1])
+    outer = (root != np.arange(len(ids))) | (np.bincount(root, minlength=len(ids)) == 1)
+    return np.column_stack([ids[root], ids])[outer]
+
+
+def named(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """``id, component`` of all ends of the edges ``u, v``."""
+    held = [batch.to_numpy(np.int64) for batch in batches]
+    if held:
+        ids, place = np.unique(np.concatenate(held), return_inverse=True)
+        place = place.reshape(-1, 2)
+        yield pd.DataFrame({"id": ids, "component": ids[roots(len(ids), place[:, 0], place[:, 1])]})
 
 
 def summed_dependencies(packed: pd.DataFrame) -> pd.DataFrame:
-    """``id, raw`` from the edges ``u, v, w`` of whole components; a row from a vertex to itself names a source."""
-    u, v, w = (np.frombuffer(b"".join(packed[c]), np.int64) for c in "uvw")
-    edge = u != v
-    sources, u, v, w = np.unique(u[~edge]), u[edge], v[edge], w[edge]
+    """``id, raw`` from the edges of whole components, packed; a row from a vertex to itself names a source."""
+    u, c = (np.frombuffer(b"".join(packed[x]), kind) for x, kind in (("u", np.int64), ("c", np.int32)))
     ids = np.unique(u)
-    sources = np.flatnonzero(np.isin(ids, sources))
+    t = np.repeat(np.searchsorted(ids, u).astype(np.int32), c)
+    s = np.concatenate([np.searchsorted(ids, np.frombuffer(v, np.int64)).astype(np.int32) for v in packed["v"]])
+    w = np.concatenate([np.frombuffer(x, KINDS[(8 * len(x) // len(v)).bit_length() - 1]) for x, v in zip(packed["w"], packed["v"])])
+    edge = s != t
+    sources = np.unique(s[~edge])
     if not len(sources):
         return pd.DataFrame({"id": np.array([], np.int64), "raw": np.array([], float)})
-    s, t = np.searchsorted(ids, u), np.searchsorted(ids, v)
+    s, t, w = s[edge], t[edge], w[edge]
     root = roots(len(ids), s, t)
     by_root = np.argsort(root, kind="stable")
-    place = np.empty_like(by_root)
+    place = np.empty(len(ids), np.int32)
     place[by_root] = np.arange(len(ids))
     s, t = place[s], place[t]
-    order = np.lexsort((w, s, t))
+    order = np.lexsort((w, t))
     s, t, w, root = s[order], t[order], w[order], root[by_root]
+    del order, edge
     raw = np.zeros(len(ids))
     here, lo, hi, part = -1, 0, 0, None
     for at in np.sort(place[sources]).tolist():

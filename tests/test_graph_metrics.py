@@ -1,10 +1,11 @@
 import math
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from plenum.operators import centrality, community, graph, metrics
+from plenum.operators import centrality, community, graph, metrics, near_paths
 from plenum.session import materialize
 from tests.conftest import EDGES, T1, T2, T3, T4, pairs, rows
 
@@ -340,3 +341,72 @@ def test_louvain_of_components_of_all_sizes(edges, kind, near_rows):
     assert label[200] == label[201] and label[400] != label[401] and label[500] != label[501]
     sizes = [row["count"] for row in found.groupBy("modularidade").count().orderBy("modularidade").collect()]
     assert sizes == sorted(sizes, reverse=True)
+
+
+def random_parts():
+    """Components of all sizes, a self-loop on a vertex of its own and one inside a component."""
+    rows = random_net(14, 0.3, seed=4) + [(i + 100, j + 100, w) for i, j, w in random_net(6, 0.6, seed=8)]
+    return rows + [(3 * i + 200, 3 * i + 201 + k, 2) for i in range(5) for k in (0, 1)] + [(300, 300, 1), (5, 5, 2)]
+
+
+@pytest.mark.parametrize("few, star_rows", [(10**6, 4), (10**6, 10**6), (0, 7)])
+def test_components_from_links_left_by_tasks(edges, monkeypatch, few, star_rows):
+    """Components were found in rounds even where a few links are left: eight stored tables and more."""
+    monkeypatch.setattr(near_paths, "STAR_ROWS", star_rows)
+    rows = random_parts()
+    made = counted(monkeypatch, graph, "materialize")
+    found = pairs(graph.components(edges(rows).repartition(3), few=few))
+    parent = {v: v for a, b, _ in rows for v in (a, b)}
+    for _ in parent:
+        for a, b, _ in rows:
+            parent[a] = parent[b] = min(parent[a], parent[b])
+    assert found == parent
+    assert few == 0 or len(made) == 2
+    assert graph.components(edges([])).isEmpty()
+
+
+@pytest.mark.parametrize("most, bounds", [(2, 32), (1000, 32), (1000, 3)])
+def test_paths_in_a_task_follow_few_edges(monkeypatch, most, bounds):
+    """Each source went over all edges of its component several times; the sums are those of the sweeps over all edges."""
+    monkeypatch.setattr(near_paths, "BOUNDS", bounds)
+    rng = np.random.default_rng(3)
+    n = 400
+    ends = np.unique(np.sort(rng.integers(0, n, (n * 20, 2)), axis=1), axis=0)
+    ends = np.unique(np.concatenate([ends[ends[:, 0] < ends[:, 1]], [(i, i + 1) for i in range(n - 1)]]), axis=0)
+    w = rng.integers(1, most + 1, len(ends))
+    s, t, w = np.append(*ends.T), np.append(*ends.T[::-1]), np.append(w, w)
+    order = np.lexsort((w, t))
+    part = near_paths.Component(n, s[order], t[order], w[order])
+    followed, useful = [], part.useful
+    monkeypatch.setattr(part, "useful", lambda *a: followed.append(x := useful(*a)) or x)
+    for at in range(0, n, 40):
+        d, steps = np.full(n, 1 << 40), 0
+        d[at] = 0
+        while (new := np.minimum(d, np.minimum.reduceat(d[part.src] + part.w, part.start))).tolist() != d.tolist():
+            d, steps = new, steps + 1
+        assert part.distances(at).tolist() == d.tolist()
+        tight, paths, got = d[part.src] + part.w == d[part.tgt], (np.arange(n) == at) * 1.0, np.zeros(n)
+        for level in np.unique(d)[1:]:
+            here = tight & (d[part.tgt] == level)
+            np.add.at(paths, part.tgt[here], paths[part.src[here]])
+        for level in np.unique(d)[:0:-1]:
+            here = tight & (d[part.tgt] == level)
+            a, b = part.src[here], part.tgt[here]
+            np.add.at(got, a, paths[a] / paths[b] * (1 + got[b]))
+        got[at] = 0
+        assert part.dependencies(at) == pytest.approx(got)
+    sizes = [len(part.src) if x is None else len(x[0]) for x in followed]
+    assert sum(sizes) < 0.45 * len(part.src) * len(sizes)
+
+
+@pytest.mark.parametrize("sources", [1, 5])
+def test_betweenness_of_blocks_of_few_sources(edges, monkeypatch, sources):
+    """A block has at least so many sources, as each gets all edges of its component."""
+    for name, value in (("ONE_PART", 0), ("BLOCK_WORK", 200), ("BLOCK_SOURCES", sources)):
+        monkeypatch.setattr(centrality, name, value)
+    rows = random_parts() + [(400 + i, 401 + i, 10 ** (2 + 2 * i)) for i in range(6)]
+    net = materialize(edges(rows), "net")
+    walks = centrality._Walks(net, "weight", 10, 10, 1_000)
+    assert walks.places.groupBy("part").agg(F.first("blocks").alias("b"), F.count("u").alias("n")).filter(
+        F.col("b") > F.ceil(F.col("n") / sources)).isEmpty()
+    assert pairs(centrality.betweenness(net, near_edges=1_000)) == pytest.approx(brute_betweenness(rows))
