@@ -6,7 +6,6 @@ import base64
 import re
 from collections.abc import Iterator
 from hashlib import sha256
-from heapq import heappop, heappush
 from struct import pack
 
 import numpy as np
@@ -19,6 +18,8 @@ from plenum.llm.text import ROWS, fresh, parse_schema, with_struct
 #: Different pieces and words that a worker remembers (some 160 bytes each); beyond, it starts anew.
 REMEMBERED = 400_000
 SHORT = 64
+#: Characters of texts that are cut together, and bytes of their new words in one queue (some 150 bytes each at the peak).
+TOGETHER, QUEUED = 1_000_000, 200_000
 
 # Unicode White_Space, which is what \s means in the public pattern.
 WHITE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
@@ -36,8 +37,8 @@ class Vocabulary:
     def __init__(self, lines: bytes, pattern: str):
         self.ranks = {base64.b64decode(a): int(b) for a, b in (line.split() for line in lines.splitlines() if line.strip())}
         self.tokens = {rank: token for token, rank in self.ranks.items()}
-        self.first = [self.ranks[bytes([b])] for b in range(256)]
-        self.pairs = [self.ranks.get(bytes([a, b]), -1) for a in range(256) for b in range(256)]
+        self.first = np.array([self.ranks[bytes([b])] for b in range(256)])
+        self.pairs = np.array([self.ranks.get(bytes([a, b]), -1) for a in range(256) for b in range(256)])
         get = self.ranks.get  # rank of what two ids make together, by both ids
         self.joined = {
             a << 32 | b: rank for token, rank in self.ranks.items() for k in range(1, len(token))
@@ -48,101 +49,155 @@ class Vocabulary:
         self.memory: dict[str, bytes] = {}
 
     def merge(self, piece: bytes) -> list[int]:
-        """Ids of one match.
-
-        Places are bytes of the piece, linked to the next and the previous part that is left; ``now`` has the rank
-        at which the part at a place merges with the next, -1 for never. ``buckets`` holds, per rank, the places
-        where it was found. Which buckets there are is kept in bits on two levels: ``blocks`` has one bit per rank,
-        256 ranks a block, and ``top`` one bit per block; the next rank is the first set bit of the first block.
-        Within a bucket the leftmost place comes first. An entry whose place has another rank by now is stale and
-        skipped.
-        """
+        """Ids of one match."""
         rank = self.ranks.get(piece)
-        if rank is not None:
-            return [rank]
-        n, get, pairs, first = len(piece), self.joined.get, self.pairs, self.first
-        ids = [first[b] for b in piece]
-        now = [pairs[a << 8 | b] for a, b in zip(piece, piece[1:])]
-        now.append(-1)
-        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        top, blocks, buckets = 0, {}, {}
-        for i, rank in enumerate(now):
-            if rank >= 0:
-                if rank in buckets:
-                    buckets[rank].append(i)  # rising places are a heap already
-                else:
-                    buckets[rank] = [i]
-                    block = rank >> 8
-                    blocks[block] = blocks.get(block, 0) | 1 << (rank & 255)
-                    top |= 1 << block
+        return [rank] if rank is not None else np.frombuffer(self.merge_all([piece])[0], "<u4").tolist()
+
+    def merge_all(self, words: list[bytes]) -> list[bytes]:
+        """Ids of each of the matches ``words``, none of them empty, as 32-bit little-endian numbers.
+
+        Places are bytes of all words, linked to the next and the previous part of the same word that is left; ``now`` has
+        the rank at which the part at a place merges with the next, -1 for never. ``buckets`` holds, per rank, the places
+        where it was found. Which buckets there are is kept in bits on two levels: ``blocks`` has one bit per rank, 256
+        ranks a block, and ``top`` one bit per block; the next rank is the first set bit of the first block. Words don't
+        touch, so one queue merges all of them, each in its own order. Within a bucket the leftmost place comes first; if a
+        merge gives a lower rank, the rest of the bucket waits. An entry whose place has another rank by now is stale
+        and skipped.
+        """
+        data = np.frombuffer(b"".join(words), np.uint8)
+        n, get = len(data), self.joined.get
+        ends = np.cumsum([len(word) for word in words])
+        links = np.arange(1, n + 1)
+        links[ends - 1] = n
+        after = links.tolist()
+        links = np.arange(-1, n - 1)
+        links[ends[:-1]] = -1
+        before = links.tolist()
+        ranks = np.full(n, -1)
+        ranks[:-1] = self.pairs[data[:-1].astype(np.int64) << 8 | data[1:]]
+        ranks[ends - 1] = -1
+        ids, now = self.first[data].tolist(), ranks.tolist()
+        places = np.argsort(ranks, kind="stable")
+        places = places[np.searchsorted(ranks[places], 0):]
+        found, begin = np.unique(ranks[places], return_index=True)
+        places, begin = places.tolist(), [*begin.tolist(), len(places)]
+        buckets = {rank: places[x:y] for rank, x, y in zip(found.tolist(), begin, begin[1:])}
+        top, blocks = 0, {}
+        for rank in buckets:
+            blocks[rank >> 8] = blocks.get(rank >> 8, 0) | 1 << (rank & 255)
+            top |= 1 << (rank >> 8)
         while top:
             block = (top & -top).bit_length() - 1
             bits = blocks[block]
             rank = block << 8 | (bits & -bits).bit_length() - 1
-            bucket = buckets[rank]
-            if len(bucket) == 1:
-                i = bucket[0]
-                del buckets[rank]
-                bits &= bits - 1
-                blocks[block] = bits
-                if not bits:
-                    top &= top - 1
-            else:
-                i = heappop(bucket)
-            if now[i] != rank:
-                continue
-            gone = after[i]
-            right, left = after[gone], before[i]
-            ids[i], now[gone], after[i], ids[gone] = rank, -1, right, -1
-            found = -1
-            if right < n:
-                before[right] = i
-                found = get(rank << 32 | ids[right], -1)
-            now[i] = found
-            if found >= 0:
-                if found in buckets:
-                    heappush(buckets[found], i)
-                else:
-                    buckets[found] = [i]
-                    block = found >> 8
-                    blocks[block] = blocks.get(block, 0) | 1 << (found & 255)
-                    top |= 1 << block
-            if left >= 0:
-                now[left] = found = get(ids[left] << 32 | rank, -1)
+            blocks[block] = bits = bits & bits - 1
+            if not bits:
+                top &= top - 1
+            places = buckets.pop(rank)
+            places.sort()
+            for at, i in enumerate(places):
+                if now[i] != rank:
+                    continue
+                gone = after[i]
+                right, left = after[gone], before[i]
+                ids[i], now[gone], after[i], ids[gone] = rank, -1, right, -1
+                lower, found = False, -1
+                if right < n:
+                    before[right] = i
+                    found = get(rank << 32 | ids[right], -1)
+                now[i] = found
                 if found >= 0:
+                    lower = found < rank
                     if found in buckets:
-                        heappush(buckets[found], left)
+                        buckets[found].append(i)
                     else:
-                        buckets[found] = [left]
+                        buckets[found] = [i]
                         block = found >> 8
                         blocks[block] = blocks.get(block, 0) | 1 << (found & 255)
                         top |= 1 << block
-        return [i for i in ids if i >= 0]
-
-    def remember(self, text: str, ids: bytes) -> bytes:
-        if len(text) <= SHORT:
-            if len(self.memory) >= REMEMBERED:
-                self.memory.clear()
-            self.memory[text] = ids
-        return ids
-
-    def word(self, text: str) -> bytes:
-        """Ids of one match as 32-bit little-endian numbers."""
-        ids = self.merge(text.encode())
-        return self.remember(text, pack(f"<{len(ids)}I", *ids))
-
-    def piece(self, text: str) -> bytes:
-        """Ids of a piece of text. A match alone is a piece as well, so both are remembered in one place."""
-        matches = self.matches.findall(text)
-        if len(matches) == 1 and matches[0] == text:
-            return self.word(text)
-        get, word = self.memory.get, self.word
-        return self.remember(text, b"".join([get(m) or word(m) for m in matches]))
+                if left >= 0:
+                    now[left] = found = get(ids[left] << 32 | rank, -1)
+                    if found >= 0:
+                        lower = lower or found < rank
+                        if found in buckets:
+                            buckets[found].append(left)
+                        else:
+                            buckets[found] = [left]
+                            block = found >> 8
+                            blocks[block] = blocks.get(block, 0) | 1 << (found & 255)
+                            top |= 1 << block
+                if lower and at + 1 < len(places):
+                    buckets[rank] = places[at + 1:]
+                    block = rank >> 8
+                    blocks[block] = blocks.get(block, 0) | 1 << (rank & 255)
+                    top |= 1 << block
+                    break
+        made = np.array(ids, np.int64)
+        left = made >= 0
+        cuts = (4 * np.cumsum(left)[ends - 1]).tolist()
+        packed = made[left].astype("<u4").tobytes()
+        return [packed[x:y] for x, y in zip([0, *cuts], cuts)]
+
+    def learn(self, pieces: list[str]) -> dict[str, bytes]:
+        """Ids of pieces of text and of the matches in them, by text; short ones are remembered."""
+        split, words, known, merged, get = {}, {}, {}, [], self.memory.get
+        for text in pieces:
+            split[text] = matches = self.matches.findall(text)
+            for match in matches:
+                if match not in words and match not in known:
+                    ids = get(match)
+                    if ids is not None:
+                        known[match] = ids
+                    elif (rank := self.ranks.get(piece := match.encode())) is not None:
+                        known[match] = pack("<I", rank)
+                    else:
+                        words[match] = piece
+        some, size = [], 0
+        for word in words.values():
+            some.append(word)
+            size += len(word)
+            if size >= QUEUED:
+                merged += self.merge_all(some)
+                some, size = [], 0
+        known.update(zip(words, merged + (self.merge_all(some) if some else [])))
+        for text, matches in split.items():
+            if text not in known:
+                known[text] = b"".join([known[match] for match in matches])
+        if len(self.memory) + len(known) > REMEMBERED:
+            self.memory.clear()
+        self.memory.update((text, ids) for text, ids in known.items() if len(text) <= SHORT)
+        return known
+
+    def encode_all(self, texts: list[str]) -> list[bytes]:
+        """Ids of whole texts, packed; what is between matches of the pattern, if anything, has none.
+
+        Texts of some ``TOGETHER`` characters are cut before their new words are merged.
+        """
+        made, some, size = [], [], 0
+        for text in texts:
+            some.append(text)
+            size += len(text)
+            if size >= TOGETHER:
+                made += self._encoded(some)
+                some, size = [], 0
+        return made + self._encoded(some)
+
+    def _encoded(self, texts: list[str]) -> list[bytes]:
+        get, cut, met, new = self.memory.get, self.cuts.findall, [], {}
+        for text in texts:
+            pieces = cut(text)
+            ids = list(map(get, pieces))
+            if None in ids:
+                new.update((p, None) for p, i in zip(pieces, ids) if i is None)
+            else:
+                pieces = None
+            met.append((pieces, ids))
+        known = self.learn(list(new)) if new else {}
+        return [b"".join(ids if pieces is None else [known[p] if i is None else i for p, i in zip(pieces, ids)]) for pieces, ids in met]
 
     def encode(self, text: str) -> bytes:
-        """Ids of a whole text, packed; what is between matches of the pattern, if anything, has none."""
-        get, piece = self.memory.get, self.piece
-        return b"".join([get(p) or piece(p) for p in self.cuts.findall(text)])
+        """Ids of one whole text, packed."""
+        return self.encode_all([text])[0]
 
     def decode(self, packed: bytes) -> bytes:
         return b"".join(map(self.tokens.__getitem__, np.frombuffer(packed, "<u4").tolist()))
@@ -177,7 +232,7 @@ def encode(docs: DataFrame, path: str, pattern: str, text: str = "text", name: s
 
     def work(texts: pa.Array) -> dict[str, pa.Array]:
         book = vocabulary(path, lines.value, pattern)
-        made = [book.encode(t.as_py() or "") for t in texts]
+        made = book.encode_all([t.as_py() or "" for t in texts])
         sizes = np.array([len(p) // 4 for p in made], np.int64)
         if packed:
             return {"ids": pa.array(made, pa.binary()), "n_tokens": pa.array(sizes)}
@@ -202,8 +257,7 @@ def round_trip(
         book = vocabulary(path, lines.value, pattern)
         for batch in (whole.slice(at, ROWS) for whole in batches for at in range(0, max(whole.num_rows, 1), ROWS)):
             sizes, hashes, decoded, made = [], [], [], []
-            for value in batch.column(1):
-                packed = book.encode(value.as_py() or "")
+            for packed in book.encode_all([value.as_py() or "" for value in batch.column(1)]):
                 sizes.append(len(packed) // 4)
                 hashes.append(sha256(packed).hexdigest())
                 decoded.append(sha256(book.decode(packed)).hexdigest())

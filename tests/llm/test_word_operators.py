@@ -1,6 +1,7 @@
 """Decontamination, importance resampling, line rules and byte BPE against brute force, with edge cases."""
 
 import base64
+import random
 import re
 from collections import Counter, defaultdict
 from hashlib import sha256
@@ -250,6 +251,23 @@ def test_leftmost_first_and_stale_entries(book):
     assert book.merge(b"zzqqzzqq") == [i for part in ("zz", "qq", "zz", "qq") for i in book.merge(part.encode())]
 
 
+def test_new_words_of_many_texts_share_a_queue(library, monkeypatch):
+    """Each new word had a queue of its own; whatever is cut or merged together, and forgotten, the ids are the library's."""
+    rng = random.Random(7)
+    texts = [" ".join("".join(rng.choice("aabcdehilnorst éñ1") for _ in range(rng.randrange(1, 24))) for _ in range(30)) for _ in range(60)]
+    texts += ["", "aaaa" * 40, "abababab " * 9, texts[3]]
+    expected = [library.encode_ordinary(t) for t in texts]
+    for together, queued, remembered in ((10**6, 10**6, 400_000), (300, 40, 50), (1, 1, 0)):
+        for name, value in (("TOGETHER", together), ("QUEUED", queued), ("REMEMBERED", remembered)):
+            monkeypatch.setattr(bpe, name, value)
+        with open(VOCABULARY, "rb") as file:
+            book = bpe.Vocabulary(file.read(), public_tokenizers.PATTERN)
+        queues, merge_all = [], book.merge_all
+        monkeypatch.setattr(book, "merge_all", lambda words: queues.append(len(words)) or merge_all(words))
+        assert [np.frombuffer(ids, "<u4").tolist() for ids in book.encode_all(texts)] == expected
+        assert together < 10**6 or len(queues) == 1 < queues[0]
+
+
 def test_round_trip_of_edge_cases(docs, library):
     got = bpe.round_trip(docs, VOCABULARY, public_tokenizers.PATTERN, with_ids=True).collect()
     expected = []
