@@ -268,6 +268,44 @@ def test_new_words_of_many_texts_share_a_queue(library, monkeypatch):
         assert together < 10**6 or len(queues) == 1 < queues[0]
 
 
+@pytest.mark.parametrize("often, few", [(0, 1), (16, 50), (10**9, 100_000)])
+def test_places_of_many_words_are_merged_together(book, library, monkeypatch, often, few):
+    """A place at a time went through the queue; the order within a word stays the library's, runs and lower ranks included."""
+    rng = random.Random(3)
+    words = [bytes(rng.randrange(256) for _ in range(rng.randrange(1, 40))) for _ in range(400)]
+    words += ["".join(rng.choice("aabcdehilnorstéñ1") for _ in range(rng.randrange(1, 90))).encode() for _ in range(400)]
+    words += [part * k for part in (b"a", b"ab", b"the", b" ", b"=") for k in range(1, 60)]
+    words = [w for w in words if w not in book.ranks]
+    for name, value in (("MANY", 1), ("OFTEN", often), ("FEW", few)):
+        monkeypatch.setattr(bpe, name, value)
+    left, merge_few = [], book._merge_few
+    monkeypatch.setattr(book, "_merge_few", lambda parts, ranks, ends: left.append(int((ranks >= 0).sum())) or merge_few(parts, ranks, ends))
+    got = [np.frombuffer(ids, "<u4").tolist() for ids in book.merge_all(words)]
+    assert got == [library._encode_single_piece(w) for w in words]
+    assert (sum(left) == 0) == (often == 0)
+
+
+def test_words_met_again_and_again_stay_remembered(monkeypatch):
+    """All words were forgotten when too many were remembered, and those of nearly every text merged anew."""
+    monkeypatch.setattr(bpe, "REMEMBERED", 200)
+    with open(VOCABULARY, "rb") as file:
+        book = bpe.Vocabulary(file.read(), public_tokenizers.PATTERN)
+    merged, merge_all = [], book.merge_all
+    monkeypatch.setattr(book, "merge_all", lambda words: merged.extend(words) or merge_all(words))
+    usual = [f" qzx{a}{b}kv" for a in "abcd" for b in "efgh"]
+    for k in range(40):
+        rare = "".join(f" wq{chr(97 + k % 26)}{chr(97 + k // 26)}{chr(97 + j)}xj" for j in range(20))
+        book.encode("".join(usual) + rare)
+        assert len(book.memory) + len(book.older) <= 200 + 2 * 36
+    assert merged.count(usual[0].encode()) == 1
+    assert len(merged) == len(usual) + 40 * 20
+
+
+def test_plain_words_are_matches(book, library):
+    for t in ("it's we'll don't. 's,x", " Über ñandú, ça; \u00d7\u00f7 a\u00d7b \u01bb\u024f\u0250.", "e\u0301t, a.b a..b a,'s a!? \u00aa\u00ba.", "x1, 1x. A\u2167;"):
+        assert np.frombuffer(book.encode(t), "<u4").tolist() == library.encode_ordinary(t)
+
+
 def test_round_trip_of_edge_cases(docs, library):
     got = bpe.round_trip(docs, VOCABULARY, public_tokenizers.PATTERN, with_ids=True).collect()
     expected = []
