@@ -3,20 +3,38 @@
 A stage takes (spark, docs, sf_dir) and works on all rows the stage before has kept. All but the last return the
 columns of ``documents``; what they reject is gone, and lines that the first removes are gone from the texts. Empty
 tables give empty ones, and further columns, whatever their names, pass through all stages but the last.
+
+What a stage returns runs later, when it is stored, so each stage sets the session to small batches of texts for good:
+executors and their Python processes hold a batch of whole texts each, outside of the heap.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from plenum.llm import bpe, decontamination, jaccard, line_quality, quality_model
-from plenum.llm.text import small_batches
+from plenum.llm.text import small_batches_from_now
 from plenum.session import materialize
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
 
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+
+
+def in_small_batches(stage: Stage) -> Stage:
+    @wraps(stage)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        small_batches_from_now(spark)
+        return stage(spark, docs, sf_dir)
+
+    return run_stage
+
 
+@in_small_batches
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents that fail the base rules or are depleted by boilerplate lines; takes out those lines.
 
@@ -26,6 +44,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return line_quality.keep_good(docs)
 
 
+@in_small_batches
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the importance sample towards the documents labelled good.
 
@@ -35,6 +54,7 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     return quality_model.keep_sampled(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
+@in_small_batches
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the smallest id of each group of documents linked by a Jaccard similarity of 0.8.
 
@@ -44,6 +64,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return jaccard.keep_first(docs)
 
 
+@in_small_batches
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents in which ten consecutive words of a test item occur.
 
@@ -53,6 +74,7 @@ def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str)
     return decontamination.remove_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
+@in_small_batches
 def byte_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of each document, with the hashes of the ids and of the bytes they decode to.
 
@@ -76,7 +98,6 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages on ``documents``; each result is stored and read again by the next stage."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    with small_batches(spark):
-        for name, stage in STAGES:
-            docs = materialize(stage(spark, docs, sf_dir), f"stage-{name}")
+    for name, stage in STAGES:
+        docs = materialize(stage(spark, docs, sf_dir), f"stage-{name}")
     return docs

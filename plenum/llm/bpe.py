@@ -13,7 +13,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from plenum.llm.text import fresh, parse_schema, with_struct
+from plenum.llm.text import fresh, give_back, parse_schema, with_struct
 
 #: Different pieces and words that a worker remembers (some 160 bytes each); when half of them are new, it forgets the
 #: half that it has not met since.
@@ -314,6 +314,11 @@ class Vocabulary:
             met[at] = ids
         return met
 
+    def forget(self) -> None:
+        """Gives back the memory of words met; the vocabulary stays."""
+        self.memory, self.older = {}, {}
+        give_back()
+
     def encode(self, text: str) -> bytes:
         """Ids of one whole text, packed."""
         return self.encode_all([text])[0]
@@ -386,6 +391,7 @@ def round_trip(
             if with_ids:
                 columns.append(pa.array(made, pa.list_(pa.int32())))
             yield pa.RecordBatch.from_arrays(columns, names)
+        book.forget()  # the process goes on with other tasks
 
     some = docs.select(docs[key].cast("bigint").alias("doc_id"), text)
     return some.mapInArrow(task, DIGEST + ", ids array<int>" * with_ids)

@@ -7,6 +7,7 @@ Lower-casing touches A-Z only. Hashes depend on the bytes alone, never on the pr
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 from functools import lru_cache
@@ -157,11 +158,21 @@ def with_struct(
                      for f in arrow]
             struct = pa.StructArray.from_arrays(parts, fields=arrow)
             yield pa.RecordBatch.from_arrays([*batch.columns, struct], [*batch.schema.names, name])
-        pa.default_memory_pool().release_unused()  # the process goes on with other tasks
+        give_back()
 
     return df.mapInArrow(task, T.StructType([*df.schema.fields, T.StructField(name, fields)]))
 
 
+_trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc's
+
+
+def give_back() -> None:
+    """Returns what is freed to the system at the end of a task; the process goes on with other tasks."""
+    pa.default_memory_pool().release_unused()
+    if _trim is not None:
+        _trim(0)
+
+
 @contextmanager
 def small_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> Iterator[None]:
     """Jobs started inside pass texts to Python in batches of at most ``rows`` rows.
@@ -179,6 +190,13 @@ def small_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> Iterator[None]
         spark.conf.set(name, before)
 
 
+def small_batches_from_now(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
+    """:func:`small_batches` without an end, for frames that are returned: whoever asked for one runs it later."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= rows:
+        spark.conf.set(name, str(rows))
+
+
 def _arrow(kind: T.DataType) -> pa.DataType:
     simple = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string(), "double": pa.float64(),
               "boolean": pa.bool_(), "binary": pa.binary()}

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from compare import difference, duck
-from plenum.llm import bpe, packing, quality_model, sharding
+from plenum.llm import bpe, packing, quality_model, sharding, text
 from plenum.llm.oracle import llm_oracles
 from plenum.llm.queries import llm_queries
 from tests.llm.test_group_operators import brute_jaccard
@@ -179,3 +179,31 @@ def test_stages_take_empty_tables(spark):
     for _, stage in corpus_pipeline.STAGES:
         docs = stage(spark, docs, FOLDER)
         assert docs.count() == 0
+
+
+def test_what_stages_return_runs_in_small_batches(spark):
+    """Batches were small only inside ``run``, and a stage's frame runs after the stage has returned."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    try:
+        for _, stage in corpus_pipeline.STAGES:
+            spark.conf.set(name, "10000")
+            docs = stage(spark, docs, FOLDER).limit(20)
+            assert spark.conf.get(name) == str(text.BATCH_ROWS)
+            assert docs.count() > 0
+        spark.conf.set(name, "7")
+        corpus_pipeline.byte_bpe(spark, spark.read.parquet(f"{FOLDER}/documents.parquet"), FOLDER)
+        assert spark.conf.get(name) == "7"
+    finally:
+        spark.conf.set(name, before)
+
+
+def test_words_are_forgotten_at_the_end_of_a_task():
+    """Processes kept the words of the last encoding while other stages ran."""
+    with open(public_tokenizers.path("byte_bpe_50k.tiktoken"), "rb") as file:
+        book = bpe.Vocabulary(file.read(), public_tokenizers.PATTERN)
+    ids = book.encode("xqzzkv jjwqk")
+    assert book.memory
+    book.forget()
+    assert not book.memory and not book.older and book.encode("xqzzkv jjwqk") == ids
