@@ -6,8 +6,9 @@ stand still. What a vertex needs to know, its weight towards each community arou
 changed only by the edges of vertices that have moved; edges and these weights are bucketed, so neither is shuffled.
 Whole and decimal weights are compared exactly: a move counts if it raises the modularity at all.
 
-A vertex gains nothing by a community it has no edge to, so components are settled apart from each other: those that fit a
-group wholly inside tasks, only larger ones in turns.
+A vertex gains nothing by a community it has no edge to, so components are settled apart from each other: those that a
+task can hold inside tasks, packed if their weights are whole numbers (:mod:`plenum.operators.near_communities`), only
+larger ones in turns.
 """
 
 from __future__ import annotations
@@ -23,6 +24,8 @@ from pyspark.sql import types as T
 
 from plenum.functions.numbering import number_rows
 from plenum.operators.graph import components, symmetric_edges, vertex_ids
+from plenum.operators.near_communities import settle_packed
+from plenum.operators.packed import CHUNK_EDGES, chunk, packed
 from plenum.session import discard, materialize, store_bucketed
 from plenum.skew import HOT_FLOOR, hot_keys, salted_join
 
@@ -32,6 +35,8 @@ BUCKET_EDGES, LEAST_EDGES = 2_000_000, 60_000
 BROADCAST_GROUPS = 1_000_000
 # Vertices, and weights towards communities, of one group, about; one task holds a group.
 GROUP, GROUP_ROWS = 500, 500_000
+# Directed edges of a component that one task settles packed, with whole weights (some 15 bytes each at the peak).
+PACKED_ROWS = 48_000_000
 # Weights that aren't exact: part of two gains by which rounding may let them differ.
 ROUNDING = 1e-12
 
@@ -411,8 +416,8 @@ class Level:
                 near.discard()
                 near, moved = after, True
                 quiet = 0
-            # a group that has settled stays so until others move; hubs have moved once only
-            quiet += not (hub_turn and count)
+            # a group that has settled stays so until others move: others of its class have, if it has any; hubs have moved once only
+            quiet += not count or not hub_turn and classes == self.groups
             turn = 0 if hub_turn and not count else turn if hub_turn else (turn + 1) % (classes + (near.hot is not None))
         return near, moved
 
@@ -478,40 +483,58 @@ def _merge_communities(level: Level, near: Near) -> DataFrame | None:
 def _settle_near(edges: DataFrame, numbers: _Numbers, twice_m, near_rows: int, floor: int) -> tuple[DataFrame | None, DataFrame | None]:
     """Labels of the components of at most ``near_rows`` directed edges, stored, and the stored edges of the others.
 
-    Components are dealt to parts of about a fourth of that size, each settled in one task. Either is None if there is none.
+    Components are dealt to parts of about a fourth of ``GROUP_ROWS``, larger ones to parts of their own, each settled in one
+    task. Either is None if there is none.
     """
-    links = edges.count()
+    links, part_rows = edges.count(), min(near_rows, GROUP_ROWS)
     rows, placed = 2 * links, None
-    if rows <= near_rows:
-        near, far = edges.withColumn("part", F.lit(0)), None
+    if rows <= part_rows:
+        near, far, n_parts = edges.withColumn("part", F.lit(0).cast("bigint")).withColumn("_rows", F.lit(links)), None, 1
     else:
         ends = edges.filter("src <> dst")
         roots = components(ends)
         placed = salted_join(edges, roots.toDF("src", "root"), ["src"], "left", spread=["dst"], floor=floor)
         placed = materialize(placed.select("src", "dst", "weight", F.coalesce("root", "src").alias("root")), "placed")
         held = placed.groupBy("root").agg(F.count(F.lit(1)).alias("_rows"))
-        held = materialize(held.withColumn("near", F.col("_rows") * 2 <= near_rows), "held")
-        rows, n_far = held.agg(F.sum(F.when(F.col("near"), F.col("_rows") * 2)), F.count_if(~F.col("near"))).first()
-        near, far = placed, None
+        small = F.col("_rows") * 8 <= part_rows
+        held = materialize(held.withColumn("near", F.col("_rows") * 2 <= near_rows).withColumn("small", small), "held")
+        rows, small_rows, n_own, n_far = held.agg(
+            F.sum(F.when(F.col("near"), F.col("_rows") * 2)), F.sum(F.when(F.col("near") & F.col("small"), F.col("_rows") * 2)),
+            F.count_if(F.col("near") & ~F.col("small")), F.count_if(~F.col("near"))).first()
+        parts = max(1, -(-4 * (small_rows or 0) // max(1, part_rows)))
+        n_parts = parts + n_own
+        part = F.when(F.col("small"), -1 - F.pmod(F.xxhash64("root"), F.lit(parts))).otherwise(F.col("root"))
+        # packed rows of a small component are those of a part
+        listed = held.select("root", "near", part.alias("part"), F.when(F.col("small"), 1).otherwise(F.col("_rows")).alias("held_rows"))
+        marked = salted_join(placed, listed, ["root"], sizes=held, spread=["src", "dst"], floor=floor)
+        near, far = marked.filter("near").withColumnRenamed("held_rows", "_rows"), None
         if n_far:
-            marked = salted_join(placed, held.select("root", "near"), ["root"], sizes=held, spread=["src", "dst"], floor=floor)
-            near = marked.filter("near")
             far = materialize(marked.filter("not near").select("src", "dst", "weight"), "far-edges")
         discard(roots)
     labels = None
     if rows:
-        parts = -(-4 * rows // near_rows)
-        if placed is not None:
-            near = near.withColumn("part", F.pmod(F.xxhash64("root"), F.lit(parts)).cast("int"))
-        # more tasks than parts, so that hashes seldom deal two parts to one
-        dealt = near.select("part", "src", "dst", "weight").repartition(min(4 * parts, 20_000), "part")
-        labels = materialize(dealt.groupBy("part").applyInPandas(
-            lambda some: settle_components(some, numbers, twice_m), "id bigint, label bigint"), "near-labels")
+        labels = materialize(_settled_parts(near, n_parts, rows, numbers, twice_m), "near-labels")
     if placed is not None:
         discard(placed, held)
     return labels, far
 
 
+def _settled_parts(near: DataFrame, n_parts: int, rows: int, numbers: _Numbers, twice_m) -> DataFrame:
+    """``id, label`` from edges with their ``part``, and ``_rows``, the edges of the part if they may be many."""
+    # more tasks than parts, so that hashes seldom deal two parts to one
+    tasks = max(1, min(4 * n_parts, 20_000))
+    if not isinstance(numbers.product, T.LongType):
+        dealt = near.select("part", "src", "dst", "weight").repartition(tasks, "part")
+        return dealt.groupBy("part").applyInPandas(
+            lambda some: settle_components(some, numbers, twice_m), "id bigint, label bigint")
+    scale, cost = numbers.resolution.denominator * twice_m, numbers.resolution.numerator
+    chunked = near.select("part", F.col("src").alias("u"), F.col("dst").alias("v"), F.col("weight").alias("w"), "_rows").withColumn(
+        "chunk", chunk(F.col("_rows")))
+    rows = packed(chunked, ["part"], 4 * (n_parts + rows // CHUNK_EDGES)).select("part", "edges")
+    return rows.repartition(tasks, "part").groupBy("part").applyInPandas(
+        lambda some: settle_packed(some["edges"], scale, cost), "id bigint, label bigint")
+
+
 def _settle_far(edges: DataFrame, numbers: _Numbers, twice_m, floor: int) -> DataFrame:
     """Labels, stored, of components that are settled in turns."""
     level = Level(edges, numbers, floor, twice_m=twice_m)
@@ -536,16 +559,19 @@ def louvain(
     edges: DataFrame,
     resolution: float = 1.0,
     floor: int = HOT_FLOOR,
-    near_rows: int = GROUP_ROWS,
+    near_rows: int | None = None,
 ) -> DataFrame:
     """Community ``modularidade`` of each vertex: 0 is the largest, ties in size by smallest vertex.
 
     ``edges`` are canonical, weighted and stored. Vertices move, then communities as a whole, and then vertices again,
     until neither the move of a vertex nor that of a community to another one raises the modularity. The result does
-    not depend on row order or partitioning. Components of at most ``near_rows`` directed edges are settled inside tasks.
+    not depend on row order or partitioning. Components of at most ``near_rows`` directed edges are settled inside tasks,
+    by default as many as a task holds.
     """
     whole = whole_weights(edges)
     numbers = _numbers(whole, resolution)
+    if near_rows is None:
+        near_rows = PACKED_ROWS if isinstance(numbers.product, T.LongType) else GROUP_ROWS
     whole = whole.select("src", "dst", F.coalesce("weight", F.lit(0)).cast(numbers.weight).alias("weight"))
     number = int if numbers.exact else float
     twice_m = 2 * number(whole.agg(F.sum("weight")).first()[0] or 0)

@@ -1,11 +1,16 @@
 import math
 import random
+from fractions import Fraction
+from types import SimpleNamespace
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from plenum.operators import centrality, community, graph, metrics, near_paths
+from plenum.operators import centrality, community, graph, metrics, near_paths, packed
+from plenum.operators.near_communities import settle_packed
 from plenum.session import materialize
 from tests.conftest import EDGES, T1, T2, T3, T4, pairs, rows
 
@@ -410,3 +415,53 @@ def test_betweenness_of_blocks_of_few_sources(edges, monkeypatch, sources):
     assert walks.places.groupBy("part").agg(F.first("blocks").alias("b"), F.count("u").alias("n")).filter(
         F.col("b") > F.ceil(F.col("n") / sources)).isEmpty()
     assert pairs(centrality.betweenness(net, near_edges=1_000)) == pytest.approx(brute_betweenness(rows))
+
+
+def test_louvain_of_a_component_beyond_a_group_takes_few_steps(spark, monkeypatch):
+    """A component of over 500,000 directed edges went through dozens of stored turns; a task holds it, packed."""
+    ends = spark.range(720).toDF("src").crossJoin(spark.range(720).toDF("dst")).filter("src < dst")
+    net = materialize(ends.withColumn("weight", F.when(F.expr("src % 4 = dst % 4"), 10).otherwise(1).cast("bigint")), "net")
+    made = counted(monkeypatch, community, "materialize", "store_bucketed")
+    found = community.louvain(net)
+    assert len(made) < 6
+    assert pairs(found) == {i: i % 4 for i in range(720)}
+
+
+@pytest.mark.parametrize("low, high", [(1, 1), (0, 3), (-2, 5), (1, 10**6)])
+def test_packed_components_settle_as_others(low, high):
+    """Packed edges keep all numbers, and lead to the communities that plain ones do."""
+    for seed in range(12):
+        rows = [(7 * i - 50, 7 * j - 50, w) for i, j, w in random_net(40, 0.15, seed, low, high)] + [(6, 6, 3), (900, 900, 2)]
+        plain = pd.DataFrame(rows, columns=["src", "dst", "weight"])
+        numbers = community._Numbers(T.LongType(), T.LongType(), Fraction(seed % 3 + 1, 2))
+        twice_m = 2 * max(1, int(plain["weight"].sum()))
+        parts = [packed.pack(g.set_axis(["u", "v", "w"], axis=1)) for _, g in plain.groupby(plain["src"] % 3)]
+        found = settle_packed(parts, numbers.resolution.denominator * twice_m, numbers.resolution.numerator)
+        assert found.values.tolist() == community.settle_components(plain, numbers, twice_m).values.tolist()
+
+
+@pytest.mark.parametrize("ids", [[-(2**63), -1, 0, 5, 2**63 - 1], list(range(0, 3000, 7)), [4]])
+def test_packed_edges_come_back(ids):
+    rng = np.random.default_rng(2)
+    rows = pd.DataFrame({"u": rng.choice(ids, 500), "v": rng.choice(ids, 500), "w": rng.choice([1, 2, 2**62, -3], 500)})
+    net = packed.Packed([packed.pack(rows[:300]), packed.pack(rows[300:])])
+    got = [row for u, v, w in net.edges() for row in zip(net.ids[u].tolist(), net.ids[v].tolist(), net.weights[w].tolist())]
+    assert sorted(got) == sorted(map(tuple, rows.values.tolist())) and net.many == 500
+    starts, ends, codes = net.both_ways()
+    both = [(a, b, c) for u, v, c in got if u != v for a, b in ((u, v), (v, u)) if a != b]
+    vertex = net.ids[np.repeat(np.arange(len(net.ids)), np.diff(starts))]
+    rows = list(zip(vertex.tolist(), net.weights[codes].tolist(), net.ids[ends].tolist()))
+    assert rows == sorted((a, c, b) for a, b, c in both)
+
+
+def test_turns_go_on_while_groups_of_a_class_have_moved(monkeypatch):
+    """Groups of a class move at once, so one may gain by what another has done; the turns ended before it was asked again."""
+    level, asked = object.__new__(community.Level), []
+    level.groups, level.numbers = 4, community._Numbers(T.LongType(), T.LongType(), Fraction(1))
+    script = iter([1, 0, 1, 0, 0])
+    state = lambda score: SimpleNamespace(score=score, hot=None, discard=lambda: None)
+    monkeypatch.setattr(level, "count", lambda start: state(0), raising=False)
+    monkeypatch.setattr(level, "moves", lambda near, turn, classes: asked.append(turn) or (None, next(script)), raising=False)
+    monkeypatch.setattr(level, "update", lambda near, moves: state(near.score + 1), raising=False)
+    near, moved = level.settle(None)
+    assert asked == [0, 1, 0, 1, 0] and moved and near.score == 2
