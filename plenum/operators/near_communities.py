@@ -7,7 +7,7 @@ from collections.abc import Iterable
 import numpy as np
 import pandas as pd
 
-from plenum.operators.packed import Packed
+from plenum.operators.packed import Packed, owners
 
 
 def descend(starts, ends, weights, strength, home, scale: int, cost: int) -> bool:
@@ -52,10 +52,7 @@ def contracted(starts, ends, weights, strength, home):
     keys, added = np.array([], np.int64), np.array([], np.int64)
     for a in range(0, len(ends), step):
         b = min(len(ends), a + step)
-        first = int(np.searchsorted(starts, a, "right")) - 1
-        last = int(np.searchsorted(starts, b, "left"))
-        rows = np.repeat(np.arange(first, last), np.diff(np.clip(starts[first:last + 1], a, b)))
-        one, two = place[rows], place[ends[a:b]]
+        one, two = place[owners(starts, a, b)], place[ends[a:b]]
         across = one != two
         found, back = np.unique(np.concatenate([keys, (one * n + two)[across]]), return_inverse=True)
         grown = np.zeros(len(found), np.int64)

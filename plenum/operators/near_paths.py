@@ -1,23 +1,30 @@
 """Betweenness inside one task: the shortest paths from some sources in a part of a network that has a bounded size.
 
-A part is a set of whole components. Distances come from the edges of the vertices that have come nearer, followed from
+A part is a set of whole components. Where edges have few different lengths, vertices are reached in the order of their
+distance, by edges of one length at a time, followed from the vertices at the distance before or back from those not yet
+reached; what is met then lies on shortest paths. Otherwise distances come from the edges of the vertices that have come nearer, followed from
 their near end or back from the vertices that still can come nearer, whichever are fewer; paths and dependencies from the
 edges on shortest paths, found likewise, in the order of distance (Brandes 2001).
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from heapq import heapify, heappop, heappush
 
 import numpy as np
 import pandas as pd
 
+from plenum.operators.packed import Packed, owners
+
 FAR = np.int64(1) << 62
 SUMS = "id bigint, raw double"
 # Lengths that a vertex's edges are counted by.
 BOUNDS = 32
-# Whole numbers by their size in bytes: 1, 2, 4, 8.
-KINDS = (np.int8, np.int16, np.int32, np.int64)
+# So few different lengths are followed one at a time.
+FEW_LENGTHS = 12
+# Edges worked on at a time, so that what is made of them stays in a processor's cache.
+SPAN_EDGES = 1 << 17
 # Edges that a task holds while it looks for components.
 STAR_ROWS = 2_000_000
 
@@ -149,17 +156,137 @@ class Component:
         return received
 
 
-def pack(rows: pd.DataFrame) -> pd.DataFrame:
-    """Rows ``part, blocks, u, v, w`` as one row per part, with the numbers as bytes: each ``u`` once with its count ``c``,
-    ``w`` in as few bytes as the largest needs."""
-    made = []
-    for (part, blocks), g in rows.groupby(["part", "blocks"]):
-        g = g.sort_values("u", kind="stable")
-        u, c = np.unique(g["u"].to_numpy(np.int64), return_counts=True)
-        w = g["w"].to_numpy(np.int64)
-        w = w.astype(next(kind for kind in KINDS if w.max() <= np.iinfo(kind).max))
-        made.append((part, blocks, u.tobytes(), c.astype(np.int32).tobytes(), g["v"].to_numpy(np.int64).tobytes(), w.tobytes()))
-    return pd.DataFrame(made, columns=["part", "blocks", "u", "c", "v", "w"])
+class Layers:
+    """Directed edges of one component by vertex and then length: both directions of each edge, of ``lengths`` in order.
+
+    Those of vertex i and length k lie from ``starts[i * len(lengths) + k]`` to the next start, and lead to ``ends``.
+    """
+
+    def __init__(self, n: int, lengths: np.ndarray, starts: np.ndarray, ends: np.ndarray):
+        self.n, self.lengths, self.starts, self.ends = n, lengths.tolist(), starts, ends
+        self.degree = np.diff(starts).reshape(n, -1)
+        self.all = self.degree.sum(axis=0)
+        # long rows are copied as a whole
+        self.rows = np.split(ends, starts[1:-1]) if len(ends) >= BOUNDS * len(starts) else None
+        self.sums, self.some = np.zeros(n), np.zeros(n)  # zero between uses
+
+    def spans(self, some: np.ndarray, k: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """The vertices ``some`` that have edges of length k, how many, and the ends of these, a bounded number at a time."""
+        degree = self.degree[some, k]
+        if not degree.all():
+            held = degree > 0
+            some, degree = some[held], degree[held]
+        last = np.cumsum(degree)
+        many = int(last[-1]) if len(last) else 0
+        cuts = [0, *(np.searchsorted(last, np.arange(SPAN_EDGES, many, SPAN_EDGES)) + 1).tolist(), len(some)]
+        for a, b in zip(cuts, cuts[1:]):
+            if a < b:
+                one, held, place = some[a:b], degree[a:b], some[a:b] * len(self.lengths) + k
+                if self.rows is not None:
+                    near = np.concatenate([self.rows[i] for i in place.tolist()])
+                else:
+                    upto = np.cumsum(held)
+                    near = self.ends[np.repeat(self.starts[place] - upto + held, held) + np.arange(upto[-1])]
+                yield one, held, near
+
+    def reach(self, at: int) -> tuple[np.ndarray, dict[int, np.ndarray], list]:
+        """Number of shortest paths to each vertex from ``at``, the vertices by distance, and for each distance in turn
+        the distances before, lengths and ways by which it was met.
+        """
+        n, sums, some = self.n, self.sums, self.some
+        left, paths = np.ones(n, bool), np.zeros(n)
+        left[at], paths[at] = False, 1
+        fronts, steps, many, open_edges = {0: np.array([at])}, [], n - 1, self.all - self.degree[at]
+        waiting = [(w, 0, k) for k, w in enumerate(self.lengths)]
+        heapify(waiting)
+        while many:
+            x, met, came, whole = waiting[0][0], [], [], False
+            while waiting and waiting[0][0] == x:
+                _, y, k = heappop(waiting)
+                front = fronts[y]
+                pushed = int(self.degree[front, k].sum())
+                if not pushed or not open_edges[k]:
+                    continue
+                back = int(open_edges[k]) + n // 8 < pushed
+                met.append((y, k, back))
+                if back:
+                    some[front], whole = paths[front], True
+                    for one, held, near in self.spans(np.flatnonzero(left), k):
+                        sums[one] += np.add.reduceat(some[near], np.cumsum(held) - held)
+                    some[front] = 0
+                    continue
+                for one, held, near in self.spans(front, k):
+                    sent = np.repeat(paths[one], held)
+                    if 4 * len(near) > n:
+                        sums += np.bincount(near, sent, n)
+                        whole = True
+                    else:
+                        fresh = left[near]
+                        came.append(near[fresh])
+                        np.add.at(sums, came[-1], sent[fresh])
+            if whole:
+                sums *= left
+                new = np.flatnonzero(sums)
+                paths[new] = sums[new]
+                sums[:] = 0
+            else:
+                new = np.unique(np.concatenate(came)) if came else np.array([], np.int64)
+                paths[new] = sums[new]
+                sums[new] = 0
+            if len(new):
+                left[new] = False
+                many -= len(new)
+                open_edges = open_edges - self.degree[new].sum(axis=0)
+                fronts[x] = new
+                steps.append((x, met))
+                for k, w in enumerate(self.lengths):
+                    heappush(waiting, (x + w, x, k))
+        return paths, fronts, steps
+
+    def dependencies(self, at: int) -> np.ndarray:
+        """What the paths from ``at`` add to each vertex between their ends."""
+        n, sums, some = self.n, self.sums, self.some
+        paths, fronts, steps = self.reach(at)
+        received = np.zeros(n)
+        for x, met in reversed(steps):
+            new = fronts[x]
+            some[new] = (1 + received[new]) / paths[new]
+            for y, k, back in met:
+                front = fronts[y]
+                if not back:
+                    for one, held, near in self.spans(front, k):
+                        received[one] += paths[one] * np.add.reduceat(some[near], np.cumsum(held) - held)
+                    continue
+                for one, held, near in self.spans(new, k):
+                    sent = np.repeat(some[one], held)
+                    if 4 * len(near) > n:
+                        sums += np.bincount(near, sent, n)
+                    else:
+                        np.add.at(sums, near, sent)
+                received[front] += paths[front] * sums[front]
+                sums[:] = 0
+            some[new] = 0
+        received[at] = 0
+        return received
+
+
+def _component(n: int, starts: np.ndarray, ends: np.ndarray, codes: np.ndarray, lengths: np.ndarray) -> Layers | Component:
+    """One component from the edges of each vertex in the order of length; ``lengths[codes]`` are theirs."""
+    used = np.flatnonzero(np.bincount(codes, minlength=len(lengths))) if len(lengths) <= FEW_LENGTHS else np.unique(codes)
+    if not in_layers(len(used), n, len(ends)):
+        return Component(n, ends, owners(starts, 0, len(ends)), lengths[codes])
+    place = np.zeros(len(lengths), np.int64)
+    place[used] = np.arange(len(used))
+    held = np.zeros(n * len(used), np.int64)
+    for a in range(0, len(ends), STAR_ROWS):
+        b = min(len(ends), a + STAR_ROWS)
+        held += np.bincount(owners(starts, a, b) * len(used) + place[codes[a:b]], minlength=len(held))
+    return Layers(n, lengths[used], np.append(0, np.cumsum(held)), ends)
+
+
+def in_layers(lengths, n, edges):
+    """Whether a component is walked by length: its lengths are few, and few beside its edges; numbers or columns."""
+    return (lengths <= FEW_LENGTHS) & ((4 * lengths * n <= edges) | (edges <= STAR_ROWS))
 
 
 def stars(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -199,35 +326,32 @@ def named(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame({"id": ids, "component": ids[roots(len(ids), place[:, 0], place[:, 1])]})
 
 
-def summed_dependencies(packed: pd.DataFrame) -> pd.DataFrame:
-    """``id, raw`` from the edges of whole components, packed; a row from a vertex to itself names a source."""
-    u, c = (np.frombuffer(b"".join(packed[x]), kind) for x, kind in (("u", np.int64), ("c", np.int32)))
-    ids = np.unique(u)
-    t = np.repeat(np.searchsorted(ids, u).astype(np.int32), c)
-    s = np.concatenate([np.searchsorted(ids, np.frombuffer(v, np.int64)).astype(np.int32) for v in packed["v"]])
-    w = np.concatenate([np.frombuffer(x, KINDS[(8 * len(x) // len(v)).bit_length() - 1]) for x, v in zip(packed["w"], packed["v"])])
-    edge = s != t
-    sources = np.unique(s[~edge])
-    if not len(sources):
+def summed_dependencies(rows: Iterable[bytes], sources: Iterable[bytes], single: bool) -> pd.DataFrame:
+    """``id, raw`` of ``sources``, numbers of 64 bits as bytes, from the packed edges of whole components, or of a ``single`` one."""
+    chosen = np.unique(np.frombuffer(b"".join(sources), np.int64))
+    if not len(chosen):
         return pd.DataFrame({"id": np.array([], np.int64), "raw": np.array([], float)})
-    s, t, w = s[edge], t[edge], w[edge]
-    root = roots(len(ids), s, t)
-    by_root = np.argsort(root, kind="stable")
-    place = np.empty(len(ids), np.int32)
-    place[by_root] = np.arange(len(ids))
-    s, t = place[s], place[t]
-    order = np.lexsort((w, t))
-    s, t, w, root = s[order], t[order], w[order], root[by_root]
-    del order, edge
-    raw = np.zeros(len(ids))
-    here, lo, hi, part = -1, 0, 0, None
-    for at in np.sort(place[sources]).tolist():
+    net = Packed(rows)
+    n, by_root, place, root = len(net.ids), None, None, np.zeros(len(net.ids), np.int64)
+    if not single:
+        u, v = (np.concatenate(x) for x in zip(*((u, v) for u, v, _ in net.edges())))
+        root = roots(n, u, v)
+        by_root = np.argsort(root, kind="stable")
+        place = np.empty(n, np.int64)
+        place[by_root] = np.arange(n)
+        root = root[by_root]
+    starts, ends, codes = net.both_ways(place)
+    at = np.searchsorted(net.ids, chosen)
+    raw, here, lo, hi, part = np.zeros(n), -1, 0, 0, None
+    for at in np.sort(at if place is None else place[at]).tolist():
         if root[at] != here:
             here = root[at]
             lo, hi = np.searchsorted(root, [here, here + 1]).tolist()
-            first, last = np.searchsorted(t, [lo, hi]).tolist()
-            part = Component(hi - lo, s[first:last] - lo, t[first:last] - lo, w[first:last]) if hi - lo > 2 else None
+            a, b = starts[[lo, hi]].tolist()
+            # a smaller component's edges are few: a single one's aren't copied
+            near = ends[a:b] - lo if lo else ends[a:b]
+            part = _component(hi - lo, starts[lo:hi + 1] - a, near, codes[a:b], net.weights) if hi - lo > 2 else None
         if part is not None:
             raw[lo:hi] += part.dependencies(at - lo)
     some = np.flatnonzero(raw)
-    return pd.DataFrame({"id": ids[by_root][some], "raw": raw[some]})
+    return pd.DataFrame({"id": net.ids[some if by_root is None else by_root[some]], "raw": raw[some]})

@@ -57,6 +57,12 @@ def _pieces(data: bytes) -> list[bytes]:
     return found
 
 
+def owners(starts: np.ndarray, a: int, b: int) -> np.ndarray:
+    """The vertices of the edges from ``a`` to ``b``, where those of vertex i lie from ``starts[i]`` to ``starts[i + 1]``."""
+    first, last = int(np.searchsorted(starts, a, "right")) - 1, int(np.searchsorted(starts, b, "left"))
+    return np.repeat(np.arange(first, last), np.diff(np.clip(starts[first:last + 1], a, b)))
+
+
 class Packed:
     """Packed rows as one network: ``ids`` of its vertices in order, its different ``weights``, and ``many`` edges."""
 

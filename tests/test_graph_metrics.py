@@ -465,3 +465,63 @@ def test_turns_go_on_while_groups_of_a_class_have_moved(monkeypatch):
     monkeypatch.setattr(level, "update", lambda near, moves: state(near.score + 1), raising=False)
     near, moved = level.settle(None)
     assert asked == [0, 1, 0, 1, 0] and moved and near.score == 2
+
+
+@pytest.mark.parametrize("span, star_rows, share", [(5, 50, 0.02), (1 << 17, 1 << 21, 0.02), (200, 70, 0.3), (1 << 17, 1 << 21, 0.6)])
+def test_paths_by_length_are_those_by_rounds(monkeypatch, span, star_rows, share):
+    """Vertices reached by one length at a time have the distances, and the sums, of sweeps that know no lengths."""
+    monkeypatch.setattr(near_paths, "SPAN_EDGES", span)
+    for seed, most in enumerate([1, 2, 5]):
+        n = 150
+        rows = {(i, j): w for i, j, w in [*random_net(n, share, seed, 1, most), *((i, i + 1, 1 + i % most) for i in range(0, n - 1))]}
+        data = pd.DataFrame([(i + 1000, j + 1000, w) for (i, j), w in rows.items()], columns=["u", "v", "w"])
+        net = packed.Packed([packed.pack(data)])
+        starts, ends, codes = net.both_ways()
+        part = near_paths._component(n, starts, ends, codes, net.weights)
+        assert isinstance(part, near_paths.Layers)
+        monkeypatch.setattr(near_paths, "FEW_LENGTHS", 0)
+        other = near_paths._component(n, starts, ends, codes, net.weights)
+        monkeypatch.undo()
+        monkeypatch.setattr(near_paths, "SPAN_EDGES", span)
+        assert isinstance(other, near_paths.Component)
+        for at in range(0, n, 7):
+            d = np.full(n, -1)
+            for x, some in part.reach(at)[1].items():
+                d[some] = x
+            assert d.tolist() == other.distances(at).tolist()
+            assert part.dependencies(at) == pytest.approx(other.dependencies(at))
+    assert not part.sums.any() and not part.some.any()
+
+
+def test_betweenness_of_a_large_component_of_few_lengths_stays_in_tasks(edges, monkeypatch):
+    """A component beyond what a task holds went in rounds, with a row for each source and vertex."""
+    monkeypatch.setattr(centrality, "NEAR_EDGES", 100)
+    monkeypatch.setattr(centrality, "ONE_PART", 0)
+    made = counted(monkeypatch, centrality, "materialize")
+    rows = random_net(40, 0.2, low=1, high=2)
+    net = edges(rows)
+    assert len(rows) > 100
+    assert pairs(centrality.betweenness(net)) == pytest.approx(brute_betweenness(rows))
+    assert len(made) < 8
+    monkeypatch.setattr(centrality, "in_layers", lambda *a: F.lit(False))
+    assert pairs(centrality.betweenness(net)) == pytest.approx(brute_betweenness(rows))
+
+
+def test_blocks_of_a_pass_are_as_many_as_its_sources_need(edges, monkeypatch):
+    """Each pass over a few sources sent all edges to as many tasks as a pass over all sources."""
+    for name, value in (("ONE_PART", 0), ("BLOCK_WORK", 200), ("BLOCK_SOURCES", 1), ("CORE_BLOCKS", 6)):
+        monkeypatch.setattr(centrality, name, value)
+    rows = random_net(40, 0.3)
+    net = materialize(edges(rows), "net")
+    walks = centrality._Walks(net, "weight", 10, 10)
+    walks.cores = 2
+    sent, whole = [], centrality.summed_dependencies
+    many = walks.places.agg(F.max("blocks")).first()[0]
+    assert many == 40 or many == 6 * net.sparkSession.sparkContext.defaultParallelism
+    told = net.sparkSession.sparkContext.accumulator(0)
+    monkeypatch.setattr(centrality, "summed_dependencies", lambda *a: told.add(1) or whole(*a))
+    for share, most in ((1.0, many), (0.1, math.ceil(many * 0.1)), (0.0, 2)):
+        before = told.value
+        walks.near_sums(lambda rows: rows, share)
+        sent.append((told.value - before, most))
+    assert all(0 < got <= most for got, most in sent)
