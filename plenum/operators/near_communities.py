@@ -9,6 +9,11 @@ import pandas as pd
 
 from plenum.operators.packed import Packed, owners
 
+# Communities that every vertex's weights are kept towards, and edges worked on at a time.
+FEW_LABELS, SPAN_EDGES = 64, 1 << 22
+# The fewest and the most vertices that are looked at together.
+LEAST, MOST = 8, 4096
+
 
 def descend(starts, ends, weights, strength, home, scale: int, cost: int) -> bool:
     """Move vertices one after the other until none gains; ``home`` changes with each move. Whether any has moved.
@@ -40,18 +45,63 @@ def descend(starts, ends, weights, strength, home, scale: int, cost: int) -> boo
                 here = home[i] = label[gain == best].min()
                 moving = ever = True
             total[here] += k
+        labels = np.unique(home) if moving else home
+        if moving and len(labels) <= FEW_LABELS and 2 * len(labels) * len(home) <= max(len(ends), SPAN_EDGES):
+            _descend_few(starts, ends, weights, strength, home, labels, total, scale, cost)
+            return True
     return ever
 
 
+def _descend_few(starts, ends, weights, strength, home, labels, total, scale: int, cost: int) -> None:
+    """The same moves where there are few ``labels``: each vertex's weights towards them are kept, and changed by the
+    edges of those that move, so that those that stay are looked at many at a time.
+    """
+    n, many = len(home), len(labels)
+    label, total, price = np.searchsorted(labels, home), total[labels], cost * strength
+    towards = np.zeros((n, many), np.int64)
+    flat = towards.reshape(-1)
+    for a in range(0, len(ends), SPAN_EDGES):
+        b = min(len(ends), a + SPAN_EDGES)
+        np.add.at(flat, owners(starts, a, b) * many + label[ends[a:b]], weights[a:b].astype(np.int64))
+    moving, step, none, rows = True, LEAST, np.iinfo(np.int64).min, np.arange(MOST)
+    while moving:
+        moving, i = False, 0
+        while i < n:
+            j = min(n, i + step)
+            sums, here, k = towards[i:j], label[i:j], strength[i:j]
+            gain = scale * sums - price[i:j, None] * total
+            stay = gain[rows[:j - i], here] + price[i:j] * k
+            gain[sums == 0] = none
+            gain[rows[:j - i], here] = stay
+            gains = gain.max(axis=1) > stay
+            first = int(gains.argmax())
+            if not gains[first]:
+                i, step = j, min(MOST, 2 * step)
+                continue
+            if 4 * first < step:
+                step = max(LEAST, step // 2)
+            i += first
+            old, new = int(label[i]), int(gain[first].argmax())
+            a, b = starts[i], starts[i + 1]
+            place, w = ends[a:b].astype(np.int64) * many, weights[a:b].astype(np.int64)
+            np.add.at(flat, place + old, -w)
+            np.add.at(flat, place + new, w)
+            total[old] -= strength[i]
+            total[new] += strength[i]
+            label[i], moving = new, True
+            i += 1
+    home[:] = labels[label]
+
+
 def contracted(starts, ends, weights, strength, home):
     """Network of communities: their labels, and edges between them and strengths as :func:`descend` takes them."""
     labels, place = np.unique(home, return_inverse=True)
-    n, step = len(labels), 1 << 22
+    n = len(labels)
     sums = np.bincount(place, minlength=n) * 0
     np.add.at(sums, place, strength)
     keys, added = np.array([], np.int64), np.array([], np.int64)
-    for a in range(0, len(ends), step):
-        b = min(len(ends), a + step)
+    for a in range(0, len(ends), SPAN_EDGES):
+        b = min(len(ends), a + SPAN_EDGES)
         one, two = place[owners(starts, a, b)], place[ends[a:b]]
         across = one != two
         found, back = np.unique(np.concatenate([keys, (one * n + two)[across]]), return_inverse=True)

@@ -183,10 +183,10 @@ class Layers:
             if a < b:
                 one, held, place = some[a:b], degree[a:b], some[a:b] * len(self.lengths) + k
                 if self.rows is not None:
-                    near = np.concatenate([self.rows[i] for i in place.tolist()])
+                    near = np.concatenate([self.rows[i] for i in place.tolist()], dtype=np.int64)
                 else:
                     upto = np.cumsum(held)
-                    near = self.ends[np.repeat(self.starts[place] - upto + held, held) + np.arange(upto[-1])]
+                    near = self.ends[np.repeat(self.starts[place] - upto + held, held) + np.arange(upto[-1])].astype(np.int64)
                 yield one, held, near
 
     def reach(self, at: int) -> tuple[np.ndarray, dict[int, np.ndarray], list]:
@@ -341,6 +341,7 @@ def summed_dependencies(rows: Iterable[bytes], sources: Iterable[bytes], single:
         place[by_root] = np.arange(n)
         root = root[by_root]
     starts, ends, codes = net.both_ways(place)
+    ends = ends.astype(np.int32) if n < 1 << 31 else ends
     at = np.searchsorted(net.ids, chosen)
     raw, here, lo, hi, part = np.zeros(n), -1, 0, 0, None
     for at in np.sort(at if place is None else place[at]).tolist():

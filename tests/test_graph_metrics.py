@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from plenum.operators import centrality, community, graph, metrics, near_paths, packed
+from plenum.operators import centrality, community, graph, metrics, near_communities, near_paths, packed
 from plenum.operators.near_communities import settle_packed
 from plenum.session import materialize
 from tests.conftest import EDGES, T1, T2, T3, T4, pairs, rows
@@ -525,3 +525,18 @@ def test_blocks_of_a_pass_are_as_many_as_its_sources_need(edges, monkeypatch):
         walks.near_sums(lambda rows: rows, share)
         sent.append((told.value - before, most))
     assert all(0 < got <= most for got, most in sent)
+
+
+def test_few_communities_settle_as_many_do(monkeypatch):
+    """Vertices that stay were asked one by one in each pass; looked at together, they lead to the same labels."""
+    asked = []
+    monkeypatch.setattr(near_communities, "_descend_few", lambda *a, f=near_communities._descend_few: asked.append(1) or f(*a))
+    for seed in range(6):
+        rows = pd.DataFrame([*random_net(300, 0.05, seed, 1, 1 + seed), (7, 7, 3), (900, 900, 2)], columns=["u", "v", "w"])
+        found = []
+        for few in (0, 64):
+            monkeypatch.setattr(near_communities, "FEW_LABELS", few)
+            found.append(near_communities.settle_packed([packed.pack(rows)], 2 * int(rows["w"].sum()), 1))
+            assert bool(asked) == bool(few)
+        asked.clear()
+        assert found[0].equals(found[1])
