@@ -158,7 +158,8 @@ class _Walks:
         if self.packed is None:
             return None
         fewer = F.least(F.col("blocks"), F.greatest(F.ceil(F.col("blocks") * share), F.lit(self.cores))).cast("int")
-        block = F.pmod(F.xxhash64("u"), fewer).cast("int").alias("block")
+        # by another hash than that of passes, or a pass would leave blocks without sources
+        block = F.pmod(F.xxhash64("u", F.lit(1)), fewer).cast("int").alias("block")
         begun = mine(self.places.withColumn("s", F.col("u"))).select("part", block, "u")
         none = F.lit(None).cast("binary")
         sources = begun.mapInPandas(_sources, "part bigint, block int, sources binary").withColumn("edges", none)

@@ -540,3 +540,16 @@ def test_few_communities_settle_as_many_do(monkeypatch):
             assert bool(asked) == bool(few)
         asked.clear()
         assert found[0].equals(found[1])
+
+
+def test_sources_of_a_pass_are_dealt_to_all_blocks(edges, monkeypatch):
+    """Passes and blocks were dealt by the same hash, so in one of two passes every second block had no sources."""
+    for name, value in (("ONE_PART", 0), ("BLOCK_WORK", 200), ("BLOCK_SOURCES", 1)):
+        monkeypatch.setattr(centrality, name, value)
+    net = materialize(edges(random_net(40, 0.3)), "net")
+    walks = centrality._Walks(net, "weight", 10, 10)
+    walks.cores, whole = 4, centrality.summed_dependencies
+    used = net.sparkSession.sparkContext.accumulator(0)
+    monkeypatch.setattr(centrality, "summed_dependencies", lambda rows, sources, one: used.add(len(sources) > 0) or whole(rows, sources, one))
+    walks.near_sums(lambda rows: rows.filter(F.pmod(F.xxhash64("s"), F.lit(2)) == 0), 0.0)
+    assert used.value == 4
